@@ -12,9 +12,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from transitlens.functions.columns import vehicle_key
 from transitlens.operators import windows as W
+from transitlens.operators.decode import decode_positions
 from transitlens.plans.present import finalize
-from transitlens.sources.adapter import positions_from_events
+from transitlens.sources import ingest
+from transitlens.sources.adapter import (
+    envelope_messages_from_events,
+    positions_from_events,
+    raw_messages_from_events,
+    topic_for,
+)
 from transitlens.sources.readers import read_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +65,57 @@ def q_sliding_from_panes(spark, sf_dir):
     return finalize(W.sliding_from_panes(positions(spark, sf_dir), "60 seconds", "10 seconds"))
 
 
+def q_decode_positions(spark, sf_dir):
+    return finalize(decode_positions(envelope_messages_from_events(read_events(spark, sf_dir))))
+
+
+def raw_messages(spark, sf_dir):
+    return raw_messages_from_events(read_events(spark, sf_dir))
+
+
+def q_ingest_envelope(spark, sf_dir):
+    records = ingest.envelope(raw_messages(spark, sf_dir))
+    v = F.col("value")
+
+    def field(path):
+        return F.get_json_object(v, path)
+
+    return finalize(records.select(
+        field("$.mqtt_topic").alias("mqtt_topic"),
+        F.col("key"),
+        field("$.payload.VP.desi").alias("route"),
+        field("$.payload.VP.dir").alias("direction"),
+        field("$.payload.VP.veh").cast("bigint").alias("vehicle_id"),
+        field("$.payload.VP.tst").alias("tst"),
+        field("$.payload.VP.spd").cast("double").alias("speed"),
+        field("$.payload.VP.dl").cast("int").alias("delay"),
+        field("$.received_at").cast("double").alias("received_at"),
+        field("$.schema_version").cast("int").alias("schema_version"),
+    ))
+
+
+def q_vehicle_key(spark, sf_dir):
+    pos = positions(spark, sf_dir)
+    eid = F.col("event_id")
+    topic = topic_for(eid, F.col("vehicle_id"), F.col("route"), F.col("direction"),
+                      with_marker=(eid % 10 != 0), empty_vehicle=(eid % 11 == 0))
+    return pos.select(eid, topic.alias("topic")).withColumn("key", vehicle_key(F.col("topic")))
+
+
+def q_ingest_rejects(spark, sf_dir):
+    return finalize(ingest.rejects(raw_messages(spark, sf_dir))
+                    .select("event_id", "topic", "reject_reason", "received_at"))
+
+
+def q_ingest_stats(spark, sf_dir):
+    return finalize(ingest.ingest_stats(raw_messages(spark, sf_dir)))
+
+
+def q_topic_filter(spark, sf_dir):
+    return ingest.filter_topics(raw_messages(spark, sf_dir), "/hfp/v2/journey/+/vp/bus/#") \
+        .select("event_id", "topic")
+
+
 QUERIES: dict[str, Query] = {
     "tumbling_metrics": q_tumbling_metrics,
     "sliding_metrics": q_sliding_metrics,
@@ -64,4 +123,10 @@ QUERIES: dict[str, Query] = {
     "windowed_metrics_1h": q_windowed_metrics_1h,
     "tumbling_nonnull": q_tumbling_nonnull,
     "sliding_from_panes": q_sliding_from_panes,
+    "decode_positions": q_decode_positions,
+    "ingest_envelope": q_ingest_envelope,
+    "vehicle_key": q_vehicle_key,
+    "ingest_rejects": q_ingest_rejects,
+    "ingest_stats": q_ingest_stats,
+    "topic_filter": q_topic_filter,
 }
