@@ -7,6 +7,7 @@ engines.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from transitlens.functions.columns import vehicle_key
 from transitlens.operators import windows as W
 from transitlens.operators.decode import decode_positions
+from transitlens.plans import queries as Q
 from transitlens.plans.present import finalize
 from transitlens.sources import ingest
 from transitlens.sources.adapter import (
@@ -116,6 +118,90 @@ def q_topic_filter(spark, sf_dir):
         .select("event_id", "topic")
 
 
+def as_of(spark, sf_dir):
+    """Reference "now": the newest event time, as a lazily planned scalar subquery."""
+    return positions(spark, sf_dir).select(F.max("event_time")).scalar()
+
+
+def q_metrics_query(spark, sf_dir):
+    return finalize(Q.metrics(metric_table(spark, sf_dir), route="click", direction="1",
+                              window_type="sliding_60s", start=dt.datetime(2024, 1, 10),
+                              end=dt.datetime(2024, 1, 20), limit=100))
+
+
+def q_metrics_latest_n(spark, sf_dir):
+    return finalize(Q.metrics(metric_table(spark, sf_dir), limit=5))
+
+
+def q_metrics_latest_global(spark, sf_dir):
+    return finalize(Q.metrics(metric_table(spark, sf_dir), limit=100, per_series=False))
+
+
+def q_routes_list(spark, sf_dir):
+    return Q.routes(metric_table(spark, sf_dir), as_of=as_of(spark, sf_dir))
+
+
+def q_series_means(spark, sf_dir):
+    return finalize(Q.series_means(metric_table(spark, sf_dir)))
+
+
+def q_route_stats(spark, sf_dir):
+    return finalize(Q.route_stats(metric_table(spark, sf_dir)))
+
+
+def q_summary_stats(spark, sf_dir):
+    return finalize(Q.summary_stats(Q.select_range(metric_table(spark, sf_dir), route="view")))
+
+
+def q_chart_series(spark, sf_dir):
+    sel = Q.select_range(metric_table(spark, sf_dir), route="view", direction="2")
+    return finalize(Q.chart_series(sel))
+
+
+def historical(spark, sf_dir):
+    return Q.historical_view(metric_table(spark, sf_dir), route="error", direction="1",
+                             as_of=as_of(spark, sf_dir), lookback=dt.timedelta(days=7),
+                             limit=1000)
+
+
+def q_historical_view(spark, sf_dir):
+    return finalize(historical(spark, sf_dir))
+
+
+def q_raw_table(spark, sf_dir):
+    return finalize(Q.raw_table(historical(spark, sf_dir)))
+
+
+def q_live_view(spark, sf_dir):
+    return finalize(Q.live_view(metric_table(spark, sf_dir), route="click"))
+
+
+def q_live_view_counts(spark, sf_dir):
+    return finalize(Q.live_view_counts(metric_table(spark, sf_dir), route="click"))
+
+
+def q_latest_known(spark, sf_dir):
+    return finalize(Q.latest_known(metric_table(spark, sf_dir)))
+
+
+def audit_log_lines(spark, sf_dir):
+    """One structured JSON log line per event (service, event type, response code)."""
+    ev = read_events(spark, sf_dir)
+    eid = F.col("event_id")
+    codes = F.array(F.lit(200), F.lit(401), F.lit(403), F.lit(429))
+    return ev.select(F.to_json(F.struct(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
+        F.col("event_type").alias("service"),
+        F.when(eid % 2 == 0, F.lit("api_request")).otherwise(F.lit("batch_written"))
+        .alias("event_type"),
+        F.element_at(codes, (eid % 4 + 1).cast("int")).alias("response_code"),
+    )).alias("value"))
+
+
+def q_audit_rollup(spark, sf_dir):
+    return Q.audit_rollup(audit_log_lines(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "tumbling_metrics": q_tumbling_metrics,
     "sliding_metrics": q_sliding_metrics,
@@ -129,4 +215,18 @@ QUERIES: dict[str, Query] = {
     "ingest_rejects": q_ingest_rejects,
     "ingest_stats": q_ingest_stats,
     "topic_filter": q_topic_filter,
+    "metrics_query": q_metrics_query,
+    "metrics_latest_n": q_metrics_latest_n,
+    "metrics_latest_global": q_metrics_latest_global,
+    "routes_list": q_routes_list,
+    "series_means": q_series_means,
+    "route_stats": q_route_stats,
+    "summary_stats": q_summary_stats,
+    "chart_series": q_chart_series,
+    "historical_view": q_historical_view,
+    "raw_table": q_raw_table,
+    "live_view": q_live_view,
+    "live_view_counts": q_live_view_counts,
+    "latest_known": q_latest_known,
+    "audit_rollup": q_audit_rollup,
 }
