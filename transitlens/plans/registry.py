@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from transitlens.functions.columns import vehicle_key
 from transitlens.operators import windows as W
 from transitlens.operators.decode import decode_positions
+from transitlens.operators import reshape as R
+from transitlens.operators import sinks as K
 from transitlens.plans import queries as Q
 from transitlens.plans.present import finalize
 from transitlens.sources import ingest
@@ -25,6 +27,7 @@ from transitlens.sources.adapter import (
     raw_messages_from_events,
     topic_for,
 )
+from transitlens.session import shared_path
 from transitlens.sources.readers import read_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,6 +205,39 @@ def q_audit_rollup(spark, sf_dir):
     return Q.audit_rollup(audit_log_lines(spark, sf_dir))
 
 
+def q_metrics_long(spark, sf_dir):
+    return finalize(R.metrics_long(metric_table(spark, sf_dir)))
+
+
+def q_metrics_pivot(spark, sf_dir):
+    return finalize(R.metrics_pivot(R.metrics_long(metric_table(spark, sf_dir))))
+
+
+def q_metrics_upsert(spark, sf_dir):
+    """Three emitted versions of every window (batch 0..2, count raised by the
+    batch id) collapse to the newest one."""
+    m = metric_table(spark, sf_dir)
+    changelog = (m.withColumn("batch_id", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+                 .withColumn("vehicle_count", F.col("vehicle_count") + F.col("batch_id")))
+    return finalize(R.upsert_latest(changelog))
+
+
+def q_metrics_store(spark, sf_dir):
+    """Write M to the partitioned store (shared folder), read one day back."""
+    path = shared_path(spark, "metrics_store", unique=True)
+    K.write_metrics_store(metric_table(spark, sf_dir), path, mode="overwrite")
+    day = dt.date(2024, 1, 15)
+    return finalize(K.read_metrics_store(spark, path, start=day, end=day))
+
+
+def q_metrics_json(spark, sf_dir):
+    return K.metrics_json(K.with_processed_at(metric_table(spark, sf_dir)))
+
+
+def q_line_protocol(spark, sf_dir):
+    return K.line_protocol(metric_table(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "tumbling_metrics": q_tumbling_metrics,
     "sliding_metrics": q_sliding_metrics,
@@ -229,4 +265,10 @@ QUERIES: dict[str, Query] = {
     "live_view_counts": q_live_view_counts,
     "latest_known": q_latest_known,
     "audit_rollup": q_audit_rollup,
+    "metrics_long": q_metrics_long,
+    "metrics_pivot": q_metrics_pivot,
+    "metrics_upsert": q_metrics_upsert,
+    "metrics_store": q_metrics_store,
+    "metrics_json": q_metrics_json,
+    "line_protocol": q_line_protocol,
 }
