@@ -28,7 +28,8 @@ from transitlens.sources.adapter import (
     topic_for,
 )
 from transitlens.session import shared_path
-from transitlens.sources.readers import read_events
+from transitlens.sources.readers import read_events, stream_events
+from transitlens.streaming import stream as S
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -238,6 +239,30 @@ def q_line_protocol(spark, sf_dir):
     return K.line_protocol(metric_table(spark, sf_dir))
 
 
+def stream_positions(spark, sf_dir):
+    return S.positions_from_event_stream(stream_events(spark, sf_dir))
+
+
+def q_stream_metrics_update(spark, sf_dir):
+    """Update-mode stream to its end; the stored changelog upserted by batch id."""
+    agg = S.sliding_stream_stats(stream_positions(spark, sf_dir))
+    out = shared_path(spark, "stream_update", unique=True)
+    S.run_to_end(S.start_update(agg, out, S.checkpoint_for(spark, "stream_update", unique=True),
+                                trigger="availableNow"))
+    current = R.upsert_latest(S.read_changelog(spark, out),
+                              keys=["route", "direction", "window_start", "window_end"])
+    return finalize(current)
+
+
+def q_stream_metrics_append(spark, sf_dir):
+    """Append-mode stream into a Parquet file sink; only closed windows arrive."""
+    agg = S.sliding_stream_stats(stream_positions(spark, sf_dir))
+    out = shared_path(spark, "stream_append", unique=True)
+    S.run_to_end(S.start_files(agg, out, S.checkpoint_for(spark, "stream_append", unique=True),
+                               trigger="availableNow"))
+    return finalize(spark.read.parquet(out))
+
+
 QUERIES: dict[str, Query] = {
     "tumbling_metrics": q_tumbling_metrics,
     "sliding_metrics": q_sliding_metrics,
@@ -271,4 +296,6 @@ QUERIES: dict[str, Query] = {
     "metrics_store": q_metrics_store,
     "metrics_json": q_metrics_json,
     "line_protocol": q_line_protocol,
+    "stream_metrics_update": q_stream_metrics_update,
+    "stream_metrics_append": q_stream_metrics_append,
 }
