@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 from transitlens.functions.columns import vehicle_key
 from transitlens.operators import windows as W
 from transitlens.operators.decode import decode_positions
+from transitlens.operators import extensions as X
 from transitlens.operators import reshape as R
 from transitlens.operators import sinks as K
 from transitlens.plans import queries as Q
+from transitlens.plans.oracles import COMPARED_ROUTES
 from transitlens.plans.present import finalize
 from transitlens.sources import ingest
 from transitlens.sources.adapter import (
@@ -263,6 +265,49 @@ def q_stream_metrics_append(spark, sf_dir):
     return finalize(spark.read.parquet(out))
 
 
+def q_active_vehicles_approx(spark, sf_dir):
+    """M with the reference's sketch-based distinct count (compared rows-only;
+    the error bound is tested in tests/test_extensions.py)."""
+    return finalize(metric_table(spark, sf_dir, exact=False))
+
+
+def q_speed_percentiles(spark, sf_dir):
+    return finalize(X.speed_percentiles(positions(spark, sf_dir)))
+
+
+def q_network_metrics(spark, sf_dir):
+    return finalize(X.network_metrics(positions(spark, sf_dir), "1 hour"))
+
+
+def q_downsample(spark, sf_dir):
+    return finalize(X.downsample(metric_table(spark, sf_dir), "1 hour"))
+
+
+def q_retention(spark, sf_dir):
+    keep_from = as_of(spark, sf_dir) - F.expr("INTERVAL 7 DAYS")
+    return finalize(X.retention(metric_table(spark, sf_dir), keep_from))
+
+
+def q_range_validation(spark, sf_dir):
+    return X.range_validation(positions(spark, sf_dir))
+
+
+def q_acceleration(spark, sf_dir):
+    return finalize(X.acceleration(positions(spark, sf_dir)))
+
+
+def q_punctuality(spark, sf_dir):
+    return finalize(X.punctuality(positions(spark, sf_dir), 20))
+
+
+def q_route_comparison(spark, sf_dir):
+    return finalize(X.route_comparison(positions(spark, sf_dir), COMPARED_ROUTES))
+
+
+def q_delay_alerts(spark, sf_dir):
+    return finalize(X.delay_alerts(positions(spark, sf_dir), 2.0, "1 day"))
+
+
 QUERIES: dict[str, Query] = {
     "tumbling_metrics": q_tumbling_metrics,
     "sliding_metrics": q_sliding_metrics,
@@ -298,4 +343,14 @@ QUERIES: dict[str, Query] = {
     "line_protocol": q_line_protocol,
     "stream_metrics_update": q_stream_metrics_update,
     "stream_metrics_append": q_stream_metrics_append,
+    "active_vehicles_approx": q_active_vehicles_approx,
+    "speed_percentiles": q_speed_percentiles,
+    "network_metrics": q_network_metrics,
+    "downsample": q_downsample,
+    "retention": q_retention,
+    "range_validation": q_range_validation,
+    "acceleration": q_acceleration,
+    "punctuality": q_punctuality,
+    "route_comparison": q_route_comparison,
+    "delay_alerts": q_delay_alerts,
 }
