@@ -43,7 +43,7 @@ def metrics_json(df: DataFrame, key_col: str | None = None) -> DataFrame:
 
 def _escape_tag(c: Column) -> Column:
     # Line protocol: commas, equals signs and spaces in tag values are escaped.
-    return F.regexp_replace(c.cast("string"), r"([,= ])", r"\\\\$1")
+    return F.regexp_replace(c.cast("string"), r"([,= ])", r"\\$1")
 
 
 def line_protocol(df: DataFrame, time_col: str = "window_end",
