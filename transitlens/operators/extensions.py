@@ -150,11 +150,14 @@ def route_comparison(positions: DataFrame, routes: list[str], length: str = "1 d
                      value: str = "speed") -> DataFrame:
     """Mean ``value`` per time window, one column per compared route.
 
-    The route list is explicit: pivot needs no extra job to find its values.
+    The route list is explicit, and each route column is a conditional mean,
+    so the pivot is one partial/final aggregate (no value-discovery job, no
+    second shuffle as with ``groupBy().pivot()``).
     """
     return (positions.filter(F.col("route").isin(routes))
             .groupBy(F.window("event_time", length).getField("start").alias("window_start"))
-            .pivot("route", routes).agg(F.avg(value)))
+            .agg(*[F.avg(F.when(F.col("route") == F.lit(r), F.col(value))).alias(r)
+                   for r in routes]))
 
 
 def delay_alerts(positions: DataFrame, threshold_s: float = 2.0, length: str = "1 day") -> DataFrame:

@@ -28,12 +28,16 @@ def metrics_long(df: DataFrame, fields: list[str] | None = None,
 def metrics_pivot(points: DataFrame, fields: list[str] | None = None) -> DataFrame:
     """Long points → one row per (time, series) with a column per field.
 
-    The field list is given explicitly, so Spark does not run an extra job to
-    discover pivot values; a missing field comes back as null.
+    The field list is explicit (no job to discover pivot values) and each
+    field is a conditional aggregate, so the reshape is ONE partial/final
+    hash aggregate; ``groupBy().pivot()`` plans two (keys + field, then
+    PivotFirst), i.e. a second shuffle of the long rows. A missing field
+    comes back as null.
     """
     fields = METRIC_FIELDS if fields is None else fields
-    return (points.groupBy(*POINT_KEYS).pivot("_field", fields)
-            .agg(F.first("_value", ignorenulls=True)))
+    return points.groupBy(*POINT_KEYS).agg(*[
+        F.first(F.when(F.col("_field") == F.lit(f), F.col("_value")), ignorenulls=True).alias(f)
+        for f in fields])
 
 
 def upsert_latest(changelog: DataFrame, keys: list[str] | None = None,
