@@ -148,7 +148,7 @@ def test_listener_logs_batches(spark, tmp_path):
         src_dir = os.path.join(str(tmp_path), "src")
         os.makedirs(src_dir)
         _write_batch(src_dir, "a.json", [("00:01", 1)], time.time() - 10)
-        q = S.start_files(S.streaming_metrics(_late_stream(spark, src_dir)),
+        q = S.start_files(S.with_batch_counters(S.streaming_metrics(_late_stream(spark, src_dir))),
                           os.path.join(str(tmp_path), "o"), os.path.join(str(tmp_path), "c"),
                           trigger="availableNow")
         S.run_to_end(q, 120)
@@ -159,6 +159,9 @@ def test_listener_logs_batches(spark, tmp_path):
         spark.streams.removeListener(log)
     kinds = {json.loads(x)["event_type"] for x in log.lines}
     assert "batch_written" in kinds
+    observed = [json.loads(x).get("observed") for x in log.lines
+                if json.loads(x)["event_type"] == "batch_written"]
+    assert any(o and "batch_counters" in o for o in observed)
     lines = spark.createDataFrame([(x,) for x in log.lines], "value string")
     from transitlens.plans.queries import audit_rollup
     assert audit_rollup(lines).filter("event_type = 'batch_written'").count() >= 1

@@ -173,6 +173,18 @@ def summary_stats(df: DataFrame) -> DataFrame:
                   F.avg("avg_delay").alias("avg_delay"))
 
 
+def display_summary(summary: DataFrame) -> DataFrame:
+    """Summary as shown on the dashboard: fixed decimals (.1f count and delay,
+    .2f speed). Text for display only; Spark rounds half-up."""
+    return summary.select(
+        F.col("total_records"),
+        F.format_string("%.1f", "avg_vehicle_count").alias("avg_vehicle_count"),
+        F.format_string("%.2f m/s", "avg_speed").alias("avg_speed"),
+        F.format_string("%.1f s", "avg_delay").alias("avg_delay"),
+        F.when(F.col("avg_delay") >= 0, F.lit("normal")).otherwise(F.lit("inverse"))
+        .alias("delay_color"))
+
+
 def chart_series(df: DataFrame, time_col: str = "window_end") -> DataFrame:
     """Three plotted series (count, speed, delay) by window type, time ascending.
 

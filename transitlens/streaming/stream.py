@@ -109,6 +109,15 @@ def sliding_stream_stats(positions: DataFrame, watermark: str = WATERMARK,
                       "vehicle_count", "avg_speed", "min_delay", "max_delay")
 
 
+def with_batch_counters(df: DataFrame, name: str = "batch_counters") -> DataFrame:
+    """Running per-batch counters (rows emitted, window-end bounds) computed as
+    observed metrics on the executors; they arrive in each progress report
+    (``observedMetrics[name]``) without an extra job."""
+    return df.observe(name, F.count(F.lit(1)).alias("rows"),
+                      F.min("window_end").alias("first_window_end"),
+                      F.max("window_end").alias("last_window_end"))
+
+
 def checkpoint_for(spark: SparkSession, name: str, unique: bool = False) -> str:
     return shared_path(spark, "checkpoints", name, unique=unique)
 
@@ -263,10 +272,12 @@ class JsonEventLog(StreamingQueryListener):
 
     def onQueryProgress(self, event):
         p = event.progress
+        observed = {name: row.asDict() for name, row in (p.observedMetrics or {}).items()}
         self._add("batch_written", p.timestamp, query_id=str(p.id), batch_id=p.batchId,
                   input_rows=p.numInputRows,
                   dropped_late=sum((op.numRowsDroppedByWatermark or 0)
-                                   for op in p.stateOperators))
+                                   for op in p.stateOperators),
+                  observed=observed)
 
     def onQueryIdle(self, event):
         pass
