@@ -12,6 +12,28 @@ from pyspark.sql import functions as F
 
 from transitlens.schema import METRIC_FIELDS, SERIES_KEYS
 
+# Types whose aggregation buffers are fixed-width (HashAggregate-able).
+FIXED_WIDTH = ("bigint", "int", "smallint", "tinyint", "double", "float", "boolean", "date",
+               "timestamp", "timestamp_ntz")
+
+
+def pick_latest(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
+    """The row with the greatest ``order_col`` per key (which must be unique per key).
+
+    When every carried column is fixed-width, one ``max_by(col, order)`` per
+    column keeps the work in a hash aggregate (partial before the shuffle, no
+    sort). Otherwise the row travels as one struct through ``max_by``, which
+    Spark runs as a sort-based aggregate.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    types = dict(df.dtypes)
+    if all(types[c] in FIXED_WIDTH for c in rest):
+        aggs = [F.max_by(F.col(c), F.col(order_col)).alias(c) for c in rest]
+        return df.groupBy(*keys).agg(*aggs).select(*keys, *rest)
+    last = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(order_col)).alias("_row"))
+    return last.select(*keys, *[F.col("_row").getField(c).alias(c) for c in rest])
+
+
 POINT_KEYS = ["_time", *SERIES_KEYS]
 
 
@@ -46,10 +68,7 @@ def upsert_latest(changelog: DataFrame, keys: list[str] | None = None,
 
     A re-emitted window (same series and window end) overwrites the earlier
     one; "newest" is the highest micro-batch id, not the processing time
-    (equal within a batch). One partial/final aggregate, no sort.
+    (equal within a batch). One partial/final aggregate.
     """
     keys = [*SERIES_KEYS, "window_end"] if keys is None else keys
-    rest = [c for c in changelog.columns if c not in keys and c != version_col]
-    latest = changelog.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.col(version_col)).alias("_row"))
-    return latest.select(*keys, *[F.col("_row").getField(c).alias(c) for c in rest])
+    return pick_latest(changelog, keys, version_col).drop(version_col)

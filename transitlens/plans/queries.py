@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from transitlens.functions.columns import all_of, equals_filters
+from transitlens.operators.reshape import pick_latest
 from transitlens.schema import METRIC_FIELDS, SERIES_KEYS, SUMMARY_FIELDS
 
 MAX_LIMIT = 10_000
@@ -249,14 +250,11 @@ def live_view_counts(df: DataFrame, route: str | None = None, direction: str | N
 def latest_known(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Last known metric row per series (what the dashboard shows when nothing new came).
 
-    ``max_by`` over a struct is an ordinary partial/final aggregate: no sort,
-    and a busy series is reduced inside each task before the shuffle.
+    A partial/final aggregate (``max_by`` on window_end, unique per series):
+    a busy series is reduced inside each task before the shuffle.
     """
     keys = SERIES_KEYS if keys is None else keys
-    rest = [c for c in df.columns if c not in keys]
-    last = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.col("window_end")).alias("_last"))
-    return last.select(*keys, *[F.col("_last").getField(c).alias(c) for c in rest])
+    return pick_latest(df, keys, "window_end")
 
 
 AUDIT_SCHEMA = ("timestamp string, service string, event_type string, method string, "
