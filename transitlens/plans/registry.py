@@ -308,6 +308,21 @@ def q_delay_alerts(spark, sf_dir):
     return finalize(X.delay_alerts(positions(spark, sf_dir), 2.0, "1 day"))
 
 
+def _utc(query: Query) -> Query:
+    """Run a registered query under a UTC session time zone.
+
+    Window bounds, the timestamp_ntz ↔ timestamp casts around watermarks and
+    parsing of "...Z" times all assume the engine's UTC session setting; the
+    caller's session may have another default.
+    """
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return query(spark, sf_dir)
+    run.__name__ = query.__name__
+    run.__doc__ = query.__doc__
+    return run
+
+
 QUERIES: dict[str, Query] = {
     "tumbling_metrics": q_tumbling_metrics,
     "sliding_metrics": q_sliding_metrics,
@@ -354,3 +369,5 @@ QUERIES: dict[str, Query] = {
     "route_comparison": q_route_comparison,
     "delay_alerts": q_delay_alerts,
 }
+
+QUERIES = {key: _utc(fn) for key, fn in QUERIES.items()}
