@@ -265,6 +265,18 @@ def q_stream_metrics_append(spark, sf_dir):
     return finalize(spark.read.parquet(out))
 
 
+def q_stream_multi_sink(spark, sf_dir):
+    """One streaming query (single state store) feeding three sinks through
+    foreachBatch; the stored changelog, upserted by batch id, is the metric
+    table. The sketch-based distinct count is left out of the comparison."""
+    agg = S.with_batch_counters(S.streaming_metrics(stream_positions(spark, sf_dir)))
+    root = shared_path(spark, "multi_sink", unique=True)
+    S.run_to_end(S.start_multi_sink(agg, root, S.checkpoint_for(spark, "multi_sink", unique=True),
+                                    mode="update", trigger="availableNow"))
+    store = spark.read.parquet(f"{root}/store").drop("processed_at")
+    return finalize(R.upsert_latest(store).drop("active_vehicles"))
+
+
 def q_active_vehicles_approx(spark, sf_dir):
     """M with the reference's sketch-based distinct count (compared rows-only;
     the error bound is tested in tests/test_extensions.py)."""
@@ -358,6 +370,7 @@ QUERIES: dict[str, Query] = {
     "line_protocol": q_line_protocol,
     "stream_metrics_update": q_stream_metrics_update,
     "stream_metrics_append": q_stream_metrics_append,
+    "stream_multi_sink": q_stream_multi_sink,
     "active_vehicles_approx": q_active_vehicles_approx,
     "speed_percentiles": q_speed_percentiles,
     "network_metrics": q_network_metrics,

@@ -196,10 +196,12 @@ def multi_sink_writer(root: str, observe_name: str = "batch_rows") -> Callable[[
     root = root.rstrip("/")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
+        # Persist first: the emptiness check and the three writes then share
+        # one execution of the batch plan (its stateful aggregate included).
         stamped = K.with_processed_at(batch).persist()
         try:
+            if stamped.isEmpty():
+                return
             part = f"batch_id={batch_id}"
             K.metrics_json(stamped).select("value").write.mode("overwrite") \
                 .text(f"{root}/json/{part}")
