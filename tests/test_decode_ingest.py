@@ -144,3 +144,13 @@ def test_static_tumbling_fixture(spark):
     out = sorted(window_metrics(df).collect(), key=lambda r: r.window_start)
     assert [(r.vehicle_count, r.avg_speed, r.min_delay, r.max_delay) for r in out] == [
         (2, 11.0, -30, 45), (1, 11.0, 0, 0)]
+
+
+def test_stats_per_reporting_interval(spark):
+    rows = [(BUS, b"{}", 0.0), (BUS, b"{", 30.0), (BUS, b"{}", 61.0), (BUS, b"{}", 119.0)]
+    df = spark.createDataFrame(rows, "topic string, payload binary, received_at double")
+    per = ingest.ingest_stats(df, F.window(F.timestamp_seconds("received_at"), "60 seconds")
+                              .alias("interval"))
+    got = sorted((r.interval.start.second, r.interval.start.minute, r.messages_processed,
+                  r.errors, r.success_rate) for r in per.collect())
+    assert got == [(0, 0, 1, 1, 50.0), (0, 1, 2, 0, 100.0)]

@@ -172,3 +172,13 @@ def test_checkpoint_under_shared_dir(spark):
     root = spark.sparkContext.getCheckpointDir()
     assert root and path.startswith(root.rstrip("/"))
     assert shared_path(spark, "a").startswith(root.rstrip("/"))
+
+
+def test_console_sink_runs(spark, tmp_path, capfd):
+    src_dir = os.path.join(str(tmp_path), "src")
+    os.makedirs(src_dir)
+    _write_batch(src_dir, "a.json", [("00:01", 1)], time.time() - 10)
+    q = S.start_console(S.streaming_metrics(_late_stream(spark, src_dir)), trigger="availableNow",
+                        checkpoint=os.path.join(str(tmp_path), "c"))
+    S.run_to_end(q, 120)
+    assert any(p["numInputRows"] >= 1 for p in q.recentProgress)
