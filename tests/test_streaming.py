@@ -182,3 +182,21 @@ def test_console_sink_runs(spark, tmp_path, capfd):
                         checkpoint=os.path.join(str(tmp_path), "c"))
     S.run_to_end(q, 120)
     assert any(p["numInputRows"] >= 1 for p in q.recentProgress)
+
+
+def test_streaming_distinct_forms_within_bound(spark):
+    from transitlens.operators.windows import windowed_metrics
+    from transitlens.plans.registry import positions
+    pos = positions(spark, "/root/testdata/sf0.001")
+    exact = windowed_metrics(pos, "1 day", "2 days", "1 day", exact=True)
+    keys = ["window_start", "window_type", "route", "direction"]
+    for form in ("sketch", "hllpp"):
+        apx = S.streaming_metrics(S.event_time_ts(pos), tumbling="1 day", sliding="2 days",
+                                  slide="1 day", distinct=form, tumbling_label="tumbling_10s",
+                                  sliding_label="sliding_60s")
+        apx = apx.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+        j = exact.alias("e").join(apx.alias("a"), keys)
+        assert j.count() == exact.count()
+        assert j.filter(F.col("e.vehicle_count") != F.col("a.vehicle_count")).count() == 0
+        assert j.filter(F.abs(F.col("e.active_vehicles") - F.col("a.active_vehicles"))
+                        > F.col("e.active_vehicles") * 0.2 + 1).count() == 0

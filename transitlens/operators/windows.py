@@ -40,9 +40,15 @@ def _seconds(interval: str) -> int:
 
 
 def metric_aggs(exact: bool = True, vehicle: str = "vehicle_id",
-                rsd: float | None = None) -> list[Column]:
+                rsd: float | None = None, sketch_lg_k: int | None = None) -> list[Column]:
+    """The six metric aggregates. Distinct vehicles: exact (``exact=True``),
+    HLL++ (``approx_count_distinct``, optional ``rsd``), or, with
+    ``sketch_lg_k``, a DataSketches HLL sketch (mergeable, compact for small
+    groups: the smaller streaming state of the two approximate forms)."""
     if exact:
         distinct = F.count_distinct(F.col(vehicle))
+    elif sketch_lg_k is not None:
+        distinct = F.hll_sketch_estimate(F.hll_sketch_agg(F.col(vehicle), sketch_lg_k))
     elif rsd is None:
         distinct = F.approx_count_distinct(F.col(vehicle))
     else:
