@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -150,3 +151,24 @@ def test_store_prunes_partitions(spark, tmp_path):
     assert "PartitionFilters" in plan and "window_date" in plan
     assert df.count() == m.filter((F.to_date("window_end") == F.lit(day))
                                   & (F.col("window_type") == "tumbling_10s")).count()
+
+
+@pytest.mark.parametrize("accuracy,grid", [(50, 64), (10_000, 2048)])
+def test_exact_percentiles_match_bruteforce_with_skew_and_ties(spark, accuracy, grid):
+    import numpy as np
+    rng = np.random.default_rng(7)
+    rows = []
+    for g, size in (("hot", 6000), ("a", 3000), ("b", 2500), ("tiny", 1), ("two", 2)):
+        vals = rng.normal(10, 3, size).round(3)
+        vals[: size // 4] = 0.0  # a heavy tie
+        rows += [(g, float(v)) for v in vals]
+    df = spark.createDataFrame(rows, "g string, speed double")
+    probs = (0.0, 0.25, 0.5, 0.95, 1.0)
+    got = {r.g: r for r in X.exact_percentiles(df, ["g"], "speed", probs,
+                                                               accuracy=accuracy, grid_size=grid).collect()}
+    for g in {r[0] for r in rows}:
+        vals = np.array([v for gg, v in rows if gg == g])
+        for p in probs:
+            want = float(np.percentile(vals, p * 100, method="linear"))
+            have = got[g][f"speed_p{int(round(p * 100))}"]
+            assert have is not None and abs(have - want) < 1e-9, (g, p, have, want)
