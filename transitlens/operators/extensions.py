@@ -18,100 +18,112 @@ def speed_percentiles(positions: DataFrame, probs=(0.5, 0.95), exact: bool = Tru
 
     ``exact`` gives the linearly interpolated percentile (as ``quantile_cont``)
     through ``exact_percentiles``, which never gathers a group's values in one
-    task; ``exact=False`` returns the quantile sketch's values directly.
+    task; ``exact=False`` returns the quantile summary's values directly.
     """
     keys = GROUP_KEYS if keys is None else keys
-    out = None
-    for c in ("speed", "delay"):
-        if exact:
-            part = exact_percentiles(positions, keys, c, probs)
-        else:
-            part = positions.groupBy(*keys).agg(
-                F.percentile_approx(F.col(c).cast("double"), list(probs), accuracy).alias("_q"))
-            part = part.select(*keys, *[F.col("_q")[i].alias(_pname(c, p))
-                                        for i, p in enumerate(probs)])
-        out = part if out is None else out.join(part, keys, "full_outer")
-    order = [_pname(c, p) for p in probs for c in ("speed", "delay")]
-    return out.select(*keys, *order)
+    values = ["speed", "delay"]
+    order = [_pname(c, p) for p in probs for c in values]
+    if exact:
+        return exact_percentiles(positions, keys, values, probs, accuracy).select(*keys, *order)
+    agg = positions.groupBy(*keys).agg(*[
+        F.percentile_approx(F.col(c).cast("double"), list(probs), accuracy).alias(f"_q_{c}")
+        for c in values])
+    return agg.select(*keys, *[F.col(f"_q_{c}")[i].alias(_pname(c, p))
+                               for i, p in enumerate(probs) for c in values]).select(*keys, *order)
 
 
 def _pname(col: str, p: float) -> str:
     return f"{col}_p{int(round(p * 100))}"
 
 
-def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs,
+def exact_percentiles(df: DataFrame, keys: list[str], values, probs,
                       accuracy: int = 10_000, grid_size: int = 2048) -> DataFrame:
     """Exact interpolated percentiles per group, without one task per group.
 
     Spark's ``percentile`` merges a value → count map per group in a single
-    task, unbounded for a hot group with continuous values. Instead:
-
-    A. per group: ``n`` and a deterministic quantile summary
-       (``percentile_approx`` on a fixed rank grid, rank error <= n/accuracy);
-       the grid entries just outside the target ranks floor/ceil of p(n-1)
-       bracket the exact order statistics;
-    B. one pass tags every row per probability as "below the bracket" or as
-       its value when inside; one hash aggregate counts per (group,
-       probability, value) (ties collapse, about 2n(2/accuracy + 1/grid)
-       values per group and probability);
+    task, unbounded for a hot group with continuous values. Instead, for all
+    ``values`` columns and ``probs`` at once:
+
+    A. per group: non-null counts and a deterministic quantile summary per
+       column (``percentile_approx`` on a fixed rank grid, rank error <=
+       n/accuracy); the grid entries just outside the target ranks floor/ceil
+       of p(n-1) bracket the exact order statistics;
+    B. one pass tags every row per (column, probability) as "below the
+       bracket" or as its value when inside; one hash aggregate counts per
+       (group, column, probability, value) (ties collapse; about
+       2n(2/accuracy + 1/grid) values per bracket);
     C. a running sum over each bracket's distinct values (the "below" bucket
        sorts first) gives every value's first rank; the values at both target
        ranks are interpolated as ``quantile_cont``.
 
-    Rows meet their group's bracket through an equi-join on the keys (one row
-    per group; AQE splits a skewed group's partition). A bracket that missed
-    its rank would yield null, never a wrong value; the summary's error bound
-    is a guarantee, so with the margin used this does not happen.
+    Rows meet their group's brackets through one equi-join on the keys (one
+    row per group; AQE splits a skewed group's partition). A bracket that
+    missed its rank would yield null, never a wrong value; the summary's
+    error bound is a guarantee, so with the margin used this does not happen.
     """
+    values = [values] if isinstance(values, str) else list(values)
     probs = list(probs)
     margin = 2.0 / accuracy + 1.0 / grid_size
-    base = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(
-        F.col("_v").isNotNull() & ~F.isnan("_v"))
-    grid = [j / grid_size for j in range(grid_size + 1)]
-    stats = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                    F.percentile_approx("_v", grid, accuracy).alias("_grid"))
-    n = F.col("_n")
-
-    def grid_at(rank_fraction, round_up):
+    base = df.select(*keys, *[F.col(c).cast("double").alias(f"_v{j}")
+                              for j, c in enumerate(values)])
+    grid = [r / grid_size for r in range(grid_size + 1)]
+    stats_aggs = []
+    for j in range(len(values)):
+        ok = F.col(f"_v{j}").isNotNull() & ~F.isnan(f"_v{j}")
+        stats_aggs += [F.count_if(ok).alias(f"_n{j}"),
+                       F.percentile_approx(F.when(ok, F.col(f"_v{j}")), grid, accuracy)
+                       .alias(f"_grid{j}")]
+    stats = base.groupBy(*keys).agg(*stats_aggs)
+
+    def grid_at(j, rank_fraction, round_up):
         idx = F.ceil(rank_fraction * grid_size) if round_up \
             else F.floor(rank_fraction * grid_size)
         idx = F.least(F.greatest(idx, F.lit(0)), F.lit(grid_size)).cast("int")
-        return F.element_at(F.col("_grid"), idx + 1)
-
-    cols = []
-    for i, p in enumerate(probs):
-        x = F.lit(float(p)) * (n - 1)
-        cols += [x.alias(f"_x{i}"),
-                 grid_at(F.floor(x) / n - margin, False).alias(f"_lo{i}"),
-                 grid_at((F.ceil(x) + 1) / n + margin, True).alias(f"_hi{i}")]
+        return F.element_at(F.col(f"_grid{j}"), idx + 1)
+
+    cols, pairs = [], []
+    for j in range(len(values)):
+        n = F.col(f"_n{j}")
+        for i, p in enumerate(probs):
+            tag = f"{j}_{i}"
+            x = F.lit(float(p)) * (n - 1)
+            cols += [x.alias(f"_x{tag}"),
+                     grid_at(j, F.floor(x) / n - margin, False).alias(f"_lo{tag}"),
+                     grid_at(j, (F.ceil(x) + 1) / n + margin, True).alias(f"_hi{tag}")]
+            pairs.append((j, i, tag))
     brackets = stats.select(*keys, *cols)
     rows = base.join(brackets, keys)
-    v = F.col("_v")
-    tags = F.array(*[
-        F.when(v < F.col(f"_lo{i}"),
-               F.struct(F.lit(i).alias("p"), F.col(f"_x{i}").alias("x"),
-                        F.lit(None).cast("double").alias("v")))
-        .when(v <= F.col(f"_hi{i}"),
-              F.struct(F.lit(i).alias("p"), F.col(f"_x{i}").alias("x"), v.alias("v")))
-        for i in range(len(probs))])
+
+    def tag_for(j, i, tag):
+        v = F.col(f"_v{j}")
+
+        def entry(val):
+            return F.struct(F.lit(j).alias("c"), F.lit(i).alias("p"),
+                            F.col(f"_x{tag}").alias("x"), val.alias("v"))
+
+        return (F.when(v.isNull() | F.isnan(v), F.lit(None))
+                .when(v < F.col(f"_lo{tag}"), entry(F.lit(None).cast("double")))
+                .when(v <= F.col(f"_hi{tag}"), entry(v)))
+
+    tags = F.array(*[tag_for(j, i, tag) for j, i, tag in pairs])
     counts = (rows.select(*keys, F.explode(F.filter(tags, lambda t: t.isNotNull())).alias("t"))
-              .groupBy(*keys, F.col("t.p").alias("_p"), F.col("t.x").alias("_x"),
-                       F.col("t.v").alias("_val"))
-              .agg(F.count(F.lit(1)).alias("_c")))
-    w = Window.partitionBy(*keys, "_p").orderBy(F.col("_val").asc_nulls_first())
-    ranked = counts.withColumn("_first", F.sum("_c").over(w) - F.col("_c"))
+              .groupBy(*keys, F.col("t.c").alias("_c_ix"), F.col("t.p").alias("_p"),
+                       F.col("t.x").alias("_x"), F.col("t.v").alias("_val"))
+              .agg(F.count(F.lit(1)).alias("_cnt")))
+    w = Window.partitionBy(*keys, "_c_ix", "_p").orderBy(F.col("_val").asc_nulls_first())
+    ranked = counts.withColumn("_first", F.sum("_cnt").over(w) - F.col("_cnt"))
 
     def value_at(r):
         return F.max(F.when(F.col("_val").isNotNull() & (F.col("_first") <= r)
-                            & (r < F.col("_first") + F.col("_c")), F.col("_val")))
+                            & (r < F.col("_first") + F.col("_cnt")), F.col("_val")))
 
-    picked = ranked.groupBy(*keys, "_p").agg(
+    picked = ranked.groupBy(*keys, "_c_ix", "_p").agg(
         F.first("_x").alias("_x"),
         value_at(F.floor("_x")).alias("_vlo"), value_at(F.ceil("_x")).alias("_vhi"))
     interp = F.col("_vlo") + (F.col("_x") - F.floor("_x")) * (F.col("_vhi") - F.col("_vlo"))
-    return (picked.groupBy(*keys)
-            .agg(*[F.max(F.when(F.col("_p") == i, interp)).alias(_pname(value, p))
-                   for i, p in enumerate(probs)]))
+    return picked.groupBy(*keys).agg(*[
+        F.max(F.when((F.col("_c_ix") == j) & (F.col("_p") == i), interp))
+        .alias(_pname(values[j], probs[i])) for j, i, _ in pairs])
 
 
 def network_metrics(positions: DataFrame, length: str = "1 hour", exact: bool = True) -> DataFrame:
