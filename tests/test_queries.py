@@ -143,7 +143,7 @@ def test_audit_rollup(spark):
     lines = ['{"timestamp": "t", "event_type": "api_request", "path": "/api/v1/metrics", '
              '"response_code": 200}',
              '{"timestamp": "t", "event_type": "api_request", "response_code": 401}',
-             '{"timestamp": "t", "service": "spark-processor", "event_type": "service_startup"}',
+             '{"timestamp": "t", "service": "stream-processor", "event_type": "service_startup"}',
              'not json']
     df = spark.createDataFrame([(x,) for x in lines], "value string")
     got = {(r.event_type, r.response_code): r.events for r in Q.audit_rollup(df).collect()}
