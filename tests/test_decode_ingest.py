@@ -154,3 +154,17 @@ def test_stats_per_reporting_interval(spark):
     got = sorted((r.interval.start.second, r.interval.start.minute, r.messages_processed,
                   r.errors, r.success_rate) for r in per.collect())
     assert got == [(0, 0, 1, 1, 50.0), (0, 1, 2, 0, 100.0)]
+
+
+def test_envelope_files_round_trip(spark, tmp_path):
+    from transitlens.plans.registry import raw_messages
+    from conftest import SF_SMALL
+    raw_df = raw_messages(spark, SF_SMALL)
+    records = ingest.envelope(raw_df)
+    out = str(tmp_path / "bus")
+    ingest.write_envelopes_files(records, out)
+    back = spark.read.parquet(out)
+    assert back.count() == records.count()
+    assert back.exceptAll(records.select("key", "value")).count() == 0
+    decoded = decode_positions(back)
+    assert decoded.count() == back.count()  # every good envelope decodes
