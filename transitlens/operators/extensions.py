@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from transitlens.operators.windows import GROUP_KEYS, metric_aggs, window_metrics
 from transitlens.schema import TUMBLING_LABEL
+from transitlens.session import checkpoint_root
 
 
 def speed_percentiles(positions: DataFrame, probs=(0.5, 0.95), exact: bool = True,
@@ -56,8 +57,9 @@ def exact_percentiles(df: DataFrame, keys: list[str], values, probs,
        sorts first) gives every value's first rank; the values at both target
        ranks are interpolated as ``quantile_cont``.
 
-    Rows meet their group's brackets through one equi-join on the keys (one
-    row per group; AQE splits a skewed group's partition). A bracket that
+    Rows meet their group's brackets (checkpointed: fixed for the whole job)
+    through one equi-join on the keys (one row per group; AQE splits a skewed
+    group's partition). A bracket that
     missed its rank would yield null, never a wrong value; the summary's
     error bound is a guarantee, so with the margin used this does not happen.
     """
@@ -91,7 +93,12 @@ def exact_percentiles(df: DataFrame, keys: list[str], values, probs,
                      grid_at(j, F.floor(x) / n - margin, False).alias(f"_lo{tag}"),
                      grid_at(j, (F.ceil(x) + 1) / n + margin, True).alias(f"_hi{tag}")]
             pairs.append((j, i, tag))
-    brackets = stats.select(*keys, *cols)
+    # Pin the brackets: the summary's merge order can vary between runs, so a
+    # recomputation after a lost shuffle could hand rows of one group other
+    # brackets. A reliable checkpoint (one small row per group, written to the
+    # shared checkpoint folder) fixes them for every task of the job.
+    checkpoint_root(df.sparkSession)
+    brackets = stats.select(*keys, *cols).checkpoint(eager=True)
     rows = base.join(brackets, keys)
 
     def tag_for(j, i, tag):
