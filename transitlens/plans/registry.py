@@ -40,9 +40,27 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positions_from_events(read_events(spark, sf_dir))
 
 
-def metric_table(spark: SparkSession, sf_dir: str, exact: bool = True) -> DataFrame:
-    """M: 10 s tumbling + 60 s / 10 s sliding metric rows."""
-    return W.windowed_metrics(positions(spark, sf_dir), exact=exact)
+LONGEST_WINDOW = dt.timedelta(seconds=60)
+
+
+def metric_table(spark: SparkSession, sf_dir: str, exact: bool = True,
+                 window_end_from=None, window_end_to=None) -> DataFrame:
+    """M: 10 s tumbling + 60 s / 10 s sliding metric rows.
+
+    With a ``window_end`` range, events are pre-filtered on their own time
+    first: a window ending in [from, to) only holds events in
+    [from - longest window, to). On the raw scan this predicate reaches
+    Parquet (row-group pruning) when the bounds are literals.
+    """
+    pos = positions(spark, sf_dir)
+    t = F.col("event_time")
+    if window_end_from is not None:
+        lower = window_end_from - LONGEST_WINDOW if isinstance(window_end_from, dt.datetime) \
+            else window_end_from - F.expr("INTERVAL 60 SECONDS")
+        pos = pos.filter(t >= lower)
+    if window_end_to is not None:
+        pos = pos.filter(t < window_end_to)
+    return W.windowed_metrics(pos, exact=exact)
 
 
 def q_tumbling_metrics(spark, sf_dir):
@@ -130,9 +148,10 @@ def as_of(spark, sf_dir):
 
 
 def q_metrics_query(spark, sf_dir):
-    return finalize(Q.metrics(metric_table(spark, sf_dir), route="click", direction="1",
-                              window_type="sliding_60s", start=dt.datetime(2024, 1, 10),
-                              end=dt.datetime(2024, 1, 20), limit=100))
+    start, end = dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 20)
+    m = metric_table(spark, sf_dir, window_end_from=start, window_end_to=end)
+    return finalize(Q.metrics(m, route="click", direction="1", window_type="sliding_60s",
+                              start=start, end=end, limit=100))
 
 
 def q_metrics_latest_n(spark, sf_dir):
@@ -165,9 +184,11 @@ def q_chart_series(spark, sf_dir):
 
 
 def historical(spark, sf_dir):
-    return Q.historical_view(metric_table(spark, sf_dir), route="error", direction="1",
-                             as_of=as_of(spark, sf_dir), lookback=dt.timedelta(days=7),
-                             limit=1000)
+    now = as_of(spark, sf_dir)
+    m = metric_table(spark, sf_dir, window_end_from=now - F.expr("INTERVAL 7 DAYS"),
+                     window_end_to=now)
+    return Q.historical_view(m, route="error", direction="1", as_of=now,
+                             lookback=dt.timedelta(days=7), limit=1000)
 
 
 def q_historical_view(spark, sf_dir):
@@ -297,7 +318,8 @@ def q_downsample(spark, sf_dir):
 
 def q_retention(spark, sf_dir):
     keep_from = as_of(spark, sf_dir) - F.expr("INTERVAL 7 DAYS")
-    return finalize(X.retention(metric_table(spark, sf_dir), keep_from))
+    m = metric_table(spark, sf_dir, window_end_from=keep_from)
+    return finalize(X.retention(m, keep_from))
 
 
 def q_range_validation(spark, sf_dir):
