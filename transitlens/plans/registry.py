@@ -163,7 +163,10 @@ def q_metrics_latest_global(spark, sf_dir):
 
 
 def q_routes_list(spark, sf_dir):
-    return Q.routes(metric_table(spark, sf_dir), as_of=as_of(spark, sf_dir))
+    now = as_of(spark, sf_dir)
+    m = metric_table(spark, sf_dir, window_end_from=now - F.expr("INTERVAL 24 HOURS"),
+                     window_end_to=now)
+    return Q.routes(m, as_of=now)
 
 
 def q_series_means(spark, sf_dir):
