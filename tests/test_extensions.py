@@ -172,3 +172,17 @@ def test_exact_percentiles_match_bruteforce_with_skew_and_ties(spark, accuracy,
             want = float(np.percentile(vals, p * 100, method="linear"))
             have = got[g][f"speed_p{int(round(p * 100))}"]
             assert have is not None and abs(have - want) < 1e-9, (g, p, have, want)
+
+
+def test_metric_messages_round_trip_and_skip_bad(spark):
+    from transitlens.operators.decode import metrics_from_messages
+    m = metric_table(spark, SF_SMALL)
+    msgs = K.metrics_json(K.with_processed_at(m))
+    back = metrics_from_messages(msgs).drop("processed_at")
+    assert back.count() == m.count()
+    assert back.select(m.columns).exceptAll(m).count() == 0  # exact values and µs times
+    bad = spark.createDataFrame([(None,), ("not json",), ('{"route": "1"}',),
+                                 ('{"window_end": "2024-01-01T00:00:10.000000", "direction": "2"}',)],
+                                "value string")
+    got = metrics_from_messages(bad).collect()
+    assert len(got) == 1 and got[0].route == "" and got[0].direction == "2"

@@ -39,3 +39,25 @@ def decode_positions(messages: DataFrame, value_col: str = "value",
     )
     return flat.filter(F.col("route").isNotNull() & F.col("direction").isNotNull()
                        & F.col("event_time").isNotNull())
+
+
+METRIC_MESSAGE_SCHEMA = (
+    "window_start timestamp_ntz, window_end timestamp_ntz, route string, direction string, "
+    "window_type string, vehicle_count bigint, active_vehicles bigint, avg_speed double, "
+    "avg_delay double, min_delay int, max_delay int, processed_at timestamp")
+
+
+def metrics_from_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
+    """Metric messages read back from the bus (live consumer side).
+
+    Null, non-JSON or incomplete messages (no series tags or window end) are
+    skipped; missing tags become "" as in the dashboard.
+    """
+    rec = F.from_json(F.col(value_col).cast("string"), METRIC_MESSAGE_SCHEMA,
+                      {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"})
+    rows = messages.select(rec.alias("m")).select("m.*")
+    return (rows.filter(F.col("window_end").isNotNull()
+                        & (F.col("route").isNotNull() | F.col("direction").isNotNull()))
+            .withColumn("route", F.coalesce("route", F.lit("")))
+            .withColumn("direction", F.coalesce("direction", F.lit("")))
+            .withColumn("window_type", F.coalesce("window_type", F.lit(""))))

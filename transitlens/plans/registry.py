@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from transitlens.functions.columns import vehicle_key
 from transitlens.operators import windows as W
-from transitlens.operators.decode import decode_positions
+from transitlens.operators.decode import decode_positions, metrics_from_messages
 from transitlens.operators import extensions as X
 from transitlens.operators import reshape as R
 from transitlens.operators import sinks as K
@@ -206,6 +206,13 @@ def q_live_view(spark, sf_dir):
     return finalize(Q.live_view(metric_table(spark, sf_dir), route="click"))
 
 
+def q_live_view_bus(spark, sf_dir):
+    """Live view over the bus form: metric rows → JSON messages → decoded back."""
+    messages = K.metrics_json(K.with_processed_at(metric_table(spark, sf_dir)))
+    rows = metrics_from_messages(messages).drop("processed_at")
+    return finalize(Q.live_view(rows, route="click"))
+
+
 def q_live_view_counts(spark, sf_dir):
     return finalize(Q.live_view_counts(metric_table(spark, sf_dir), route="click"))
 
@@ -384,6 +391,7 @@ QUERIES: dict[str, Query] = {
     "historical_view": q_historical_view,
     "raw_table": q_raw_table,
     "live_view": q_live_view,
+    "live_view_bus": q_live_view_bus,
     "live_view_counts": q_live_view_counts,
     "latest_known": q_latest_known,
     "audit_rollup": q_audit_rollup,
