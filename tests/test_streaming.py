@@ -200,3 +200,22 @@ def test_streaming_distinct_forms_within_bound(spark):
         assert j.filter(F.col("e.vehicle_count") != F.col("a.vehicle_count")).count() == 0
         assert j.filter(F.abs(F.col("e.active_vehicles") - F.col("a.active_vehicles"))
                         > F.col("e.active_vehicles") * 0.2 + 1).count() == 0
+
+
+def test_one_read_plan_update_mode_equals_batch(spark, tmp_path):
+    from transitlens.operators.reshape import upsert_latest
+    from transitlens.plans.registry import metric_table, stream_positions
+    pos = stream_positions(spark, "/root/testdata/sf0.001")
+    agg = S.streaming_metrics(pos, plan="one_read")
+    out = os.path.join(str(tmp_path), "o")
+    q = S.start_update(agg, out, os.path.join(str(tmp_path), "c"), trigger="availableNow")
+    S.run_to_end(q, 300)
+    assert {p.numInputRows for p in q.recentProgress} <= {0, 1000}  # source read once
+    got = upsert_latest(spark.read.parquet(out)).drop("active_vehicles") \
+        .withColumn("window_start", F.col("window_start").cast("timestamp_ntz")) \
+        .withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
+    want = metric_table(spark, "/root/testdata/sf0.001").drop("active_vehicles")
+    cols = ["window_start", "window_end", "route", "direction", "window_type",
+            "vehicle_count", "min_delay", "max_delay"]
+    assert got.count() == want.count()
+    assert got.select(cols).exceptAll(want.select(cols)).count() == 0
