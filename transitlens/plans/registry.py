@@ -99,24 +99,27 @@ def raw_messages(spark, sf_dir):
     return raw_messages_from_events(read_events(spark, sf_dir))
 
 
-def q_ingest_envelope(spark, sf_dir):
-    records = ingest.envelope(raw_messages(spark, sf_dir))
-    v = F.col("value")
+ENVELOPE_CHECK_SCHEMA = ("mqtt_topic string, received_at double, schema_version int, "
+                         "payload struct<VP: struct<desi string, dir string, veh bigint, "
+                         "tst string, spd double, dl int>>")
 
-    def field(path):
-        return F.get_json_object(v, path)
 
+def q_ingest_envelope(spark, sf_dir):
+    """Envelopes of every good message, read back with one JSON parse per record."""
+    records = ingest.envelope(raw_messages(spark, sf_dir))
+    env = F.from_json(F.col("value"), ENVELOPE_CHECK_SCHEMA)
+    vp = env.getField("payload").getField("VP")
     return finalize(records.select(
-        field("$.mqtt_topic").alias("mqtt_topic"),
+        env.getField("mqtt_topic").alias("mqtt_topic"),
         F.col("key"),
-        field("$.payload.VP.desi").alias("route"),
-        field("$.payload.VP.dir").alias("direction"),
-        field("$.payload.VP.veh").cast("bigint").alias("vehicle_id"),
-        field("$.payload.VP.tst").alias("tst"),
-        field("$.payload.VP.spd").cast("double").alias("speed"),
-        field("$.payload.VP.dl").cast("int").alias("delay"),
-        field("$.received_at").cast("double").alias("received_at"),
-        field("$.schema_version").cast("int").alias("schema_version"),
+        vp.getField("desi").alias("route"),
+        vp.getField("dir").alias("direction"),
+        vp.getField("veh").alias("vehicle_id"),
+        vp.getField("tst").alias("tst"),
+        vp.getField("spd").alias("speed"),
+        vp.getField("dl").alias("delay"),
+        env.getField("received_at").alias("received_at"),
+        env.getField("schema_version").alias("schema_version"),
     ))
 
 
