@@ -219,3 +219,26 @@ def test_one_read_plan_update_mode_equals_batch(spark, tmp_path):
             "vehicle_count", "min_delay", "max_delay"]
     assert got.count() == want.count()
     assert got.select(cols).exceptAll(want.select(cols)).count() == 0
+
+
+def test_late_arrivals_all_dropped_and_counted(spark, tmp_path):
+    import datetime as dt
+    from transitlens.sources.readers import read_events
+    events = read_events(spark, "/root/testdata/sf0.001")
+    feed, out = os.path.join(str(tmp_path), "feed"), os.path.join(str(tmp_path), "out")
+    chk = os.path.join(str(tmp_path), "chk")
+    cutoff = F.lit(dt.datetime(2024, 1, 16))
+
+    def run():
+        src = spark.readStream.schema(events.schema).parquet(feed)
+        agg = S.sliding_stream_stats(S.positions_from_event_stream(src))
+        return S.run_to_end(S.start_update(agg, out, chk, trigger="availableNow"), 300)
+
+    events.filter(F.col("ts") >= cutoff).write.mode("append").parquet(feed)
+    first = run()
+    assert S.dropped_by_watermark(first) == 0
+    events.filter(F.col("ts") < cutoff).write.mode("append").parquet(feed)
+    second = run()
+    late = events.filter(F.col("ts") < cutoff).count()
+    # each late row falls in six sliding windows; all six are past the watermark
+    assert S.dropped_by_watermark(second) == late * 6
