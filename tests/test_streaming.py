@@ -7,7 +7,6 @@ import json
 import os
 import time
 
-import pytest
 from pyspark.sql import functions as F
 
 from transitlens.operators.reshape import upsert_latest
