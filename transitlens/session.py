@@ -74,3 +74,38 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     if unique:
         leaf.append(uuid.uuid4().hex)
     return "/".join([root, *leaf])
+
+
+def cluster_conf(input_bytes: float, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 << 20, shuffle_ratio: float = 0.5,
+                 streaming_state: bool = False) -> dict[str, str]:
+    """Settings that size tasks for a given input on a given cluster.
+
+    * scan splits of ``target_partition_bytes`` (default 256 MB): a 100 TB
+      input gives ~400k scan tasks that each fit an executor core's memory;
+    * initial shuffle partitions sized for ``shuffle_ratio`` × input at the
+      same target size (at least 3 per core), which AQE then coalesces to the
+      advisory size, and splits further where a key is skewed;
+    * with ``streaming_state``, the RocksDB state store (state off the JVM
+      heap) with changelog checkpointing; the state partition count is fixed
+      by the shuffle partitions at a query's first start, so size it here.
+    """
+    slots = executors * cores_per_executor
+    shuffle_parts = max(3 * slots, int(input_bytes * shuffle_ratio // target_partition_bytes))
+    conf = {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
+    if streaming_state:
+        conf.update({
+            "spark.sql.streaming.stateStore.providerClass":
+                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        })
+    return conf
