@@ -77,10 +77,12 @@ def test_no_python_udfs(spark, key):
 
 def test_cluster_conf_sizes_partitions():
     from transitlens.session import cluster_conf
-    conf = cluster_conf(100 * 2**40, executors=1000, cores_per_executor=8,
-                        streaming_state=True)
+    conf = cluster_conf(100 * 2**40, executors=1000, cores_per_executor=8)
     assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2**40 // 2 // (256 << 20)
     assert conf["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
-    assert "RocksDB" in conf["spark.sql.streaming.stateStore.providerClass"]
+    stream = cluster_conf(100 * 2**40, executors=1000, cores_per_executor=8,
+                          streaming_state=True)
+    assert stream["spark.sql.shuffle.partitions"] == "16000"
+    assert "RocksDB" in stream["spark.sql.streaming.stateStore.providerClass"]
     small = cluster_conf(2**30, executors=2, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 24  # 3 per core at minimum

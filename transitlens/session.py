@@ -86,9 +86,10 @@ def cluster_conf(input_bytes: float, executors: int, cores_per_executor: int,
     * initial shuffle partitions sized for ``shuffle_ratio`` × input at the
       same target size (at least 3 per core), which AQE then coalesces to the
       advisory size, and splits further where a key is skewed;
-    * with ``streaming_state``, the RocksDB state store (state off the JVM
+    * with ``streaming_state`` (a streaming job's session), two state
+      partitions per core and the RocksDB state store (state off the JVM
       heap) with changelog checkpointing; the state partition count is fixed
-      by the shuffle partitions at a query's first start, so size it here.
+      at a query's first start.
     """
     slots = executors * cores_per_executor
     shuffle_parts = max(3 * slots, int(input_bytes * shuffle_ratio // target_partition_bytes))
@@ -103,6 +104,11 @@ def cluster_conf(input_bytes: float, executors: int, cores_per_executor: int,
         "spark.sql.session.timeZone": "UTC",
     }
     if streaming_state:
+        # A streaming job's shuffle partitions are its state partitions: one
+        # state store each, for the life of the checkpoint. They are sized by
+        # the cluster (two per core), not by the total input volume, which
+        # arrives over many micro-batches.
+        conf["spark.sql.shuffle.partitions"] = str(2 * slots)
         conf.update({
             "spark.sql.streaming.stateStore.providerClass":
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
