@@ -140,6 +140,15 @@ def q_ingest_stats(spark, sf_dir):
     return finalize(ingest.ingest_stats(raw_messages(spark, sf_dir)))
 
 
+def q_ingest_stats_60s(spark, sf_dir):
+    """Ingest statistics per 60-second reporting interval of the receive time."""
+    interval = F.window(F.timestamp_seconds("received_at"), "60 seconds")
+    stats = ingest.ingest_stats(raw_messages(spark, sf_dir), interval.alias("interval"))
+    return finalize(stats.select(F.col("interval.start").alias("interval_start"),
+                                 F.col("interval.end").alias("interval_end"),
+                                 "messages_processed", "errors", "success_rate"))
+
+
 def q_topic_filter(spark, sf_dir):
     return ingest.filter_topics(raw_messages(spark, sf_dir), "/hfp/v2/journey/+/vp/bus/#") \
         .select("event_id", "topic")
@@ -413,6 +422,7 @@ QUERIES: dict[str, Query] = {
     "vehicle_key": q_vehicle_key,
     "ingest_rejects": q_ingest_rejects,
     "ingest_stats": q_ingest_stats,
+    "ingest_stats_60s": q_ingest_stats_60s,
     "topic_filter": q_topic_filter,
     "metrics_query": q_metrics_query,
     "metrics_latest_n": q_metrics_latest_n,
