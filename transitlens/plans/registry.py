@@ -323,34 +323,52 @@ def q_stream_multi_sink(spark, sf_dir):
 LATE_CUTOFF = dt.datetime(2024, 1, 16)
 
 
-def q_late_data(spark, sf_dir):
-    """Late arrivals are dropped by the watermark.
-
-    Every event is fed to a file stream: first those at or after the cutoff;
-    the stream runs to its end (the watermark advances to the newest event
-    minus one minute) and stops; then all earlier events arrive and the
-    stream restarts from its checkpoint. They are older than the watermark,
-    so the stored result holds only the on-time events' windows.
-    """
+def _two_arrivals(spark, sf_dir, name, first, second):
+    """Feed ``first`` then ``second`` (subsets of all events, together the
+    whole table) to a file stream, stopping and restarting the update-mode
+    query from its checkpoint in between; returns the upserted result."""
     events = read_events(spark, sf_dir)
-    root = shared_path(spark, "late_data", unique=True)
+    root = shared_path(spark, name, unique=True)
     feed, out = f"{root}/feed", f"{root}/out"
-    checkpoint = S.checkpoint_for(spark, "late_data", unique=True)
+    checkpoint = S.checkpoint_for(spark, name, unique=True)
 
     def run_stream():
         src = spark.readStream.schema(events.schema).parquet(feed)
         agg = S.sliding_stream_stats(S.positions_from_event_stream(src))
         return S.run_to_end(S.start_update(agg, out, checkpoint, trigger="availableNow"))
 
-    events.filter(F.col("ts") >= F.lit(LATE_CUTOFF)).write.mode("append").parquet(feed)
+    events.filter(first).write.mode("append").parquet(feed)
     run_stream()
-    events.filter(F.col("ts") < F.lit(LATE_CUTOFF)).write.mode("append").parquet(feed)
+    events.filter(second).write.mode("append").parquet(feed)
     run_stream()
     current = R.upsert_latest(S.read_changelog(spark, out),
                               keys=["route", "direction", "window_start", "window_end"])
     return finalize(current)
 
 
+def q_late_data(spark, sf_dir):
+    """Late arrivals are dropped by the watermark.
+
+    Events at or after the cutoff arrive first; the stream runs to its end
+    (the watermark advances to the newest event minus one minute) and stops;
+    then all earlier events arrive and the stream restarts from its
+    checkpoint. They are older than the watermark, so the stored result
+    holds only the on-time events' windows.
+    """
+    ts = F.col("ts")
+    return _two_arrivals(spark, sf_dir, "late_data", ts >= F.lit(LATE_CUTOFF),
+                         ts < F.lit(LATE_CUTOFF))
+
+
+def q_stream_restart(spark, sf_dir):
+    """Restart from the checkpoint keeps offsets and window state: events
+    before the cutoff, stop, the rest, restart; the result equals the
+    metrics over the whole table (windows spanning the cutoff included)."""
+    ts = F.col("ts")
+    return _two_arrivals(spark, sf_dir, "stream_restart", ts < F.lit(LATE_CUTOFF),
+                         ts >= F.lit(LATE_CUTOFF))
+
+
 def q_active_vehicles_approx(spark, sf_dir):
     """M with the reference's sketch-based distinct count (compared rows-only;
     the error bound is tested in tests/test_extensions.py)."""
@@ -449,6 +467,7 @@ QUERIES: dict[str, Query] = {
     "stream_metrics_append": q_stream_metrics_append,
     "stream_multi_sink": q_stream_multi_sink,
     "late_data": q_late_data,
+    "stream_restart": q_stream_restart,
     "active_vehicles_approx": q_active_vehicles_approx,
     "speed_percentiles": q_speed_percentiles,
     "network_metrics": q_network_metrics,
