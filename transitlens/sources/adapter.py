@@ -58,10 +58,11 @@ def topic_for(event_id: Column, vehicle: Column, route: Column, direction: Colum
     Temporal level cycles over ongoing / upcoming / (level missing) by
     ``event_id % 3``; mode is bus or tram by ``event_id % 2``.
     """
-    temporal = (F.when(event_id % 3 == 0, F.lit("/ongoing"))
-                .when(event_id % 3 == 1, F.lit("/upcoming"))
+    temporal = (F.when(event_id % 3 == 0, F.lit("/" + TEMPORAL_LEVELS[0]))
+                .when(event_id % 3 == 1, F.lit("/" + TEMPORAL_LEVELS[1]))
                 .otherwise(F.lit("")))
-    mode = F.when(event_id % 2 == 0, F.lit("bus")).otherwise(F.lit("tram"))
+    mode = F.when(event_id % 2 == 0, F.lit(TRANSPORT_MODES[0])) \
+        .otherwise(F.lit(TRANSPORT_MODES[1]))
     veh_text = vehicle.cast("string")
     if empty_vehicle is not None:
         veh_text = F.when(empty_vehicle, F.lit("")).otherwise(veh_text)
@@ -72,8 +73,7 @@ def topic_for(event_id: Column, vehicle: Column, route: Column, direction: Colum
                     veh_text, F.lit("/"), route, F.lit("/"), direction)
 
 
-def vp_struct(pos: DataFrame | None = None, drop_dir: Column | None = None,
-              bad_tst: Column | None = None) -> Column:
+def vp_struct(drop_dir: Column | None = None, bad_tst: Column | None = None) -> Column:
     """The VP record built from position columns (names as in the feed)."""
     tst = F.date_format(F.col("event_time"), TST_PATTERN)
     if bad_tst is not None:
