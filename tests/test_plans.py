@@ -86,3 +86,14 @@ def test_cluster_conf_sizes_partitions():
     assert "RocksDB" in stream["spark.sql.streaming.stateStore.providerClass"]
     small = cluster_conf(2**30, executors=2, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 24  # 3 per core at minimum
+
+
+def test_acceleration_window_is_split_by_time_bucket(spark):
+    plan = query_plan(spark, "acceleration")
+    row_windows = [line for line in plan.splitlines()
+                   if "Window [lag(" in line]
+    assert row_windows and all("_bucket" in line.split("windowspecdefinition(")[1]
+                               for line in row_windows)
+    # the only per-vehicle window runs over one row per (vehicle, bucket)
+    lead = [line for line in plan.splitlines() if "Window [lead(" in line]
+    assert len(lead) == 1
