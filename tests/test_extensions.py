@@ -203,3 +203,15 @@ def test_approximate_percentiles_close_to_exact(spark):
         spread = pos.select(F.max("speed") - F.min("speed")).first()[0] if "speed" in c \
             else pos.select(F.max("delay") - F.min("delay")).first()[0]
         assert worst <= 0.25 * spread, (c, worst)
+
+
+def test_pane_sketch_variant_within_bound(spark):
+    pos = positions(spark, SF_SMALL)
+    exact = W.sliding_from_panes(pos, exact=True)
+    sketch = W.sliding_from_panes(pos, exact=False)
+    keys = ["window_start", "window_end", "route", "direction"]
+    j = exact.alias("e").join(sketch.alias("s"), keys)
+    assert j.count() == exact.count() == sketch.count()
+    assert j.filter(F.col("e.vehicle_count") != F.col("s.vehicle_count")).count() == 0
+    assert j.filter(F.abs(F.col("e.active_vehicles") - F.col("s.active_vehicles"))
+                    > F.col("e.active_vehicles") * 0.05 + 1).count() == 0

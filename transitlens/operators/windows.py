@@ -14,9 +14,8 @@ Plans:
   streaming aggregations.
 * ``sliding_from_panes`` shares work between overlapping windows: aggregate
   each slide-length pane once, with mergeable partial states (count, sums,
-  min, max, an HLL sketch), then fan each pane out to the windows covering it
-  and merge. The second shuffle moves one row per (pane, route, direction)
-  and window instead of one per message.
+  min, max; per vehicle for the exact distinct count, or an HLL sketch),
+  then fan each pane out to the windows covering it and merge.
 """
 
 from __future__ import annotations
@@ -154,45 +153,75 @@ def tumbling_nonnull(positions: DataFrame, length: str = "1 day") -> DataFrame:
                     "vehicle_count", "speed_count", "avg_speed"))
 
 
+def _partials(*extra) -> list[Column]:
+    return [F.count(F.lit(1)).alias("n"),
+            F.sum("speed").alias("speed_sum"), F.count("speed").alias("speed_n"),
+            F.sum("delay").alias("delay_sum"), F.count("delay").alias("delay_n"),
+            F.min("delay").alias("min_delay"), F.max("delay").alias("max_delay"), *extra]
+
+
+def _merged_partials(*extra) -> list[Column]:
+    return [F.sum("n").alias("n"),
+            F.sum("speed_sum").alias("speed_sum"), F.sum("speed_n").alias("speed_n"),
+            F.sum("delay_sum").alias("delay_sum"), F.sum("delay_n").alias("delay_n"),
+            F.min("min_delay").alias("min_delay"), F.max("max_delay").alias("max_delay"), *extra]
+
+
 def sliding_from_panes(positions: DataFrame, length: str = "60 seconds",
                        slide: str = "10 seconds", label: str = SLIDING_LABEL,
-                       time_col: str = "event_time", lg_config_k: int = 12) -> DataFrame:
+                       time_col: str = "event_time", exact: bool = True,
+                       lg_config_k: int = 12) -> DataFrame:
     """Sliding-window metrics by pane sharing (same rows as ``window_metrics``).
 
-    ``active_vehicles`` is an HLL sketch estimate (mergeable across panes); it
-    equals the exact count while a group holds few distinct vehicles and
-    stays within the sketch's error bound beyond.
+    Each slide-length pane is aggregated once into mergeable partials (count,
+    sums, non-null counts, min, max), then fanned out to the length/slide
+    windows that cover it and merged.
+
+    * ``exact=True``: partials per (pane, route, direction, vehicle); the fan-out
+      merges them per (window, ..., vehicle), and counting those rows gives
+      the exact distinct vehicles. A vehicle's messages collapse to one row
+      per pane before the first shuffle, so the expanded rows number about
+      (length/slide) × vehicle-panes rather than (length/slide) × messages.
+    * ``exact=False``: partials per (pane, route, direction) with an HLL
+      sketch; the second shuffle carries one row per (pane, series, window),
+      independent of the number of vehicles. ``active_vehicles`` is then a
+      sketch estimate (exact at small cardinalities, within the sketch's
+      bound beyond).
     """
     length_s, slide_s = _seconds(length), _seconds(slide)
     if length_s % slide_s:
         raise ValueError("window length must be a multiple of the slide")
     fan_out = length_s // slide_s
     pane = F.window(time_col, slide).getField("start")
-    panes = (positions.groupBy(pane.alias("pane_start"), *GROUP_KEYS)
-             .agg(F.count(F.lit(1)).alias("n"),
-                  F.sum("speed").alias("speed_sum"), F.count("speed").alias("speed_n"),
-                  F.sum("delay").alias("delay_sum"), F.count("delay").alias("delay_n"),
-                  F.min("delay").alias("min_delay"), F.max("delay").alias("max_delay"),
-                  F.hll_sketch_agg("vehicle_id", lg_config_k).alias("sketch")))
-    # Pane p belongs to the windows starting at p, p - slide, ..., p - (k-1)*slide.
     offsets = F.sequence(F.lit(0), F.lit(fan_out - 1))
-    fanned = panes.select(
-        "*", F.explode(offsets).alias("k")
-    ).withColumn(
-        "window_start",
-        F.col("pane_start") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
-                                                 (F.col("k") * slide_s).cast("decimal(18,6)")))
-    merged = (fanned.groupBy("window_start", *GROUP_KEYS)
-              .agg(F.sum("n").alias("vehicle_count"),
-                   F.hll_sketch_estimate(F.hll_union_agg("sketch", True)).alias("active_vehicles"),
-                   (F.sum("speed_sum") / F.sum("speed_n")).alias("avg_speed"),
-                   (F.sum("delay_sum") / F.sum("delay_n")).alias("avg_delay"),
-                   F.min("min_delay").alias("min_delay"), F.max("max_delay").alias("max_delay")))
+
+    def fan(df: DataFrame) -> DataFrame:
+        # Pane p belongs to the windows starting at p, p - slide, ..., p - (k-1)*slide.
+        shift = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
+                                   (F.col("_k") * slide_s).cast("decimal(18,6)"))
+        return (df.select("*", F.explode(offsets).alias("_k"))
+                .withColumn("window_start", F.col("pane_start") - shift).drop("_k", "pane_start"))
+
+    if exact:
+        per_vehicle = positions.groupBy(pane.alias("pane_start"), *GROUP_KEYS, "vehicle_id") \
+            .agg(*_partials())
+        per_window_vehicle = fan(per_vehicle).groupBy("window_start", *GROUP_KEYS, "vehicle_id") \
+            .agg(*_merged_partials())
+        merged = per_window_vehicle.groupBy("window_start", *GROUP_KEYS).agg(
+            *_merged_partials(F.count("vehicle_id").alias("active_vehicles")))
+    else:
+        panes = positions.groupBy(pane.alias("pane_start"), *GROUP_KEYS).agg(
+            *_partials(F.hll_sketch_agg("vehicle_id", lg_config_k).alias("sketch")))
+        merged = fan(panes).groupBy("window_start", *GROUP_KEYS).agg(*_merged_partials(
+            F.hll_sketch_estimate(F.hll_union_agg("sketch", True)).alias("active_vehicles")))
     end = F.col("window_start") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
                                                      F.lit(length_s).cast("decimal(18,6)"))
     return merged.select(
         "window_start", end.alias("window_end"), *GROUP_KEYS, F.lit(label).alias("window_type"),
-        "vehicle_count", "active_vehicles", "avg_speed", "avg_delay", "min_delay", "max_delay")
+        F.col("n").alias("vehicle_count"), "active_vehicles",
+        F.try_divide("speed_sum", "speed_n").alias("avg_speed"),
+        F.try_divide("delay_sum", "delay_n").alias("avg_delay"),
+        "min_delay", "max_delay")
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
