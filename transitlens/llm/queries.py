@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from transitlens.llm import bpe_coding, token_counts
+from transitlens.llm import bpe_coding, chat_format, mixing, quality_rules, token_counts, topk_search, toxicity as toxic
 from transitlens.llm.common import read_table
 
 #: The operators' vocabulary files; parameters of the operators themselves.
@@ -17,16 +17,45 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality(read_table(spark, sf_dir, "documents"))
+
+
 def op4_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_coding.encode(read_table(spark, sf_dir, "documents"), WORD_BPE, with_ids=False)
 
 
+def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(read_table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.budget_answers(read_table(spark, sf_dir, "documents"), BYTE_BPE, limit=1024)
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.rotate(read_table(spark, sf_dir, "conversations"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
+    "op3_quality_rules": op3_quality_rules,
     "op4_bpe_coding": op4_bpe_coding,
+    "op7_topk_search": op7_topk_search,
     "op8_token_counts": op8_token_counts,
+    "op9_chat_format": op9_chat_format,
+    "op10_mixing": op10_mixing,
+}
+ORACLES: dict[str, str] = {
+    "op3_quality_rules": quality_rules.ORACLE_SQL,
+    "op7_topk_search": topk_search.ORACLE_SQL,
+    "op9_chat_format": chat_format.ORACLE_SQL,
 }
-ORACLES: dict[str, str] = {}
