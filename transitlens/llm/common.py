@@ -90,3 +90,29 @@ def connected_components(edges: DataFrame, name: str = "components", left: str =
         labels = jumped.select("id", "component")
         if jumped.filter("component <> was").isEmpty():
             return labels
+
+
+def star_pairs(members: DataFrame, largest: bool = False) -> DataFrame:
+    """(a, b): each member of a bucket with the bucket's least (or largest) member.
+
+    ``members`` has (bucket, id). A bucket gives one pair less than it has
+    members, whatever its size, and the leader is found by an aggregate that
+    pre-aggregates before the shuffle.
+    """
+    leader = (F.max if largest else F.min)("id").alias("a")
+    leaders = members.groupBy("bucket").agg(leader)
+    return members.join(leaders, "bucket").filter("a <> id").select("a", F.col("id").alias("b")).distinct()
+
+
+def labelled(members: DataFrame, components: DataFrame) -> DataFrame:
+    """``members`` with ``component``: that of the id, or the id itself."""
+    known = components.withColumnRenamed("id", "_id")
+    return members.join(known, members.id == known["_id"], "left").drop("_id").withColumn(
+        "component", F.coalesce("component", "id"))
+
+
+def open_members(members: DataFrame, components: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one component, with ``component``."""
+    rows = labelled(members, components)
+    mixed = rows.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+    return rows.join(mixed.filter("_low <> _high").select("bucket"), "bucket")
