@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from transitlens.llm import bpe_coding, chat_format, mixing, near_dedup, quality_rules, token_counts, topk_search, toxicity as toxic
+from transitlens.llm import bpe_coding, chat_format, line_dedup, mixing, near_dedup, quality_rules, token_counts, topk_search, toxicity as toxic
 from transitlens.llm.common import read_table
 
 #: The operators' vocabulary files; parameters of the operators themselves.
@@ -17,6 +17,11 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return line_dedup.dedup(docs, removed_col="n_removed").select("doc_id", "n_removed", "text")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxic.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -50,6 +55,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_quality_rules": op3_quality_rules,
     "op4_bpe_coding": op4_bpe_coding,
