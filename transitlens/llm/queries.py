@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from transitlens.llm import bpe_coding, chat_format, line_dedup, mixing, near_dedup, quality_rules, token_counts, topk_search, toxicity as toxic
+from transitlens.llm import bpe_coding, chat_format, line_dedup, lm_scoring, mixing, near_dedup, quality_rules, token_counts, topk_search, toxicity as toxic
 from transitlens.llm.common import read_table
 
 #: The operators' vocabulary files; parameters of the operators themselves.
@@ -34,6 +34,10 @@ def op4_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_coding.encode(read_table(spark, sf_dir, "documents"), WORD_BPE, with_ids=False)
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -59,6 +63,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_quality_rules": op3_quality_rules,
     "op4_bpe_coding": op4_bpe_coding,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_near_dedup": op6_near_dedup,
     "op7_topk_search": op7_topk_search,
     "op8_token_counts": op8_token_counts,
