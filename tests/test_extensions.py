@@ -111,18 +111,19 @@ def test_acceleration_bucket_carry_matches_plain_lag(spark):
 
 
 def test_downsample_weighted_means(spark):
-    rows = [("2025-01-01 12:00:00", "2025-01-01 12:00:10", 1, 10.0, 0.0, 0, 0),
-            ("2025-01-01 12:00:10", "2025-01-01 12:00:20", 3, 20.0, 4.0, -1, 9)]
+    rows = [("2025-01-01 12:00:00", "2025-01-01 12:00:10", 3, 10.0, 0.0, 0, 0, 1, 1),
+            ("2025-01-01 12:00:10", "2025-01-01 12:00:20", 3, 20.0, 4.0, -1, 9, 1, 3),
+            ("2025-01-01 12:00:20", "2025-01-01 12:00:30", 2, None, None, None, None, 0, 0)]
     df = spark.createDataFrame(rows, "window_start string, window_end string, vehicle_count "
                                      "bigint, avg_speed double, avg_delay double, min_delay int, "
-                                     "max_delay int") \
+                                     "max_delay int, speed_n bigint, delay_n bigint") \
         .withColumn("window_start", F.to_timestamp("window_start")) \
         .withColumn("window_end", F.to_timestamp("window_end")) \
         .withColumn("route", F.lit("r")).withColumn("direction", F.lit("1")) \
         .withColumn("window_type", F.lit("tumbling_10s"))
     out = X.downsample(df, "1 hour").first()
     assert (out.vehicle_count, out.avg_speed, out.avg_delay, out.min_delay, out.max_delay) == \
-        (4, 17.5, 3.0, -1, 9)
+        (8, 15.0, 3.0, -1, 9)
 
 
 def test_range_validation_reasons(spark):
@@ -215,3 +216,26 @@ def test_pane_sketch_variant_within_bound(spark):
     assert j.filter(F.col("e.vehicle_count") != F.col("s.vehicle_count")).count() == 0
     assert j.filter(F.abs(F.col("e.active_vehicles") - F.col("s.active_vehicles"))
                     > F.col("e.active_vehicles") * 0.05 + 1).count() == 0
+
+
+def test_line_protocol_odd_values(spark):
+    """Null and empty tags and non-finite fields are left out; breaks and backslashes stay in their point."""
+    rows = [(None, "1", "t", 1, float("inf"), float("nan")), ("", "1", "t", 1, 2.5, -float("inf")), ("a\nb\\", "1", "t", 1, None, None),
+            ("x", "1", "t", None, float("nan"), None)]
+    df = spark.createDataFrame(rows, "route string, direction string, window_type string, vehicle_count bigint, "
+                                     "avg_speed double, avg_delay double")
+    df = df.withColumn("window_end", F.lit("2024-03-05 07:15:00").cast("timestamp"))
+    for c in ["active_vehicles", "min_delay", "max_delay"]:
+        df = df.withColumn(c, F.lit(None).cast("double"))
+    got = [r.value for r in K.line_protocol(df).collect()]
+    at = " 1709622900000000000"
+    assert got == ["vehicle_metrics,direction=1,window_type=t vehicle_count=1i" + at,
+                   "vehicle_metrics,direction=1,window_type=t vehicle_count=1i,avg_speed=2.5" + at,
+                   "vehicle_metrics,route=a\\nb\\\\,direction=1,window_type=t vehicle_count=1i" + at]
+
+
+def test_percentiles_keep_null_and_empty_groups(spark):
+    rows = [(None, "1", float(i), i) for i in range(11)] + [("a", None, 3.0, None), ("b", "2", None, None)]
+    df = spark.createDataFrame(rows, "route string, direction string, speed double, delay int")
+    got = {(r.route, r.direction): (r.speed_p50, r.delay_p50) for r in X.speed_percentiles(df).collect()}
+    assert got == {(None, "1"): (5.0, 5.0), ("a", None): (3.0, None), ("b", "2"): (None, None)}

@@ -8,9 +8,9 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 from oracle_check import compare, duck_connection
+from transitlens.plans.oracles import ORACLES
+from transitlens.plans.registry import QUERIES
 
-ORACLES = E.oracle_sql()
-QUERIES = E.queries()
 
 
 @pytest.fixture(scope="module")
@@ -37,3 +37,8 @@ def test_entry_smoke(spark):
     assert df.columns == ["window_start", "window_end", "route", "direction", "window_type",
                           "vehicle_count", "active_vehicles", "avg_speed", "avg_delay",
                           "min_delay", "max_delay"]
+
+
+def test_queries_are_registered():
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
 from transitlens.operators import sinks as K
-from transitlens.plans.registry import metric_table
+from transitlens.plans.registry import QUERIES, metric_table, positions, stored_metrics
 
 
 def plan_of(df) -> str:
@@ -15,7 +14,7 @@ def plan_of(df) -> str:
 
 
 def query_plan(spark, key) -> str:
-    return plan_of(E.queries()[key](spark, SF_SMALL))
+    return plan_of(QUERIES[key](spark, SF_SMALL))
 
 
 def test_metric_table_reads_input_once(spark):
@@ -39,15 +38,31 @@ def test_per_series_top_n_is_limited_before_shuffle(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-def test_time_bound_reaches_the_scan(spark):
+@pytest.mark.parametrize("key", ["metrics_query", "routes_list", "historical_view", "raw_table", "retention"])
+def test_time_range_prunes_date_folders(spark, key):
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # untruncated scan info
     try:
-        plan = query_plan(spark, "metrics_query")
+        plan = query_plan(spark, key)
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
-    scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
-    assert "GreaterThanOrEqual(ts," in scan and "EqualTo(event_type,click)" in scan
-    assert "event_id" not in scan.split("ReadSchema:")[1]  # pruned column
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "PartitionFilters" in line]
+    assert any("window_date" in line.split("PartitionFilters:")[1].split("PushedFilters")[0] for line in scans), plan
+
+
+def test_stored_questions_do_not_recompute_metrics(spark):
+    stored_metrics(spark, SF_SMALL)
+    for key in ("metrics_query", "metrics_latest_n", "route_stats", "latest_known", "live_view", "summary_stats"):
+        assert "window_spans" not in (plan := query_plan(spark, key)) and "events.parquet" not in plan, key
+
+
+@pytest.mark.parametrize("key", ["tumbling_metrics", "network_metrics", "acceleration", "speed_percentiles"])
+def test_no_round_robin(spark, key):
+    assert "RoundRobin" not in query_plan(spark, key)
+
+
+def test_carry_is_a_hash_aggregate(spark):
+    from transitlens.operators.extensions import acceleration
+    assert "SortAggregate" not in plan_of(acceleration(positions(spark, SF_SMALL)))
 
 
 def test_store_write_rebalances(spark):
@@ -67,10 +82,8 @@ def test_pivot_is_one_aggregate(spark):
     assert plan.count("Exchange hashpartitioning") == 3
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_python_udfs(spark, key):
-    if key.startswith("stream_") or key == "metrics_store":
-        pytest.skip("runs a job at call time; covered elsewhere")
     plan = query_plan(spark, key)
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 

@@ -156,13 +156,19 @@ def test_listener_logs_batches(spark, tmp_path):
             time.sleep(0.2)
     finally:
         spark.streams.removeListener(log)
+    lines_before = list(log.lines)
     kinds = {json.loads(x)["event_type"] for x in log.lines}
     assert "batch_written" in kinds
     observed = [json.loads(x).get("observed") for x in log.lines
                 if json.loads(x)["event_type"] == "batch_written"]
     assert any(o and "batch_counters" in o for o in observed)
-    lines = spark.createDataFrame([(x,) for x in log.lines], "value string")
     from transitlens.plans.queries import audit_rollup
+    folder = os.path.join(str(tmp_path), "log")
+    count = log.flush(spark, folder)
+    assert count >= 2 and not {*lines_before} & {*log.lines}
+    count += log.flush(spark, folder)
+    lines = spark.read.text(folder)
+    assert lines.count() == count
     assert audit_rollup(lines).filter("event_type = 'batch_written'").count() >= 1
 
 
@@ -230,7 +236,7 @@ def test_late_arrivals_all_dropped_and_counted(spark, tmp_path):
 
     def run():
         src = spark.readStream.schema(events.schema).parquet(feed)
-        agg = S.sliding_stream_stats(S.positions_from_event_stream(src))
+        agg = S.streaming_metrics(S.positions_from_event_stream(src))
         return S.run_to_end(S.start_update(agg, out, chk, trigger="availableNow"), 300)
 
     events.filter(F.col("ts") >= cutoff).write.mode("append").parquet(feed)
@@ -239,5 +245,38 @@ def test_late_arrivals_all_dropped_and_counted(spark, tmp_path):
     events.filter(F.col("ts") < cutoff).write.mode("append").parquet(feed)
     second = run()
     late = events.filter(F.col("ts") < cutoff).count()
-    # each late row falls in six sliding windows; all six are past the watermark
-    assert S.dropped_by_watermark(second) == late * 6
+    # each late row falls in one tumbling and six sliding windows; all are past the watermark
+    assert S.dropped_by_watermark(second) == late * 7
+
+
+def test_unfinished_stream_raises(spark, tmp_path):
+    import pytest
+    query = S.start_files(spark.readStream.format("rate").load(), os.path.join(str(tmp_path), "o"),
+                          os.path.join(str(tmp_path), "c"), trigger="1 second")
+    with pytest.raises(TimeoutError):
+        S.run_to_end(query, 2)
+    assert not query.isActive
+
+
+def test_cluster_needs_a_shared_folder():
+    import pytest
+    from transitlens import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(Session())

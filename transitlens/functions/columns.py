@@ -59,7 +59,3 @@ def equals_filters(**values) -> Column:
     """AND of ``col == value`` for every given, non-empty value (empty = no filter)."""
     conds = [F.col(name) == F.lit(v) for name, v in values.items() if v not in (None, "")]
     return all_of(conds)
-
-
-def null_or_nan(c: Column) -> Column:
-    return c.isNull() | F.isnan(c)

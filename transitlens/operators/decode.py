@@ -18,7 +18,7 @@ from transitlens.schema import DECODE_SCHEMA
 
 def decode_positions(messages: DataFrame, value_col: str = "value",
                      schema: StructType = DECODE_SCHEMA, keep: list[str] | None = None,
-                     nan_speed_to_null: bool = False) -> DataFrame:
+                     nan_speed_to_null: bool = True) -> DataFrame:
     data = F.from_json(F.col(value_col).cast("string"), schema)
     vp = data.getField("payload").getField("VP")
     speed = vp.getField("spd")

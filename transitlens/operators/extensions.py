@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from transitlens.functions.columns import all_of
 from transitlens.operators.windows import GROUP_KEYS, metric_aggs, window_metrics
 from transitlens.schema import TUMBLING_LABEL
 from transitlens.session import checkpoint_root
@@ -58,10 +59,11 @@ def exact_percentiles(df: DataFrame, keys: list[str], values, probs,
        ranks are interpolated as ``quantile_cont``.
 
     Rows meet their group's brackets (checkpointed: fixed for the whole job)
-    through one equi-join on the keys (one row per group; AQE splits a skewed
-    group's partition). A bracket that
-    missed its rank would yield null, never a wrong value; the summary's
-    error bound is a guarantee, so with the margin used this does not happen.
+    through one null-safe equi-join on the keys (one row per group; AQE splits
+    a skewed group's partition). Every group has a row in the result, groups
+    with null keys or without a value included. A bracket that missed its rank
+    raises an error; the summary's error bound is a guarantee, so with the
+    margin used this does not happen.
     """
     values = [values] if isinstance(values, str) else list(values)
     probs = list(probs)
@@ -98,8 +100,13 @@ def exact_percentiles(df: DataFrame, keys: list[str], values, probs,
     # brackets. A reliable checkpoint (one small row per group, written to the
     # shared checkpoint folder) fixes them for every task of the job.
     checkpoint_root(df.sparkSession)
-    brackets = stats.select(*keys, *cols).checkpoint(eager=True)
-    rows = base.join(brackets, keys)
+    counted = [F.col(f"_n{j}") for j in range(len(values))]
+    brackets = stats.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *counted, *cols).checkpoint(eager=True)
+
+    def same_group(left: str):
+        return all_of([F.col(f"{left}{k}").eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+
+    rows = base.join(brackets, same_group(""))
 
     def tag_for(j, i, tag):
         v = F.col(f"_v{j}")
@@ -128,9 +135,14 @@ def exact_percentiles(df: DataFrame, keys: list[str], values, probs,
         F.first("_x").alias("_x"),
         value_at(F.floor("_x")).alias("_vlo"), value_at(F.ceil("_x")).alias("_vhi"))
     interp = F.col("_vlo") + (F.col("_x") - F.floor("_x")) * (F.col("_vhi") - F.col("_vlo"))
-    return picked.groupBy(*keys).agg(*[
+    found = picked.groupBy(*[F.col(k).alias(f"_f_{k}") for k in keys]).agg(*[
         F.max(F.when((F.col("_c_ix") == j) & (F.col("_p") == i), interp))
-        .alias(_pname(values[j], probs[i])) for j, i, _ in pairs])
+        .alias(f"_r{j}_{i}") for j, i, _ in pairs])
+    joined = brackets.join(found, same_group("_f_"), "left")
+    missed = F.raise_error(F.lit("a percentile lies outside its bracket")).cast("double")
+    return joined.select(*[F.col(f"_k_{k}").alias(k) for k in keys], *[
+        F.when(F.col(f"_r{j}_{i}").isNull() & (F.col(f"_n{j}") > 0), missed)
+        .otherwise(F.col(f"_r{j}_{i}")).alias(_pname(values[j], probs[i])) for j, i, _ in pairs])
 
 
 def network_metrics(positions: DataFrame, length: str = "1 hour", exact: bool = True) -> DataFrame:
@@ -147,21 +159,22 @@ def downsample(metric_rows: DataFrame, interval: str = "1 hour",
                window_type: str = TUMBLING_LABEL) -> DataFrame:
     """Re-aggregate fine tumbling rows to a coarser interval.
 
-    Counts add up, bounds take min/max, and means are weighted by each row's
-    message count (an unweighted mean of means would over-weight quiet
-    windows). Rows are bucketed by ``window_start``, so a fine window lands
-    in the interval that contains it. Distinct counts are not additive and
-    are left out.
+    Counts add up, bounds take min/max, and each mean is weighted by the
+    number of values behind it (``speed_n``, ``delay_n``, from
+    ``window_metrics(counts=True)``): a message without a speed counts as a
+    message but not towards the mean speed. Rows are bucketed by
+    ``window_start``, so a fine window lands in the interval that contains it.
+    Distinct counts are not additive and are left out.
     """
     rows = metric_rows.filter(F.col("window_type") == F.lit(window_type))
     w = F.window("window_start", interval)
-    n = F.col("vehicle_count")
+
+    def mean(field: str, n: str) -> Column:
+        return F.try_divide(F.sum(F.col(field) * F.col(n)), F.sum(n)).alias(field)
+
     agg = rows.groupBy(w.alias("window"), *GROUP_KEYS).agg(
-        F.sum(n).alias("vehicle_count"),
-        (F.sum(F.col("avg_speed") * n) / F.sum(F.when(F.col("avg_speed").isNotNull(), n)))
-        .alias("avg_speed"),
-        (F.sum(F.col("avg_delay") * n) / F.sum(F.when(F.col("avg_delay").isNotNull(), n)))
-        .alias("avg_delay"),
+        F.sum("vehicle_count").alias("vehicle_count"),
+        mean("avg_speed", "speed_n"), mean("avg_delay", "delay_n"),
         F.min("min_delay").alias("min_delay"), F.max("max_delay").alias("max_delay"),
         F.count(F.lit(1)).alias("source_rows"))
     return agg.select(F.col("window.start").alias("window_start"),
@@ -173,10 +186,12 @@ def downsample(metric_rows: DataFrame, interval: str = "1 hour",
 def retention(metric_rows: DataFrame, keep_from: Column, time_col: str = "window_end") -> DataFrame:
     """Rows still inside the retention period (``time_col >= keep_from``).
 
-    On the partitioned store use ``sinks.expire_before`` so whole date
-    folders are pruned instead of filtered.
+    On the partitioned store the bound on the date prunes whole folders.
     """
-    return metric_rows.filter(F.col(time_col) >= keep_from)
+    kept = F.col(time_col) >= keep_from
+    if "window_date" in metric_rows.columns:
+        kept &= F.col("window_date") >= F.to_date(keep_from)
+    return metric_rows.filter(kept)
 
 
 # Fixed validation ranges (name, column, low, high), inclusive bounds.
@@ -215,14 +230,15 @@ def acceleration(positions: DataFrame, bucket: str = "1 hour", vehicle: str = "v
     rows = positions.select(vehicle, t, tie, "speed",
                             F.window(t, bucket).getField("start").alias("_bucket"),
                             F.lit(False).alias("_carry"))
-    last = (rows.groupBy(vehicle, "_bucket")
-            .agg(F.max_by(F.struct(t, tie, "speed"), F.struct(t, tie)).alias("_last")))
+    # One orderable number for (time, tie), so that the aggregate stays a hash aggregate.
+    newest = (F.unix_micros(F.col(t).cast("timestamp")).cast("decimal(18,0)") * F.lit(str(10**19)).cast("decimal(20,0)")
+              + F.col(tie).cast("decimal(19,0)")).cast("decimal(38,0)")
+    last = rows.withColumn("_order", newest).groupBy(vehicle, "_bucket").agg(
+        *[F.max_by(c, "_order").alias(f"_last_{c}") for c in (t, tie, "speed")])
     nxt = Window.partitionBy(vehicle).orderBy("_bucket")
     carry = (last.withColumn("_next", F.lead("_bucket").over(nxt))
              .filter(F.col("_next").isNotNull())
-             .select(vehicle, F.col("_last").getField(t).alias(t),
-                     F.col("_last").getField(tie).alias(tie),
-                     F.col("_last").getField("speed").alias("speed"),
+             .select(vehicle, *[F.col(f"_last_{c}").alias(c) for c in (t, tie, "speed")],
                      F.col("_next").alias("_bucket"), F.lit(True).alias("_carry")))
     both = rows.unionByName(carry)
     w = Window.partitionBy(vehicle, "_bucket").orderBy(t, tie)

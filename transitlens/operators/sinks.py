@@ -42,19 +42,22 @@ def metrics_json(df: DataFrame, key_col: str | None = None) -> DataFrame:
 
 
 def _escape_tag(c: Column) -> Column:
-    # Line protocol: commas, equals signs and spaces in tag values are escaped.
-    return F.regexp_replace(c.cast("string"), r"([,= ])", r"\\$1")
+    # A backslash, comma, equals sign or space in a tag value is escaped; a line break, which
+    # would end the point, is written as a backslash and a letter.
+    text = F.regexp_replace(c.cast("string"), r"([\\,= ])", r"\\$1")
+    return F.replace(F.replace(text, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
 
 
 def line_protocol(df: DataFrame, time_col: str = "window_end",
                   measurement: str = MEASUREMENT) -> DataFrame:
     """One point per row: ``measurement,tags fields time_ns``.
 
-    Null and NaN fields are left out (the row is kept); a row without any
-    field is dropped, as a point needs at least one.
+    Null and non-finite fields are left out (the row is kept), as are null
+    and empty tags; a row without any field is dropped, as a point needs at
+    least one.
     """
     tags = F.concat_ws(",", F.lit(measurement),
-                       *[F.concat(F.lit(f"{t}="), _escape_tag(F.coalesce(F.col(t), F.lit(""))))
+                       *[F.when(F.col(t) != "", F.concat(F.lit(f"{t}="), _escape_tag(F.col(t))))
                          for t in SERIES_KEYS])
     parts = []
     for f in INT_FIELDS:
@@ -63,7 +66,7 @@ def line_protocol(df: DataFrame, time_col: str = "window_end",
                                                      F.lit("i"))))
     for f in FLOAT_FIELDS:
         v = F.col(f).cast("double")
-        parts.append(F.when(v.isNotNull() & ~F.isnan(v),
+        parts.append(F.when(v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")),
                             F.concat(F.lit(f"{f}="), v.cast("string"))))
     fields = F.concat_ws(",", *parts)
     nanos = F.unix_micros(F.col(time_col).cast("timestamp")) * F.lit(1000)
@@ -111,10 +114,6 @@ def expire_before(spark: SparkSession, path: str, keep_from: dt.date) -> DataFra
     return read_metrics_store(spark, path, start=keep_from)
 
 
-def write_text(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.select("value").write.mode(mode).text(path)
-
-
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV export with a header (dashboard download)."""
     df.write.mode(mode).option("header", "true").csv(path)

@@ -20,8 +20,6 @@ Plans:
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,11 +37,13 @@ def _seconds(interval: str) -> int:
 
 
 def metric_aggs(exact: bool = True, vehicle: str = "vehicle_id",
-                rsd: float | None = None, sketch_lg_k: int | None = None) -> list[Column]:
+                rsd: float | None = None, sketch_lg_k: int | None = None,
+                counts: bool = False) -> list[Column]:
     """The six metric aggregates. Distinct vehicles: exact (``exact=True``),
     HLL++ (``approx_count_distinct``, optional ``rsd``), or, with
     ``sketch_lg_k``, a DataSketches HLL sketch (mergeable, compact for small
-    groups: the smaller streaming state of the two approximate forms)."""
+    groups: the smaller streaming state of the two approximate forms).
+    ``counts`` adds the numbers behind the means, ``speed_n`` and ``delay_n``."""
     if exact:
         distinct = F.count_distinct(F.col(vehicle))
     elif sketch_lg_k is not None:
@@ -59,22 +59,27 @@ def metric_aggs(exact: bool = True, vehicle: str = "vehicle_id",
         F.avg("delay").alias("avg_delay"),
         F.min("delay").alias("min_delay"),
         F.max("delay").alias("max_delay"),
+        *([F.count("speed").alias("speed_n"), F.count("delay").alias("delay_n")] if counts else []),
     ]
 
 
 def window_metrics(positions: DataFrame, length: str = "10 seconds", slide: str | None = None,
                    label: str = TUMBLING_LABEL, exact: bool = True,
-                   time_col: str = "event_time", keys: list[str] | None = None) -> DataFrame:
-    """Metric rows for one window kind (tumbling when ``slide`` is None)."""
+                   time_col: str = "event_time", keys: list[str] | None = None,
+                   counts: bool = False) -> DataFrame:
+    """Metric rows for one window kind (tumbling when ``slide`` is None).
+
+    ``counts`` adds the numbers behind the means, which ``downsample`` needs."""
     keys = GROUP_KEYS if keys is None else keys
     win = F.window(time_col, length, slide) if slide else F.window(time_col, length)
-    agg = positions.groupBy(win.alias("window"), *keys).agg(*metric_aggs(exact))
+    agg = positions.groupBy(win.alias("window"), *keys).agg(*metric_aggs(exact, counts=counts))
     return agg.select(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
         *keys,
         F.lit(label).alias("window_type"),
         "vehicle_count", "active_vehicles", "avg_speed", "avg_delay", "min_delay", "max_delay",
+        *(["speed_n", "delay_n"] if counts else []),
     )
 
 
@@ -130,17 +135,6 @@ def windowed_metrics(positions: DataFrame, tumbling: str = "10 seconds",
     ).select(*METRIC_COLUMNS)
 
 
-def windowed_metrics_by_union(positions: DataFrame, tumbling: str = "10 seconds",
-                              sliding: str = "60 seconds", slide: str = "10 seconds",
-                              exact: bool = True, tumbling_label: str = TUMBLING_LABEL,
-                              sliding_label: str = SLIDING_LABEL,
-                              time_col: str = "event_time") -> DataFrame:
-    """The reference's plan shape: two ``window()`` aggregates unioned (ALL)."""
-    t = window_metrics(positions, tumbling, None, tumbling_label, exact, time_col)
-    s = window_metrics(positions, sliding, slide, sliding_label, exact, time_col)
-    return t.unionByName(s).select(*METRIC_COLUMNS)
-
-
 def tumbling_nonnull(positions: DataFrame, length: str = "1 day") -> DataFrame:
     """Non-null count next to the row count: ``count(speed)`` vs ``count(*)``."""
     win = F.window("event_time", length)
@@ -222,7 +216,3 @@ def sliding_from_panes(positions: DataFrame, length: str = "60 seconds",
         F.try_divide("speed_sum", "speed_n").alias("avg_speed"),
         F.try_divide("delay_sum", "delay_n").alias("avg_delay"),
         "min_delay", "max_delay")
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

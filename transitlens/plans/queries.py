@@ -3,8 +3,11 @@
 Every function takes the wide metric table (``window_start, window_end,
 route, direction, window_type`` + six metric fields) and returns a lazy
 DataFrame; nothing is collected on the driver. Filters are typed column
-literals (never spliced text), so they reach the Parquet scan and, on a
-stored table, prune ``window_date`` / ``window_type`` partitions.
+literals (never spliced text), so they reach the Parquet scan. On a stored
+table (one with ``window_date``) every range on the window end also bounds the
+date, so that only the folders of these days are read.
+
+No call cuts rows unless it is given a limit.
 
 Time arguments (``start``, ``end``, ``as_of``) accept a ``datetime`` or a
 Column (e.g. ``df.select(F.max(...)).scalar()``, a lazily planned scalar
@@ -23,7 +26,6 @@ from transitlens.operators.reshape import pick_latest
 from transitlens.schema import METRIC_FIELDS, SERIES_KEYS, SUMMARY_FIELDS
 
 MAX_LIMIT = 10_000
-DEFAULT_LIMIT = 1_000
 DEFAULT_LOOKBACK = dt.timedelta(hours=24)
 
 RECORD_COLUMNS = ["timestamp", *SERIES_KEYS, *METRIC_FIELDS]
@@ -67,7 +69,21 @@ def time_range(start=None, end=None, as_of=None, lookback: dt.timedelta = DEFAUL
     return all_of(conds)
 
 
-def validate_limit(limit: int) -> int:
+def in_range(df: DataFrame, start=None, end=None, as_of=None, lookback: dt.timedelta = DEFAULT_LOOKBACK) -> Column:
+    """``time_range``, with the same bounds on the date of a stored table."""
+    cond = time_range(start, end, as_of, lookback)
+    if "window_date" not in df.columns:
+        return cond
+    low = _lit_time(start) if start is not None else _minus(_lit_time(as_of), lookback) if as_of is not None else None
+    high = _lit_time(end) if end is not None else _lit_time(as_of) if as_of is not None else None
+    day = F.col("window_date")
+    dates = ([day >= F.to_date(low)] if low is not None else []) + ([day <= F.to_date(high)] if high is not None else [])
+    return all_of([cond, *dates])
+
+
+def validate_limit(limit: int | None) -> int | None:
+    if limit is None:
+        return None
     if not isinstance(limit, int) or not 1 <= limit <= MAX_LIMIT:
         raise ValueError(f"limit must be an integer in 1..{MAX_LIMIT}, got {limit!r}")
     return limit
@@ -99,16 +115,19 @@ def latest_per_series(df: DataFrame, n: int, time_col: str = "window_end") -> Da
 
 
 def metrics(df: DataFrame, route: str | None = None, direction: str | None = None,
-            window_type: str | None = None, start=None, end=None, limit: int = DEFAULT_LIMIT,
+            window_type: str | None = None, start=None, end=None, limit: int | None = None,
             as_of=None, per_series: bool = True) -> DataFrame:
     """Filtered metric records, newest first, ``limit`` per series.
 
     The limit applies to each series (so up to ``limit`` × series rows can
     return); ``per_series=False`` gives one global newest-``limit`` list.
+    Without a limit all records are returned.
     """
     validate_limit(limit)
     sel = df.filter(equals_filters(route=route, direction=direction, window_type=window_type)
-                    & time_range(start, end, as_of))
+                    & in_range(df, start, end, as_of))
+    if limit is None:
+        return as_records(sel.orderBy(*SERIES_KEYS, F.col("window_end").desc()))
     if per_series:
         return as_records(latest_per_series(sel, limit))
     return latest_global(sel, limit)
@@ -122,7 +141,7 @@ def latest_global(df: DataFrame, n: int) -> DataFrame:
 
 def routes(df: DataFrame, start=None, end=None, as_of=None) -> DataFrame:
     """Sorted distinct non-empty routes with data in the range (default: last 24 h)."""
-    return (df.filter(time_range(start, end, as_of)).select("route")
+    return (df.filter(in_range(df, start, end, as_of)).select("route")
             .filter(F.col("route").isNotNull() & (F.col("route") != ""))
             .distinct().orderBy("route"))
 
@@ -134,17 +153,17 @@ def series_means(df: DataFrame, route: str | None = None, start=None, end=None,
     Aggregated wide first (partial + final hash aggregate), then unpivoted:
     the shuffle carries one partial row per series and task.
     """
-    sel = df.filter(equals_filters(route=route) & _stats_range(start, end, as_of))
+    sel = df.filter(equals_filters(route=route) & _stats_range(df, start, end, as_of))
     wide = sel.groupBy(*SERIES_KEYS).agg(*[F.avg(f).alias(f) for f in SUMMARY_FIELDS])
     return wide.unpivot(SERIES_KEYS, SUMMARY_FIELDS, "field", "mean").filter(
         F.col("mean").isNotNull())
 
 
-def _stats_range(start, end, as_of) -> Column:
+def _stats_range(df: DataFrame, start, end, as_of) -> Column:
     # The statistics call applies a range only when both ends are given.
     if start is not None and end is not None:
-        return time_range(start, end)
-    return time_range(None, None, as_of)
+        return in_range(df, start, end)
+    return in_range(df, None, None, as_of)
 
 
 def route_stats(df: DataFrame, route: str | None = None, start=None, end=None,
@@ -154,7 +173,7 @@ def route_stats(df: DataFrame, route: str | None = None, start=None, end=None,
     ``total_observations`` keeps the reference's definition (the integer part
     of the mean vehicle count); ``n_rows`` is the actual row count.
     """
-    sel = df.filter(equals_filters(route=route) & _stats_range(start, end, as_of))
+    sel = df.filter(equals_filters(route=route) & _stats_range(df, start, end, as_of))
     return (sel.groupBy("route")
             .agg(F.avg("vehicle_count").alias("avg_vehicle_count"),
                  F.avg("avg_speed").alias("avg_speed"),
@@ -203,7 +222,7 @@ def chart_series(df: DataFrame, time_col: str = "window_end") -> DataFrame:
 
 def historical_view(df: DataFrame, route: str, direction: str, as_of,
                     lookback: dt.timedelta = dt.timedelta(days=7),
-                    limit: int = DEFAULT_LIMIT) -> DataFrame:
+                    limit: int | None = None) -> DataFrame:
     """Records of one route/direction over the past ``lookback`` before ``as_of``."""
     start = _minus(_lit_time(as_of), lookback)
     return metrics(df, route=route, direction=direction, start=start, end=_lit_time(as_of),
@@ -216,7 +235,7 @@ def raw_table(records: DataFrame) -> DataFrame:
 
 
 def live_view(df: DataFrame, route: str | None = None, direction: str | None = None,
-              tail: int = 100) -> DataFrame:
+              *, tail: int) -> DataFrame:
     """Newest ``tail`` metric messages, then the route/direction filter.
 
     Values compare as text; an empty selection keeps everything.
@@ -236,7 +255,7 @@ def _live_filter(route, direction) -> Column:
 
 
 def live_view_counts(df: DataFrame, route: str | None = None, direction: str | None = None,
-                     tail: int = 100) -> DataFrame:
+                     *, tail: int) -> DataFrame:
     """Shown vs. total messages for a live filter, with the summary of the shown ones."""
     newest = df.orderBy(F.col("window_end").desc(), *SERIES_KEYS).limit(tail)
     pred = _live_filter(route, direction)
@@ -272,4 +291,4 @@ def audit_rollup(log_lines: DataFrame, value_col: str = "value") -> DataFrame:
 def select_range(df: DataFrame, route=None, direction=None, window_type=None, start=None,
                  end=None, as_of=None) -> DataFrame:
     return df.filter(equals_filters(route=route, direction=direction, window_type=window_type)
-                     & time_range(start, end, as_of))
+                     & in_range(df, start, end, as_of))

@@ -22,6 +22,7 @@ from transitlens.operators.decode import decode_positions, metrics_from_messages
 from transitlens.plans import queries as Q
 from transitlens.plans.oracles import COMPARED_ROUTES
 from transitlens.plans.present import finalize
+from transitlens.schema import METRIC_FIELDS, SERIES_KEYS
 from transitlens.session import shared_path
 from transitlens.sources import ingest
 from transitlens.sources.adapter import (
@@ -33,6 +34,9 @@ from transitlens.sources.adapter import (
 from transitlens.sources.readers import read_events, stream_events
 from transitlens.streaming import stream as S
 
+LATE_CUTOFF = dt.datetime(2024, 1, 16)
+PROCESSED_AT = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -40,27 +44,27 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positions_from_events(read_events(spark, sf_dir))
 
 
-LONGEST_WINDOW = dt.timedelta(seconds=60)
+def metric_table(spark: SparkSession, sf_dir: str, exact: bool = True) -> DataFrame:
+    """M: 10 s tumbling + 60 s / 10 s sliding metric rows."""
+    return W.windowed_metrics(positions(spark, sf_dir), exact=exact)
+
 
+#: Stores written in this process: (application, input folder) -> store folder.
+_STORES: dict[tuple[str, str], str] = {}
 
-def metric_table(spark: SparkSession, sf_dir: str, exact: bool = True,
-                 window_end_from=None, window_end_to=None) -> DataFrame:
-    """M: 10 s tumbling + 60 s / 10 s sliding metric rows.
 
-    With a ``window_end`` range, events are pre-filtered on their own time
-    first: a window ending in [from, to) only holds events in
-    [from - longest window, to). On the raw scan this predicate reaches
-    Parquet (row-group pruning) when the bounds are literals.
+def stored_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M from the date-partitioned store, which is written once for each application and input.
+
+    Historical and live questions read the store as the reference's API does;
+    only the folders of the asked dates are opened.
     """
-    pos = positions(spark, sf_dir)
-    t = F.col("event_time")
-    if window_end_from is not None:
-        lower = window_end_from - LONGEST_WINDOW if isinstance(window_end_from, dt.datetime) \
-            else window_end_from - F.expr("INTERVAL 60 SECONDS")
-        pos = pos.filter(t >= lower)
-    if window_end_to is not None:
-        pos = pos.filter(t < window_end_to)
-    return W.windowed_metrics(pos, exact=exact)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORES:
+        path = shared_path(spark, "metric_store", unique=True)
+        K.write_metrics_store(metric_table(spark, sf_dir), path, mode="overwrite")
+        _STORES[key] = path
+    return K.read_metrics_store(spark, _STORES[key])
 
 
 def q_tumbling_metrics(spark, sf_dir):
@@ -161,48 +165,42 @@ def as_of(spark, sf_dir):
 
 def q_metrics_query(spark, sf_dir):
     start, end = dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 20)
-    m = metric_table(spark, sf_dir, window_end_from=start, window_end_to=end)
-    return finalize(Q.metrics(m, route="click", direction="1", window_type="sliding_60s",
+    return finalize(Q.metrics(stored_metrics(spark, sf_dir), route="click", direction="1", window_type="sliding_60s",
                               start=start, end=end, limit=100))
 
 
 def q_metrics_latest_n(spark, sf_dir):
-    return finalize(Q.metrics(metric_table(spark, sf_dir), limit=5))
+    return finalize(Q.metrics(stored_metrics(spark, sf_dir), limit=5))
 
 
 def q_metrics_latest_global(spark, sf_dir):
-    return finalize(Q.metrics(metric_table(spark, sf_dir), limit=100, per_series=False))
+    return finalize(Q.metrics(stored_metrics(spark, sf_dir), limit=100, per_series=False))
 
 
 def q_routes_list(spark, sf_dir):
-    now = as_of(spark, sf_dir)
-    m = metric_table(spark, sf_dir, window_end_from=now - F.expr("INTERVAL 24 HOURS"),
-                     window_end_to=now)
-    return Q.routes(m, as_of=now)
+    return Q.routes(stored_metrics(spark, sf_dir), as_of=as_of(spark, sf_dir))
 
 
 def q_series_means(spark, sf_dir):
-    return finalize(Q.series_means(metric_table(spark, sf_dir)))
+    return finalize(Q.series_means(stored_metrics(spark, sf_dir)))
 
 
 def q_route_stats(spark, sf_dir):
-    return finalize(Q.route_stats(metric_table(spark, sf_dir)))
+    return finalize(Q.route_stats(stored_metrics(spark, sf_dir)))
 
 
 def q_summary_stats(spark, sf_dir):
-    return finalize(Q.summary_stats(Q.select_range(metric_table(spark, sf_dir), route="view")))
+    return finalize(Q.summary_stats(stored_metrics(spark, sf_dir)))
 
 
 def q_chart_series(spark, sf_dir):
-    sel = Q.select_range(metric_table(spark, sf_dir), route="view", direction="2")
+    sel = Q.select_range(stored_metrics(spark, sf_dir), route="view", direction="2")
     return finalize(Q.chart_series(sel))
 
 
 def historical(spark, sf_dir):
     now = as_of(spark, sf_dir)
-    m = metric_table(spark, sf_dir, window_end_from=now - F.expr("INTERVAL 7 DAYS"),
-                     window_end_to=now)
-    return Q.historical_view(m, route="error", direction="1", as_of=now,
+    return Q.historical_view(stored_metrics(spark, sf_dir), route="error", direction="1", as_of=now,
                              lookback=dt.timedelta(days=7), limit=1000)
 
 
@@ -215,22 +213,22 @@ def q_raw_table(spark, sf_dir):
 
 
 def q_live_view(spark, sf_dir):
-    return finalize(Q.live_view(metric_table(spark, sf_dir), route="click"))
+    return finalize(Q.live_view(stored_metrics(spark, sf_dir), route="click", tail=100).drop("window_date"))
 
 
 def q_live_view_bus(spark, sf_dir):
     """Live view over the bus form: metric rows → JSON messages → decoded back."""
     messages = K.metrics_json(K.with_processed_at(metric_table(spark, sf_dir)))
     rows = metrics_from_messages(messages).drop("processed_at")
-    return finalize(Q.live_view(rows, route="click"))
+    return finalize(Q.live_view(rows, route="click", tail=100))
 
 
 def q_live_view_counts(spark, sf_dir):
-    return finalize(Q.live_view_counts(metric_table(spark, sf_dir), route="click"))
+    return finalize(Q.live_view_counts(stored_metrics(spark, sf_dir), route="click", tail=100))
 
 
 def q_latest_known(spark, sf_dir):
-    return finalize(Q.latest_known(metric_table(spark, sf_dir)))
+    return finalize(Q.latest_known(stored_metrics(spark, sf_dir).drop("window_date")))
 
 
 def audit_log_lines(spark, sf_dir):
@@ -269,43 +267,83 @@ def q_metrics_upsert(spark, sf_dir):
 
 
 def q_metrics_store(spark, sf_dir):
-    """Write M to the partitioned store (shared folder), read one day back."""
+    """Write M to the partitioned store (shared folder), read all of it back."""
     path = shared_path(spark, "metrics_store", unique=True)
     K.write_metrics_store(metric_table(spark, sf_dir), path, mode="overwrite")
-    day = dt.date(2024, 1, 15)
-    return finalize(K.read_metrics_store(spark, path, start=day, end=day))
+    return finalize(K.read_metrics_store(spark, path))
 
 
 def q_metrics_json(spark, sf_dir):
-    return K.metrics_json(K.with_processed_at(metric_table(spark, sf_dir)))
+    """Published messages, each parsed back; the stamp is fixed so that rows compare."""
+    stamped = metric_table(spark, sf_dir).withColumn("processed_at", F.lit(PROCESSED_AT).cast("timestamp"))
+    return finalize(metrics_from_messages(K.metrics_json(stamped)))
 
 
 def q_line_protocol(spark, sf_dir):
-    return K.line_protocol(metric_table(spark, sf_dir))
+    """Points with odd values (null and empty tags, NaN and infinite fields, text to escape), parsed back."""
+    m = metric_table(spark, sf_dir)
+    odd = F.pmod(F.unix_seconds(F.col("window_end").cast("timestamp")), F.lit(700))
+    m = m.withColumns({
+        "route": F.when(odd == 0, F.lit(None)).when(odd == 10, F.lit("")).when(odd == 20, F.lit("a b,c=d\\")).otherwise(F.col("route")),
+        "avg_speed": F.when(odd == 30, F.lit(float("nan"))).when(odd == 40, F.lit(float("inf"))).otherwise(F.col("avg_speed"))})
+    # A blank that is not escaped ends the tags and the fields.
+    value = F.col("value")
+    parts = F.split(F.regexp_replace(F.replace(value, F.lit("\\\\"), F.lit("\u0001")), r"(?<!\\) ", "\n"), "\n")
+    tags, fields = F.element_at(parts, 1), F.element_at(parts, 2)
+    tag = lambda name: F.replace(F.regexp_replace(F.nullif(F.regexp_extract(
+        tags, f",{name}=((?:\\\\.|[^,])*)", 1), F.lit("")), r"\\(.)", "$1"), F.lit("\u0001"), F.lit("\\"))
+    field = lambda name: F.nullif(F.regexp_extract(fields, f"(?:^|,){name}=([^,i]*)", 1), F.lit(""))
+    return finalize(K.line_protocol(m).select(
+        F.regexp_extract(tags, "^[^,]*", 0).alias("measurement"), *[tag(t).alias(t) for t in SERIES_KEYS],
+        *[field(f).cast("double").alias(f) for f in METRIC_FIELDS],
+        F.element_at(parts, 3).cast("bigint").alias("time_ns")))
 
 
 def stream_positions(spark, sf_dir):
     return S.positions_from_event_stream(stream_events(spark, sf_dir))
 
 
+def _arrivals(spark, sf_dir, name, parts, append=False):
+    """The reference's stream over several arrivals: envelopes, decoding, watermark, all six
+    metrics of both window kinds.
+
+    Each of ``parts`` (conditions that together hold for every event) is added
+    to the feed of bus records, and the query runs to its end and stops; the
+    next run resumes from the checkpoint. In update mode windows are emitted
+    again as their events arrive; the result is the upserted changelog. In
+    append mode it is what the file sink has.
+    """
+    events = read_events(spark, sf_dir)
+    root = shared_path(spark, name, unique=True)
+    feed, out = f"{root}/feed", f"{root}/out"
+    checkpoint = S.checkpoint_for(spark, name, unique=True)
+    for part in parts:
+        envelope_messages_from_events(events.filter(part)).select("key", "value").write.mode("append").parquet(feed)
+        source = spark.readStream.schema("key string, value string").parquet(feed)
+        metrics = S.streaming_metrics(S.event_time_ts(S.positions_from_bus(source)))
+        start = S.start_files if append else S.start_update
+        S.run_to_end(start(metrics, out, checkpoint, trigger="availableNow"))
+    if append:
+        return finalize(spark.read.parquet(out))
+    return finalize(R.upsert_latest(S.read_changelog(spark, out)))
+
+
+def _days(*cuts):
+    """Conditions for the stretches of time between cuts."""
+    ts = F.col("ts")
+    bounds = [None, *cuts, None]
+    return [(F.lit(True) if a is None else ts >= F.lit(a)) & (F.lit(True) if b is None else ts < F.lit(b))
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
 def q_stream_metrics_update(spark, sf_dir):
-    """Update-mode stream to its end; the stored changelog upserted by batch id."""
-    agg = S.sliding_stream_stats(stream_positions(spark, sf_dir))
-    out = shared_path(spark, "stream_update", unique=True)
-    S.run_to_end(S.start_update(agg, out, S.checkpoint_for(spark, "stream_update", unique=True),
-                                trigger="availableNow"))
-    current = R.upsert_latest(S.read_changelog(spark, out),
-                              keys=["route", "direction", "window_start", "window_end"])
-    return finalize(current)
+    """Update mode over three arrivals; windows across a cut are emitted twice."""
+    return _arrivals(spark, sf_dir, "stream_update", _days(dt.datetime(2024, 1, 11), dt.datetime(2024, 1, 21)))
 
 
 def q_stream_metrics_append(spark, sf_dir):
-    """Append-mode stream into a Parquet file sink; only closed windows arrive."""
-    agg = S.sliding_stream_stats(stream_positions(spark, sf_dir))
-    out = shared_path(spark, "stream_append", unique=True)
-    S.run_to_end(S.start_files(agg, out, S.checkpoint_for(spark, "stream_append", unique=True),
-                               trigger="availableNow"))
-    return finalize(spark.read.parquet(out))
+    """Append mode over two arrivals into a Parquet file sink; only closed windows arrive."""
+    return _arrivals(spark, sf_dir, "stream_append", _days(LATE_CUTOFF), append=True)
 
 
 def q_stream_multi_sink(spark, sf_dir):
@@ -320,32 +358,6 @@ def q_stream_multi_sink(spark, sf_dir):
     return finalize(R.upsert_latest(store).drop("active_vehicles"))
 
 
-LATE_CUTOFF = dt.datetime(2024, 1, 16)
-
-
-def _two_arrivals(spark, sf_dir, name, first, second):
-    """Feed ``first`` then ``second`` (subsets of all events, together the
-    whole table) to a file stream, stopping and restarting the update-mode
-    query from its checkpoint in between; returns the upserted result."""
-    events = read_events(spark, sf_dir)
-    root = shared_path(spark, name, unique=True)
-    feed, out = f"{root}/feed", f"{root}/out"
-    checkpoint = S.checkpoint_for(spark, name, unique=True)
-
-    def run_stream():
-        src = spark.readStream.schema(events.schema).parquet(feed)
-        agg = S.sliding_stream_stats(S.positions_from_event_stream(src))
-        return S.run_to_end(S.start_update(agg, out, checkpoint, trigger="availableNow"))
-
-    events.filter(first).write.mode("append").parquet(feed)
-    run_stream()
-    events.filter(second).write.mode("append").parquet(feed)
-    run_stream()
-    current = R.upsert_latest(S.read_changelog(spark, out),
-                              keys=["route", "direction", "window_start", "window_end"])
-    return finalize(current)
-
-
 def q_late_data(spark, sf_dir):
     """Late arrivals are dropped by the watermark.
 
@@ -355,24 +367,47 @@ def q_late_data(spark, sf_dir):
     checkpoint. They are older than the watermark, so the stored result
     holds only the on-time events' windows.
     """
-    ts = F.col("ts")
-    return _two_arrivals(spark, sf_dir, "late_data", ts >= F.lit(LATE_CUTOFF),
-                         ts < F.lit(LATE_CUTOFF))
+    before, after = _days(LATE_CUTOFF)
+    return _arrivals(spark, sf_dir, "late_data", [after, before])
 
 
 def q_stream_restart(spark, sf_dir):
     """Restart from the checkpoint keeps offsets and window state: events
     before the cutoff, stop, the rest, restart; the result equals the
     metrics over the whole table (windows spanning the cutoff included)."""
-    ts = F.col("ts")
-    return _two_arrivals(spark, sf_dir, "stream_restart", ts < F.lit(LATE_CUTOFF),
-                         ts >= F.lit(LATE_CUTOFF))
+    return _arrivals(spark, sf_dir, "stream_restart", _days(LATE_CUTOFF))
 
 
 def q_active_vehicles_approx(spark, sf_dir):
-    """M with the reference's sketch-based distinct count (compared rows-only;
-    the error bound is tested in tests/test_extensions.py)."""
-    return finalize(metric_table(spark, sf_dir, exact=False))
+    """The exact counts, and for each row whether the sketch-based one is within three standard errors."""
+    keys = ["window_start", "window_end", *SERIES_KEYS]
+    exact = metric_table(spark, sf_dir).select(*keys, "active_vehicles")
+    rough = metric_table(spark, sf_dir, exact=False).select(*keys, F.col("active_vehicles").alias("estimate"))
+    close = F.abs(F.col("estimate") - F.col("active_vehicles")) <= F.greatest(F.lit(1.0), 0.15 * F.col("active_vehicles"))
+    return exact.join(rough, keys).select(*keys, "active_vehicles", close.alias("within_bound"))
+
+
+def q_ingest_publish(spark, sf_dir):
+    """Envelopes written to the file form of the bus, keyed, and read back."""
+    path = shared_path(spark, "published", unique=True)
+    ingest.write_envelopes_files(ingest.envelope(raw_messages(spark, sf_dir)), path)
+    env = F.from_json(F.col("value"), ENVELOPE_CHECK_SCHEMA)
+    vp = env.getField("payload").getField("VP")
+    return finalize(spark.read.parquet(path).select(
+        env.getField("mqtt_topic").alias("mqtt_topic"), "key", vp.getField("veh").alias("vehicle_id"),
+        env.getField("received_at").alias("received_at")))
+
+
+def q_export_csv(spark, sf_dir):
+    """The metric table exported as CSV with a header and read back with its schema."""
+    path = shared_path(spark, "export", unique=True)
+    m = metric_table(spark, sf_dir)
+    K.write_csv(m, path)
+    return finalize(spark.read.option("header", "true").schema(m.schema).csv(path))
+
+
+def q_display_summary(spark, sf_dir):
+    return Q.display_summary(finalize(Q.summary_stats(stored_metrics(spark, sf_dir))))
 
 
 def q_speed_percentiles(spark, sf_dir):
@@ -384,13 +419,14 @@ def q_network_metrics(spark, sf_dir):
 
 
 def q_downsample(spark, sf_dir):
-    return finalize(X.downsample(metric_table(spark, sf_dir), "1 hour"))
+    """Hourly rows from the 10 s rows, where every seventh message has no speed."""
+    pos = positions(spark, sf_dir).withColumn("speed", F.when(F.col("event_id") % 7 != 0, F.col("speed")))
+    return finalize(X.downsample(W.window_metrics(pos, "10 seconds", counts=True), "1 hour"))
 
 
 def q_retention(spark, sf_dir):
     keep_from = as_of(spark, sf_dir) - F.expr("INTERVAL 7 DAYS")
-    m = metric_table(spark, sf_dir, window_end_from=keep_from)
-    return finalize(X.retention(m, keep_from))
+    return finalize(X.retention(stored_metrics(spark, sf_dir), keep_from).drop("window_date"))
 
 
 def q_range_validation(spark, sf_dir):
@@ -463,6 +499,9 @@ QUERIES: dict[str, Query] = {
     "metrics_store": q_metrics_store,
     "metrics_json": q_metrics_json,
     "line_protocol": q_line_protocol,
+    "ingest_publish": q_ingest_publish,
+    "export_csv": q_export_csv,
+    "display_summary": q_display_summary,
     "stream_metrics_update": q_stream_metrics_update,
     "stream_metrics_append": q_stream_metrics_append,
     "stream_multi_sink": q_stream_multi_sink,

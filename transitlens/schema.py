@@ -40,41 +40,8 @@ METRIC_COLUMNS = ["window_start", "window_end", *SERIES_KEYS, *METRIC_FIELDS]
 # Fields summarised by the route statistics call and the dashboard.
 SUMMARY_FIELDS = ["vehicle_count", "avg_speed", "avg_delay"]
 
-POSITION_COLUMNS = [
-    "mqtt_topic",
-    "event_time",
-    "route",
-    "direction",
-    "vehicle_id",
-    "speed",
-    "delay",
-    "latitude",
-    "longitude",
-    "operator",
-]
-
-# The declared VP record, all fields. Decoding uses the narrow form below:
-# Spark keeps the whole struct when several fields of one from_json are
-# selected, so declaring only what is read is the pruning that matters.
-VP_FULL = StructType([
-    StructField("desi", StringType()),
-    StructField("dir", StringType()),
-    StructField("oper", IntegerType()),
-    StructField("veh", IntegerType()),
-    StructField("tst", StringType()),
-    StructField("lat", DoubleType()),
-    StructField("long", DoubleType()),
-    StructField("spd", DoubleType()),
-    StructField("hdg", IntegerType()),
-    StructField("dl", IntegerType()),
-    StructField("odo", IntegerType()),
-    StructField("drst", IntegerType()),
-    StructField("oday", StringType()),
-    StructField("jrn", IntegerType()),
-    StructField("line", IntegerType()),
-    StructField("start", StringType()),
-])
-
+# Only the fields that are read: Spark keeps the whole struct when several fields
+# of one from_json are selected, so a narrow declaration is the pruning that matters.
 VP_USED = StructType([
     StructField("desi", StringType()),
     StructField("dir", StringType()),
@@ -96,5 +63,4 @@ def envelope_schema(vp: StructType = VP_USED) -> StructType:
     ])
 
 
-RAW_MESSAGE_SCHEMA = envelope_schema(VP_FULL)
 DECODE_SCHEMA = envelope_schema(VP_USED)

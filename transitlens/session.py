@@ -3,8 +3,8 @@
 The engine never hard-codes a machine-local scratch path: anything that must
 survive an executor loss (streaming checkpoints, stored metric tables written
 by a job and read back) lives below ``spark.checkpoint.dir``, which on a
-cluster names a shared file system. Only when the session has none (local
-tests) do we create one under the system temp folder.
+cluster names a shared file system. Only a session in local mode that names
+none (tests) gets a folder of its own; on a cluster its absence is an error.
 """
 
 from __future__ import annotations
@@ -51,7 +51,7 @@ def build_session(master: str = "local[8]", app_name: str = "transitlens",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Read from the session; set our own only when it is unset (local runs).
+    Read from the session; set our own only when it is unset in local mode.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
@@ -62,6 +62,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

@@ -6,6 +6,11 @@ not UTF-8 → ``utf8``; text that is not JSON → ``json_decode``; otherwise it
 is good and becomes an envelope ``{mqtt_topic, payload, received_at}`` keyed
 by the vehicle taken from the topic, so one vehicle's messages stay in one
 bus partition.
+
+JSON is taken strictly: text with a repeated key in one object, with a bare
+NaN or Infinity or with more after its value counts as ``json_decode``, since readers of the bus would not
+agree on it. The payload is written anew, so key order and white space of the
+original text are not kept; its values are.
 """
 
 from __future__ import annotations
@@ -23,7 +28,11 @@ SCHEMA_VERSION = 1
 def classify(raw: DataFrame, payload_col: str = "payload") -> DataFrame:
     """Adds ``payload_text``, ``payload_json`` (VARIANT) and ``reject_reason``."""
     text = F.col(payload_col).cast("string")
-    parsed = F.try_parse_json(F.try_validate_utf8(text))
+    valid = F.try_validate_utf8(text)
+    # The parser stops after the first value; inside brackets a second one shows.
+    whole = F.try_parse_json(F.concat(F.lit("["), valid, F.lit("]")))
+    single = whole.isNotNull() & F.try_variant_get(whole, "$[1]", "variant").isNull()
+    parsed = F.when(single, F.try_parse_json(valid))
     reason = (F.when(~F.is_valid_utf8(text), F.lit(REASON_UTF8))
               .when(F.col("payload_json").isNull(), F.lit(REASON_JSON)))
     return (raw.withColumn("payload_text", text)

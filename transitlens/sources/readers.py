@@ -14,26 +14,13 @@ from pyspark.sql.types import StructType
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer partitions than there are task slots.
-
-    A Parquet file is split by row groups; a small file written as one row
-    group is read by one task, and every narrow step after it (JSON work,
-    window expansion, partial aggregation) would run single-threaded. Such an
-    input is round-robin distributed over ``defaultParallelism`` partitions.
-    At cluster scale the scan already has far more splits than slots and
-    this is a no-op (the check is planning-only: no job runs).
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
-
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table as a lazily scanned Parquet relation.
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
-    """One driver table as a lazily scanned Parquet relation."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if balance else df
+    Split size comes from ``spark.sql.files.maxPartitionBytes`` alone, for
+    every input alike.
+    """
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:

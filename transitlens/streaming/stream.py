@@ -32,7 +32,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from transitlens.operators import sinks as K
 from transitlens.operators.decode import decode_positions
 from transitlens.operators.windows import metric_aggs
-from transitlens.schema import METRIC_COLUMNS, SLIDING_LABEL, TUMBLING_LABEL
+from transitlens.schema import SLIDING_LABEL, TUMBLING_LABEL
 from transitlens.session import shared_path
 from transitlens.sources.adapter import positions_from_events
 
@@ -137,20 +137,6 @@ def streaming_metrics(positions: DataFrame, watermark: str = WATERMARK,
     return out
 
 
-def sliding_stream_stats(positions: DataFrame, watermark: str = WATERMARK,
-                         length: str = "60 seconds", slide: str = "10 seconds",
-                         time_col: str = "event_time") -> DataFrame:
-    """Count, mean speed and delay bounds per sliding window (exactly comparable
-    with a batch result, unlike the sketch-based distinct count)."""
-    agg = (positions.withWatermark(time_col, watermark)
-           .groupBy(F.window(time_col, length, slide).alias("window"), "route", "direction")
-           .agg(F.count(F.lit(1)).alias("vehicle_count"), F.avg("speed").alias("avg_speed"),
-                F.min("delay").alias("min_delay"), F.max("delay").alias("max_delay")))
-    return agg.select(F.col("window.start").alias("window_start"),
-                      F.col("window.end").alias("window_end"), "route", "direction",
-                      "vehicle_count", "avg_speed", "min_delay", "max_delay")
-
-
 def with_batch_counters(df: DataFrame, name: str = "batch_counters") -> DataFrame:
     """Running per-batch counters (rows emitted, window-end bounds) computed as
     observed metrics on the executors; they arrive in each progress report
@@ -265,21 +251,21 @@ def start_multi_sink(df: DataFrame, root: str, checkpoint: str, mode: str = "upd
 
 
 def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
-    """Wait for an ``availableNow`` query; re-raise its failure if it had one."""
+    """Wait for an ``availableNow`` query; re-raise its failure if it had one.
+
+    A query that is still running after ``timeout_s`` is stopped and raises
+    ``TimeoutError``: its result is not complete.
+    """
     query.awaitTermination(timeout_s)
     if query.isActive:
         query.stop()
+        raise TimeoutError(f"streaming query did not end within {timeout_s} s")
     exc = query.exception()
     if exc is not None:
         raise RuntimeError(f"streaming query failed: {exc}")
     return query
 
 
-def await_any(spark: SparkSession, timeout_s: float | None = None) -> None:
-    """Block until any active query ends, surfacing the first failure."""
-    spark.streams.awaitAnyTermination(timeout_s)
-
-
 def dropped_by_watermark(query: StreamingQuery) -> int:
     """Rows dropped as late, summed over all progress reports and state operators."""
     total = 0
@@ -294,13 +280,13 @@ def dropped_by_watermark(query: StreamingQuery) -> int:
 class JsonEventLog(StreamingQueryListener):
     """Progress events as structured JSON lines {timestamp, service, event_type, ...}.
 
-    Lines are kept in memory (bounded, one per micro-batch) and can be appended
-    to a log file that ``plans.queries.audit_rollup`` analyses.
+    One line per micro-batch. ``flush`` appends the lines since the last one
+    to a text folder that ``plans.queries.audit_rollup`` analyses; no line is
+    ever dropped. A long-running job calls it now and then.
     """
 
-    def __init__(self, service: str = "stream-processor", max_lines: int = 10_000):
+    def __init__(self, service: str = "stream-processor"):
         self.service = service
-        self.max_lines = max_lines
         self.lines: list[str] = []
         self._lock = threading.Lock()
 
@@ -309,7 +295,14 @@ class JsonEventLog(StreamingQueryListener):
                            "event_type": event_type, **fields})
         with self._lock:
             self.lines.append(line)
-            del self.lines[:-self.max_lines]
+
+    def flush(self, spark: SparkSession, path: str) -> int:
+        """Append the pending lines to the log folder; returns their number."""
+        with self._lock:
+            pending, self.lines = self.lines, []
+        if pending:
+            spark.createDataFrame([(x,) for x in pending], "value string").coalesce(1).write.mode("append").text(path)
+        return len(pending)
 
     def onQueryStarted(self, event):
         self._add("query_started", event.timestamp, query_id=str(event.id), name=event.name)
@@ -329,7 +322,3 @@ class JsonEventLog(StreamingQueryListener):
     def onQueryTerminated(self, event):
         self._add("query_terminated", event.timestamp, query_id=str(event.id),
                   error=event.exception)
-
-
-def metric_columns(df: DataFrame) -> DataFrame:
-    return df.select(*METRIC_COLUMNS)
