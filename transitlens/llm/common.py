@@ -64,43 +64,53 @@ def connected_components(edges: DataFrame, name: str = "components", left: str =
     """(id, component) for every node of ``edges``; component is the least id.
 
     Label propagation with pointer jumping on DataFrames only. A round takes
-    the least label among a node's neighbours (``min`` pre-aggregates on the
-    map side, so a hub with many links is no hot task) and then follows the
-    label's own label, which halves the distance to the root. Each round's
-    labels are a table in the shared folder. The loop ends when a round
+    the least label among a node and its neighbours (``min`` pre-aggregates on
+    the map side, so a hub with many links is no hot task) and then follows
+    the label's own label, which halves the distance to the root. Each round's
+    labels are one table in the shared folder. The loop ends when a round
     changes nothing; it has no cap.
     """
     links = stored(edges.select(F.col(left).alias("a"), F.col(right).alias("b"))
                    .filter("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-                   .select(F.explode(F.array(F.struct(F.col("a"), F.col("b")),
-                                             F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
-                   .select("e.*").distinct(), f"{name}-links")
-    labels = stored(links.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("component"))
-                    .withColumnRenamed("a", "id"), f"{name}-labels")
+                   .select(F.inline(F.array(F.struct(F.col("a"), F.col("b")),
+                                            F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))), f"{name}-links")
+    labels = stored(links.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("component")), f"{name}-labels")
     while True:
-        near = (links.join(labels, links.b == labels.id).groupBy("a")
-                .agg(F.min("component").alias("other")).withColumnRenamed("a", "id"))
-        lower = labels.join(near, "id").select(
-            "id", F.col("component").alias("was"), F.least("component", "other").alias("component"))
-        lower = stored(lower, f"{name}-labels")
-        root = lower.select(F.col("id").alias("r"), F.col("component").alias("root"))
-        jumped = stored(lower.join(root, lower.component == root.r, "left").select(
-            "id", F.least(F.coalesce("root", "component"), F.col("component")).alias("component"),
-            "was"), f"{name}-labels")
-        labels = jumped.select("id", "component")
-        if jumped.filter("component <> was").isEmpty():
+        near = (links.join(labels, links.b == labels.id).groupBy(F.col("a").alias("_a"))
+                .agg(F.min("component").alias("other")))
+        root = labels.select(F.col("id").alias("_r"), F.col("component").alias("root"))
+        lower = labels.join(near, labels.id == F.col("_a")).select(
+            "id", F.col("component").alias("was"), F.least("component", "other").alias("low"))
+        after = stored(lower.join(root, F.col("low") == F.col("_r"), "left").select(
+            "id", "was", F.least(F.coalesce("root", "low"), F.col("low")).alias("component")), f"{name}-labels")
+        labels = after.select("id", "component")
+        if after.filter("component <> was").isEmpty():
             return labels
 
 
-def star_pairs(members: DataFrame, largest: bool = False) -> DataFrame:
-    """(a, b): each member of a bucket with the bucket's least (or largest) member.
+def merged_components(components: DataFrame, edges: DataFrame, name: str) -> DataFrame:
+    """(id, component) once more links (a, b) are known; only the classes that they join are labelled anew."""
+    ends = edges.select(F.col("a").alias("id"), F.col("b").alias("_b"))
+    one = labelled(ends, components).select(F.col("component").alias("a"), F.col("_b").alias("id"))
+    both = stored(labelled(one, components).select("a", F.col("component").alias("b")).filter("a <> b"), f"{name}-joined")
+    if both.isEmpty():
+        return components
+    joined = connected_components(both, name).select(F.col("id").alias("_id"), F.col("component").alias("_to"))
+    known = components.unionByName(joined.select(F.col("_id").alias("id"), F.col("_id").alias("component"))).groupBy("id").agg(
+        F.min("component").alias("component"))
+    return stored(known.join(joined, F.col("component") == F.col("_id"), "left").select(
+        "id", F.coalesce("_to", "component").alias("component")), f"{name}-merged")
+
+
+def star_pairs(members: DataFrame, rank: str | None = None) -> DataFrame:
+    """(a, b): each member of a bucket with its leader, the least id or the one of the highest ``rank``.
 
     ``members`` has (bucket, id). A bucket gives one pair less than it has
     members, whatever its size, and the leader is found by an aggregate that
     pre-aggregates before the shuffle.
     """
-    leader = (F.max if largest else F.min)("id").alias("a")
-    leaders = members.groupBy("bucket").agg(leader)
+    leader = F.max(F.struct(rank, "id")).getField("id") if rank else F.min("id")
+    leaders = members.groupBy("bucket").agg(leader.alias("a"))
     return members.join(leaders, "bucket").filter("a <> id").select("a", F.col("id").alias("b")).distinct()
 
 

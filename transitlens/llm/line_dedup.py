@@ -29,7 +29,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from transitlens.llm.common import connected_components, labelled, open_members, stored
+from transitlens.llm.common import connected_components, labelled, merged_components, open_members, stored
 
 DISTANCE = 3
 BLOCKS = 5
@@ -159,7 +159,7 @@ def line_groups(docs: DataFrame, occ: DataFrame) -> DataFrame:
     links = _verified(stars, coded, "lines-links")
     found = connected_components(links, "lines-first")
     more = _verified(_crossings(members, found), coded, "lines-more")
-    return connected_components(links.unionByName(more), "lines-all")
+    return merged_components(found, more, "lines-all")
 
 
 def removals(docs: DataFrame) -> DataFrame:

@@ -11,8 +11,8 @@ of ``SIMILARITY`` or more. A class is a connected group of near duplicates.
 Words are runs of letters and digits in lower case. Texts with the same words
 are one node and count as copies without being paired. Classes are found in
 rounds, so that no group is written out as pairs: each bucket's members are
-aligned with one leader, twice with different leaders; then pairs from
-different classes so far, which share a bucket and at least ``SHARED``
+aligned with a leader, those that don't follow it with one of their own; then
+pairs from different classes so far, which share a bucket and at least ``SHARED``
 sketches, are aligned. Buckets with more than ``HOT`` members of different
 classes (a passage that many different texts have) are split by a second
 sketch, which a pair with ``SHARED`` sketches also shares.
@@ -36,13 +36,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from transitlens.llm.common import connected_components, labelled, open_members, ready, star_pairs, stored
+from transitlens.llm.common import connected_components, labelled, merged_components, open_members, ready, star_pairs, stored
 
 K = 5
 ELL = 3
 SKETCHES = 20
 SIMILARITY = 0.8
-SHARED = 3
+#: Two texts whose 5-word shingles have a Jaccard similarity of 0.8 share about 10 of 20 sketches, and
+#: 5 or more in 99 of 100 cases; texts that have half of their shingles in common rarely share as many.
+SHARED = 5
 HOT = 1000
 WORD = re.compile(r"[^\W_]+")
 WORDS_KEPT = 400_000
@@ -286,24 +288,26 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.min("content").alias("content"), F.first("words").alias("words"), F.first("sketches").alias("sketches"))
     nodes = stored(nodes, "near-nodes")
     members = nodes.filter(F.col("words") >= K).select("id", F.explode("sketches").alias("bucket"))
-    # Buckets of one member say nothing more.
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    members = stored(members.join(shared, "bucket").select("bucket", "id"), "near-members")
+    # Buckets of one member say nothing more. A text ranks by how many others it meets: among
+    # edited copies the one that they were made from meets most and leads.
+    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    members = stored(members.join(shared, "bucket").select("bucket", "id", "n"), "near-shared")
+    rank = members.groupBy(F.col("id").alias("_id")).agg(F.sum("n").alias("rank"))
+    members = stored(members.join(rank, F.col("id") == F.col("_id")).select("bucket", "id", "rank"), "near-members")
     known = members.select(F.col("id").alias("_id")).distinct()
     wanted = nodes.join(known, F.col("id") == F.col("_id"), "left_semi").select(F.col("id").alias("node"), F.col("content").alias("_content"))
     content = F.xxhash64(F.col("text").isNull(), F.coalesce("text", F.lit("")))
     texts = (plain.select("text", content.alias("_c")).join(wanted, F.col("_c") == F.col("_content"))
              .groupBy("node").agg(F.first("text").alias("text")))
     texts = stored(texts, "near-texts")
-    links = verified(star_pairs(members), texts, "near-least")
-    second = star_pairs(members, largest=True).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    found = connected_components(links, "near-least")
-    still = labelled(labelled(second.withColumn("id", F.col("a")), found).withColumnRenamed("component", "_a")
-                     .withColumn("id", F.col("b")), found).filter("_a <> component").select("a", "b").distinct()
-    links = stored(links.unionByName(verified(still, texts, "near-largest")), "near-links")
-    found = connected_components(links, "near-two")
-    links = links.unionByName(verified(cross_pairs(nodes, members, found), texts, "near-cross"))
-    found = connected_components(links, "near-all")
+    found = connected_components(verified(star_pairs(members, "rank"), texts, "near-stars"), "near-stars")
+    # The members that didn't follow their leader have one of their own, and meet all others.
+    others = open_members(members, found)
+    top = others.groupBy(F.col("bucket").alias("_bucket")).agg(F.max(F.struct("rank", "id", "component")).alias("top"))
+    rest = others.join(top, F.col("bucket") == F.col("_bucket")).filter(F.col("component") != F.col("top.component"))
+    second = verified(star_pairs(rest, "rank"), texts, "near-second")
+    found = merged_components(found, second, "near-second")
+    found = merged_components(found, verified(cross_pairs(nodes, members, found), texts, "near-cross"), "near-all")
     return labelled(rows.select("doc_id", "content", "node", "words").withColumn("id", F.col("node")), found).drop("id")
 
 
