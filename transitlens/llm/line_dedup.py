@@ -13,7 +13,8 @@ and the earliest place; all others are taken out of their documents.
 No group is written out as pairs: members of a bucket are compared with one
 leader first, and only pairs that are then still in different groups meet.
 Words are counted into the SimHash's places by sums that pre-aggregate before
-the shuffle: two places to a sum, 32 bits each, which no text can overflow.
+the shuffle: four places to a sum, 16 bits each, for lines of up to ``PACKED``
+words, and one place to a sum for longer ones, of which there are few.
 
 Defined cases: lines without a letter or digit always stay; a null text stays
 null; identical rows (same id and text) count as occurrences one after the
@@ -34,7 +35,8 @@ from transitlens.llm.common import connected_components, labelled, merged_compon
 DISTANCE = 3
 BLOCKS = 5
 SIMILARITY = 0.8
-#: Lines to compare whose ids are broadcast, at most (16 bytes each); more are joined by a shuffle.
+PACKED = 16_383
+#: Lines to compare whose ids are broadcast, at most (24 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
 #: Where the blocks of a SimHash begin and end.
@@ -49,30 +51,48 @@ def content_of(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def _lines(docs: DataFrame) -> DataFrame:
+def _lines(docs: DataFrame, *more: str) -> DataFrame:
     """(doc_id, content, pos, words, id, n) of the lines with words of a table of (doc_id, text)."""
     lines = docs.filter("text IS NOT NULL").select(
-        "doc_id", content_of(F.col("text")).alias("content"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    words = lines.select("doc_id", "content", "pos", line_words(F.col("line")).alias("words"))
-    return words.filter(F.size("words") > 0).select("doc_id", "content", "pos", "words",
+        *more, "doc_id", content_of(F.col("text")).alias("content"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    words = lines.select(*more, "doc_id", "content", "pos", line_words(F.col("line")).alias("words"))
+    return words.filter(F.size("words") > 0).select(*more, "doc_id", "content", "pos", "words",
                                                     F.xxhash64("words").alias("id"), F.size("words").alias("n"))
 
 
-def _simhash(sums: list[str], n: str) -> Column:
-    """The SimHash from sums that hold places b (low half) and b + 32 (high half)."""
-    bits = [f"shiftleft(CAST({half} * 2 > {n} AS BIGINT), {place})"
-            for b, s in enumerate(sums) for half, place in ((f"({s} & 4294967295)", b), (f"shiftrightunsigned({s}, 32)", b + 32))]
+def _packed(n: str) -> Column:
+    """The SimHash from sums s0 .. s15, of which s_b holds the counts of the places b, b + 16, b + 32 and b + 48.
+
+    Twice a count is above ``n`` if adding 0x3FFF - n sets the bit above these 14. All four stay below
+    2 ** 15, so that nothing carries over.
+    """
+    ones = 0x0001000100010001
+    bits = [f"shiftleft(shiftrightunsigned(shiftleft(s{b}, 1) + (16383 - {n}) * {ones}L, 14) & {ones}L, {b})" for b in range(16)]
     return F.expr(" | ".join(bits))
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """(doc_id, content, pos, id, n, simhash, rows) of every line with words, in one pass over the texts."""
-    words = _lines(docs).select("doc_id", "content", "pos", "id", "n", F.explode("words").alias("word"))
-    words = words.select("doc_id", "content", "pos", "id", "n", F.xxhash64("word").alias("h"))
-    sums = [F.expr(f"sum(shiftrightunsigned(h, {b}) & 4294967297)").alias(f"s{b}") for b in range(32)]
-    lines = words.groupBy("doc_id", "content", "pos", "id", "n").agg(F.count("*").alias("seen"), *sums)
-    return lines.select("doc_id", "content", "pos", "id", "n", _simhash([f"s{b}" for b in range(32)], "seen").alias("simhash"),
-                        (F.col("seen") / F.col("n")).cast("long").alias("rows"))
+    """(doc_id, content, pos, id, n, simhash) of every line with words of every row.
+
+    Rows are told apart by a running number, so ``docs`` should be a table
+    that reads in the same order again if a task is repeated, as files do.
+    """
+    keys = ["row", "doc_id", "content", "pos", "id", "n"]
+    numbered = docs.withColumn("row", F.monotonically_increasing_id())
+
+    def hashed(lines: DataFrame) -> DataFrame:
+        return lines.select(*keys, F.explode("words").alias("word")).select(*keys, F.xxhash64("word").alias("h"))
+
+    lines = _lines(numbered, "row").filter(F.col("n") <= PACKED)
+    packed = hashed(lines).groupBy(*keys).agg(*[
+        F.expr(f"sum(shiftrightunsigned(h, {b}) & {0x0001000100010001}L)").alias(f"s{b}") for b in range(16)])
+    # Only a text of this length can have a longer line.
+    long_lines = _lines(numbered.filter(F.length("text") > 2 * PACKED), "row").filter(F.col("n") > PACKED)
+    plain = hashed(long_lines).groupBy(*keys).agg(*[
+        F.expr(f"sum(shiftrightunsigned(h, {b}) & 1L)").alias(f"s{b}") for b in range(64)])
+    majority = F.expr(" | ".join(f"shiftleft(CAST(s{b} * 2 > n AS BIGINT), {b})" for b in range(64)))
+    out = ["doc_id", "content", "pos", "id", "n"]
+    return packed.select(*out, _packed("n").alias("simhash")).unionByName(plain.select(*out, majority.alias("simhash")))
 
 
 def _buckets(simhash: Column) -> Column:
@@ -112,13 +132,29 @@ def _coded(words: Column) -> Column:
     return F.decode(F.unhex(F.array_join(F.transform(words, code), "")), "UTF-16BE")
 
 
-def _verified(pairs: DataFrame, coded: DataFrame, name: str) -> DataFrame:
+def _coded_lines(docs: DataFrame, occ: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
+    """(id, coded) of the lines to compare, from one document for each; other documents aren't taken apart."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
+    wanted = stored(occ.join(ids, F.col("id") == F.col("_id"), "left_semi").groupBy(F.col("id").alias("_id")).agg(
+        F.min("content").alias("_content")), f"{name}-wanted")
+    texts = wanted.select("_content").distinct()
+    if wanted.count() <= BROADCAST_IDS:
+        wanted, texts = F.broadcast(wanted), F.broadcast(texts)
+    some = docs.join(texts, content_of(F.col("text")) == F.col("_content"), "left_semi")
+    lines = _lines(some).join(wanted, (F.col("id") == F.col("_id")) & (F.col("content") == F.col("_content")), "left_semi")
+    coded = lines.select("id", _coded(F.col("words")).alias("coded"))
+    return stored(coded.groupBy("id").agg(F.first("coded").alias("coded")), f"{name}-coded")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, occ: DataFrame, name: str) -> DataFrame:
     """The (a, b) of ``pairs`` (a, b, n the longer length) with similar words."""
+    pairs = stored(pairs, f"{name}-pairs")
+    coded = _coded_lines(docs, occ, pairs, name)
     a = coded.select(F.col("id").alias("a"), F.col("coded").alias("a_coded"))
     b = coded.select(F.col("id").alias("b"), F.col("coded").alias("b_coded"))
     both = pairs.join(a, "a").join(b, "b")
     most = F.floor(F.col("n") * (1 - SIMILARITY) + 1e-9).cast("int")
-    # Lengths of edits below the limit only; -1 says above it.
+    # -1 says that there are more edits.
     apart = F.expr("levenshtein(a_coded, b_coded, most)")
     return stored(both.withColumn("most", most).filter(apart >= 0).select("a", "b"), name)
 
@@ -141,24 +177,12 @@ def _crossings(members: DataFrame, components: DataFrame) -> DataFrame:
     return met.groupBy(F.col("x_id").alias("a"), F.col("y_id").alias("b")).agg(F.max(F.greatest("x_n", "y_n")).alias("n"))
 
 
-def _coded_lines(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, coded) of the lines to compare; lines that aren't compared never move."""
-    ids = stored(ids.distinct(), "lines-wanted").select(F.col("id").alias("_id"))
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    lines = _lines(docs).join(ids, F.col("id") == F.col("_id"), "left_semi")
-    return stored(lines.select("id", _coded(F.col("words")).alias("coded")).groupBy("id").agg(F.first("coded").alias("coded")), "lines-coded")
-
-
 def line_groups(docs: DataFrame, occ: DataFrame) -> DataFrame:
     """(id, component) of the lines that are similar to a line with other words."""
     nodes = stored(occ.groupBy("id").agg(F.min("n").alias("n"), F.min("simhash").alias("simhash")), "lines-nodes")
     members = stored(_members(nodes), "lines-members")
-    stars = stored(_stars(members), "lines-stars")
-    coded = _coded_lines(docs, members.select("id"))
-    links = _verified(stars, coded, "lines-links")
-    found = connected_components(links, "lines-first")
-    more = _verified(_crossings(members, found), coded, "lines-more")
+    found = connected_components(_verified(_stars(members), docs, occ, "lines-stars"), "lines-first")
+    more = _verified(_crossings(members, found), docs, occ, "lines-more")
     return merged_components(found, more, "lines-all")
 
 
@@ -171,15 +195,16 @@ def removals(docs: DataFrame) -> DataFrame:
     occ = stored(occurrences(docs), "lines")
     groups = line_groups(docs, occ)
     place = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "content", "pos")
-    nodes = occ.groupBy("id").agg(F.min(place).alias("first"), F.sum("rows").alias("count"))
+    nodes = occ.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("count"))
     nodes = labelled(nodes, groups)
     best = nodes.groupBy(F.col("component").alias("_component")).agg(F.min("first").alias("best"), F.sum("count").alias("total"))
     judged = nodes.join(best.filter("total > 1"), F.col("component") == F.col("_component")).select(F.col("id").alias("_id"), "best")
-    lost = occ.join(judged, F.col("id") == F.col("_id")).filter(~F.col("best").eqNullSafe(place))
-    lost = lost.select("doc_id", "content", "pos", "rows")
-    several = occ.filter("rows > 1").select("doc_id", "content", F.lit(None).cast("int").alias("pos"), "rows")
-    return lost.unionByName(several).groupBy("doc_id", "content").agg(
-        F.array_sort(F.collect_set("pos")).alias("places"), F.max("rows").alias("rows"))
+    # All lines of identical rows are among these, each as often as there are rows.
+    hits = occ.join(judged, F.col("id") == F.col("_id")).groupBy("doc_id", "content", "pos").agg(
+        F.count("*").alias("rows"), F.min((~F.col("best").eqNullSafe(place)).cast("int")).alias("lost"))
+    return hits.groupBy("doc_id", "content").agg(
+        F.array_sort(F.collect_list(F.when(F.col("lost") == 1, F.col("pos")))).alias("places"), F.max("rows").alias("rows")
+    ).filter((F.size("places") > 0) | (F.col("rows") > 1))
 
 
 def _without(lines: Column, places: Column) -> Column:
