@@ -44,7 +44,7 @@ from transitlens.llm.lm_trie import STEPS, Trie, code, mapped
 
 DISCOUNT = 0.75
 #: Tokens that a batch gathers before it sends, and that a shard is made for.
-BATCH_TOKENS, SHARD_TOKENS = 2_000_000, 6_000_000
+BATCH_TOKENS, SHARD_TOKENS = 2_000_000, 3_000_000
 WORDS_KEPT = 400_000
 #: What stands before the first word and after the last: white space, so that no word has its hash's text.
 END = xxhash.xxh3_64_intdigest(b"\n") >> 1
@@ -141,7 +141,7 @@ def _sender(shards: int, pairs: bool, hot: dict[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> Iterator[pa.RecordBatch]:
             lengths = [len(t) for t in held]
-            flat = np.fromiter((x for t in held for x in t), np.int64, sum(lengths))
+            flat = np.concatenate(held)
             doc = np.repeat(np.arange(len(held), dtype=np.uint32), lengths)
             for shard, names, payload in _sent(np.array(keys, np.int64), np.array(training, bool), flat, doc, shards, pairs, hot):
                 yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([names], pa.binary()),
@@ -150,7 +150,7 @@ def _sender(shards: int, pairs: bool, hot: dict[int, int]):
         held, keys, training, n = [], [], [], 0
         for batch in batches:
             for key, learn, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                held.append(tokens(text))
+                held.append(np.array(tokens(text), np.int64))
                 keys.append(key)
                 training.append(learn)
                 n += len(held[-1])
@@ -167,24 +167,27 @@ def _received(table: pa.Table, pairs: bool):
     """Distinct values of all batches with their training counts, and each batch's part.
 
     Values are words, or pairs (place among ``contexts`` << 32 | place among
-    ``words``). A part has the documents' keys, and for each occurrence the
-    place of its value among the distinct ones and its document.
+    ``words``). A part has the documents' keys, the places of its values among
+    the distinct ones, how often each occurs, and the document of each
+    occurrence.
     """
-    got = [(np.frombuffer(names, np.int64), unpack(payload)) for names, payload in
-           zip(table.column("docs").to_pylist(), table.column("payload").to_pylist(), strict=True)]
+    got = [(np.frombuffer(names.as_buffer(), np.int64), unpack(memoryview(payload.as_buffer())))
+           for names, payload in zip(table.column("docs"), table.column("payload"), strict=True)]
     flat = np.concatenate([x[0].view(np.int64) if pairs else np.cumsum(x[0].view(np.int64)) for _, x in got])
-    words, values = np.unique(flat, return_inverse=True)
-    contexts = np.zeros(0, np.int64)
+    words, places = np.unique(flat, return_inverse=True)
+    del flat
+    contexts, distinct = np.zeros(0, np.int64), words
     if pairs:
         contexts, rank = np.unique(np.concatenate([np.cumsum(x[4].view(np.int64)) for _, x in got]), return_inverse=True)
-        rank = np.repeat(rank, np.concatenate([x[5] for _, x in got]))
-        distinct, places = np.unique(rank.astype(np.int64) << 32 | values, return_inverse=True)
-    else:
-        distinct, places = words, values
+        both = np.repeat(rank, np.concatenate([x[5] for _, x in got])) << 32
+        both |= places
+        distinct, places = np.unique(both, return_inverse=True)
+        del both, rank
+    places = places.astype(np.int32)
     total = np.bincount(places, np.concatenate([x[2] for _, x in got]), len(distinct)).astype(np.int64)
     at, parts = 0, []
     for names, x in got:
-        parts.append((names, np.repeat(places[at:at + len(x[0])], x[1]), x[3]))
+        parts.append((names, places[at:at + len(x[0])], x[1], x[3]))
         at += len(x[0])
     return words, contexts, distinct, total, parts
 
@@ -204,7 +207,8 @@ def _word_shard(table: pa.Table) -> pa.Table:
     distinct, _, _, total, parts = _received(table, False)
     logs, known = np.log10(total + 1.0), total > 0
     out = []
-    for names, places, doc in parts:
+    for names, places, seen, doc in parts:
+        places = np.repeat(places, seen)
         out.append(_rows("doc", key=names, total=np.bincount(doc, logs[places], len(names)),
                          known=np.bincount(doc, known[places], len(names)).astype(np.int64)))
     have = distinct[known]
@@ -234,13 +238,15 @@ def _pair_shard(hot: dict[int, tuple[int, int]], shards: int):
         backoff = np.zeros(len(names)) if number >= 0 else np.log10(DISCOUNT * size / count)
         trie = Trie(mapped(Trie.build(words[known], contexts[names], pointers, successor, code(np.log10(share)), code(backoff))))
         place, rank = trie.search(words, contexts, distinct)
+        del context, word, successor, learnt
         cost = np.where(place >= 0, trie.codes[np.maximum(place, 0)] if len(trie.codes) else 0,
                         np.where(rank >= 0, trie.backoffs[np.maximum(rank, 0)] if len(trie.backoffs) else 0, 0)).astype(np.float64)
         out = [_rows("mass", key=[number], known=[int(size.sum())])] if number >= 0 else []
         lost = place < 0
         second = words[distinct & 0xFFFFFFFF]
         home = second % shards
-        for docs, places, doc in parts:
+        for docs, places, seen, doc in parts:
+            places = np.repeat(places, seen)
             out.append(_rows("doc", key=docs, total=np.bincount(doc, cost[places], len(docs))))
             gone = lost[places]
             if gone.any():
