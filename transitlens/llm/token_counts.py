@@ -40,7 +40,7 @@ SPACE_RUNS = regex.compile(r"\p{White_Space}{2,}")
 LONG_CONTRACTIONS = {"'re", "'ve", "'ll"}
 
 #: Pieces that a Python worker keeps the counts of, and the longest such piece.
-PIECES_KEPT, LONGEST_KEPT = 300_000, 64
+PIECES_KEPT, LONGEST_KEPT = 600_000, 64
 
 
 class PieceCounts(dict):
