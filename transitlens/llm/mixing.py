@@ -210,7 +210,12 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     joined = docs.withColumn("_unit", unit).join(units, "_unit")
     single = joined.filter("_rows = 1").withColumn("_take", F.col("_copies"))
     order = Window.partitionBy("_unit").orderBy(*[F.lit(0)])
+    if units.filter("_rows > 1").isEmpty():  # else the join would be planned twice for nothing
+        return _copied(single, columns)
     several = joined.filter("_rows > 1").withColumn("_row", F.row_number().over(order) - 1).withColumn(
         "_take", _share(F.col("_copies"), F.col("_rows"), F.col("_row"))).drop("_row")
-    taken = single.unionByName(several).filter("_take > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_take")))).select(*columns)
+    return _copied(single.unionByName(several), columns)
+
+
+def _copied(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.filter("_take > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_take")))).select(*columns)

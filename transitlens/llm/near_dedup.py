@@ -339,10 +339,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     judged = units.join(best, F.col("group") == F.col("_group"))
     won = F.col("best.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("best.content") == F.col("content"))
     content = F.xxhash64(F.col(text_col).isNull(), F.coalesce(F.col(text_col), F.lit("")))
-    marked = judged.filter(~won | (F.col("n") > 1)).select(F.col("doc_id").alias("_id"), F.col("content").alias("_was"), won.alias("_won"))
+    marked = stored(judged.filter(~won | (F.col("n") > 1)).select(F.col("doc_id").alias("_id"), F.col("content").alias("_was"), won.alias("_won")), "near-marked")
     joined = docs.withColumn("_content", content).join(
         marked, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_content") == F.col("_was")), "left")
     single = joined.filter("_won IS NULL").select(*columns)
+    if marked.filter("_won").isEmpty():  # else the join would be planned twice for nothing
+        return single
     # Identical rows of a winner: one of them.
     repeated = joined.filter("_won").dropDuplicates(["_id", "_was"]).select(*columns)
     return single.unionByName(repeated)
