@@ -63,6 +63,18 @@ def test_simhash(spark):
     assert got & (1 << 64) - 1 == want
 
 
+def test_short_words_count(spark):
+    """Words of any length are in the SimHash, so that lines without long ones are compared as well."""
+    row = spark.createDataFrame([(1, "a bb ccc bb delta")], "doc_id long, text string")
+    hashes = [r.h for r in spark.sql("SELECT xxhash64(w) h FROM (SELECT explode(array('a', 'bb', 'ccc', 'bb', 'delta')) w)").collect()]
+    want = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    assert L.occurrences(row).first().simhash & (1 << 64) - 1 == want
+    base = [chr(0xAC00 + 37 * i) + chr(0xB098 + 11 * i) for i in range(150)]  # Korean words of two letters
+    rows = [(1, " ".join(base), None, None)] + [(2 + i, " ".join([*base[:i * 9], "새말", *base[i * 9 + 1:]]), None, None) for i in range(16)]
+    got = removed(spark, rows)
+    assert sum(gone for _, gone in got.values()) > 8
+
+
 def test_odd_rows(spark):
     got = L.dedup(odd(spark)).collect()
     assert len(got) == len(ODD)

@@ -2,9 +2,7 @@
 
 Lines are normalised to their lower-case words of letters and digits. Equal
 normalised lines are one node. A line's SimHash has, in each of 64 places, the
-majority of the hash bits of its words of ``LETTERS`` letters or more; shorter
-ones are the same in most lines and would make all SimHashes of a language
-alike. A line without such words is only compared for equality. Lines whose SimHashes differ in ``DISTANCE``
+majority of the hash bits of all its words. Lines whose SimHashes differ in ``DISTANCE``
 places or fewer agree in at least ``BLOCKS - DISTANCE`` of ``BLOCKS`` blocks,
 so each line is filed under every choice of that many blocks, and lines that
 meet in a bucket are compared: first by the distance of their SimHashes and
@@ -37,7 +35,6 @@ from transitlens.llm.common import connected_components, labelled, merged_compon
 DISTANCE = 3
 BLOCKS = 5
 SIMILARITY = 0.8
-LETTERS = 4
 PACKED = 16_383
 #: Lines to compare whose ids are broadcast, at most (24 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
@@ -84,21 +81,18 @@ def occurrences(docs: DataFrame) -> DataFrame:
     numbered = docs.withColumn("row", F.monotonically_increasing_id())
 
     def hashed(lines: DataFrame) -> DataFrame:
-        # A line without long words has one row, whose hash is that of all its words.
-        longer = F.filter("words", lambda w: F.length(w) >= LETTERS)
-        words = lines.select(*keys, F.explode_outer(longer).alias("word"))
-        return words.select(*keys, F.when(F.col("word").isNull(), F.col("id")).otherwise(F.xxhash64("word")).alias("h"))
+        return lines.select(*keys, F.explode("words").alias("word")).select(*keys, F.xxhash64("word").alias("h"))
 
     lines = _lines(numbered, "row").filter(F.col("n") <= PACKED)
-    packed = hashed(lines).groupBy(*keys).agg(F.count("*").alias("seen"), *[
+    packed = hashed(lines).groupBy(*keys).agg(*[
         F.expr(f"sum(shiftrightunsigned(h, {b}) & {0x0001000100010001}L)").alias(f"s{b}") for b in range(16)])
     # Only a text of this length can have a longer line.
     long_lines = _lines(numbered.filter(F.length("text") > 2 * PACKED), "row").filter(F.col("n") > PACKED)
-    plain = hashed(long_lines).groupBy(*keys).agg(F.count("*").alias("seen"), *[
+    plain = hashed(long_lines).groupBy(*keys).agg(*[
         F.expr(f"sum(shiftrightunsigned(h, {b}) & 1L)").alias(f"s{b}") for b in range(64)])
-    majority = F.expr(" | ".join(f"shiftleft(CAST(s{b} * 2 > seen AS BIGINT), {b})" for b in range(64)))
+    majority = F.expr(" | ".join(f"shiftleft(CAST(s{b} * 2 > n AS BIGINT), {b})" for b in range(64)))
     out = ["doc_id", "content", "pos", "id", "n"]
-    return packed.select(*out, _packed("seen").alias("simhash")).unionByName(plain.select(*out, majority.alias("simhash")))
+    return packed.select(*out, _packed("n").alias("simhash")).unionByName(plain.select(*out, majority.alias("simhash")))
 
 
 def _buckets(simhash: Column) -> Column:
