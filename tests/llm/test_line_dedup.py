@@ -75,6 +75,46 @@ def test_short_words_count(spark):
     assert sum(gone for _, gone in got.values()) > 8
 
 
+def apart(a, b):
+    """Edit distance in words."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_all_similar_lines_go(spark):
+    """Lines of any length with as many edits as the similarity allows, against all pairs."""
+    rng, lines = random.Random(11), []
+    for n in [*range(3, 16), *range(16, 80, 7)]:
+        base = [("w%d" if rng.random() < 0.7 else "of%d") % (rng.randrange(10_000) if rng.random() < 0.7 else rng.randrange(4)) for _ in range(n)]
+        lines.append(base)
+        for extra in (0, 0, 0, 1):  # one line has an edit too many
+            near = list(base)
+            for _ in range(int(0.2 * n + 1e-9) + extra):
+                at, kind = rng.randrange(len(near)), rng.randrange(3)
+                near[at:at + 1] = [["n%d" % rng.randrange(10_000)], [], [near[at], "n%d" % rng.randrange(10_000)]][kind]
+            lines.append(near)
+    assert L.SIMILARITY == 0.8
+    root = list(range(len(lines)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(lines):
+        for j in range(i):
+            if apart(a, lines[j]) <= int(0.2 * max(len(a), len(lines[j])) + 1e-9):
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    got = removed(spark, [(i, " ".join(line), None, None) for i, line in enumerate(lines)])
+    assert {i for i, (_, gone) in got.items() if not gone} == {find(i) for i in root}
+
+
 def test_odd_rows(spark):
     got = L.dedup(odd(spark)).collect()
     assert len(got) == len(ODD)

@@ -4,14 +4,26 @@ Lines are normalised to their lower-case words of letters and digits. Equal
 normalised lines are one node. A line's SimHash has, in each of 64 places, the
 majority of the hash bits of all its words. Lines whose SimHashes differ in ``DISTANCE``
 places or fewer agree in at least ``BLOCKS - DISTANCE`` of ``BLOCKS`` blocks,
-so each line is filed under every choice of that many blocks, and lines that
-meet in a bucket are compared: first by the distance of their SimHashes and
-their lengths, then by edit similarity, in words, of ``SIMILARITY`` or more.
+so each line is filed under every choice of that many blocks, and compared with
+the leader of each bucket: first by the distance of their SimHashes and their
+lengths, then by edit similarity, in words, of ``SIMILARITY`` or more.
+
+SimHashes so close are rare for lines of ordinary length, so all lines meet once
+more, in buckets that no similar pair escapes. At most k = (1 - ``SIMILARITY``) *
+length of a line's words are missing from a similar line. So if the words of all
+lines are put in one order, the first word that the two have in common is among
+the first k + 1 different words of both. Each line is filed under these; the order
+takes rare words first, which keeps buckets small. Members are compared with a
+leader, then all pairs that are still in different groups: by their lengths and
+by ``PARITIES`` * 64 parities of their words' counts, of which an edit changes
+two at most, then by edit similarity. Neither step loses a similar pair.
+
 Of each connected group of lines one occurrence stays, that of the least id
 and the earliest place; all others are taken out of their documents.
 
 No group is written out as pairs: members of a bucket are compared with one
-leader first, and only pairs that are then still in different groups meet.
+leader first, and of those that are then still in different groups only pairs
+that lengths and parities allow are written.
 Words are counted into the SimHash's places by sums that pre-aggregate before
 the shuffle: four places to a sum, 16 bits each, for lines of up to ``PACKED``
 words, and one place to a sum for longer ones, of which there are few.
@@ -30,12 +42,15 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from transitlens.llm.common import connected_components, labelled, merged_components, open_members, stored
+from transitlens.llm.common import connected_components, labelled, merged_components, stored
 
 DISTANCE = 3
 BLOCKS = 5
 SIMILARITY = 0.8
 PACKED = 16_383
+PARITIES = 4
+#: Words are counted in so many slots of their hashes, from one of ``COUNTED`` lines: this decides on their order only, not on what is found.
+SLOTS, COUNTED = 8192, 8
 #: Lines to compare whose ids are broadcast, at most (24 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -168,21 +183,76 @@ def _stars(members: DataFrame) -> DataFrame:
     return met.groupBy("a", "b").agg(F.max(F.greatest("a_n", "b_n")).alias("n"))
 
 
-def _crossings(members: DataFrame, components: DataFrame) -> DataFrame:
+def _most(n: str) -> str:
+    """The edits that leave a line of ``n`` words similar."""
+    return f"CAST(floor(({n}) * (1 - {SIMILARITY}D) + 1e-9D) AS INT)"
+
+
+def _commonness(docs: DataFrame) -> Column:
+    """An array of how common the words of each slot are: the number of binary digits of their count."""
+    words = _lines(docs).filter(F.pmod("id", F.lit(COUNTED)) == 0).select(F.explode("words").alias("word"))
+    slots = words.groupBy(F.xxhash64("word").bitwiseAND(SLOTS - 1).alias("slot")).agg(F.count("*").alias("n"))
+    digits = [0] * SLOTS
+    for r in slots.collect():  # SLOTS rows at most
+        digits[r["slot"]] = r["n"].bit_length()
+    return F.split(F.lit(",".join(map(str, digits))), ",").cast("array<int>")
+
+
+def _signed(docs: DataFrame) -> DataFrame:
+    """(id, n, p0 .. , firsts) of the lines of different words: parities of their words' counts and the words to file them under."""
+    common = _commonness(docs)
+    hashed = _lines(docs).select("id", "n", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
+    key = lambda h: F.shiftleft(F.coalesce(F.get(common, h.bitwiseAND(SLOTS - 1).cast("int")), F.lit(0)).cast("long"), 56).bitwiseOR(
+        F.shiftrightunsigned(h, 8))
+    firsts = F.slice(F.sort_array(F.transform(F.array_distinct("hashes"), key)), F.lit(1), F.expr(f"{_most('n')} + 1"))
+    parity = [F.expr(f"aggregate(hashes, 0L, (p, h) -> p ^ if((shiftrightunsigned(h, 6) & {PARITIES - 1}) = {k}, "
+                     "shiftleft(1L, CAST(h & 63 AS INT)), 0L))").alias(f"p{k}") for k in range(PARITIES)]
+    signed = hashed.select("id", "n", *parity, firsts.alias("firsts"))
+    return signed.groupBy("id").agg(*[F.first(c).alias(c) for c in signed.columns if c != "id"])
+
+
+def _possible(a: str, b: str) -> Column:
+    """Whether two lines may be similar by their lengths and parities; true for all that are."""
+    flips = " + ".join(f"bit_count({a}p{k} ^ {b}p{k})" for k in range(PARITIES))
+    longer = f"greatest({a}n, {b}n)"
+    return F.expr(f"{longer} - least({a}n, {b}n) <= {_most(longer)} AND {flips} <= 2 * {_most(longer)}")
+
+
+def _open(signed: DataFrame, components: DataFrame, name: str) -> DataFrame:
+    """The lines with their components under each of their first words, where lines of other components are as well."""
+    # No line of fewer than four words is similar to one that isn't equal.
+    rows = stored(labelled(signed.filter(F.expr(f"{_most('n + 1')} > 0")), components), name)
+    filed = rows.select(F.explode("firsts").alias("bucket"), "id", "n", *[f"p{k}" for k in range(PARITIES)], "component")
+    mixed = filed.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+    return filed.join(mixed.filter("_low <> _high").select("bucket"), "bucket", "left_semi")
+
+
+def _led(rows: DataFrame) -> DataFrame:
+    """(a, b, n): members with their bucket's leader, where they may be similar and are in different components."""
+    columns = [c for c in rows.columns if c != "bucket"]
+    leaders = rows.groupBy("bucket").agg(F.min(F.struct(*columns)).alias("l")).select(
+        F.col("bucket").alias("x_bucket"), *[F.col(f"l.{c}").alias(f"x_{c}") for c in columns])
+    met = rows.select(*[F.col(c).alias(f"y_{c}") for c in rows.columns]).join(
+        leaders, (F.col("x_bucket") == F.col("y_bucket")) & (F.col("x_component") != F.col("y_component")) & _possible("x_", "y_"))
+    return met.groupBy(F.col("x_id").alias("a"), F.col("y_id").alias("b")).agg(F.max(F.greatest("x_n", "y_n")).alias("n"))
+
+
+def _crossings(rows: DataFrame) -> DataFrame:
     """(a, b, n): members of one bucket and different components that may be similar."""
-    rows = stored(open_members(members, components), "lines-open")
     x, y = ([F.col(c).alias(f"{p}_{c}") for c in rows.columns] for p in "xy")
     met = rows.select(*x).join(rows.select(*y), (F.col("x_bucket") == F.col("y_bucket"))
-                               & (F.col("x_component") < F.col("y_component")) & _near("x_", "y_"))
+                               & (F.col("x_component") < F.col("y_component")) & _possible("x_", "y_"))
     return met.groupBy(F.col("x_id").alias("a"), F.col("y_id").alias("b")).agg(F.max(F.greatest("x_n", "y_n")).alias("n"))
 
 
 def line_groups(docs: DataFrame, occ: DataFrame) -> DataFrame:
     """(id, component) of the lines that are similar to a line with other words."""
     nodes = stored(occ.groupBy("id").agg(F.min("n").alias("n"), F.min("simhash").alias("simhash")), "lines-nodes")
-    members = stored(_members(nodes), "lines-members")
-    found = connected_components(_verified(_stars(members), docs, occ, "lines-stars"), "lines-first")
-    more = _verified(_crossings(members, found), docs, occ, "lines-more")
+    found = connected_components(_verified(_stars(_members(nodes)), docs, occ, "lines-stars"), "lines-first")
+    signed = stored(_signed(docs), "lines-signed")
+    led = _verified(_led(_open(signed, found, "lines-open")), docs, occ, "lines-led")
+    found = merged_components(found, led, "lines-second")
+    more = _verified(_crossings(_open(signed, found, "lines-apart")), docs, occ, "lines-more")
     return merged_components(found, more, "lines-all")
 
 
