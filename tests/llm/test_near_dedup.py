@@ -86,6 +86,20 @@ def test_against_all_pairs(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(got.values()))
 
 
+def test_edited_copies_that_share_a_passage_with_others(spark, monkeypatch):
+    """Copies with few sketches in common, whose buckets also hold many other texts."""
+    rows, shared = [], prose(5, 78).split()
+    for group in range(25):
+        own = ["own%dof%d" % (i, group) for i in range(22)]
+        edited = ["edit%dof%d" % (i, group) if i % 5 == 0 else w for i, w in enumerate(own)]  # in every k-mer
+        rows += [(2 * group, " ".join(shared + own), "en", "a"), (2 * group + 1, " ".join(shared + edited), "en", "a")]
+    want = brute(rows)
+    assert len(set(want.values())) == 25
+    assert {r.doc_id: r.class_id for r in N.near_duplicates(documents(spark, rows)).collect()} == want
+    monkeypatch.setattr(N, "HOT", 3)
+    assert {r.doc_id: r.class_id for r in N.near_duplicates(documents(spark, rows)).collect()} == want
+
+
 def test_hot_buckets_are_split(spark, monkeypatch):
     monkeypatch.setattr(N, "HOT", 3)
     rows = corpus()

@@ -11,11 +11,14 @@ of ``SIMILARITY`` or more. A class is a connected group of near duplicates.
 Words are runs of letters and digits in lower case. Texts with the same words
 are one node and count as copies without being paired. Classes are found in
 rounds, so that no group is written out as pairs: each bucket's members are
-aligned with a leader, those that don't follow it with one of their own; then
-pairs from different classes so far, which share a bucket and at least ``SHARED``
-sketches, are aligned. Buckets with more than ``HOT`` members of different
-classes (a passage that many different texts have) are split by a second
-sketch, which a pair with ``SHARED`` sketches also shares.
+aligned with a leader, and those that don't follow it with one of their own, again
+until a round joins nothing new. Then all pairs of different classes that still
+share a bucket are aligned, if their lengths and the parities of their words'
+counts in ``PARITIES`` slots allow that they are similar: an edit changes two
+parities at most, so that no near duplicate is lost. Buckets with more than ``HOT``
+members (a passage that many different texts have) are split by length: a member
+is filed under its own range of lengths and the next one, which near duplicates
+have in common.
 
 Defined cases: a null text or one without words is a copy of equal text only,
 and an empty or null one is in a class of its own with every row; a text of
@@ -26,13 +29,14 @@ result.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,9 +46,9 @@ K = 5
 ELL = 3
 SKETCHES = 20
 SIMILARITY = 0.8
-#: Two texts whose 5-word shingles have a Jaccard similarity of 0.8 share about 10 of 20 sketches, and
-#: 5 or more in 99 of 100 cases; texts that have half of their shingles in common rarely share as many.
-SHARED = 5
+#: Sketches that two texts share to be candidates: one, that of the bucket they meet in.
+SHARED = 1
+PARITIES = 2048
 HOT = 1000
 WORD = re.compile(r"[^\W_]+")
 WORDS_KEPT = 400_000
@@ -130,17 +134,26 @@ def sketch(words: list[np.ndarray], k: int = K, ell: int = ELL, sketches: int =
     return out
 
 
+def parities(words: list[np.ndarray]) -> np.ndarray:
+    """A row of ``PARITIES`` bits for each text: whether it has an odd number of words in a slot."""
+    out = np.empty((len(words), PARITIES // 64), np.int64)
+    for i, w in enumerate(words):
+        odd = np.bincount((w & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1
+        out[i] = np.packbits(odd.astype(np.uint8)).view(np.int64)
+    return out
+
+
 def sketched(docs: DataFrame) -> DataFrame:
-    """(doc_id, content, node, words, sketches) of a table of (doc_id, text).
+    """(doc_id, content, node, words, sketches, parities) of a table of (doc_id, text).
 
     ``content`` is a hash of the text, ``node`` one of its words (of the text
-    where it has none). ``sketches`` is null where there are no words.
+    where it has none). ``sketches`` and ``parities`` are null where there are no words.
     """
     ready(docs.sparkSession)
     rows = docs.select("doc_id", "text", F.xxhash64(F.col("text").isNull(), F.coalesce("text", F.lit(""))).alias("content"))
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("content", T.LongType()),
                            T.StructField("node", T.LongType()), T.StructField("words", T.LongType()),
-                           T.StructField("sketches", T.ArrayType(T.LongType()))])
+                           T.StructField("sketches", T.ArrayType(T.LongType())), T.StructField("parities", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,13 +166,15 @@ def sketched(docs: DataFrame) -> DataFrame:
                 if n >= CHUNK or i == batch.num_rows - 1:
                     some = [w for w in words if len(w)]
                     made = iter(sketch(some).view(np.int64).tolist() if some else [])
+                    odd = iter(parities(some).tolist())
                     node = [xxhash.xxh3_64_intdigest(w.tobytes()) - (1 << 63) if len(w) else contents[r]
                             for w, r in zip(words, rows, strict=True)]
                     part = batch.slice(rows[0], len(rows))
                     yield pa.RecordBatch.from_arrays(
                         [part.column(0), part.column(2), pa.array(node, pa.int64()),
                          pa.array([len(w) for w in words], pa.int64()),
-                         pa.array([next(made) if len(w) else None for w in words], pa.list_(pa.int64()))], schema.names)
+                         pa.array([next(made) if len(w) else None for w in words], pa.list_(pa.int64())),
+                         pa.array([next(odd) if len(w) else None for w in words], pa.list_(pa.int64()))], schema.names)
                     words, rows, n = [], [], 0
 
     return rows.mapInArrow(run, schema)
@@ -256,27 +271,38 @@ def verified(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     return stored(rows.select("a", "salt", "b", "text").mapInArrow(run, schema), f"{name}-links")
 
 
+def possible(a: str, b: str) -> Column:
+    """Whether two texts may be similar by their lengths and parities; true for all that are."""
+    longer = f"greatest({a}.words, {b}.words)"
+    most = f"floor({longer} * (1 - {SIMILARITY}D) + 1e-9D)"
+    flips = " + ".join(f"bit_count({a}.parities[{k}] ^ {b}.parities[{k}])" for k in range(PARITIES // 64))
+    return F.expr(f"{longer} - least({a}.words, {b}.words) <= {most} AND {flips} <= 2 * {most}")
+
+
+def allowed(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The (a, b) of ``pairs`` that may be similar; ``nodes`` has (id, words, parities)."""
+    x, y = nodes.select("id", "words", "parities").alias("x"), nodes.select("id", "words", "parities").alias("y")
+    return pairs.join(x, F.col("a") == F.col("x.id")).join(y, F.col("b") == F.col("y.id")).filter(possible("x", "y")).select("a", "b")
+
+
 def cross_pairs(nodes: DataFrame, members: DataFrame, components: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that share ``SHARED`` sketches or more.
+    """Pairs (a, b) of different components that share a bucket and may be similar.
 
-    ``nodes`` has (id, words, sketches), ``members`` (bucket, id).
+    ``nodes`` has (id, words, parities), ``members`` (bucket, id).
     """
     rows = stored(open_members(members, components), "near-open")
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("n"))
     hot = sizes.filter(F.col("n") > HOT).select("bucket")
+    facts = nodes.select(F.col("id").alias("_id"), "words", "parities")
+    rows = rows.select("bucket", "id", "component").join(facts, F.col("id") == F.col("_id")).drop("_id")
     cool = rows.join(hot, "bucket", "left_anti")
-    # In a hot bucket the second sketch of a pair that shares several is hot as well, or the pair is found elsewhere.
-    warm = rows.join(hot, "bucket")
-    other = warm.select(F.col("id").alias("_id"), F.col("bucket").alias("_second"))
-    both = warm.join(other, F.col("id") == F.col("_id")).filter(F.col("bucket") < F.col("_second"))
-    split = both.select(F.xxhash64("bucket", "_second").alias("bucket"), "id", "component")
-    rows = cool.select("bucket", "id", "component").unionByName(split)
-    facts = nodes.select(F.col("id").alias("_id"), "words", "sketches")
-    rows = rows.join(facts, F.col("id") == F.col("_id")).drop("_id")
+    # Similar lengths are in one range or in ranges that follow each other.
+    band = F.floor(F.log("words") / -math.log(SIMILARITY) * (1 - 1e-6))
+    warm = rows.join(hot, "bucket").withColumn("band", F.explode(F.array(band, band + 1)))
+    split = warm.select(F.xxhash64("bucket", "band").alias("bucket"), "id", "component", "words", "parities")
+    rows = cool.select("bucket", "id", "component", "words", "parities").unionByName(split)
     x, y = rows.alias("x"), rows.alias("y")
-    near = ((F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component"))
-            & (F.least("x.words", "y.words") >= SIMILARITY * F.greatest("x.words", "y.words"))
-            & (F.size(F.array_intersect("x.sketches", "y.sketches")) >= SHARED))
+    near = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component")) & possible("x", "y")
     return x.join(y, near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 
@@ -285,7 +311,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = stored(sketched(plain), "near-sketches")
     nodes = rows.filter("sketches IS NOT NULL").groupBy(F.col("node").alias("id")).agg(
-        F.min("content").alias("content"), F.first("words").alias("words"), F.first("sketches").alias("sketches"))
+        F.min("content").alias("content"), F.first("words").alias("words"), F.first("sketches").alias("sketches"),
+        F.first("parities").alias("parities"))
     nodes = stored(nodes, "near-nodes")
     members = nodes.filter(F.col("words") >= K).select("id", F.explode("sketches").alias("bucket"))
     # Buckets of one member say nothing more. A text ranks by how many others it meets: among
@@ -302,11 +329,14 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     texts = stored(texts, "near-texts")
     found = connected_components(verified(star_pairs(members, "rank"), texts, "near-stars"), "near-stars")
     # The members that didn't follow their leader have one of their own, and meet all others.
-    others = open_members(members, found)
-    top = others.groupBy(F.col("bucket").alias("_bucket")).agg(F.max(F.struct("rank", "id", "component")).alias("top"))
-    rest = others.join(top, F.col("bucket") == F.col("_bucket")).filter(F.col("component") != F.col("top.component"))
-    second = verified(star_pairs(rest, "rank"), texts, "near-second")
-    found = merged_components(found, second, "near-second")
+    while True:
+        others = stored(open_members(members, found), "near-others")
+        top = others.groupBy(F.col("bucket").alias("_bucket")).agg(F.max(F.struct("rank", "id", "component")).alias("top"))
+        rest = others.join(top, F.col("bucket") == F.col("_bucket")).filter(F.col("component") != F.col("top.component"))
+        links = verified(allowed(star_pairs(rest, "rank"), nodes), texts, "near-second")
+        before, found = found, merged_components(found, links, "near-second")
+        if found is before:
+            break
     found = merged_components(found, verified(cross_pairs(nodes, members, found), texts, "near-cross"), "near-all")
     return labelled(rows.select("doc_id", "content", "node", "words").withColumn("id", F.col("node")), found).drop("id")
 
