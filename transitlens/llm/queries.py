@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from transitlens.llm import bpe_coding, chat_format, line_dedup, lm_scoring, mixing, near_dedup, quality_rules, token_counts, topk_search, toxicity as toxic
+from transitlens.llm import bpe_coding, chat_format, line_dedup, lm_scoring, mixing, near_dedup, quality_rules, token_counts, topk_search, toxicity as toxic, whitening
 from transitlens.llm.common import read_table
 
 #: The operators' vocabulary files; parameters of the operators themselves.
@@ -58,6 +58,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"), k=8)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
@@ -69,6 +73,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_chat_format": op9_chat_format,
     "op10_mixing": op10_mixing,
+    "op11_whitening": op11_whitening,
 }
 ORACLES: dict[str, str] = {
     "op3_quality_rules": quality_rules.ORACLE_SQL,
