@@ -34,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,7 +47,7 @@ SCORE_SCALE, COVERED_PERCENT = 2_000_000, 80
 #: Suffixes that a group should hold, and the share of it that one prefix may have.
 BUDGET, PREFIX_SHARE = 400_000, 4
 #: Words of a chunk, and different words that a task counts before it hands them on.
-CHUNK, COUNTED = 400_000, 200_000
+CHUNK, COUNTED = 600_000, 200_000
 #: Places of the bitmap of frequent words (8 MB).
 BITS = 1 << 26
 BITMAP_ROW = 32_768
@@ -55,6 +56,7 @@ BITMAP_ROW = 32_768
 CUTS = bytes.maketrans(b",;:!?\n\x0b\x0c\r\t", b"......... ")
 STOP = b"."
 ROWS = "lang string, prefix string, depth int, tails binary, counts binary, entries long"
+NAMES = ["lang", "prefix", "depth", "tails", "counts", "entries"]
 
 
 def blocks(text: str | None, size: int = 4 << 20) -> Iterator[bytes]:
@@ -121,8 +123,12 @@ def bitmap(words: DataFrame) -> np.ndarray:
 
 
 def runs(columns: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Order of the rows by all columns, and for each number of leading columns where new values start."""
-    order = np.lexsort(columns[::-1])
+    """Order of the rows by all columns, and for each number of leading columns where new values start.
+
+    Values are whole numbers below 2 ** 31.
+    """
+    keys = [a << 32 | b for a, b in zip(columns[::2], [*columns[1::2], *[np.zeros_like(columns[0])] * (len(columns) % 2)], strict=True)]
+    order = np.lexsort(keys[::-1])
     new = np.zeros(len(order), bool)
     new[:1] = True
     starts = []
@@ -133,40 +139,49 @@ def runs(columns: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
     return order, starts
 
 
-def chunk_leaves(tokens: list[bytes], lang: str, bits: np.ndarray) -> list[tuple]:
+def _offsets(starts: np.ndarray, end: int) -> pa.Array:
+    return pa.array(np.append(starts, end), pa.int32())
+
+
+def chunk_leaves(tokens: list[bytes], lang: str, bits: np.ndarray) -> pa.RecordBatch | None:
     """The distinct suffixes of two words or more of a chunk, one row for each first word."""
-    index: dict[bytes, int] = {b"": 0}
-    ids = np.fromiter((index.setdefault(w, len(index)) for w in tokens), np.int64, len(tokens))
+    coded = pa.array(tokens, pa.binary()).dictionary_encode()
+    names = coded.dictionary.to_pylist()
     seed = zlib.crc32(lang.encode() + b" ")
-    places = np.fromiter((zlib.crc32(w, seed) % BITS for w in index), np.int64, len(index))
+    places = np.fromiter((zlib.crc32(w, seed) % BITS for w in names), np.int64, len(names))
     frequent = (bits[places >> 3] >> (places & 7).astype(np.uint8) & 1).astype(bool)
-    frequent[[0, index.get(STOP, 0)]] = False
-    alive = np.concatenate([frequent[ids], np.zeros(DEPTH, bool)])
-    ids = np.concatenate([ids, np.zeros(DEPTH, np.int64)])
+    # Word 0 is the empty one, which follows where a suffix ends.
+    frequent = np.append(False, frequent & np.array([w != STOP for w in names], bool))
+    ids = np.append(coded.indices.to_numpy().astype(np.int64) + 1, np.zeros(DEPTH, np.int64))
+    vocabulary = pa.concat_arrays([pa.array([b""], pa.binary()), coded.dictionary])
+    alive = frequent[ids]
     starts = np.flatnonzero(alive[:-1] & alive[1:])
+    if not len(starts):
+        return None
     columns, live = [], np.ones(len(starts), bool)
     for k in range(DEPTH):
         live &= alive[starts + k]
         columns.append(np.where(live, ids[starts + k], 0))
-    if not len(starts):
-        return []
     order, begins = runs(columns)
     leaf = begins[-1]
     counts = np.diff(np.append(leaf, len(order))).astype(np.int32)
     columns = [c[order[leaf]] for c in columns]
-    names = np.array(list(index), object)
-    tails = names[np.stack(columns[1:], axis=1)]
     first = np.flatnonzero(np.diff(columns[0], prepend=-1))
-    return [(lang, names[columns[0][a]], 1, b" ".join(tails[a:b].ravel()), counts[a:b].tobytes(), b - a)
-            for a, b in zip(first.tolist(), [*first[1:].tolist(), len(leaf)], strict=True)]
+    tails = pc.binary_join_element_wise(*[vocabulary.take(pa.array(c)) for c in columns[1:]], b" ")
+    bounds = _offsets(first, len(leaf))
+    n = len(first)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([lang] * n, pa.string()), vocabulary.take(pa.array(columns[0][first])).cast(pa.string()), pa.array([1] * n, pa.int32()),
+         pc.binary_join(pa.ListArray.from_arrays(bounds, tails), b" "),
+         pa.Array.from_buffers(pa.binary(), n, [None, _offsets(4 * first, 4 * len(leaf)).buffers()[1], pa.py_buffer(counts)]),
+         pa.array(np.diff(np.append(first, len(leaf))), pa.int64())], NAMES)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     lang, prefix, depth, tails, counts, entries = zip(*rows, strict=True)
     return pa.RecordBatch.from_arrays(
         [pa.array(lang, pa.string()), pa.array(prefix, pa.binary()).cast(pa.string()), pa.array(depth, pa.int32()),
-         pa.array(tails, pa.binary()), pa.array(counts, pa.binary()), pa.array(entries, pa.int64())],
-        ["lang", "prefix", "depth", "tails", "counts", "entries"])
+         pa.array(tails, pa.binary()), pa.array(counts, pa.binary()), pa.array(entries, pa.int64())], NAMES)
 
 
 def gather(texts: DataFrame, bits: np.ndarray) -> DataFrame:
@@ -178,20 +193,21 @@ def gather(texts: DataFrame, bits: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_chunks: dict[str, list[bytes]] = {}
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for name, tokens in open_chunks.items():
+                found = chunk_leaves(tokens, name, shared.value)
+                if found is not None:
+                    yield found
+            open_chunks.clear()
+
         for lang, block in _by_lang(batches):
             chunk = open_chunks.setdefault(lang, [])
             chunk.extend(words_of(block))
             chunk.append(STOP)
             if sum(map(len, open_chunks.values())) > CHUNK:
-                for name, tokens in open_chunks.items():
-                    rows = chunk_leaves(tokens, name, shared.value)
-                    if rows:
-                        yield _batch(rows)
-                open_chunks.clear()
-        for name, tokens in open_chunks.items():
-            rows = chunk_leaves(tokens, name, shared.value)
-            if rows:
-                yield _batch(rows)
+                yield from rows()
+        yield from rows()
 
     return texts.mapInArrow(run, ROWS)
 
@@ -219,6 +235,7 @@ def extended(rows: DataFrame) -> DataFrame:
 def partition(rows: DataFrame, budget: int = BUDGET) -> tuple[DataFrame, DataFrame | None]:
     """(rows whose prefixes fit the budget, with ``group``; leaves of those that never do, or None)."""
     limit = max(1, budget // PREFIX_SHARE)
+    groups = max(1, -(-2 * (rows.agg(F.sum("entries")).first()[0] or 0) // budget))
     fitting, leaves = None, None
     for depth in range(1, DEPTH + 1):
         heavy = stored(rows.groupBy("lang", "prefix").agg(F.sum("entries").alias("load")).filter(F.col("load") > limit)
@@ -233,49 +250,67 @@ def partition(rows: DataFrame, budget: int = BUDGET) -> tuple[DataFrame, DataFra
             leaves = rows
         else:
             rows = stored(extended(rows), "phrase-rows")
-    load = fitting.agg(F.sum("entries")).first()[0] or 0
-    groups = max(1, -(-2 * load // budget))
     return fitting.withColumn("group", F.pmod(F.xxhash64("lang", "prefix"), F.lit(groups))), leaves
 
 
-def group_nodes(rows: list[dict], least: int) -> Iterator[tuple[str, list[bytes], int, int]]:
-    """(lang, words, number of words, leaves) of the nodes of a group's subtree from two words on.
+def _words(column: pa.Array) -> pa.Array:
+    return pc.split_pattern(column.cast(pa.string()), " ").flatten()
+
+
+def group_nodes(table: pa.Table, least: int) -> tuple[list, list, list, list]:
+    """(lang, phrase, words, leaves) of the nodes of a group's subtree from two words on.
 
     A node above a prefix has only the leaves of this group and is given
     whatever their number, the others from ``least`` leaves on.
     """
-    index: dict[str | bytes, int] = {b"": 0}
-    langs: dict[str, int] = {}
-    parts, counts = [], []
-    for r in rows:
-        head = [index.setdefault(w, len(index)) for w in r["prefix"].encode().split(b" ")]
-        n, width = r["entries"], DEPTH - r["depth"]
-        part = np.zeros((n, DEPTH + 2), np.int64)
-        part[:, 0], part[:, 1] = langs.setdefault(r["lang"], len(langs)), r["depth"]
-        part[:, 2:2 + r["depth"]] = head
-        if width:
-            part[:, 2 + r["depth"]:] = np.fromiter((index.setdefault(w, len(index)) for w in r["tails"].split(b" ")),
-                                                   np.int64, n * width).reshape(n, width)
-        parts.append(part)
-        counts.append(np.frombuffer(r["counts"], np.int32))
-    table, leaves = np.concatenate(parts), np.concatenate(counts).astype(np.int64)
-    order, starts = runs([table[:, 0], *table[:, 2:].T])
-    table, leaves = table[order], leaves[order]
-    names, lang_names = np.array(list(index), object), list(langs)
+    pieces, shapes, langs, counts = [], [], [], []
+    for d in range(1, DEPTH + 1):
+        rows = table.filter(pc.equal(table["depth"], d)).combine_chunks()
+        if not rows.num_rows:
+            continue
+        lang, prefix, _, tails, leaves, entries = (rows.column(c).combine_chunks() if rows.column(c).num_chunks != 1
+                                                   else rows.column(c).chunk(0) for c in NAMES)
+        entries = entries.to_numpy()
+        pieces.append(_words(prefix))
+        if d < DEPTH:
+            pieces.append(_words(tails))
+        shapes.append((d, entries))
+        langs.append((lang, entries))
+        counts += leaves.to_pylist()
+    coded = pa.concat_arrays(pieces).dictionary_encode()
+    names, ids = coded.dictionary, coded.indices.to_numpy().astype(np.int64) + 1
+    ids[ids == pc.index(names, "").as_py() + 1] = 0
+    lang_coded = pa.concat_arrays([a for a, _ in langs]).dictionary_encode()
+    lang_ids = np.repeat(lang_coded.indices.to_numpy().astype(np.int64), np.concatenate([e for _, e in langs]))
+    parts, depths, at = [], [], 0
+    for d, entries in shapes:
+        head, at = ids[at:at + len(entries) * d].reshape(-1, d), at + len(entries) * d
+        total = int(entries.sum())
+        tail, at = ids[at:at + total * (DEPTH - d)].reshape(total, DEPTH - d), at + total * (DEPTH - d)
+        parts.append(np.concatenate([np.repeat(head, entries, axis=0), tail], axis=1))
+        depths.append(np.full(total, d))
+    words, depth, leaves = np.concatenate(parts), np.concatenate(depths), np.frombuffer(b"".join(counts), np.int32).astype(np.int64)
+    order, starts = runs([lang_ids, *words.T])
+    lang_ids, words, depth, leaves = lang_ids[order], words[order], depth[order], leaves[order]
+    names, lang_names = np.array(names.to_pylist(), object), lang_coded.dictionary.to_pylist()
+    out: tuple[list, list, list, list] = ([], [], [], [])
     for k in range(2, DEPTH + 1):
         begin = starts[k]
         total = np.add.reduceat(leaves, begin)
-        kept = np.flatnonzero((table[begin, k + 1] > 0) & ((total >= least) | (table[begin, 1] > k)))
-        for row, t in zip(table[begin[kept]], total[kept].tolist(), strict=True):
-            yield lang_names[row[0]], b" ".join(names[row[2:2 + k]]), k, t
+        kept = (words[begin, k - 1] > 0) & ((total >= least) | (depth[begin] > k))
+        begin, total = begin[kept], total[kept]
+        out[0].extend(lang_names[i] for i in lang_ids[begin])
+        out[1].extend(" ".join(w) for w in names[words[begin, :k] - 1])
+        out[2].extend([k] * len(begin))
+        out[3].extend(total.tolist())
+    return out
 
 
 def subtrees(rows: DataFrame, least: int) -> DataFrame:
     """(lang, phrase, words, f) of each group's nodes."""
     def run(table: pa.Table) -> pa.Table:
-        nodes = list(group_nodes(table.to_pylist(), least))
-        lang, phrase, words, f = zip(*nodes, strict=True) if nodes else ((), (), (), ())
-        return pa.Table.from_arrays([pa.array(lang, pa.string()), pa.array(phrase, pa.binary()).cast(pa.string()),
+        lang, phrase, words, f = group_nodes(table, least)
+        return pa.Table.from_arrays([pa.array(lang, pa.string()), pa.array(phrase, pa.string()),
                                      pa.array(words, pa.int32()), pa.array(f, pa.int64())], ["lang", "phrase", "words", "f"])
 
     return rows.groupBy("group").applyInArrow(run, "lang string, phrase string, words int, f long")
