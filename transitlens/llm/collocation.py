@@ -1,21 +1,25 @@
 """Phrase collocations from suffix subtrees that are built group by group.
 
 Texts are cut into pieces and words. The suffixes of the pieces, by words and
-truncated at four of them, form a tree for each language; a phrase's frequency
-is the number of leaves below its node. The tree never exists as a whole:
-
-1. ``word_counts`` counts the words. Words below the least frequency end a
-   suffix. A bitmap of fixed size, one bit for each frequent word's hash, tells
-   tasks which they are; a wrong bit only lets a suffix live on.
-2. ``gather`` collects, for each first word (the prefix) of a chunk of text,
-   its distinct truncated suffixes with counts, in order, as one row.
+truncated, form a tree for each language; a phrase's frequency is the number of
+leaves below its node. The tree never exists as a whole:
+
+1. ``word_counts`` counts the words: prefixes of one word.
+2. ``gather`` collects, for each first word of a chunk of text, its distinct
+   truncated suffixes with counts, in order, as one row. A word below the least
+   frequency ends a suffix. A bitmap of fixed size, one bit for each frequent
+   word's hash, tells tasks which these are; a wrong bit only lets a suffix
+   live on.
 3. ``partition`` is the vertical partitioning: prefixes with more suffixes than
-   the budget allows are extended by a word until they fit, at four words a
-   prefix is a leaf and becomes a sum. The others are packed into groups of
-   about the budget.
+   the budget allows are extended by a word until they fit; a prefix that is as
+   long as a suffix is a leaf and becomes a sum. The others are packed into
+   groups of about the budget.
 4. ``subtrees`` sorts each group's suffixes on its own, which lays the subtree
    out as runs, and reads every node's count from its leaves' totals.
 
+Steps 2 to 4 run twice: down to two words, and from the frequent pairs, which
+a second bitmap tells, down to four.
+
 Scores, cuts and what longer phrases cover are joins and aggregates over the
 frequent phrases only.
 
@@ -45,12 +49,12 @@ DEPTH = 4
 #: Fixed values of the scoring.
 SCORE_SCALE, COVERED_PERCENT = 2_000_000, 80
 #: Suffixes that a group should hold, and the share of it that one prefix may have.
-BUDGET, PREFIX_SHARE = 400_000, 4
+BUDGET, PREFIX_SHARE = 1_000_000, 1
 #: Words of a chunk, and different words that a task counts before it hands them on.
 CHUNK, COUNTED = 600_000, 200_000
-#: Places of the bitmap of frequent words (8 MB).
+#: Places of a bitmap (8 MB).
 BITS = 1 << 26
-BITMAP_ROW = 32_768
+BITMAP_ROW, PAIR = 32_768, 1_000_003
 
 #: Everything that ends a piece becomes a full stop and tabs become blanks.
 CUTS = bytes.maketrans(b",;:!?\n\x0b\x0c\r\t", b"......... ")
@@ -110,11 +114,14 @@ def word_counts(texts: DataFrame, least: int) -> DataFrame:
             .filter(F.col("word").isNull() | (F.col("f") >= least)))
 
 
-def bitmap(words: DataFrame) -> np.ndarray:
-    """One bit for each (lang, word)'s hash, ``BITS`` in all whatever the number of words."""
-    place = F.pmod(F.crc32(F.concat("lang", F.lit(" "), "word").cast("binary")), F.lit(BITS)) + 1
-    rows = (words.filter(F.col("word").isNotNull()).select(place.alias("place"))
-            .groupBy(F.bitmap_bucket_number("place").alias("row"))
+def _hash(word: str):
+    return F.crc32(F.concat("lang", F.lit(" "), F.expr(word)).cast("binary"))
+
+
+def bitmap(places: DataFrame) -> np.ndarray:
+    """One bit for each hash in ``place``, ``BITS`` in all whatever their number."""
+    place = F.pmod("place", F.lit(BITS)) + 1
+    rows = (places.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("row"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).collect())
     out = np.zeros((BITS // BITMAP_ROW, BITMAP_ROW // 8), np.uint8)
     for r in rows:
@@ -122,6 +129,19 @@ def bitmap(words: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
+def word_bits(words: DataFrame) -> np.ndarray:
+    return bitmap(words.filter("word IS NOT NULL").select(_hash("word").alias("place")))
+
+
+def pair_bits(pairs: DataFrame) -> np.ndarray:
+    return bitmap(pairs.select((_hash("substring_index(phrase, ' ', 1)") * PAIR + _hash("substring_index(phrase, ' ', -1)")).alias("place")))
+
+
+def _set(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    places = places % BITS
+    return (bits[places >> 3] >> (places & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def runs(columns: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
     """Order of the rows by all columns, and for each number of leading columns where new values start.
 
@@ -143,24 +163,33 @@ def _offsets(starts: np.ndarray, end: int) -> pa.Array:
     return pa.array(np.append(starts, end), pa.int32())
 
 
-def chunk_leaves(tokens: list[bytes], lang: str, bits: np.ndarray) -> pa.RecordBatch | None:
-    """The distinct suffixes of two words or more of a chunk, one row for each first word."""
+def chunk_leaves(tokens: list[bytes], lang: str, words: np.ndarray, pairs: np.ndarray | None) -> pa.RecordBatch | None:
+    """The distinct suffixes of a chunk, one row for each first word.
+
+    Without ``pairs`` those of two frequent words; with them those of three or
+    more words in which every pair of neighbours is frequent.
+    """
     coded = pa.array(tokens, pa.binary()).dictionary_encode()
     names = coded.dictionary.to_pylist()
     seed = zlib.crc32(lang.encode() + b" ")
-    places = np.fromiter((zlib.crc32(w, seed) % BITS for w in names), np.int64, len(names))
-    frequent = (bits[places >> 3] >> (places & 7).astype(np.uint8) & 1).astype(bool)
     # Word 0 is the empty one, which follows where a suffix ends.
-    frequent = np.append(False, frequent & np.array([w != STOP for w in names], bool))
+    hashes = np.fromiter((zlib.crc32(w, seed) for w in [b"", *names]), np.int64, len(names) + 1)
+    frequent = _set(words, hashes) & np.array([False, *(w != STOP for w in names)])
     ids = np.append(coded.indices.to_numpy().astype(np.int64) + 1, np.zeros(DEPTH, np.int64))
     vocabulary = pa.concat_arrays([pa.array([b""], pa.binary()), coded.dictionary])
     alive = frequent[ids]
-    starts = np.flatnonzero(alive[:-1] & alive[1:])
+    linked = alive[:-1] & alive[1:]
+    depth, least = 2, 1
+    if pairs is not None:
+        depth, least = DEPTH, 2
+        at = np.flatnonzero(linked)
+        linked[at] = _set(pairs, hashes[ids[at]] * PAIR + hashes[ids[at + 1]])
+    starts = np.flatnonzero(linked[:-1] & linked[1:] if least == 2 else linked)
     if not len(starts):
         return None
-    columns, live = [], np.ones(len(starts), bool)
-    for k in range(DEPTH):
-        live &= alive[starts + k]
+    columns, live = [ids[starts]], np.ones(len(starts), bool)
+    for k in range(1, depth):
+        live &= linked[starts + k - 1]
         columns.append(np.where(live, ids[starts + k], 0))
     order, begins = runs(columns)
     leaf = begins[-1]
@@ -184,19 +213,21 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
          pa.array(tails, pa.binary()), pa.array(counts, pa.binary()), pa.array(entries, pa.int64())], NAMES)
 
 
-def gather(texts: DataFrame, bits: np.ndarray) -> DataFrame:
+def gather(texts: DataFrame, words: np.ndarray, pairs: np.ndarray | None) -> DataFrame:
     """Rows of (lang, prefix, depth, tails, counts, entries): a chunk's suffixes that start with a prefix.
 
-    ``tails`` has DEPTH - depth words of each suffix, empty ones where it ends, all with a blank between.
+    ``tails`` has what follows the prefix in each suffix, empty words where it
+    ends, all with a blank between.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(bits)
+    context = texts.sparkSession.sparkContext
+    shared_words, shared_pairs = context.broadcast(words), context.broadcast(pairs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_chunks: dict[str, list[bytes]] = {}
 
         def rows() -> Iterator[pa.RecordBatch]:
             for name, tokens in open_chunks.items():
-                found = chunk_leaves(tokens, name, shared.value)
+                found = chunk_leaves(tokens, name, shared_words.value, shared_pairs.value)
                 if found is not None:
                     yield found
             open_chunks.clear()
@@ -212,17 +243,12 @@ def gather(texts: DataFrame, bits: np.ndarray) -> DataFrame:
     return texts.mapInArrow(run, ROWS)
 
 
-def _fields(tails: bytes, entries: int, width: int) -> np.ndarray:
-    """The words of a row's suffixes, one suffix a line."""
-    return np.array(tails.split(b" "), object).reshape(entries, width) if width else np.zeros((entries, 0), object)
-
-
-def extended(rows: DataFrame) -> DataFrame:
-    """Every row dealt out by the next word of its suffixes."""
+def extended(rows: DataFrame, length: int) -> DataFrame:
+    """Every row dealt out by the next word of its suffixes, which have ``length`` words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                words = _fields(r["tails"], r["entries"], DEPTH - r["depth"])
+                words = np.array(r["tails"].split(b" "), object).reshape(r["entries"], length - r["depth"])
                 counts = np.frombuffer(r["counts"], np.int32)
                 first = np.flatnonzero(np.append(True, words[1:, 0] != words[:-1, 0]))
                 yield _batch([(r["lang"], r["prefix"].encode() + b" " + words[a, 0], r["depth"] + 1,
@@ -232,24 +258,23 @@ def extended(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, ROWS)
 
 
-def partition(rows: DataFrame, budget: int = BUDGET) -> tuple[DataFrame, DataFrame | None]:
+def partition(rows: DataFrame, length: int, budget: int = BUDGET) -> tuple[DataFrame, DataFrame | None]:
     """(rows whose prefixes fit the budget, with ``group``; leaves of those that never do, or None)."""
     limit = max(1, budget // PREFIX_SHARE)
     groups = max(1, -(-2 * (rows.agg(F.sum("entries")).first()[0] or 0) // budget))
     fitting, leaves = None, None
-    for depth in range(1, DEPTH + 1):
+    for depth in range(1, length + 1):
         heavy = stored(rows.groupBy("lang", "prefix").agg(F.sum("entries").alias("load")).filter(F.col("load") > limit)
                        .select("lang", "prefix"), "phrase-heavy")
-        if heavy.isEmpty():
-            fitting = rows if fitting is None else fitting.unionByName(rows)
-            break
-        light = rows.join(heavy, ["lang", "prefix"], "left_anti").select(rows.columns)
+        light = rows if heavy.isEmpty() else rows.join(heavy, ["lang", "prefix"], "left_anti").select(rows.columns)
         fitting = light if fitting is None else fitting.unionByName(light)
+        if light is rows:
+            break
         rows = rows.join(heavy, ["lang", "prefix"], "left_semi").select(rows.columns)
-        if depth == DEPTH:
+        if depth == length:
             leaves = rows
         else:
-            rows = stored(extended(rows), "phrase-rows")
+            rows = stored(extended(rows, length), "phrase-rows")
     return fitting.withColumn("group", F.pmod(F.xxhash64("lang", "prefix"), F.lit(groups))), leaves
 
 
@@ -257,14 +282,14 @@ def _words(column: pa.Array) -> pa.Array:
     return pc.split_pattern(column.cast(pa.string()), " ").flatten()
 
 
-def group_nodes(table: pa.Table, least: int) -> tuple[list, list, list, list]:
-    """(lang, phrase, words, leaves) of the nodes of a group's subtree from two words on.
+def group_nodes(table: pa.Table, least: int, length: int) -> tuple[list, list, list, list]:
+    """(lang, phrase, words, leaves) of the nodes of a group's subtree, from two words on in one that is two deep, else three.
 
     A node above a prefix has only the leaves of this group and is given
     whatever their number, the others from ``least`` leaves on.
     """
     pieces, shapes, langs, counts = [], [], [], []
-    for d in range(1, DEPTH + 1):
+    for d in range(1, length + 1):
         rows = table.filter(pc.equal(table["depth"], d)).combine_chunks()
         if not rows.num_rows:
             continue
@@ -272,7 +297,7 @@ def group_nodes(table: pa.Table, least: int) -> tuple[list, list, list, list]:
                                                    else rows.column(c).chunk(0) for c in NAMES)
         entries = entries.to_numpy()
         pieces.append(_words(prefix))
-        if d < DEPTH:
+        if d < length:
             pieces.append(_words(tails))
         shapes.append((d, entries))
         langs.append((lang, entries))
@@ -286,7 +311,7 @@ def group_nodes(table: pa.Table, least: int) -> tuple[list, list, list, list]:
     for d, entries in shapes:
         head, at = ids[at:at + len(entries) * d].reshape(-1, d), at + len(entries) * d
         total = int(entries.sum())
-        tail, at = ids[at:at + total * (DEPTH - d)].reshape(total, DEPTH - d), at + total * (DEPTH - d)
+        tail, at = ids[at:at + total * (length - d)].reshape(total, length - d), at + total * (length - d)
         parts.append(np.concatenate([np.repeat(head, entries, axis=0), tail], axis=1))
         depths.append(np.full(total, d))
     words, depth, leaves = np.concatenate(parts), np.concatenate(depths), np.frombuffer(b"".join(counts), np.int32).astype(np.int64)
@@ -294,7 +319,7 @@ def group_nodes(table: pa.Table, least: int) -> tuple[list, list, list, list]:
     lang_ids, words, depth, leaves = lang_ids[order], words[order], depth[order], leaves[order]
     names, lang_names = np.array(names.to_pylist(), object), lang_coded.dictionary.to_pylist()
     out: tuple[list, list, list, list] = ([], [], [], [])
-    for k in range(2, DEPTH + 1):
+    for k in range(min(3, length), length + 1):
         begin = starts[k]
         total = np.add.reduceat(leaves, begin)
         kept = (words[begin, k - 1] > 0) & ((total >= least) | (depth[begin] > k))
@@ -306,24 +331,24 @@ def group_nodes(table: pa.Table, least: int) -> tuple[list, list, list, list]:
     return out
 
 
-def subtrees(rows: DataFrame, least: int) -> DataFrame:
+def subtrees(rows: DataFrame, least: int, length: int) -> DataFrame:
     """(lang, phrase, words, f) of each group's nodes."""
     def run(table: pa.Table) -> pa.Table:
-        lang, phrase, words, f = group_nodes(table, least)
+        lang, phrase, words, f = group_nodes(table, least, length)
         return pa.Table.from_arrays([pa.array(lang, pa.string()), pa.array(phrase, pa.string()),
                                      pa.array(words, pa.int32()), pa.array(f, pa.int64())], ["lang", "phrase", "words", "f"])
 
     return rows.groupBy("group").applyInArrow(run, "lang string, phrase string, words int, f long")
 
 
-def leaf_nodes(rows: DataFrame) -> DataFrame:
-    """Rows of four-word prefixes as (lang, phrase, words, f): the leaf itself and the nodes above it."""
+def leaf_nodes(rows: DataFrame, length: int) -> DataFrame:
+    """Rows whose prefixes are whole suffixes as (lang, phrase, words, f): the leaf itself and the nodes above it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for r in batch.to_pylist():
                 words, n = r["prefix"].split(" "), int(np.frombuffer(r["counts"], np.int32).sum())
-                out += [(r["lang"], " ".join(words[:k]), k, n) for k in range(2, DEPTH + 1) if words[k - 1]]
+                out += [(r["lang"], " ".join(words[:k]), k, n) for k in range(min(3, length), length + 1) if words[k - 1]]
             lang, phrase, k, n = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(phrase), pa.array(k, pa.int32()), pa.array(n, pa.int64())],
                                              ["lang", "phrase", "words", "f"])
@@ -331,17 +356,24 @@ def leaf_nodes(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "lang string, phrase string, words int, f long")
 
 
+def tree(texts: DataFrame, words: np.ndarray, pairs: np.ndarray | None, least: int, budget: int) -> DataFrame:
+    """(lang, phrase, words, f) of the frequent phrases of two words, or with ``pairs`` of three and four."""
+    length = 2 if pairs is None else DEPTH
+    fitting, leaves = partition(stored(gather(texts, words, pairs), "phrase-rows"), length, budget)
+    nodes = subtrees(fitting, least, length)
+    if leaves is not None:
+        nodes = nodes.unionByName(leaf_nodes(leaves, length))
+    return stored(nodes.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f")).filter(F.col("f") >= least), "phrases")
+
+
 def phrase_counts(texts: DataFrame, least: int, budget: int = BUDGET) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, words, f) of all phrases of one to four words from ``least`` on, (lang, n)) of texts (lang, text)."""
     words = stored(word_counts(texts, least), "phrase-words")
-    suffixes = stored(gather(texts, bitmap(words)), "phrase-rows")
-    fitting, leaves = partition(suffixes, budget)
-    nodes = subtrees(fitting, least)
-    if leaves is not None:
-        nodes = nodes.unionByName(leaf_nodes(leaves))
-    nodes = nodes.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
+    bits = word_bits(words)
+    pairs = tree(texts, bits, None, least, budget)
+    longer = tree(texts, bits, pair_bits(pairs), least, budget)
     single = words.filter("word IS NOT NULL").select("lang", F.col("word").alias("phrase"), F.lit(1).alias("words"), "f")
-    return stored(single.unionByName(nodes), "phrases"), words.filter("word IS NULL").select("lang", F.col("f").alias("n"))
+    return single.unionByName(pairs).unionByName(longer), words.filter("word IS NULL").select("lang", F.col("f").alias("n"))
 
 
 def collocations(docs: DataFrame, least: int = 30, top: int = 2000, lang_col: str = "lang", text_col: str = "text",
