@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from transitlens.llm import bpe_coding, chat_format, collocation, line_dedup, lm_scoring, mixing, near_dedup, quality_rules, token_counts, topk_search, toxicity as toxic, whitening
+from transitlens.llm import bpe_coding, chat_format, collocation, line_dedup, lm_scoring, mixing, near_dedup, packing, quality_rules, token_counts, topk_search, toxicity as toxic, whitening
 from transitlens.llm.common import read_table
 
 #: The operators' vocabulary files; parameters of the operators themselves.
@@ -62,6 +62,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read_table(spark, sf_dir, "embeddings"), k=8)
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), BYTE_BPE, capacity=2048, end_id=0)
+
+
 def op13_collocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocation.collocations(read_table(spark, sf_dir, "documents"), least=30, top=2000)
 
@@ -78,6 +82,7 @@ QUERIES = {
     "op9_chat_format": op9_chat_format,
     "op10_mixing": op10_mixing,
     "op11_whitening": op11_whitening,
+    "op12_packing": op12_packing,
     "op13_collocation": op13_collocation,
 }
 ORACLES: dict[str, str] = {
