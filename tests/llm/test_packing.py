@@ -125,8 +125,8 @@ def test_plans_place_every_piece_once(seed):
 
 
 def test_configurations_reach_the_optimum():
-    """Halves and thirds: plain best fit by falling size wastes room where the program does not."""
-    counts = {51: 600, 27: 600, 26: 600, 23: 1200}  # 51 + 26 + 23 and 27 + 27 + 23 + 23
+    """Best fit by falling size alone puts two of 48 together and wastes room; the program does not."""
+    counts = {48: 600, 37: 600, 26: 1500}  # 48 + 26 + 26 and 37 + 37 + 26
     assert len(slots_as_sequences(counts, plan(counts, 100))) <= 901
     assert sum(c.number for c in best_fit([], counts, 100)) >= 930
     assert sum(times for times, _ in configurations(counts, 100)) >= 895

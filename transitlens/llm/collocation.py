@@ -51,7 +51,7 @@ SCORE_SCALE, COVERED_PERCENT = 2_000_000, 80
 #: Suffixes that a group should hold, and the share of it that one prefix may have.
 BUDGET, PREFIX_SHARE = 1_000_000, 1
 #: Words of a chunk, and different words that a task counts before it hands them on.
-CHUNK, COUNTED = 600_000, 200_000
+CHUNK, COUNTED = 1_500_000, 200_000
 #: Places of a bitmap (8 MB).
 BITS = 1 << 26
 BITMAP_ROW, PAIR = 32_768, 1_000_003
@@ -163,13 +163,13 @@ def _offsets(starts: np.ndarray, end: int) -> pa.Array:
     return pa.array(np.append(starts, end), pa.int32())
 
 
-def chunk_leaves(tokens: list[bytes], lang: str, words: np.ndarray, pairs: np.ndarray | None) -> pa.RecordBatch | None:
+def chunk_leaves(tokens: pa.ChunkedArray, lang: str, words: np.ndarray, pairs: np.ndarray | None) -> pa.RecordBatch | None:
     """The distinct suffixes of a chunk, one row for each first word.
 
     Without ``pairs`` those of two frequent words; with them those of three or
     more words in which every pair of neighbours is frequent.
     """
-    coded = pa.array(tokens, pa.binary()).dictionary_encode()
+    coded = tokens.combine_chunks().dictionary_encode()
     names = coded.dictionary.to_pylist()
     seed = zlib.crc32(lang.encode() + b" ")
     # Word 0 is the empty one, which follows where a suffix ends.
@@ -213,6 +213,15 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
          pa.array(tails, pa.binary()), pa.array(counts, pa.binary()), pa.array(entries, pa.int64())], NAMES)
 
 
+def _leaves(chunks: dict[str, list[pa.Array]], words: np.ndarray, pairs: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """The rows of all open chunks, which are emptied."""
+    for lang, tokens in chunks.items():
+        found = chunk_leaves(pa.chunked_array(tokens), lang, words, pairs)
+        if found is not None:
+            yield found
+    chunks.clear()
+
+
 def gather(texts: DataFrame, words: np.ndarray, pairs: np.ndarray | None) -> DataFrame:
     """Rows of (lang, prefix, depth, tails, counts, entries): a chunk's suffixes that start with a prefix.
 
@@ -223,22 +232,16 @@ def gather(texts: DataFrame, words: np.ndarray, pairs: np.ndarray | None) -> Dat
     shared_words, shared_pairs = context.broadcast(words), context.broadcast(pairs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_chunks: dict[str, list[bytes]] = {}
-
-        def rows() -> Iterator[pa.RecordBatch]:
-            for name, tokens in open_chunks.items():
-                found = chunk_leaves(tokens, name, shared_words.value, shared_pairs.value)
-                if found is not None:
-                    yield found
-            open_chunks.clear()
-
+        open_chunks: dict[str, list[pa.Array]] = {}
+        size = 0
         for lang, block in _by_lang(batches):
-            chunk = open_chunks.setdefault(lang, [])
-            chunk.extend(words_of(block))
-            chunk.append(STOP)
-            if sum(map(len, open_chunks.values())) > CHUNK:
-                yield from rows()
-        yield from rows()
+            words_here = pa.array([*words_of(block), STOP], pa.binary())
+            open_chunks.setdefault(lang, []).append(words_here)
+            size += len(words_here)
+            if size > CHUNK:
+                yield from _leaves(open_chunks, shared_words.value, shared_pairs.value)
+                size = 0
+        yield from _leaves(open_chunks, shared_words.value, shared_pairs.value)
 
     return texts.mapInArrow(run, ROWS)
 
@@ -359,7 +362,7 @@ def leaf_nodes(rows: DataFrame, length: int) -> DataFrame:
 def tree(texts: DataFrame, words: np.ndarray, pairs: np.ndarray | None, least: int, budget: int) -> DataFrame:
     """(lang, phrase, words, f) of the frequent phrases of two words, or with ``pairs`` of three and four."""
     length = 2 if pairs is None else DEPTH
-    fitting, leaves = partition(stored(gather(texts, words, pairs), "phrase-rows"), length, budget)
+    fitting, leaves = partition(stored(gather(texts, words, pairs), "phrase-rows", compression="zstd"), length, budget)
     nodes = subtrees(fitting, least, length)
     if leaves is not None:
         nodes = nodes.unionByName(leaf_nodes(leaves, length))

@@ -38,7 +38,7 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` written below the shared checkpoint folder and read again.
 
     Cuts lineage with a table every executor can read, so a lost executor
@@ -46,7 +46,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_path(spark, "llm", name, unique=True)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
