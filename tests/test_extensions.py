@@ -12,6 +12,7 @@ from conftest import SF_SMALL
 from transitlens.operators import extensions as X
 from transitlens.operators import reshape as R
 from transitlens.operators import sinks as K
+from transitlens.operators.store import MetricStore
 from transitlens.operators import windows as W
 from transitlens.plans.registry import metric_table, positions
 from transitlens.schema import METRIC_COLUMNS
@@ -144,10 +145,10 @@ def test_csv_export(spark, tmp_path):
 def test_store_prunes_partitions(spark, tmp_path):
     import datetime as dt
     m = metric_table(spark, SF_SMALL)
-    path = os.path.join(str(tmp_path), "store")
-    K.write_metrics_store(m, path, mode="overwrite")
+    store = MetricStore(spark, os.path.join(str(tmp_path), "store"))
+    store.load(m)
     day = dt.date(2024, 1, 15)
-    df = K.read_metrics_store(spark, path, start=day, end=day, window_type="tumbling_10s")
+    df = store.read(start=day, end=day, window_type="tumbling_10s")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "window_date" in plan
     assert df.count() == m.filter((F.to_date("window_end") == F.lit(day))

@@ -47,15 +47,18 @@ METRIC_MESSAGE_SCHEMA = (
     "avg_delay double, min_delay int, max_delay int, processed_at timestamp")
 
 
-def metrics_from_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
+def metrics_from_messages(messages: DataFrame, *carry: str, value_col: str = "value") -> DataFrame:
     """Metric messages read back from the bus (live consumer side).
 
     Null, non-JSON or incomplete messages (no series tags or window end) are
-    skipped; missing tags become "" as in the dashboard.
+    skipped; missing tags become "" as in the dashboard. ``carry`` names
+    columns of the messages to keep.
     """
-    rec = F.from_json(F.col(value_col).cast("string"), METRIC_MESSAGE_SCHEMA,
+    # Streams publish instants, with a Z; the table's wall clock is UTC.
+    text = F.regexp_replace(F.col(value_col).cast("string"), r'("window_(?:start|end)":"[^"]*)Z"', '$1"')
+    rec = F.from_json(text, METRIC_MESSAGE_SCHEMA,
                       {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"})
-    rows = messages.select(rec.alias("m")).select("m.*")
+    rows = messages.select(rec.alias("m"), *carry).select("m.*", *carry)
     return (rows.filter(F.col("window_end").isNotNull()
                         & (F.col("route").isNotNull() | F.col("direction").isNotNull()))
             .withColumn("route", F.coalesce("route", F.lit("")))

@@ -5,12 +5,10 @@ written by the executors; nothing passes through the driver.
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transitlens.schema import MEASUREMENT, METRIC_COLUMNS, SERIES_KEYS
+from transitlens.schema import MEASUREMENT, METRIC_COLUMNS, METRIC_FIELDS, SERIES_KEYS
 
 # Fixed JSON field order of a published metric message.
 JSON_FIELDS = [*METRIC_COLUMNS, "processed_at"]
@@ -75,43 +73,25 @@ def line_protocol(df: DataFrame, time_col: str = "window_end",
         .filter("_has_fields").select("value")
 
 
-def with_store_partitions(df: DataFrame) -> DataFrame:
-    return df.withColumn("window_date", F.to_date(F.col("window_end")))
+def parse_points(lines: DataFrame, *carry: str) -> DataFrame:
+    """Points read back: measurement, the tags, the fields as doubles, ``time_ns`` and the ``carry`` columns."""
+    # A blank that is not escaped ends the tags and the fields.
+    parts = F.split(F.regexp_replace(F.replace(F.col("value"), F.lit("\\\\"), F.lit("\u0001")), r"(?<!\\) ", "\n"), "\n")
+    tags, fields = F.element_at(parts, 1), F.element_at(parts, 2)
 
+    def tag(name: str) -> Column:
+        text = F.nullif(F.regexp_extract(tags, f",{name}=((?:\\\\.|[^,])*)", 1), F.lit(""))
+        return F.replace(F.regexp_replace(text, r"\\(.)", "$1"), F.lit("\u0001"), F.lit("\\")).alias(name)
 
-def write_metrics_store(df: DataFrame, path: str, mode: str = "append",
-                        max_records_per_file: int | None = None) -> None:
-    """Parquet store partitioned by date and window type.
+    def field(name: str) -> Column:
+        return F.nullif(F.regexp_extract(fields, f"(?:^|,){name}=([^,i]*)", 1), F.lit("")).cast("double").alias(name)
 
-    ``REBALANCE`` on the partition columns: rows of one (date, type) are
-    clustered so each task writes few folders, and AQE splits a date holding
-    a large share of the rows over several tasks (and merges small ones).
-    Unlike range partitioning it needs no sampling job, which would execute
-    the upstream aggregation twice.
-    """
-    out = with_store_partitions(df).hint("rebalance", *STORE_PARTITIONS)
-    writer = out.write.mode(mode).partitionBy(*STORE_PARTITIONS)
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    writer.parquet(path)
-
-
-def read_metrics_store(spark: SparkSession, path: str, start: dt.date | None = None,
-                       end: dt.date | None = None, window_type: str | None = None) -> DataFrame:
-    """Read the store; date bounds and window type prune partition folders."""
-    df = spark.read.parquet(path)
-    if start is not None:
-        df = df.filter(F.col("window_date") >= F.lit(start))
-    if end is not None:
-        df = df.filter(F.col("window_date") <= F.lit(end))
-    if window_type is not None:
-        df = df.filter(F.col("window_type") == F.lit(window_type))
-    return df
-
-
-def expire_before(spark: SparkSession, path: str, keep_from: dt.date) -> DataFrame:
-    """Retention: the store's rows from ``keep_from`` on (pruned by partition)."""
-    return read_metrics_store(spark, path, start=keep_from)
+    return lines.select(F.regexp_extract(tags, "^[^,]*", 0).alias("measurement"), *[tag(t) for t in SERIES_KEYS],
+                        *[field(f) for f in METRIC_FIELDS], F.element_at(parts, 3).cast("bigint").alias("time_ns"), *carry)
+
+
+def with_store_partitions(df: DataFrame) -> DataFrame:
+    return df.withColumn("window_date", F.to_date(F.col("window_end")))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

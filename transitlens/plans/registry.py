@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from transitlens.functions.columns import vehicle_key
@@ -19,19 +19,20 @@ from transitlens.operators import reshape as R
 from transitlens.operators import sinks as K
 from transitlens.operators import windows as W
 from transitlens.operators.decode import decode_positions, metrics_from_messages
+from transitlens.operators.store import MetricStore
 from transitlens.plans import queries as Q
 from transitlens.plans.oracles import COMPARED_ROUTES
 from transitlens.plans.present import finalize
 from transitlens.schema import METRIC_FIELDS, SERIES_KEYS
 from transitlens.session import shared_path
-from transitlens.sources import ingest
+from transitlens.sources import files, ingest
 from transitlens.sources.adapter import (
     envelope_messages_from_events,
     positions_from_events,
     raw_messages_from_events,
     topic_for,
 )
-from transitlens.sources.readers import read_events, stream_events
+from transitlens.sources.readers import read_events
 from transitlens.streaming import stream as S
 
 LATE_CUTOFF = dt.datetime(2024, 1, 16)
@@ -49,22 +50,28 @@ def metric_table(spark: SparkSession, sf_dir: str, exact: bool = True) -> DataFr
     return W.windowed_metrics(positions(spark, sf_dir), exact=exact)
 
 
-#: Stores written in this process: (application, input folder) -> store folder.
-_STORES: dict[tuple[str, str], str] = {}
+def load_store(spark: SparkSession, sf_dir: str, path: str) -> MetricStore:
+    """M written as a store; its manifest also keeps the newest event's time, observed by the same scan."""
+    store, seen = MetricStore(spark, path), Observation()
+    feed = positions(spark, sf_dir).observe(seen, F.max("event_time").cast("string").alias("newest_event"))
+    store.load(W.windowed_metrics(feed), facts=lambda: dict(seen.get))
+    return store
 
 
-def stored_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M from the date-partitioned store, which is written once for each application and input.
+def metric_store(spark: SparkSession, sf_dir: str) -> MetricStore:
+    """The date-partitioned store of an input, which is written where there is none yet.
 
-    Historical and live questions read the store as the reference's API does;
-    only the folders of the asked dates are opened.
+    Its place is named by the input's files, their sizes and times, so that a
+    changed input is another store. Historical and live questions read it as
+    the reference's API does; only the folders of the asked dates are opened.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STORES:
-        path = shared_path(spark, "metric_store", unique=True)
-        K.write_metrics_store(metric_table(spark, sf_dir), path, mode="overwrite")
-        _STORES[key] = path
-    return K.read_metrics_store(spark, _STORES[key])
+    path = shared_path(spark, "metric_store", files.fingerprint(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
+    store = MetricStore(spark, path)
+    return store if store.manifest().version else load_store(spark, sf_dir, path)
+
+
+def stored_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_store(spark, sf_dir).read()
 
 
 def q_tumbling_metrics(spark, sf_dir):
@@ -159,8 +166,8 @@ def q_topic_filter(spark, sf_dir):
 
 
 def as_of(spark, sf_dir):
-    """Reference "now": the newest event time, as a lazily planned scalar subquery."""
-    return positions(spark, sf_dir).select(F.max("event_time")).scalar()
+    """Reference "now": the newest event time, which the store's manifest keeps."""
+    return F.lit(metric_store(spark, sf_dir).manifest().facts["newest_event"]).cast("timestamp_ntz")
 
 
 def q_metrics_query(spark, sf_dir):
@@ -174,7 +181,7 @@ def q_metrics_latest_n(spark, sf_dir):
 
 
 def q_metrics_latest_global(spark, sf_dir):
-    return finalize(Q.metrics(stored_metrics(spark, sf_dir), limit=100, per_series=False))
+    return finalize(Q.metrics(metric_store(spark, sf_dir).newest(100), limit=100, per_series=False))
 
 
 def q_routes_list(spark, sf_dir):
@@ -213,7 +220,7 @@ def q_raw_table(spark, sf_dir):
 
 
 def q_live_view(spark, sf_dir):
-    return finalize(Q.live_view(stored_metrics(spark, sf_dir), route="click", tail=100).drop("window_date"))
+    return finalize(Q.live_view(metric_store(spark, sf_dir).newest(100), route="click", tail=100).drop("window_date"))
 
 
 def q_live_view_bus(spark, sf_dir):
@@ -224,7 +231,7 @@ def q_live_view_bus(spark, sf_dir):
 
 
 def q_live_view_counts(spark, sf_dir):
-    return finalize(Q.live_view_counts(stored_metrics(spark, sf_dir), route="click", tail=100))
+    return finalize(Q.live_view_counts(metric_store(spark, sf_dir).newest(100), route="click", tail=100))
 
 
 def q_latest_known(spark, sf_dir):
@@ -267,10 +274,8 @@ def q_metrics_upsert(spark, sf_dir):
 
 
 def q_metrics_store(spark, sf_dir):
-    """Write M to the partitioned store (shared folder), read all of it back."""
-    path = shared_path(spark, "metrics_store", unique=True)
-    K.write_metrics_store(metric_table(spark, sf_dir), path, mode="overwrite")
-    return finalize(K.read_metrics_store(spark, path))
+    """Write M to a partitioned store of its own (shared folder), read all of it back."""
+    return finalize(load_store(spark, sf_dir, shared_path(spark, "metrics_store", unique=True)).read())
 
 
 def q_metrics_json(spark, sf_dir):
@@ -286,32 +291,16 @@ def q_line_protocol(spark, sf_dir):
     m = m.withColumns({
         "route": F.when(odd == 0, F.lit(None)).when(odd == 10, F.lit("")).when(odd == 20, F.lit("a b,c=d\\")).otherwise(F.col("route")),
         "avg_speed": F.when(odd == 30, F.lit(float("nan"))).when(odd == 40, F.lit(float("inf"))).otherwise(F.col("avg_speed"))})
-    # A blank that is not escaped ends the tags and the fields.
-    value = F.col("value")
-    parts = F.split(F.regexp_replace(F.replace(value, F.lit("\\\\"), F.lit("\u0001")), r"(?<!\\) ", "\n"), "\n")
-    tags, fields = F.element_at(parts, 1), F.element_at(parts, 2)
-    tag = lambda name: F.replace(F.regexp_replace(F.nullif(F.regexp_extract(
-        tags, f",{name}=((?:\\\\.|[^,])*)", 1), F.lit("")), r"\\(.)", "$1"), F.lit("\u0001"), F.lit("\\"))
-    field = lambda name: F.nullif(F.regexp_extract(fields, f"(?:^|,){name}=([^,i]*)", 1), F.lit(""))
-    return finalize(K.line_protocol(m).select(
-        F.regexp_extract(tags, "^[^,]*", 0).alias("measurement"), *[tag(t).alias(t) for t in SERIES_KEYS],
-        *[field(f).cast("double").alias(f) for f in METRIC_FIELDS],
-        F.element_at(parts, 3).cast("bigint").alias("time_ns")))
-
-
-def stream_positions(spark, sf_dir):
-    return S.positions_from_event_stream(stream_events(spark, sf_dir))
+    return finalize(K.parse_points(K.line_protocol(m)))
 
 
-def _arrivals(spark, sf_dir, name, parts, append=False):
+def _feed(spark, sf_dir, name, parts, start):
     """The reference's stream over several arrivals: envelopes, decoding, watermark, all six
-    metrics of both window kinds.
+    metrics of both window kinds, into what ``start`` (metrics, output folder, checkpoint) starts.
 
     Each of ``parts`` (conditions that together hold for every event) is added
     to the feed of bus records, and the query runs to its end and stops; the
-    next run resumes from the checkpoint. In update mode windows are emitted
-    again as their events arrive; the result is the upserted changelog. In
-    append mode it is what the file sink has.
+    next run resumes from the checkpoint. Returns the output folder.
     """
     events = read_events(spark, sf_dir)
     root = shared_path(spark, name, unique=True)
@@ -320,9 +309,15 @@ def _arrivals(spark, sf_dir, name, parts, append=False):
     for part in parts:
         envelope_messages_from_events(events.filter(part)).select("key", "value").write.mode("append").parquet(feed)
         source = spark.readStream.schema("key string, value string").parquet(feed)
-        metrics = S.streaming_metrics(S.event_time_ts(S.positions_from_bus(source)))
-        start = S.start_files if append else S.start_update
-        S.run_to_end(start(metrics, out, checkpoint, trigger="availableNow"))
+        S.run_to_end(start(S.streaming_metrics(S.event_time_ts(S.positions_from_bus(source))), out, checkpoint))
+    return out
+
+
+def _arrivals(spark, sf_dir, name, parts, append=False):
+    """In update mode windows are emitted again as their events arrive; the result is the
+    upserted changelog. In append mode it is what the file sink has."""
+    start = S.start_files if append else S.start_update
+    out = _feed(spark, sf_dir, name, parts, lambda m, path, checkpoint: start(m, path, checkpoint, trigger="availableNow"))
     if append:
         return finalize(spark.read.parquet(out))
     return finalize(R.upsert_latest(S.read_changelog(spark, out)))
@@ -346,16 +341,33 @@ def q_stream_metrics_append(spark, sf_dir):
     return _arrivals(spark, sf_dir, "stream_append", _days(LATE_CUTOFF), append=True)
 
 
+def q_stream_store(spark, sf_dir):
+    """Four arrivals, committed batch by batch to the compacted store; the store is the metric table."""
+    cuts = [dt.datetime(2024, 1, d) for d in (8, 15, 22)]
+    out = _feed(spark, sf_dir, "stream_store", _days(*cuts), lambda m, path, checkpoint: S.start_store(
+        m, MetricStore(spark, path), checkpoint, trigger="availableNow"))
+    return finalize(MetricStore(spark, out).read())
+
+
 def q_stream_multi_sink(spark, sf_dir):
     """One streaming query (single state store) feeding three sinks through
-    foreachBatch; the stored changelog, upserted by batch id, is the metric
-    table. The sketch-based distinct count is left out of the comparison."""
-    agg = S.with_batch_counters(S.streaming_metrics(stream_positions(spark, sf_dir)))
-    root = shared_path(spark, "multi_sink", unique=True)
-    S.run_to_end(S.start_multi_sink(agg, root, S.checkpoint_for(spark, "multi_sink", unique=True),
-                                    mode="update", trigger="availableNow"))
-    store = spark.read.parquet(f"{root}/store").drop("processed_at")
-    return finalize(R.upsert_latest(store).drop("active_vehicles"))
+    foreachBatch, over two arrivals. All three are read back: the store, the
+    JSON messages and the points, the newest emission of each window."""
+    out = _feed(spark, sf_dir, "multi_sink", _days(LATE_CUTOFF), lambda m, path, checkpoint: S.start_multi_sink(
+        S.with_batch_counters(m), path, checkpoint, trigger="availableNow", store=MetricStore(spark, f"{path}/metrics")))
+    batch = F.col("batch_id").cast("bigint").alias("batch_id")
+    text = spark.read.schema("value string, batch_id bigint")
+    messages = text.text(f"{out}/json").select("value", batch)
+    rows = {
+        "store": MetricStore(spark, f"{out}/metrics").read(),
+        "json": R.upsert_latest(metrics_from_messages(messages, "batch_id")),
+        "points": R.upsert_latest(K.parse_points(text.text(f"{out}/points"), "batch_id").withColumn(
+            "window_end", F.timestamp_micros(F.expr("time_ns div 1000")))),
+    }
+    columns = ["window_end", *SERIES_KEYS, *METRIC_FIELDS]
+    parts = [df.select(F.lit(sink).alias("sink"), "window_end", *SERIES_KEYS, *[F.col(f).cast("double").alias(f) for f in METRIC_FIELDS])
+             for sink, df in rows.items()]
+    return finalize(parts[0].unionByName(parts[1]).unionByName(parts[2]).select("sink", *columns))
 
 
 def q_late_data(spark, sf_dir):
@@ -425,8 +437,13 @@ def q_downsample(spark, sf_dir):
 
 
 def q_retention(spark, sf_dir):
+    """Dates before the last seven days are taken out of a store and their files deleted; what is left, from that time on."""
     keep_from = as_of(spark, sf_dir) - F.expr("INTERVAL 7 DAYS")
-    return finalize(X.retention(stored_metrics(spark, sf_dir), keep_from).drop("window_date"))
+    store = MetricStore(spark, shared_path(spark, "expiring", unique=True))
+    store.load(stored_metrics(spark, sf_dir))
+    store.expire(spark.range(1).select(F.to_date(keep_from)).first()[0])
+    store.vacuum(keep=1)
+    return finalize(X.retention(store.read(), keep_from).drop("window_date"))
 
 
 def q_range_validation(spark, sf_dir):
@@ -505,6 +522,7 @@ QUERIES: dict[str, Query] = {
     "stream_metrics_update": q_stream_metrics_update,
     "stream_metrics_append": q_stream_metrics_append,
     "stream_multi_sink": q_stream_multi_sink,
+    "stream_store": q_stream_store,
     "late_data": q_late_data,
     "stream_restart": q_stream_restart,
     "active_vehicles_approx": q_active_vehicles_approx,

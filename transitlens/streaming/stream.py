@@ -31,9 +31,11 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from transitlens.operators import sinks as K
 from transitlens.operators.decode import decode_positions
+from transitlens.operators.store import MetricStore
 from transitlens.operators.windows import metric_aggs
 from transitlens.schema import SLIDING_LABEL, TUMBLING_LABEL
 from transitlens.session import shared_path
+from transitlens.sources import files
 from transitlens.sources.adapter import positions_from_events
 
 WATERMARK = "1 minute"
@@ -214,12 +216,15 @@ def start_kafka(df: DataFrame, bootstrap_servers: str, topic: str, checkpoint: s
     return _trigger(w, trigger).start()
 
 
-def multi_sink_writer(root: str, observe_name: str = "batch_rows") -> Callable[[DataFrame, int], None]:
+def multi_sink_writer(root: str, store: MetricStore | None = None, keep_batches: int = 8640) -> Callable[[DataFrame, int], None]:
     """One foreachBatch body feeding every sink from a single persisted batch.
 
-    Writes ``json/``, ``points/`` (line protocol) and ``store/`` (Parquet with
-    ``batch_id``) below ``root``, each in ``batch_id=<n>`` with overwrite. An
-    empty batch writes nothing. No row goes through the driver.
+    ``json/`` and ``points/`` (line protocol) below ``root`` are logs: a folder
+    ``batch_id=<n>`` for each batch, written with overwrite, of which the last
+    ``keep_batches`` stay (a day of 10 s triggers, as long as the reference's
+    bus keeps messages). Metric rows go to ``store``, without one to
+    ``store/batch_id=<n>``. An empty batch writes nothing. No row goes through
+    the driver.
     """
     root = root.rstrip("/")
 
@@ -234,17 +239,35 @@ def multi_sink_writer(root: str, observe_name: str = "batch_rows") -> Callable[[
             K.metrics_json(stamped).select("value").write.mode("overwrite") \
                 .text(f"{root}/json/{part}")
             K.line_protocol(stamped).write.mode("overwrite").text(f"{root}/points/{part}")
-            stamped.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write \
-                .mode("overwrite").parquet(f"{root}/store/{part}")
+            if store is None:
+                stamped.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write \
+                    .mode("overwrite").parquet(f"{root}/store/{part}")
+            else:
+                store.commit(stamped, batch_id)
+            for log in ("json", "points"):
+                for name in files.names(batch.sparkSession, f"{root}/{log}"):
+                    if name.startswith("batch_id=") and int(name[9:]) <= batch_id - keep_batches:
+                        files.delete(batch.sparkSession, f"{root}/{log}/{name}")
         finally:
             stamped.unpersist()
     return write
 
 
 def start_multi_sink(df: DataFrame, root: str, checkpoint: str, mode: str = "update",
-                     trigger: str | None = TRIGGER, name: str | None = None) -> StreamingQuery:
+                     trigger: str | None = TRIGGER, name: str | None = None,
+                     store: MetricStore | None = None) -> StreamingQuery:
     w = (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-         .foreachBatch(multi_sink_writer(root)))
+         .foreachBatch(multi_sink_writer(root, store)))
+    if name:
+        w = w.queryName(name)
+    return _trigger(w, trigger).start()
+
+
+def start_store(df: DataFrame, store: MetricStore, checkpoint: str, trigger: str | None = TRIGGER,
+                name: str | None = None) -> StreamingQuery:
+    """Update-mode query that commits every batch to a compacted store."""
+    w = (df.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+         .foreachBatch(lambda batch, batch_id: store.commit(batch, batch_id)))
     if name:
         w = w.queryName(name)
     return _trigger(w, trigger).start()
