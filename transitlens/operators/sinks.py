@@ -25,18 +25,19 @@ def with_processed_at(df: DataFrame) -> DataFrame:
     return df.withColumn("processed_at", F.current_timestamp())
 
 
-def metrics_json(df: DataFrame, key_col: str | None = None) -> DataFrame:
+def metrics_json(df: DataFrame, key_col: str | None = None, carry: list[str] | None = None) -> DataFrame:
     """Bus messages: ``value`` = JSON object of the row (null fields omitted).
 
     ``key_col`` (e.g. route) keys the message so one series stays in one bus
-    partition; the reference publishes without a key.
+    partition; the reference publishes without a key. ``carry`` names columns
+    to keep beside the message.
     """
     cols = [c for c in JSON_FIELDS if c in df.columns]
     value = F.to_json(F.struct(*[F.col(c) for c in cols]),
                       {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
                        "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
     key = F.col(key_col).cast("string") if key_col else F.lit(None).cast("string")
-    return df.select(key.alias("key"), value.alias("value"))
+    return df.select(key.alias("key"), value.alias("value"), *(carry or []))
 
 
 def _escape_tag(c: Column) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from transitlens.functions.columns import vehicle_key
@@ -32,6 +32,7 @@ from transitlens.sources.adapter import (
     raw_messages_from_events,
     topic_for,
 )
+from transitlens.sources.bus import RecordLog, stream_log
 from transitlens.sources.readers import read_events
 from transitlens.streaming import stream as S
 
@@ -223,11 +224,23 @@ def q_live_view(spark, sf_dir):
     return finalize(Q.live_view(metric_store(spark, sf_dir).newest(100), route="click", tail=100).drop("window_date"))
 
 
+def metric_bus(spark, sf_dir):
+    """The topic of published metric messages of an input, in time order; published where there is none yet."""
+    root = shared_path(spark, "metric_bus", files.fingerprint(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
+    log = RecordLog(spark, root, "metrics")
+    if not log.ends():
+        rows = K.with_processed_at(stored_metrics(spark, sf_dir))
+        order = ["window_end", *SERIES_KEYS]
+        log.publish(K.metrics_json(rows, carry=order), 1, [F.asc("window_end"), *(F.desc(k) for k in SERIES_KEYS)])
+    return log
+
+
 def q_live_view_bus(spark, sf_dir):
-    """Live view over the bus form: metric rows → JSON messages → decoded back."""
-    messages = K.metrics_json(K.with_processed_at(metric_table(spark, sf_dir)))
-    rows = metrics_from_messages(messages).drop("processed_at")
-    return finalize(Q.live_view(rows, route="click", tail=100))
+    """Live view over the bus: one poll of at most 100 messages, from the group's stored position."""
+    log = metric_bus(spark, sf_dir)
+    log.commit("dashboard", log.back(100))  # a consumer that joins reads the newest messages
+    messages, _ = log.poll(log.position("dashboard"), 100)
+    return finalize(Q.live_view(metrics_from_messages(messages).drop("processed_at"), route="click", tail=100))
 
 
 def q_live_view_counts(spark, sf_dir):
@@ -349,6 +362,51 @@ def q_stream_store(spark, sf_dir):
     return finalize(MetricStore(spark, out).read())
 
 
+def _bus_arrivals(spark, sf_dir, name, parts):
+    """(root, topic, publish(part)): envelopes of events go to a bus topic, arrival by arrival."""
+    root = shared_path(spark, name, unique=True)
+    events, log = read_events(spark, sf_dir), RecordLog(spark, f"{root}/bus", "positions")
+    return root, [lambda part=part: log.publish(envelope_messages_from_events(events.filter(part)).select("key", "value"), 4) for part in parts]
+
+
+def q_stream_bus(spark, sf_dir):
+    """The stream from the bus: each arrival is read from the offsets in the checkpoint on, by a query started anew."""
+    root, arrivals = _bus_arrivals(spark, sf_dir, "stream_bus", _days(dt.datetime(2024, 1, 11), dt.datetime(2024, 1, 21)))
+    store, checkpoint = MetricStore(spark, f"{root}/store"), S.checkpoint_for(spark, "stream_bus", unique=True)
+    for publish in arrivals:
+        publish()
+        metrics = S.streaming_metrics(S.event_time_ts(S.positions_from_bus(stream_log(spark, f"{root}/bus", "positions"))))
+        S.run_to_end(S.start_store(metrics, store, checkpoint, trigger="availableNow"))
+    return finalize(store.read())
+
+
+def q_stream_counters(spark, sf_dir):
+    """One running query with a processing-time trigger: what its batches report, and their stamps.
+
+    Each arrival is published once the one before is done. A batch's report
+    has its input rows and, observed on the executors, its emitted rows; its
+    stored rows carry its stamp.
+    """
+    root, arrivals = _bus_arrivals(spark, sf_dir, "stream_counters", _days(dt.datetime(2024, 1, 11), dt.datetime(2024, 1, 21)))
+    arrivals[0]()
+    metrics = S.streaming_metrics(S.event_time_ts(S.positions_from_bus(stream_log(spark, f"{root}/bus", "positions"))), plan="one_read")
+    query = S.start_update(K.with_processed_at(S.with_batch_counters(metrics)), f"{root}/out",
+                           S.checkpoint_for(spark, "stream_counters", unique=True), trigger="1 second")
+    try:
+        for publish in arrivals[1:]:
+            query.processAllAvailable()
+            publish()
+        query.processAllAvailable()
+        reports = [(p.batchId, p.numInputRows, p.observedMetrics["batch_counters"]["rows"]) for p in query.recentProgress if p.numInputRows]
+    finally:
+        query.stop()
+    stamps = S.read_changelog(spark, f"{root}/out").groupBy("batch_id").agg(
+        F.count("*").alias("stored_rows"), F.countDistinct("processed_at").alias("stamps"))
+    rows = spark.createDataFrame(reports, "batch_id long, input_rows long, emitted_rows long").join(stamps, "batch_id")
+    return rows.select(F.row_number().over(Window.orderBy("batch_id")).cast("bigint").alias("arrival"), "input_rows",
+                       "emitted_rows", "stored_rows", "stamps")
+
+
 def q_stream_multi_sink(spark, sf_dir):
     """One streaming query (single state store) feeding three sinks through
     foreachBatch, over two arrivals. All three are read back: the store, the
@@ -523,6 +581,8 @@ QUERIES: dict[str, Query] = {
     "stream_metrics_append": q_stream_metrics_append,
     "stream_multi_sink": q_stream_multi_sink,
     "stream_store": q_stream_store,
+    "stream_bus": q_stream_bus,
+    "stream_counters": q_stream_counters,
     "late_data": q_late_data,
     "stream_restart": q_stream_restart,
     "active_vehicles_approx": q_active_vehicles_approx,
