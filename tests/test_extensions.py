@@ -240,3 +240,51 @@ def test_percentiles_keep_null_and_empty_groups(spark):
     df = spark.createDataFrame(rows, "route string, direction string, speed double, delay int")
     got = {(r.route, r.direction): (r.speed_p50, r.delay_p50) for r in X.speed_percentiles(df).collect()}
     assert got == {(None, "1"): (5.0, 5.0), ("a", None): (3.0, None), ("b", "2"): (None, None)}
+
+
+def test_pane_sketches_merge_to_any_window(spark):
+    """Rank errors of merged sketches against all values, a null group and a skewed one."""
+    rows = spark.range(40_000).select(
+        F.timestamp_seconds(F.col("id") % 7200).cast("timestamp_ntz").alias("event_time"),
+        F.when(F.col("id") % 3 == 0, F.lit("a")).when(F.col("id") % 100 == 1, F.lit("none")).otherwise(F.lit(None)).alias("route"),
+        F.lit("1").alias("direction"), F.col("id").alias("vehicle_id"),
+        F.when(F.col("id") % 3 == 0, F.pow(F.col("id") % 1009, F.lit(3.0))).when(F.col("id") % 100 == 1, F.lit(float("nan")))
+        .otherwise((F.col("id") % 5).cast("double")).alias("speed"), (F.col("id") % 13).alias("delay"))
+    panes = X.pane_sketches(rows)
+    for length, slide in (("1 hour", None), ("60 seconds", "20 seconds")):
+        got = X.merged_percentiles(panes, length, slide)
+        window = F.window("event_time", length, slide) if slide else F.window("event_time", length)
+        v = F.when(~F.isnan("speed"), F.col("speed"))
+        exact = rows.withColumn("w", window).groupBy(F.col("w.start").alias("window_start"), "route").agg(
+            F.sort_array(F.collect_list(v)).alias("v"))
+        want = {(r.window_start, r.route): r.v for r in exact.collect()}
+        seen = got.collect()
+        assert len(seen) == len(want)
+        for r in seen:
+            values = want[r.window_start, r.route]
+            assert r.speed_n == len(values) and (r.speed_p50 is None) == (not values)
+            for p, q in ((0.5, r.speed_p50), (0.95, r.speed_p95)):
+                if values:
+                    assert sum(x < q for x in values) / len(values) <= p + 0.03
+                    assert sum(x <= q for x in values) / len(values) >= p - 0.03
+
+
+def test_levels_come_from_one_scan(spark):
+    plan = X.metrics_by_level(positions(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 2
+
+
+def test_levels_tell_missing_keys_apart(spark):
+    rows = spark.sql("""SELECT TIMESTAMP_NTZ'2024-01-01 00:00:01' AS event_time, r AS route, '1' AS direction, v AS vehicle_id,
+                               CAST(v AS DOUBLE) AS speed, CAST(NULL AS BIGINT) AS delay
+                        FROM VALUES (CAST(NULL AS STRING), 1L), (NULL, 2L), ('a', 2L) AS t(r, v)""")
+    got = {(r.level, r.route): (r.vehicle_count, r.active_vehicles, r.avg_speed, r.avg_delay) for r in X.metrics_by_level(rows).collect()}
+    assert got == {("route_direction", None): (2, 2, 1.5, None), ("route_direction", "a"): (1, 1, 2.0, None), ("route", None): (2, 2, 1.5, None),
+                   ("route", "a"): (1, 1, 2.0, None), ("network", None): (3, 2, 5 / 3, None)}
+
+
+def test_percentile_ranks_are_split_into_cells(spark):
+    """The window over a bracket sees its cells only; values are ranked inside one cell."""
+    plan = X.speed_percentiles(positions(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [sum(" in line]
+    assert len(windows) >= 2 and all("_cell" in line for line in windows)

@@ -14,6 +14,10 @@ from transitlens.schema import TUMBLING_LABEL
 from transitlens.session import checkpoint_root
 
 
+#: Cells that a percentile's bracket is cut into.
+CELLS = 1024
+
+
 def speed_percentiles(positions: DataFrame, probs=(0.5, 0.95), exact: bool = True,
                       accuracy: int = 10_000, keys: list[str] | None = None) -> DataFrame:
     """Median / 95th percentile of speed and delay per route and direction.
@@ -54,9 +58,11 @@ def exact_percentiles(df: DataFrame, keys: list[str], values, probs,
        bracket" or as its value when inside; one hash aggregate counts per
        (group, column, probability, value) (ties collapse; about
        2n(2/accuracy + 1/grid) values per bracket);
-    C. a running sum over each bracket's distinct values (the "below" bucket
-       sorts first) gives every value's first rank; the values at both target
-       ranks are interpolated as ``quantile_cont``.
+    C. ranks in two levels: a bracket is cut into ``CELLS`` cells of equal
+       width, a running sum over a bracket's cells (the "below" bucket comes
+       first) says which cells hold the target ranks, and only the values of
+       these are ranked; no task holds a whole bracket. The values at both
+       target ranks are interpolated as ``quantile_cont``.
 
     Rows meet their group's brackets (checkpointed: fixed for the whole job)
     through one null-safe equi-join on the keys (one row per group; AQE splits
@@ -111,29 +117,42 @@ def exact_percentiles(df: DataFrame, keys: list[str], values, probs,
     def tag_for(j, i, tag):
         v = F.col(f"_v{j}")
 
-        def entry(val):
+        lo, hi = F.col(f"_lo{tag}"), F.col(f"_hi{tag}")
+        width = hi - lo
+        cell = F.when((width > 0) & (width < float("inf")), F.least(F.floor((v - lo) / width * CELLS), F.lit(CELLS - 1))).otherwise(0)
+
+        def entry(val, at):
             return F.struct(F.lit(j).alias("c"), F.lit(i).alias("p"),
-                            F.col(f"_x{tag}").alias("x"), val.alias("v"))
+                            F.col(f"_x{tag}").alias("x"), at.cast("int").alias("cell"), val.alias("v"))
 
         return (F.when(v.isNull() | F.isnan(v), F.lit(None))
-                .when(v < F.col(f"_lo{tag}"), entry(F.lit(None).cast("double")))
-                .when(v <= F.col(f"_hi{tag}"), entry(v)))
+                .when(v < lo, entry(F.lit(None).cast("double"), F.lit(-1)))
+                .when(v <= hi, entry(v, cell)))
 
     tags = F.array(*[tag_for(j, i, tag) for j, i, tag in pairs])
+    bracket = [*keys, "_c_ix", "_p", "_x"]
     counts = (rows.select(*keys, F.explode(F.filter(tags, lambda t: t.isNotNull())).alias("t"))
               .groupBy(*keys, F.col("t.c").alias("_c_ix"), F.col("t.p").alias("_p"),
-                       F.col("t.x").alias("_x"), F.col("t.v").alias("_val"))
+                       F.col("t.x").alias("_x"), F.col("t.cell").alias("_cell"), F.col("t.v").alias("_val"))
               .agg(F.count(F.lit(1)).alias("_cnt")))
-    w = Window.partitionBy(*keys, "_c_ix", "_p").orderBy(F.col("_val").asc_nulls_first())
-    ranked = counts.withColumn("_first", F.sum("_cnt").over(w) - F.col("_cnt"))
+    low, high = F.floor("_x"), F.ceil("_x")
+
+    def holds(r, first, n):
+        return (F.col(first) <= r) & (r < F.col(first) + F.col(n))
+
+    cells = counts.groupBy(*bracket, "_cell").agg(F.sum("_cnt").alias("_held"))
+    cells = cells.withColumn("_before", F.sum("_held").over(Window.partitionBy(*bracket).orderBy("_cell")) - F.col("_held"))
+    cells = cells.filter((F.col("_cell") >= 0) & (holds(low, "_before", "_held") | holds(high, "_before", "_held")))
+    cells = cells.select(*[F.col(c).alias(f"_w{c}") for c in [*bracket, "_cell"]], "_before")
+    same_cell = all_of([F.col(c).eqNullSafe(F.col(f"_w{c}")) for c in [*bracket, "_cell"]])
+    w = Window.partitionBy(*bracket, "_cell").orderBy("_val")
+    ranked = counts.join(cells, same_cell).withColumn("_first", F.col("_before") + F.sum("_cnt").over(w) - F.col("_cnt"))
 
     def value_at(r):
-        return F.max(F.when(F.col("_val").isNotNull() & (F.col("_first") <= r)
-                            & (r < F.col("_first") + F.col("_cnt")), F.col("_val")))
+        return F.max(F.when(holds(r, "_first", "_cnt"), F.col("_val")))
 
     picked = ranked.groupBy(*keys, "_c_ix", "_p").agg(
-        F.first("_x").alias("_x"),
-        value_at(F.floor("_x")).alias("_vlo"), value_at(F.ceil("_x")).alias("_vhi"))
+        F.first("_x").alias("_x"), value_at(low).alias("_vlo"), value_at(high).alias("_vhi"))
     interp = F.col("_vlo") + (F.col("_x") - F.floor("_x")) * (F.col("_vhi") - F.col("_vlo"))
     found = picked.groupBy(*[F.col(k).alias(f"_f_{k}") for k in keys]).agg(*[
         F.max(F.when((F.col("_c_ix") == j) & (F.col("_p") == i), interp))
@@ -145,6 +164,60 @@ def exact_percentiles(df: DataFrame, keys: list[str], values, probs,
         .otherwise(F.col(f"_r{j}_{i}")).alias(_pname(values[j], probs[i])) for j, i, _ in pairs])
 
 
+def pane_sketches(positions: DataFrame, pane: str = "10 seconds", k: int = 400, keys: list[str] | None = None,
+                  values: tuple[str, ...] = ("speed", "delay")) -> DataFrame:
+    """One mergeable KLL sketch and the number of values per pane, group and column.
+
+    A sketch of ``k`` has a rank error of about 2 / k whatever goes into it, so
+    that panes can be kept instead of messages and merged to any window later.
+    """
+    keys = GROUP_KEYS if keys is None else keys
+    aggs = []
+    for c in values:
+        v = F.col(c).cast("double")
+        v = F.when(~F.isnan(v), v)
+        aggs += [F.count(v).alias(f"{c}_n"), F.kll_sketch_agg_double(v, k).alias(f"{c}_sketch")]
+    return (positions.groupBy(F.window("event_time", pane).alias("window"), *keys).agg(*aggs)
+            .select(F.col("window.start").alias("pane_start"), *keys, *[f"{c}_{x}" for c in values for x in ("n", "sketch")]))
+
+
+def merged_percentiles(panes: DataFrame, length: str, slide: str | None = None, probs=(0.5, 0.95), keys: list[str] | None = None,
+                       values: tuple[str, ...] = ("speed", "delay")) -> DataFrame:
+    """Percentiles of windows from the sketches of their panes (whole multiples of a pane); null without a value."""
+    keys = GROUP_KEYS if keys is None else keys
+    window = F.window("pane_start", length, slide) if slide else F.window("pane_start", length)
+    aggs = [a for c in values for a in (F.sum(f"{c}_n").alias(f"{c}_n"), F.kll_merge_agg_double(f"{c}_sketch").alias(f"{c}_sketch"))]
+    merged = panes.groupBy(window.alias("window"), *keys).agg(*aggs)
+    return merged.select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, *[f"{c}_n" for c in values],
+        *[F.when(F.col(f"{c}_n") > 0, F.kll_sketch_get_quantile_double(f"{c}_sketch", F.lit(float(p)))).alias(_pname(c, p))
+          for p in probs for c in values])
+
+
+def metrics_by_level(positions: DataFrame, length: str = "1 hour", sketch_lg_k: int = 12) -> DataFrame:
+    """The six window aggregates per route and direction, per route and for the network, from one scan.
+
+    Messages are aggregated once, to mergeable partials per window, route and
+    direction; grouping sets over these few rows give the levels. Distinct
+    vehicles are merged HLL sketches, since a vehicle can serve several routes.
+    ``level`` tells a missing key from one that the level doesn't have.
+    """
+    partial = positions.groupBy(F.window("event_time", length).alias("window"), *GROUP_KEYS).agg(
+        F.count(F.lit(1)).alias("n"), F.hll_sketch_agg("vehicle_id", sketch_lg_k).alias("vehicles"),
+        F.sum("speed").alias("speed"), F.count("speed").alias("speed_n"), F.sum("delay").alias("delay"), F.count("delay").alias("delay_n"),
+        F.min("delay").alias("low"), F.max("delay").alias("high"))
+    route, direction = (F.col(k) for k in GROUP_KEYS)
+    window = F.col("window")
+    levels = partial.groupingSets([[window, route, direction], [window, route], [window]], window, route, direction).agg(
+        F.grouping_id().alias("missing"), F.sum("n").alias("vehicle_count"),
+        F.hll_sketch_estimate(F.hll_union_agg("vehicles")).alias("active_vehicles"),
+        F.try_divide(F.sum("speed"), F.sum("speed_n")).alias("avg_speed"), F.try_divide(F.sum("delay"), F.sum("delay_n")).alias("avg_delay"),
+        F.min("low").alias("min_delay"), F.max("high").alias("max_delay"))
+    level = F.when(F.col("missing") == 0, "route_direction").when(F.col("missing") == 1, "route").otherwise("network")
+    return levels.select(level.alias("level"), F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+                         *GROUP_KEYS, "vehicle_count", "active_vehicles", "avg_speed", "avg_delay", "min_delay", "max_delay")
+
+
 def network_metrics(positions: DataFrame, length: str = "1 hour", exact: bool = True) -> DataFrame:
     """The six window aggregates over all routes together (no route key)."""
     agg = positions.groupBy(F.window("event_time", length).alias("window")).agg(

@@ -484,6 +484,27 @@ def q_speed_percentiles(spark, sf_dir):
     return finalize(X.speed_percentiles(positions(spark, sf_dir)))
 
 
+def q_sketch_percentiles(spark, sf_dir):
+    """Daily percentiles merged from 10 s panes, and whether each one's rank among all messages is within 3% of its target."""
+    pos, values, probs = positions(spark, sf_dir), ("speed", "delay"), (0.5, 0.95)
+    found = X.merged_percentiles(X.pane_sketches(pos), "1 day")
+    day = F.window("event_time", "1 day").getField("start").alias("window_start")
+    keys = ["window_start", "route", "direction"]
+    joined = pos.select(day, "route", "direction", *values).join(found, keys)
+    checks = []
+    for p in probs:
+        for c in values:
+            name, n = f"{c}_p{int(round(p * 100))}", F.count(c)
+            v, q = F.col(c).cast("double"), F.col(name)
+            below, upto = F.count_if(v < q) / n, F.count_if(v <= q) / n
+            checks.append(((below <= p + 0.03) & (upto >= p - 0.03)).alias(f"{name}_close"))
+    return finalize(joined.groupBy(*keys, "window_end", "speed_n", "delay_n").agg(*checks))
+
+
+def q_network_levels(spark, sf_dir):
+    return finalize(X.metrics_by_level(positions(spark, sf_dir), "1 hour"))
+
+
 def q_network_metrics(spark, sf_dir):
     return finalize(X.network_metrics(positions(spark, sf_dir), "1 hour"))
 
@@ -587,7 +608,9 @@ QUERIES: dict[str, Query] = {
     "stream_restart": q_stream_restart,
     "active_vehicles_approx": q_active_vehicles_approx,
     "speed_percentiles": q_speed_percentiles,
+    "sketch_percentiles": q_sketch_percentiles,
     "network_metrics": q_network_metrics,
+    "network_levels": q_network_levels,
     "downsample": q_downsample,
     "retention": q_retention,
     "range_validation": q_range_validation,
