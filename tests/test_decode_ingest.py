@@ -13,16 +13,24 @@ from transitlens.operators.decode import decode_positions
 from transitlens.operators.windows import window_metrics, windowed_metrics
 from transitlens.sources import ingest
 
-BUS = ("/hfp/v2/journey/ongoing/vp/bus/0018/00423/veh/456/2025-01-01T12:00:00.000Z")
-TRAM = ("/hfp/v2/journey/ongoing/vp/tram/0040/00101/veh/789/2025-01-01T10:30:00.000Z")
-NO_MARKER = "/hfp/v2/journey/ongoing/vp/bus/0018/00423/1001/1/Tapiola/7:20/1160105/5/60;24/18/65/16"
+FERRY = "fleet/north/veh/F-17/status"
+KEYED_TOPICS = {
+    FERRY: "F-17",
+    "veh/3": "3",
+    "/depot/veh/line 9 b/veh/x": "line 9 b",  # the first marker counts
+    "/depot/veh/\u00e4\u00f6/2024": "\u00e4\u00f6",
+    "/depot/vehicle/12": None,
+    "/depot/VEH/12": None,
+    "/depot/12/veh": None,
+    "/depot/12/veh/": None,
+    "": None,
+}
 
 
 def test_vehicle_key(spark):
-    df = spark.createDataFrame([(BUS,), (TRAM,), (NO_MARKER,), ("/a/veh",), ("/a/veh/",),
-                                ("veh/1/veh/2",)], "topic string")
-    got = [r.key for r in df.select(vehicle_key(F.col("topic")).alias("key")).collect()]
-    assert got == ["456", "789", None, None, None, "1"]
+    df = spark.createDataFrame([(t,) for t in [*KEYED_TOPICS, None]], "topic string")
+    got = {r.topic: r.key for r in df.select("topic", vehicle_key(F.col("topic")).alias("key")).collect()}
+    assert got == {**KEYED_TOPICS, None: None}
 
 
 def test_topic_level(spark):
@@ -47,34 +55,27 @@ def test_topic_filter(spark, flt, topic, ok):
 
 
 def raw(spark, payloads):
-    return spark.createDataFrame([(BUS, p, 1.0) for p in payloads],
+    return spark.createDataFrame([(FERRY, p, 1.0) for p in payloads],
                                  "topic string, payload binary, received_at double")
 
 
 def test_envelope_and_rejects(spark):
-    df = raw(spark, [b'{"VP": {"desi": "1001", "dir": "1"}}', b"invalid json {", b"\xff{}",
-                     '{"VP": {"desi": "Töölö"}}'.encode()])
+    payload = {"VP": {"desi": "17B", "dir": "2", "stops": [3, 4]}}
+    df = raw(spark, [json.dumps(payload).encode(), '{"name": "Hölö"}'.encode(), b'{"VP": {"desi": "17B", ', b'{"VP": "\xc3"}', b"{]"])
     env = ingest.envelope(df).collect()
-    assert len(env) == 2
-    first = json.loads(env[0].value)
-    assert set(first) == {"mqtt_topic", "payload", "received_at", "schema_version"}
-    assert first["payload"] == {"VP": {"desi": "1001", "dir": "1"}}
-    assert env[0].key == "456"
-    assert "Töölö" in env[1].value  # non-ASCII kept as is
-    reasons = sorted(r.reject_reason for r in ingest.rejects(df).collect())
-    assert reasons == ["json_decode", "utf8"]
+    assert [json.loads(r.value)["payload"] for r in env] == [payload, {"name": "Hölö"}]
+    assert set(json.loads(env[0].value)) == {"mqtt_topic", "payload", "received_at", "schema_version"}
+    assert {r.key for r in env} == {"F-17"}
+    assert "Hölö" in env[1].value  # non-ASCII kept as is
+    assert sorted(r.reject_reason for r in ingest.rejects(df).collect()) == ["json_decode", "json_decode", "utf8"]
     stats = ingest.ingest_stats(df).collect()[0]
-    assert (stats.messages_processed, stats.errors, stats.success_rate) == (2, 2, 50.0)
+    assert (stats.messages_processed, stats.errors, stats.success_rate) == (2, 3, 40.0)
 
 
-def test_stats_rates(spark):
-    good = [b"{}"] * 100
-    bad = [b"{"] * 5
-    s = ingest.ingest_stats(raw(spark, good + bad)).collect()[0]
-    assert s.success_rate == 95.24
-    empty = spark.createDataFrame([], "topic string, payload binary, received_at double")
-    s = ingest.ingest_stats(empty).collect()[0]
-    assert (s.messages_processed, s.errors, s.success_rate) == (0, 0, 100.0)
+@pytest.mark.parametrize("good,bad,rate", [(0, 0, 100.0), (7, 0, 100.0), (0, 3, 0.0), (2, 1, 66.67), (13, 3, 81.25)])
+def test_stats_rates(spark, good, bad, rate):
+    s = ingest.ingest_stats(raw(spark, [b"[]"] * good + [b"["] * bad)).collect()[0]
+    assert (s.messages_processed, s.errors, s.success_rate) == (good, bad, rate)
 
 
 def msg(topic, vp):
@@ -102,24 +103,23 @@ def test_decode_samples(spark):
 
 
 def test_decode_drops_incomplete_and_bad(spark):
-    values = [msg("/t", {"veh": 123}), msg("/t", {"desi": "1001"}), "not json", "[]", "",
-              json.dumps({"mqtt_topic": "/t", "payload": {"DOO": {"desi": "1"}}}),
-              msg("/t", {"desi": "1", "dir": "1", "tst": "nope"}),
-              json.dumps({"payload": {"VP": {"test": "message"}}})]
+    whole = SAMPLES[2]
+    values = [msg("/t", {k: v for k, v in whole.items() if k != missing}) for missing in ("desi", "dir", "tst")]
+    values += [msg("/t", dict(whole, tst="yesterday")), msg("/t", None), msg("/t", []), json.dumps({"payload": whole}),
+               msg("/t", whole)[:60], "17", "", None]
     df = spark.createDataFrame([(v,) for v in values], "value string")
     assert decode_positions(df).count() == 0
 
 
 def test_decode_field_level_nulls(spark):
-    base = {"desi": 1001, "dir": "1", "tst": "2025-01-01T12:00:00.000Z"}
-    cases = [dict(base, veh="12"), dict(base, veh=99999999999), dict(base, dl=3.5),
-             dict(base, spd="x"), dict(base, extra=1)]
-    df = spark.createDataFrame([(msg("/t", v),) for v in cases], "value string")
-    rows = decode_positions(df).collect()
-    assert len(rows) == 5
-    assert all(r.route == "1001" for r in rows)  # number into string field → its text
-    assert rows[0].vehicle_id is None and rows[1].vehicle_id is None
-    assert rows[2].delay is None and rows[3].speed is None
+    base = dict(SAMPLES[0], desi=550)
+    cases = {"vehicle_id": [dict(base, veh="31"), dict(base, veh=2 ** 70)], "delay": [dict(base, dl=0.5)], "speed": [dict(base, spd="fast")],
+             None: [base, dict(base, doors={"open": True})]}
+    for field, messages in cases.items():
+        rows = decode_positions(spark.createDataFrame([(msg("/t", v),) for v in messages], "value string")).collect()
+        assert len(rows) == len(messages) and all(r.route == "550" for r in rows)  # number into string field → its text
+        for r in rows:
+            assert {c for c in ("vehicle_id", "delay", "speed", "latitude") if r[c] is None} == ({field} if field else set())
 
 
 def test_window_on_decoded_samples(spark):
@@ -147,7 +147,7 @@ def test_static_tumbling_fixture(spark):
 
 
 def test_stats_per_reporting_interval(spark):
-    rows = [(BUS, b"{}", 0.0), (BUS, b"{", 30.0), (BUS, b"{}", 61.0), (BUS, b"{}", 119.0)]
+    rows = [(FERRY, b"{}", 0.0), (FERRY, b"{", 30.0), (FERRY, b"{}", 61.0), (FERRY, b"{}", 119.0)]
     df = spark.createDataFrame(rows, "topic string, payload binary, received_at double")
     per = ingest.ingest_stats(df, F.window(F.timestamp_seconds("received_at"), "60 seconds")
                               .alias("interval"))
