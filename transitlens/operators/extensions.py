@@ -289,7 +289,7 @@ def range_validation(positions: DataFrame, ranges=None) -> DataFrame:
 
 
 def acceleration(positions: DataFrame, bucket: str = "1 hour", vehicle: str = "vehicle_id",
-                 order: tuple[str, ...] = ("event_time", "event_id")) -> DataFrame:
+                 order: tuple[str, ...] = ("event_time", "event_id"), keep: tuple[str, ...] = ()) -> DataFrame:
     """Per vehicle: (speed - previous speed) / seconds since the previous message.
 
     Null for a vehicle's first message and when two messages share a time.
@@ -297,10 +297,11 @@ def acceleration(positions: DataFrame, bucket: str = "1 hour", vehicle: str = "v
     the lag runs per (vehicle, time bucket); the first row of each bucket gets
     its predecessor from a carry row: the last row of the vehicle's previous
     non-empty bucket, found by a small aggregate (one row per vehicle and
-    bucket) and unioned in; no join, no global sort.
+    bucket) and unioned in; no join, no global sort. ``keep`` names further
+    columns of the result.
     """
     t, tie = order
-    rows = positions.select(vehicle, t, tie, "speed",
+    rows = positions.select(vehicle, t, tie, "speed", *keep,
                             F.window(t, bucket).getField("start").alias("_bucket"),
                             F.lit(False).alias("_carry"))
     # One orderable number for (time, tie), so that the aggregate stays a hash aggregate.
@@ -313,7 +314,7 @@ def acceleration(positions: DataFrame, bucket: str = "1 hour", vehicle: str = "v
              .filter(F.col("_next").isNotNull())
              .select(vehicle, *[F.col(f"_last_{c}").alias(c) for c in (t, tie, "speed")],
                      F.col("_next").alias("_bucket"), F.lit(True).alias("_carry")))
-    both = rows.unionByName(carry)
+    both = rows.unionByName(carry, allowMissingColumns=True)
     w = Window.partitionBy(vehicle, "_bucket").orderBy(t, tie)
     prev_speed = F.lag("speed").over(w)
     prev_t = F.lag(t).over(w)
@@ -321,7 +322,7 @@ def acceleration(positions: DataFrame, bucket: str = "1 hour", vehicle: str = "v
             - F.unix_micros(prev_t.cast("timestamp"))) / F.lit(1_000_000.0)
     acc = F.try_divide(F.col("speed") - prev_speed, F.when(dt_s != 0, dt_s))
     return (both.withColumn("acceleration", acc).filter(~F.col("_carry"))
-            .select(tie, vehicle, t, "speed", "acceleration"))
+            .select(tie, vehicle, t, "speed", "acceleration", *keep))
 
 
 def punctuality(positions: DataFrame, threshold_s: int = 20,

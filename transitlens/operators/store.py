@@ -42,6 +42,8 @@ from transitlens.sources import files
 
 #: Runs of a level that are merged, and manifests whose folders stay.
 FAN, KEEP = 8, 3
+#: Commits whose touched hours a manifest remembers.
+CHANGES = 64
 KEYS = [*SERIES_KEYS, "window_end"]
 
 
@@ -63,6 +65,8 @@ class Manifest:
     latest_start: str | None = None
     expired_before: str | None = None
     schema: str | None = None
+    #: (version, hours with rows of its commit, or None for all) of the last CHANGES commits.
+    changes: tuple[tuple[int, tuple[str, ...] | None], ...] = ()
     facts: dict = field(default_factory=dict)
 
     @staticmethod
@@ -70,8 +74,23 @@ class Manifest:
         raw = json.loads(text)
         raw["runs"] = tuple(Run(r["name"], r["level"], tuple(r["dates"])) for r in raw["runs"])
         raw["open_dates"] = tuple(raw["open_dates"])
+        raw["changes"] = tuple((version, hours if hours is None else tuple(hours)) for version, hours in raw["changes"])
         return Manifest(**raw)
 
+    def changed(self, hours: Iterable[str] | None) -> Manifest:
+        """The next commit touches these hours."""
+        entry = (self.version + 1, None if hours is None else tuple(sorted(hours)))
+        return replace(self, changes=(*self.changes, entry)[-CHANGES:])
+
+    def touched_since(self, version: int) -> set[str] | None:
+        """Hours touched by commits after ``version``; None if they are all or no longer known."""
+        if version >= self.version:
+            return set()
+        if not self.changes or self.changes[0][0] > version + 1:
+            return None
+        later = [hours for v, hours in self.changes if v > version]
+        return None if None in later else {h for hours in later for h in hours}
+
     @property
     def dates(self) -> list[str]:
         """All dates with rows, newest first."""
@@ -183,7 +202,7 @@ class MetricStore:
         dates = tuple(sorted(n.partition("=")[2] for n in files.names(self.spark, f"{self.root}/runs/run={name}") if n.startswith("window_date=")))
         schema = m.schema or json.dumps(T.StructType([f for f in rows.schema if f.name != "window_date"]).jsonValue())
         m = replace(m, runs=(*m.runs, Run(name, 0, dates)), schema=schema, facts={**m.facts, **((facts() if callable(facts) else facts) or {})})
-        return self._publish(self._tiered(m, name))
+        return self._publish(self._tiered(m.changed(None), name))
 
     def commit(self, batch: DataFrame, batch_id: int) -> bool:
         """Upsert one micro-batch; false if it was committed before."""
@@ -193,7 +212,7 @@ class MetricStore:
         schema = m.schema or json.dumps(batch.schema.jsonValue())
         m = replace(m, schema=schema)
         name, columns = f"batch-{batch_id:012d}", [f.name for f in self._schema(m)]
-        newer = batch.select(*columns).withColumn("_version", F.lit(1))
+        newer = batch.select(*columns).withColumn("_version", F.lit(1)).persist()
         opened = self._open(m)
         merged = newer if opened is None else opened.withColumn("_version", F.lit(0)).unionByName(newer)
         merged = pick_latest(merged, KEYS, "_version").select(*columns).persist()
@@ -201,6 +220,8 @@ class MetricStore:
             end = F.col("window_end").cast("timestamp")
             limit = F.lit(m.closed_until).cast("timestamp")
             closed = F.coalesce(end <= limit, F.lit(False))
+            hours = newer.select(F.date_trunc("hour", "window_start").cast("timestamp_ntz").cast("string")).distinct().collect()
+            m = m.changed(r[0] for r in hours)
             stats = merged.groupBy(closed.alias("closed"), F.to_date("window_end").cast("string").alias("date")).agg(
                 F.max(F.col("window_start").cast("timestamp")).alias("start"), F.min(end).alias("first")).collect()
             starts = [s["start"] for s in stats] + ([dt.datetime.fromisoformat(m.latest_start)] if m.latest_start else [])
@@ -223,6 +244,7 @@ class MetricStore:
                         latest_start=latest and latest.isoformat(), closed_until=latest and (latest - self.delay).isoformat())
         finally:
             merged.unpersist()
+            newer.unpersist()
         self._publish(self._tiered(m, name))
         return True
 
@@ -249,7 +271,7 @@ class MetricStore:
             name = f"expired-{m.version + 1:012d}" if open_dates else None
             if name:
                 opened.filter(F.to_date("window_end") >= F.lit(before).cast("date")).write.mode("overwrite").parquet(f"{self.root}/open/{name}")
-        return self._publish(replace(m, runs=runs, open=name, open_dates=open_dates, expired_before=before))
+        return self._publish(replace(m.changed(()), runs=runs, open=name, open_dates=open_dates, expired_before=before))
 
     def vacuum(self, keep: int = KEEP) -> None:
         """Delete what none of the last ``keep`` manifests names: old manifests, folders, and dates inside runs."""

@@ -19,6 +19,7 @@ from transitlens.operators import reshape as R
 from transitlens.operators import sinks as K
 from transitlens.operators import windows as W
 from transitlens.operators.decode import decode_positions, metrics_from_messages
+from transitlens.operators.rollup import refresh
 from transitlens.operators.store import MetricStore
 from transitlens.plans import queries as Q
 from transitlens.plans.oracles import COMPARED_ROUTES
@@ -33,7 +34,7 @@ from transitlens.sources.adapter import (
     topic_for,
 )
 from transitlens.sources.bus import RecordLog, stream_log
-from transitlens.sources.readers import read_events
+from transitlens.sources.readers import read_events, stream_events
 from transitlens.streaming import stream as S
 
 LATE_CUTOFF = dt.datetime(2024, 1, 16)
@@ -307,6 +308,10 @@ def q_line_protocol(spark, sf_dir):
     return finalize(K.parse_points(K.line_protocol(m)))
 
 
+def stream_positions(spark, sf_dir):
+    return S.positions_from_event_stream(stream_events(spark, sf_dir))
+
+
 def _feed(spark, sf_dir, name, parts, start):
     """The reference's stream over several arrivals: envelopes, decoding, watermark, all six
     metrics of both window kinds, into what ``start`` (metrics, output folder, checkpoint) starts.
@@ -336,9 +341,9 @@ def _arrivals(spark, sf_dir, name, parts, append=False):
     return finalize(R.upsert_latest(S.read_changelog(spark, out)))
 
 
-def _days(*cuts):
+def _days(*cuts, column="ts"):
     """Conditions for the stretches of time between cuts."""
-    ts = F.col("ts")
+    ts = F.col(column)
     bounds = [None, *cuts, None]
     return [(F.lit(True) if a is None else ts >= F.lit(a)) & (F.lit(True) if b is None else ts < F.lit(b))
             for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
@@ -428,6 +433,17 @@ def q_stream_multi_sink(spark, sf_dir):
     return finalize(parts[0].unionByName(parts[1]).unionByName(parts[2]).select("sink", *columns))
 
 
+def q_stream_acceleration(spark, sf_dir):
+    """Four arrivals, the query started anew for each; vehicles' last positions are the state."""
+    pos = positions(spark, sf_dir).select("event_id", "vehicle_id", "event_time", "speed")
+    root, checkpoint = shared_path(spark, "stream_acceleration", unique=True), S.checkpoint_for(spark, "stream_acceleration", unique=True)
+    for part in _days(*[dt.datetime(2024, 1, d) for d in (8, 15, 22)], column="event_time"):
+        pos.filter(part).write.mode("append").parquet(f"{root}/feed")
+        feed = spark.readStream.schema(pos.schema).parquet(f"{root}/feed")
+        S.run_to_end(S.start_acceleration(feed, root, checkpoint, ttl="365 days", trigger="availableNow"))
+    return finalize(spark.read.parquet(f"{root}/out").drop("batch_id"))
+
+
 def q_late_data(spark, sf_dir):
     """Late arrivals are dropped by the watermark.
 
@@ -515,6 +531,21 @@ def q_downsample(spark, sf_dir):
     return finalize(X.downsample(W.window_metrics(pos, "10 seconds", counts=True), "1 hour"))
 
 
+def q_rollup(spark, sf_dir):
+    """Hourly rows refreshed after a first commit that lacks every fiftieth event, and after its corrections."""
+    pos = positions(spark, sf_dir).withColumn("speed", F.when(F.col("event_id") % 7 != 0, F.col("speed")))
+    late = F.col("event_id") % 50 == 0
+    rows = lambda feed: W.window_metrics(feed, "10 seconds", counts=True)
+    keys = ["window_start", "window_end", *SERIES_KEYS]
+    root = shared_path(spark, "rollup", unique=True)
+    source, target = MetricStore(spark, f"{root}/fine"), MetricStore(spark, f"{root}/hourly")
+    source.commit(rows(pos.filter(~late)), 0)
+    refresh(source, target)
+    source.commit(rows(pos).join(rows(pos.filter(late)).select(*keys), keys, "left_semi"), 1)
+    refresh(source, target)
+    return finalize(target.read().drop("window_date", "window_type"))
+
+
 def q_retention(spark, sf_dir):
     """Dates before the last seven days are taken out of a store and their files deleted; what is left, from that time on."""
     keep_from = as_of(spark, sf_dir) - F.expr("INTERVAL 7 DAYS")
@@ -605,6 +636,7 @@ QUERIES: dict[str, Query] = {
     "stream_bus": q_stream_bus,
     "stream_counters": q_stream_counters,
     "late_data": q_late_data,
+    "stream_acceleration": q_stream_acceleration,
     "stream_restart": q_stream_restart,
     "active_vehicles_approx": q_active_vehicles_approx,
     "speed_percentiles": q_speed_percentiles,
@@ -612,6 +644,7 @@ QUERIES: dict[str, Query] = {
     "network_metrics": q_network_metrics,
     "network_levels": q_network_levels,
     "downsample": q_downsample,
+    "rollup": q_rollup,
     "retention": q_retention,
     "range_validation": q_range_validation,
     "acceleration": q_acceleration,

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import json
 import threading
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from transitlens.operators import sinks as K
 from transitlens.operators.decode import decode_positions
+from transitlens.operators.extensions import acceleration
 from transitlens.operators.store import MetricStore
 from transitlens.operators.windows import metric_aggs
 from transitlens.schema import SLIDING_LABEL, TUMBLING_LABEL
@@ -273,6 +275,72 @@ def start_store(df: DataFrame, store: MetricStore, checkpoint: str, trigger: str
     return _trigger(w, trigger).start()
 
 
+LAST_SCHEMA = "vehicle_id long, event_time timestamp_ntz, event_id long, speed double"
+
+
+def acceleration_writer(root: str, ttl: str = "1 day", keep: int = 3) -> Callable[[DataFrame, int], None]:
+    """foreachBatch body: the acceleration of a batch's messages, with each vehicle's last position as state.
+
+    The state is a table of one row for each vehicle heard of within ``ttl`` of
+    the newest message, a folder for each batch of which the last ``keep``
+    stay; so it does not grow with time. A batch takes the state of the one
+    before it, and a replayed one writes the same folders again. Within a batch
+    the work is that of the batch operator: a vehicle with many messages is
+    split by hour. A message older than its vehicle's last one has no
+    predecessor and its acceleration is null, as that of a vehicle that was
+    silent for longer than ``ttl``.
+    """
+    root = root.rstrip("/")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        known = [int(n[2:]) for n in files.names(spark, f"{root}/state") if n.startswith("b=")]
+        before = [n for n in sorted(known) if n < batch_id]
+        rows = batch.select("vehicle_id", F.col("event_time").cast("timestamp_ntz").alias("event_time"), "event_id", "speed",
+                            F.lit(False).alias("_state")).persist()
+        try:
+            both = rows
+            if before:
+                both = rows.unionByName(spark.read.schema(LAST_SCHEMA).parquet(f"{root}/state/b={before[-1]}").withColumn("_state", F.lit(True)))
+            (acceleration(both, keep=("_state",)).filter(~F.col("_state")).drop("_state").write.mode("overwrite")
+             .parquet(f"{root}/out/batch_id={batch_id}"))
+            last = both.groupBy("vehicle_id").agg(F.max(F.struct("event_time", "event_id", "speed")).alias("p")).select("vehicle_id", "p.*")
+            newest = both.select(F.max("event_time")).scalar()
+            (last.filter(F.col("event_time") >= newest - F.expr(f"INTERVAL {ttl}")).write.mode("overwrite").parquet(f"{root}/state/b={batch_id}"))
+        finally:
+            rows.unpersist()
+        for n in before[:-keep]:
+            files.delete(spark, f"{root}/state/b={n}")
+    return write
+
+
+def start_acceleration(positions: DataFrame, root: str, checkpoint: str, ttl: str = "1 day",
+                       trigger: str | None = TRIGGER) -> StreamingQuery:
+    w = positions.writeStream.option("checkpointLocation", checkpoint).foreachBatch(acceleration_writer(root, ttl))
+    return _trigger(w, trigger).start()
+
+
+def supervise(queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
+    """Wait until all of ``queries`` have ended; the first that fails stops the others and is raised.
+
+    Still running ones are stopped after ``timeout_s``, which raises ``TimeoutError``.
+    """
+    end = None if timeout_s is None else time.monotonic() + timeout_s
+    try:
+        while any(q.isActive for q in queries):
+            for q in queries:
+                q.awaitTermination(0.2)  # raises what the query failed with
+            if end is not None and time.monotonic() > end:
+                raise TimeoutError(f"streaming queries did not end within {timeout_s} s")
+        for q in queries:
+            if q.exception() is not None:
+                raise q.exception()
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()
+
+
 def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
     """Wait for an ``availableNow`` query; re-raise its failure if it had one.
 
