@@ -8,7 +8,7 @@ from collections import Counter
 
 import pytest
 
-from tests.llm.helpers import documents, empty, odd, prose
+from llm.helpers import documents, empty, odd, prose
 from transitlens.llm import collocation
 
 

@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tests.llm.helpers import documents, empty, odd, prose
+from llm.helpers import documents, empty, odd, prose
 from transitlens.llm import packing
 from transitlens.llm.byte_ids import ByteIds
 from transitlens.llm.packing_plan import best_fit, configurations, grouped, plan

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
 import numpy as np
+import pytest
 
 from llm.helpers import ODD, documents, empty, odd, prose
 from transitlens.llm import toxicity as X
@@ -60,3 +62,33 @@ def test_odd_rows(spark):
         got = X.toxicity(odd(spark), labels(spark, known)).collect()
         assert len(got) == len(ODD) and all(0 <= r.score <= 1 for r in got)
     assert X.toxicity(empty(spark), labels(spark, [(1, 1)])).count() == 0
+
+
+@pytest.mark.parametrize("prior", [0.02, 0.3, 0.9])
+def test_first_step_goes_down_the_risk(prior):
+    """The first Adam step moves every weight against the slope of the risk, written out document by document."""
+    rng = np.random.default_rng(7)
+    positive = [np.unique(rng.integers(0, 12, 6)) for _ in range(200)]
+    unlabelled = [np.unique(rng.integers(6, 30, 9)) for _ in range(400)]
+    rate = 0.05
+    weights, _ = X.train(positive, unlabelled, prior, steps=1, batch=400, rate=rate, decay=0.0, seed=2)
+    draw = np.random.default_rng(2)
+    draw.permutation(len(unlabelled))
+    drawn = [positive[i] for i in draw.integers(0, len(positive), 400)]
+    start = math.log(prior / (1 - prior))
+
+    def loss(z):
+        return math.log1p(math.exp(-z))
+
+    def risks(feature, change):
+        g = lambda doc: start + (change if feature in doc else 0.0)
+        toxic = prior * sum(loss(g(d)) for d in drawn) / len(drawn)
+        rest = sum(loss(-g(d)) for d in unlabelled) / len(unlabelled) - prior * sum(loss(-g(d)) for d in drawn) / len(drawn)
+        return toxic, rest
+
+    moved = np.flatnonzero(weights)
+    assert len(moved) > 10
+    for f in moved:
+        (up_t, up_r), (down_t, down_r) = risks(f, 1e-5), risks(f, -1e-5)
+        slope = (up_t - down_t + up_r - down_r) / 2e-5
+        assert abs(slope) > 1e-9 and weights[f] == pytest.approx(-rate * np.sign(slope), rel=1e-3)
