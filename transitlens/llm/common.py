@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import os
 import zlib
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +52,13 @@ def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches in slices, so that what a task makes of one at a time stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def id_crc(doc_id: str = "doc_id"):
     """crc32 of an id written as text (a null id: of the empty text)."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
@@ -102,18 +111,6 @@ def merged_components(components: DataFrame, edges: DataFrame, name: str) -> Dat
         "id", F.coalesce("_to", "component").alias("component")), f"{name}-merged")
 
 
-def star_pairs(members: DataFrame, rank: str | None = None) -> DataFrame:
-    """(a, b): each member of a bucket with its leader, the least id or the one of the highest ``rank``.
-
-    ``members`` has (bucket, id). A bucket gives one pair less than it has
-    members, whatever its size, and the leader is found by an aggregate that
-    pre-aggregates before the shuffle.
-    """
-    leader = F.max(F.struct(rank, "id")).getField("id") if rank else F.min("id")
-    leaders = members.groupBy("bucket").agg(leader.alias("a"))
-    return members.join(leaders, "bucket").filter("a <> id").select("a", F.col("id").alias("b")).distinct()
-
-
 def labelled(members: DataFrame, components: DataFrame) -> DataFrame:
     """``members`` with ``component``: that of the id, or the id itself."""
     known = components.withColumnRenamed("id", "_id")

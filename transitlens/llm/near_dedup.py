@@ -1,30 +1,40 @@
 """Near-duplicate documents by Order MinHash.
 
-A sketch of a text takes the ``ELL`` least of its occurrence-labelled k-mers of
-``K`` words under one hash and keeps them in text order, so that two texts
+A sketch of a text takes the ``ELL`` least of its occurrence-labelled k-mers
+under one hash and keeps them in text order, so that two texts
 share it as often as their edit similarity is high. ``SKETCHES`` of them are
-made for each text; two texts are candidates if they share one. Candidates are
+made for each text, of k-mers of ``K`` words, for texts of up to ``SHORT`` words
+of ``SHORT_K`` words, and of both kinds from ``LONG`` to ``SHORT`` words, so that
+any two similar texts have a kind in common. Two texts are candidates if they
+share a sketch. Candidates are
 aligned word by word in a band as wide as the allowed distance, and are near
 duplicates if the alignment shows a similarity (1 - distance / longer length)
 of ``SIMILARITY`` or more. A class is a connected group of near duplicates.
 
 Words are runs of letters and digits in lower case. Texts with the same words
-are one node and count as copies without being paired. Classes are found in
-rounds, so that no group is written out as pairs: each bucket's members are
-aligned with a leader, and those that don't follow it with one of their own, again
-until a round joins nothing new. Then all pairs of different classes that still
-share a bucket are aligned, if their lengths and the parities of their words'
-counts in ``PARITIES`` slots allow that they are similar: an edit changes two
-parities at most, so that no near duplicate is lost. Buckets with more than ``HOT``
-members (a passage that many different texts have) are split by length: a member
-is filed under its own range of lengths and the next one, which near duplicates
-have in common.
-
-Defined cases: a null text or one without words is a copy of equal text only,
-and an empty or null one is in a class of its own with every row; a text of
-fewer than ``K`` words has one k-mer; repeated rows are copies; a class is
-named by its least id (null if it has none); an empty table gives an empty
-result.
+are one node and count as copies without being paired. Before any alignment the
+lengths and the parities of the words' counts in ``PARITIES`` slots must allow
+that two texts are similar: an edit changes two parities at most, so that no near
+duplicate is lost.
+
+No group of similar texts is written out as pairs. First each text is
+aligned with one text only, the one that leads most of its buckets. Then, while
+that closes a part of the open buckets (those with several classes),
+each bucket draws a new leader, with which the members of other classes are
+aligned. At last all pairs of different classes that share a bucket and
+may be similar are aligned, whatever the rounds before found. There the bucket's
+largest class is compared with the others only, not with itself; buckets with more
+than ``HOT`` ** 2 comparisons (a passage that many different texts have) are split
+by length: a member is filed under its own range of lengths and the next one,
+which near duplicates have in common; what is still above that is dealt over
+several keys, each with a part of the members against all.
+
+Defined cases: a null text or one without words is a copy of equal text only;
+empty and null texts are in classes of their own, with equal rows of the same id alone; a text of
+fewer words than a k-mer has one k-mer; very long texts are sketched whole;
+repeated rows are copies; a class is named by its least id, or, if it has none or
+other classes have the same, by a negative hash, so that names are unique; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -40,18 +50,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from transitlens.llm.common import connected_components, labelled, merged_components, open_members, ready, star_pairs, stored
+from transitlens.llm.common import connected_components, labelled, merged_components, open_members, ready, sliced, stored
 
-K = 5
-ELL = 3
-SKETCHES = 20
+K, SHORT_K = 3, 2
+#: Texts of up to SHORT words have sketches of SHORT_K words, those of LONG words or more of K words.
+SHORT, LONG = 64, 48
+ELL = 2
+SKETCHES = 32
 SIMILARITY = 0.8
-#: Sketches that two texts share to be candidates: one, that of the bucket they meet in.
-SHARED = 1
 PARITIES = 2048
+#: A bucket may take the square of this in comparisons before it is split.
 HOT = 1000
+#: Rounds of drawn leaders go on while they bring the members of open buckets below this share.
+CLOSED = 0.8
 WORD = re.compile(r"[^\W_]+")
-WORDS_KEPT = 400_000
+WORDS_KEPT = 200_000
 #: Words of texts that are sketched together.
 CHUNK = 200_000
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -134,6 +147,17 @@ def sketch(words: list[np.ndarray], k: int = K, ell: int = ELL, sketches: int =
     return out
 
 
+def sketches_of(words: list[np.ndarray]) -> list[list[int]]:
+    """The sketches of texts with words, of the kinds that their lengths ask for."""
+    out: list[list[int]] = [[] for _ in words]
+    for k, mine in ((SHORT_K, [i for i, w in enumerate(words) if len(w) <= SHORT]),
+                    (K, [i for i, w in enumerate(words) if len(w) >= LONG])):
+        if mine:
+            for i, made in zip(mine, sketch([words[i] for i in mine], k).view(np.int64).tolist(), strict=True):
+                out[i] += made
+    return out
+
+
 def parities(words: list[np.ndarray]) -> np.ndarray:
     """A row of ``PARITIES`` bits for each text: whether it has an odd number of words in a slot."""
     out = np.empty((len(words), PARITIES // 64), np.int64)
@@ -156,7 +180,7 @@ def sketched(docs: DataFrame) -> DataFrame:
                            T.StructField("sketches", T.ArrayType(T.LongType())), T.StructField("parities", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             words, rows, n = [], [], 0
             contents = batch.column(2).to_pylist()
             for i, text in enumerate(batch.column(1).to_pylist()):
@@ -165,7 +189,7 @@ def sketched(docs: DataFrame) -> DataFrame:
                 n += len(words[-1])
                 if n >= CHUNK or i == batch.num_rows - 1:
                     some = [w for w in words if len(w)]
-                    made = iter(sketch(some).view(np.int64).tolist() if some else [])
+                    made = iter(sketches_of(some))
                     odd = iter(parities(some).tolist())
                     node = [xxhash.xxh3_64_intdigest(w.tobytes()) - (1 << 63) if len(w) else contents[r]
                             for w, r in zip(words, rows, strict=True)]
@@ -257,7 +281,7 @@ def verified(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: list[int] = []
-        for batch in batches:
+        for batch in sliced(batches):
             out: list[tuple[int, int]] = []
             a_ids, b_ids = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for a, b, text in zip(a_ids, b_ids, batch.column(3).to_pylist(), strict=True):
@@ -285,25 +309,52 @@ def allowed(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(x, F.col("a") == F.col("x.id")).join(y, F.col("b") == F.col("y.id")).filter(possible("x", "y")).select("a", "b")
 
 
-def cross_pairs(nodes: DataFrame, members: DataFrame, components: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that share a bucket and may be similar.
+def best_leaders(members: DataFrame) -> DataFrame:
+    """(a, b): each member ``b`` with the text that leads most of its buckets by ``rank``, if that isn't itself."""
+    leaders = members.groupBy("bucket").agg(F.max(F.struct("rank", "id")).getField("id").alias("a"))
+    votes = members.join(leaders, "bucket").filter("a <> id").groupBy(F.col("id").alias("b"), "a").agg(F.count("*").alias("n"))
+    return votes.groupBy("b").agg(F.max(F.struct("n", "a")).getField("a").alias("a")).select("a", "b")
+
+
+def drawn_pairs(rows: DataFrame, seed: int) -> DataFrame:
+    """(a, b): members of open buckets with a leader drawn by ``seed``, if it is of another class."""
+    place = F.xxhash64("id", F.lit(seed))
+    leaders = rows.groupBy("bucket").agg(F.max(F.struct(place.alias("place"), "id", "component")).alias("top"))
+    return (rows.join(leaders, "bucket").filter("component <> top.component")
+            .select(F.col("top.id").alias("a"), F.col("id").alias("b")).distinct())
+
+
+def _weighed(rows: DataFrame) -> DataFrame:
+    """``rows`` with their bucket's largest class ``top`` and its comparisons ``work``; buckets of one class go."""
+    sizes = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    stats = sizes.groupBy("bucket").agg(F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("most"))
+    stats = stats.filter(F.col("all") > F.col("most.n")).select(
+        "bucket", F.col("most.component").alias("top"), (F.col("all") * (F.col("all") - F.col("most.n"))).alias("work"))
+    return rows.join(stats, "bucket")
+
+
+def cross_pairs(nodes: DataFrame, rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different classes that share a bucket and may be similar.
 
-    ``nodes`` has (id, words, parities), ``members`` (bucket, id).
+    ``nodes`` has (id, words, parities), ``rows`` (bucket, id, component).
     """
-    rows = stored(open_members(members, components), "near-open")
-    sizes = rows.groupBy("bucket").agg(F.count("*").alias("n"))
-    hot = sizes.filter(F.col("n") > HOT).select("bucket")
     facts = nodes.select(F.col("id").alias("_id"), "words", "parities")
-    rows = rows.select("bucket", "id", "component").join(facts, F.col("id") == F.col("_id")).drop("_id")
-    cool = rows.join(hot, "bucket", "left_anti")
+    sized = nodes.select(F.col("id").alias("_id"), "words")
+    rows = stored(_weighed(rows.select("bucket", "id", "component")), "near-weighed")
+    limit = HOT * HOT
+    cool = rows.filter(F.col("work") <= limit).withColumn("parts", F.lit(1).cast("long"))
     # Similar lengths are in one range or in ranges that follow each other.
     band = F.floor(F.log("words") / -math.log(SIMILARITY) * (1 - 1e-6))
-    warm = rows.join(hot, "bucket").withColumn("band", F.explode(F.array(band, band + 1)))
-    split = warm.select(F.xxhash64("bucket", "band").alias("bucket"), "id", "component", "words", "parities")
-    rows = cool.select("bucket", "id", "component", "words", "parities").unionByName(split)
-    x, y = rows.alias("x"), rows.alias("y")
-    near = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component")) & possible("x", "y")
-    return x.join(y, near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    warm = rows.filter(F.col("work") > limit).join(sized, F.col("id") == F.col("_id"))
+    warm = _weighed(warm.withColumn("band", F.explode(F.array(band, band + 1))).select(
+        F.xxhash64("bucket", "band").alias("bucket"), "id", "component"))
+    warm = warm.withColumn("parts", F.ceil(F.col("work") / limit).cast("long"))
+    both = stored(cool.unionByName(warm).join(facts, F.col("id") == F.col("_id")).drop("_id", "work"), "near-facts")
+    x = both.filter("component <> top").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))).alias("x")
+    y = both.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).alias("y")
+    other = ((F.col("y.component") == F.col("x.top")) | (F.col("x.component") < F.col("y.component")))
+    near = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.part") == F.col("y.part")) & other & possible("x", "y")
+    return x.join(y, near).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -314,7 +365,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.min("content").alias("content"), F.first("words").alias("words"), F.first("sketches").alias("sketches"),
         F.first("parities").alias("parities"))
     nodes = stored(nodes, "near-nodes")
-    members = nodes.filter(F.col("words") >= K).select("id", F.explode("sketches").alias("bucket"))
+    members = nodes.select("id", F.explode("sketches").alias("bucket"))
     # Buckets of one member say nothing more. A text ranks by how many others it meets: among
     # edited copies the one that they were made from meets most and leads.
     shared = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
@@ -327,17 +378,19 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     texts = (plain.select("text", content.alias("_c")).join(wanted, F.col("_c") == F.col("_content"))
              .groupBy("node").agg(F.first("text").alias("text")))
     texts = stored(texts, "near-texts")
-    found = connected_components(verified(star_pairs(members, "rank"), texts, "near-stars"), "near-stars")
-    # The members that didn't follow their leader have one of their own, and meet all others.
+    found = connected_components(verified(allowed(best_leaders(members), nodes), texts, "near-stars"), "near-stars")
+    seed, before = 0, None
     while True:
-        others = stored(open_members(members, found), "near-others")
-        top = others.groupBy(F.col("bucket").alias("_bucket")).agg(F.max(F.struct("rank", "id", "component")).alias("top"))
-        rest = others.join(top, F.col("bucket") == F.col("_bucket")).filter(F.col("component") != F.col("top.component"))
-        links = verified(allowed(star_pairs(rest, "rank"), nodes), texts, "near-second")
-        before, found = found, merged_components(found, links, "near-second")
-        if found is before:
+        rows_open = stored(open_members(members, found).select("bucket", "id", "component"), "near-open")
+        left = rows_open.count()
+        # The last step is complete by itself: a round that closes little isn't worth another.
+        if not left or before is not None and left > CLOSED * before:
             break
-    found = merged_components(found, verified(cross_pairs(nodes, members, found), texts, "near-cross"), "near-all")
+        before, seed = left, seed + 1
+        links = verified(allowed(drawn_pairs(rows_open, seed), nodes), texts, "near-drawn")
+        found = merged_components(found, links, "near-drawn")
+    if left:
+        found = merged_components(found, verified(cross_pairs(nodes, rows_open), texts, "near-cross"), "near-all")
     return labelled(rows.select("doc_id", "content", "node", "words").withColumn("id", F.col("node")), found).drop("id")
 
 
@@ -350,13 +403,16 @@ def _class_of(rows: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, class_id (the least id of its class), words and class_rows for each row of ``docs``."""
+    """doc_id, class_id (the least id of its class, see above), words and class_rows for each row of ``docs``."""
     rows = _class_of(classes(docs, id_col, text_col))
-    sizes = rows.filter("group IS NOT NULL").groupBy(F.col("group").alias("_group")).agg(
-        F.min("doc_id").alias("class_id"), F.count("*").alias("class_rows"))
-    joined = rows.join(sizes, F.col("group") == F.col("_group"), "left")
-    return joined.select("doc_id", F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-                         "words", F.coalesce("class_rows", F.lit(1)).alias("class_rows"))
+    rows = rows.withColumn("group", F.coalesce("group", F.xxhash64(F.lit("alone"), "doc_id", "content")))
+    sizes = stored(rows.groupBy(F.col("group").alias("_group")).agg(
+        F.min("doc_id").alias("least"), F.count("*").alias("class_rows")), "near-sizes")
+    several = sizes.groupBy(F.col("least").alias("_least")).agg(F.count("*").alias("n")).filter("n > 1")
+    own = -F.shiftrightunsigned("_group", 1) - 1
+    named = sizes.join(several, F.col("least") == F.col("_least"), "left").select(
+        "_group", "class_rows", F.when(F.col("least").isNull() | F.col("n").isNotNull(), own).otherwise(F.col("least")).alias("class_id"))
+    return rows.join(named, F.col("group") == F.col("_group")).select("doc_id", "class_id", "words", "class_rows")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
