@@ -37,3 +37,13 @@ def test_odd_rows(spark):
     assert sorted(map(tuple, top_k(table(spark, rows)).collect())) == brute(rows, 10, 100)
     assert top_k(table(spark, [])).count() == 0
     assert top_k(table(spark, [(1, [1.0])])).count() == 0
+
+
+def test_rows_of_one_id_get_a_list_each(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(0, 0.3, 8).astype(np.float32).tolist()) for i in range(90)]
+    rows += [(20, rng.normal(0, 0.3, 8).astype(np.float32).tolist()), (40, rows[40][1])]  # another vector, the same row
+    got = top_k(table(spark, rows).repartition(3), 10, 20)
+    assert got.columns == ["query_id", "rank", "vec_id", "score"]
+    want = brute(rows, 10, 20)
+    assert sorted(map(tuple, got.collect())) == want and len(want) == 7 * 10

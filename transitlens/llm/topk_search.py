@@ -15,7 +15,8 @@ task returns its best k for each query; these are merged by query.
 
 Defined cases: null vectors, empty ones, and ones that hold null or non-finite
 components take no part, nor do rows without an id; rows that share the
-query's id are the query's own row; only vectors of equal length are compared;
+query's id are the query's own row, and each of them is a query with a list of
+its own; very long vectors are taken whole; only vectors of equal length are compared;
 ties go to the smaller id; an empty table gives an empty result.
 """
 
@@ -35,8 +36,8 @@ from transitlens.llm.common import ready, stored
 SEGMENTS = (1, 4, 16)
 QUERY_BLOCK = 16_384
 SCALE = 1024
-RESULT = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()),
-                       T.StructField("score", T.LongType())])
+RESULT = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("query_row", T.LongType()),
+                       T.StructField("vec_id", T.LongType()), T.StructField("score", T.LongType())])
 
 
 def whole_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -58,8 +59,8 @@ def segment_stats(matrix: np.ndarray, segments: int) -> np.ndarray:
 class Block:
     """Query vectors of one length with their statistics and best scores so far."""
 
-    def __init__(self, ids: np.ndarray, matrix: np.ndarray, k: int):
-        self.ids, self.matrix, self.k = ids, matrix.astype(np.float64), k
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, matrix: np.ndarray, k: int):
+        self.ids, self.rows, self.matrix, self.k = ids, rows, matrix.astype(np.float64), k
         self.stats = [segment_stats(self.matrix, s) for s in SEGMENTS]
         # Scores are exact whole numbers in doubles; larger ones go through whole-number products.
         self.exact = matrix
@@ -96,16 +97,16 @@ class Block:
                 self.least[i] = s[keep[-1]]
 
 
-def _matrices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(ids, matrix) for each vector length in a batch of (vec_id, v)."""
-    ids = batch.column(0).to_numpy(zero_copy_only=False)
-    lists = batch.column(1)
+def _matrices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(ids, rows, matrix) for each vector length in a batch of (vec_id, row, v)."""
+    ids, numbers = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+    lists = batch.column(2)
     lengths = np.diff(lists.offsets.to_numpy())
     flat = lists.flatten().to_numpy(zero_copy_only=False)
     ends = np.concatenate([[0], np.cumsum(lengths)])
     for n in np.unique(lengths):
         rows = np.flatnonzero(lengths == n)
-        yield ids[rows], flat[ends[rows][:, None] + np.arange(n)]
+        yield ids[rows], numbers[rows], flat[ends[rows][:, None] + np.arange(n)]
 
 
 def top_k(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -114,23 +115,26 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_
     Queries are the rows whose id is divisible by ``every``.
     """
     spark = ready(vectors.sparkSession)
-    rows = stored(whole_vectors(vectors, id_col, vec_col), "vectors")
+    # Rows are numbered as they are written, so that the numbers hold for every read.
+    numbered = whole_vectors(vectors, id_col, vec_col).select("vec_id", F.monotonically_increasing_id().alias("row"), "v")
+    rows = stored(numbered, "vectors")
     queries = rows.filter(F.col("vec_id") % every == 0)
-    # Blocks by hash of the id, each well below QUERY_BLOCK rows.
+    # Blocks by hash of id and row, each well below QUERY_BLOCK rows.
     blocks = max(1, -(-queries.count() * 2 // QUERY_BLOCK))
     found = None
     for n in range(blocks):
-        mine = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == n).toArrow().combine_chunks()
+        mine = queries.filter(F.pmod(F.xxhash64("vec_id", "row"), F.lit(blocks)) == n).toArrow().combine_chunks()
         shared = spark.sparkContext.broadcast([] if not mine.num_rows else [
             x for b in mine.to_batches() for x in _matrices(b)])
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             by_length: dict[int, list[Block]] = {}
-            for ids, matrix in shared.value:
+            for ids, numbers, matrix in shared.value:
                 for a in range(0, len(ids), 1024):
-                    by_length.setdefault(matrix.shape[1], []).append(Block(ids[a:a + 1024], matrix[a:a + 1024], k))
+                    some = slice(a, a + 1024)
+                    by_length.setdefault(matrix.shape[1], []).append(Block(ids[some], numbers[some], matrix[some], k))
             for batch in batches:
-                for ids, matrix in _matrices(batch):
+                for ids, _, matrix in _matrices(batch):
                     for a in range(0, len(ids), 1024):
                         for block in by_length.get(matrix.shape[1], ()):
                             block.add(ids[a:a + 1024], matrix[a:a + 1024])
@@ -138,12 +142,13 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_
                 for block in group:
                     n_best = [len(s) for s, _ in block.best]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.repeat(block.ids, n_best)), pa.array(np.concatenate([v for _, v in block.best])),
+                        [pa.array(np.repeat(block.ids, n_best)), pa.array(np.repeat(block.rows, n_best)),
+                         pa.array(np.concatenate([v for _, v in block.best])),
                          pa.array(np.concatenate([s for s, _ in block.best]))], RESULT.names)
 
         part = rows.mapInArrow(run, RESULT)
         found = part if found is None else found.unionByName(part)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
 
