@@ -24,13 +24,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from transitlens.llm.bpe import MergeAutomaton, automaton, library_split, unassigned
-from transitlens.llm.common import ready
+from transitlens.llm.common import ready, sliced
 
 #: Fixed value: how word_bpe_49k.json splits normalised text.
 WORD_SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
 
 #: Words that a Python worker keeps the tokens of. A full table is emptied.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 200_000
 
 
 class WordCodes(dict):
@@ -108,7 +108,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = codes(path)
-        for batch in batches:
+        for batch in sliced(batches):
             both = [table.encode(t) for t in batch.column(1).to_pylist()]
             out = [batch.column(0), pa.array([len(b) // 4 for b, _ in both], pa.int64())]
             if with_digests:
@@ -133,7 +133,7 @@ def decode(coded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels = automaton(path).labels
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [" ".join([labels[i] for i in ids or [] if i in labels]) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], schema.names)
 
