@@ -24,9 +24,15 @@ and the earliest place; all others are taken out of their documents.
 No group is written out as pairs: members of a bucket are compared with one
 leader first, and of those that are then still in different groups only pairs
 that lengths and parities allow are written.
-Words are counted into the SimHash's places by sums that pre-aggregate before
-the shuffle: four places to a sum, 16 bits each, for lines of up to ``PACKED``
-words, and one place to a sum for longer ones, of which there are few.
+Lines are numbered first, then each distinct one is taken from one of its
+documents, and SimHash, parities and first words are made in its row: words are
+never exploded, and nothing is worked out again for a line's other occurrences.
+The SimHash counts four places to a sum, 16 bits each, for lines of up to
+``PACKED`` words, and one place to a sum for longer ones, of which there are few.
+
+Normalised lines and texts are known by 64-bit hashes. For the edit similarity a
+word is one of 1.1 million characters; what passes is compared with a second such
+numbering, so that words that share a character don't make a line similar.
 
 Defined cases: lines without a letter or digit always stay; a null text stays
 null; identical rows (same id and text) count as occurrences one after the
@@ -51,9 +57,6 @@ PACKED = 16_383
 PARITIES = 4
 #: Words are counted in so many slots of their hashes, from one of ``COUNTED`` lines: this decides on their order only, not on what is found.
 SLOTS, COUNTED = 8192, 8
-#: Lines to compare whose ids are broadcast, at most (24 bytes each); more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
-
 #: Where the blocks of a SimHash begin and end.
 EDGES = [64 * n // BLOCKS for n in range(BLOCKS + 1)]
 
@@ -66,48 +69,55 @@ def content_of(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def _lines(docs: DataFrame, *more: str) -> DataFrame:
+def _lines(docs: DataFrame) -> DataFrame:
     """(doc_id, content, pos, words, id, n) of the lines with words of a table of (doc_id, text)."""
     lines = docs.filter("text IS NOT NULL").select(
-        *more, "doc_id", content_of(F.col("text")).alias("content"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    words = lines.select(*more, "doc_id", "content", "pos", line_words(F.col("line")).alias("words"))
-    return words.filter(F.size("words") > 0).select(*more, "doc_id", "content", "pos", "words",
+        "doc_id", content_of(F.col("text")).alias("content"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    words = lines.select("doc_id", "content", "pos", line_words(F.col("line")).alias("words"))
+    return words.filter(F.size("words") > 0).select("doc_id", "content", "pos", "words",
                                                     F.xxhash64("words").alias("id"), F.size("words").alias("n"))
 
 
-def _packed(n: str) -> Column:
-    """The SimHash from sums s0 .. s15, of which s_b holds the counts of the places b, b + 16, b + 32 and b + 48.
+def _summed(mask: int, b: int) -> str:
+    """The sum over ``hashes`` of the bits of ``mask`` after a shift by ``b``."""
+    return f"aggregate(hashes, 0L, (s, h) -> s + (shiftrightunsigned(h, {b}) & {mask}L))"
+
 
-    Twice a count is above ``n`` if adding 0x3FFF - n sets the bit above these 14. All four stay below
-    2 ** 15, so that nothing carries over.
+def _simhash() -> Column:
+    """The SimHash of the words' ``hashes``, of which there are ``n``.
+
+    Each of sixteen sums holds the counts of the places b, b + 16, b + 32 and b + 48. Twice a count is above
+    ``n`` if adding 0x3FFF - n sets the bit above these 14. All four stay below 2 ** 15, so that nothing carries
+    over.
     """
     ones = 0x0001000100010001
-    bits = [f"shiftleft(shiftrightunsigned(shiftleft(s{b}, 1) + (16383 - {n}) * {ones}L, 14) & {ones}L, {b})" for b in range(16)]
-    return F.expr(" | ".join(bits))
+    packed = " | ".join(f"shiftleft(shiftrightunsigned(shiftleft({_summed(ones, b)}, 1) + ({PACKED} - n) * {ones}L, 14) & {ones}L, {b})"
+                        for b in range(16))
+    plain = " | ".join(f"shiftleft(CAST({_summed(1, b)} * 2 > n AS BIGINT), {b})" for b in range(64))
+    return F.expr(f"CASE WHEN n <= {PACKED} THEN {packed} ELSE {plain} END")
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """(doc_id, content, pos, id, n, simhash) of every line with words of every row.
+    """(doc_id, content, pos, id, n, simhash) of every line with words of every row."""
+    hashed = _lines(docs).withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    return hashed.select("doc_id", "content", "pos", "id", "n", _simhash().alias("simhash"))
 
-    Rows are told apart by a running number, so ``docs`` should be a table
-    that reads in the same order again if a task is repeated, as files do.
-    """
-    keys = ["row", "doc_id", "content", "pos", "id", "n"]
-    numbered = docs.withColumn("row", F.monotonically_increasing_id())
 
-    def hashed(lines: DataFrame) -> DataFrame:
-        return lines.select(*keys, F.explode("words").alias("word")).select(*keys, F.xxhash64("word").alias("h"))
+def _row_key(doc_id: str, content: Column) -> Column:
+    return F.xxhash64(F.col(doc_id).isNull(), doc_id, content)
 
-    lines = _lines(numbered, "row").filter(F.col("n") <= PACKED)
-    packed = hashed(lines).groupBy(*keys).agg(*[
-        F.expr(f"sum(shiftrightunsigned(h, {b}) & {0x0001000100010001}L)").alias(f"s{b}") for b in range(16)])
-    # Only a text of this length can have a longer line.
-    long_lines = _lines(numbered.filter(F.length("text") > 2 * PACKED), "row").filter(F.col("n") > PACKED)
-    plain = hashed(long_lines).groupBy(*keys).agg(*[
-        F.expr(f"sum(shiftrightunsigned(h, {b}) & 1L)").alias(f"s{b}") for b in range(64)])
-    majority = F.expr(" | ".join(f"shiftleft(CAST(s{b} * 2 > n AS BIGINT), {b})" for b in range(64)))
-    out = ["doc_id", "content", "pos", "id", "n"]
-    return packed.select(*out, _packed("n").alias("simhash")).unionByName(plain.select(*out, majority.alias("simhash")))
+
+def distinct_lines(docs: DataFrame, occ: DataFrame) -> DataFrame:
+    """(id, line) of every different line, each from one of the rows that have it."""
+    key = _row_key("doc_id", F.col("content"))
+    found = occ.select("id", "pos", key.alias("_row")).groupBy("id").agg(F.min("_row").alias("_row"), F.min_by("pos", "_row").alias("pos"))
+    # Bounded by the lines of a document.
+    wanted = found.groupBy("_row").agg(F.collect_list(F.struct("id", "pos")).alias("_places"))
+    rows = docs.filter("text IS NOT NULL").join(wanted, _row_key("doc_id", content_of(F.col("text"))) == F.col("_row")).select(
+        F.split("text", "\n").alias("lines"), "_places")
+    lines = rows.select(F.inline(F.expr("transform(_places, p -> struct(p.id AS id, get(lines, p.pos) AS line))")))
+    # Identical rows give their lines again.
+    return lines.groupBy("id").agg(F.first("line").alias("line"))
 
 
 def _buckets(simhash: Column) -> Column:
@@ -141,37 +151,25 @@ def _members(nodes: DataFrame) -> DataFrame:
     return shared.join(nodes.select("simhash", "id", "n"), "simhash").select("bucket", "id", "simhash", "n")
 
 
-def _coded(words: Column) -> Column:
+def _coded(words: Column, seed: int) -> Column:
     """A text with one character for each word, for the edit distance in words."""
-    code = lambda w: F.lpad(F.hex(F.pmod(F.xxhash64(w), F.lit(0xD7FF)) + 1), 4, "0")
-    return F.decode(F.unhex(F.array_join(F.transform(words, code), "")), "UTF-16BE")
+    def character(word: Column) -> Column:
+        number = F.pmod(F.xxhash64(word, F.lit(seed)), F.lit(0x10F7FF)) + 1
+        return F.lpad(F.hex(number + F.when(number >= 0xD800, 0x800).otherwise(0)), 8, "0")  # no surrogates
 
+    return F.decode(F.unhex(F.array_join(F.transform(words, character), "")), "UTF-32")
 
-def _coded_lines(docs: DataFrame, occ: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
-    """(id, coded) of the lines to compare, from one document for each; other documents aren't taken apart."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
-    wanted = stored(occ.join(ids, F.col("id") == F.col("_id"), "left_semi").groupBy(F.col("id").alias("_id")).agg(
-        F.min("content").alias("_content")), f"{name}-wanted")
-    texts = wanted.select("_content").distinct()
-    if wanted.count() <= BROADCAST_IDS:
-        wanted, texts = F.broadcast(wanted), F.broadcast(texts)
-    some = docs.join(texts, content_of(F.col("text")) == F.col("_content"), "left_semi")
-    lines = _lines(some).join(wanted, (F.col("id") == F.col("_id")) & (F.col("content") == F.col("_content")), "left_semi")
-    coded = lines.select("id", _coded(F.col("words")).alias("coded"))
-    return stored(coded.groupBy("id").agg(F.first("coded").alias("coded")), f"{name}-coded")
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, occ: DataFrame, name: str) -> DataFrame:
+
+def _verified(pairs: DataFrame, lines: DataFrame, name: str) -> DataFrame:
     """The (a, b) of ``pairs`` (a, b, n the longer length) with similar words."""
     pairs = stored(pairs, f"{name}-pairs")
-    coded = _coded_lines(docs, occ, pairs, name)
-    a = coded.select(F.col("id").alias("a"), F.col("coded").alias("a_coded"))
-    b = coded.select(F.col("id").alias("b"), F.col("coded").alias("b_coded"))
-    both = pairs.join(a, "a").join(b, "b")
-    most = F.floor(F.col("n") * (1 - SIMILARITY) + 1e-9).cast("int")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
+    words = lines.join(ids, F.col("id") == F.col("_id"), "left_semi").select("id", line_words(F.col("line")).alias("words"))
+    coded = stored(words.select("id", *[_coded(F.col("words"), k).alias(f"coded{k}") for k in range(2)]), f"{name}-coded")
+    a, b = (coded.select(F.col("id").alias(x), *[F.col(f"coded{k}").alias(f"{x}{k}") for k in range(2)]) for x in "ab")
     # -1 says that there are more edits.
-    apart = F.expr("levenshtein(a_coded, b_coded, most)")
-    return stored(both.withColumn("most", most).filter(apart >= 0).select("a", "b"), name)
+    similar = " AND ".join(f"levenshtein(a{k}, b{k}, {_most('n')}) >= 0" for k in range(2))
+    return stored(pairs.join(a, "a").join(b, "b").filter(similar).select("a", "b"), name)
 
 
 def _stars(members: DataFrame) -> DataFrame:
@@ -188,9 +186,9 @@ def _most(n: str) -> str:
     return f"CAST(floor(({n}) * (1 - {SIMILARITY}D) + 1e-9D) AS INT)"
 
 
-def _commonness(docs: DataFrame) -> Column:
+def _commonness(lines: DataFrame) -> Column:
     """An array of how common the words of each slot are: the number of binary digits of their count."""
-    words = _lines(docs).filter(F.pmod("id", F.lit(COUNTED)) == 0).select(F.explode("words").alias("word"))
+    words = lines.filter(F.pmod("id", F.lit(COUNTED)) == 0).select(F.explode(line_words(F.col("line"))).alias("word"))
     slots = words.groupBy(F.xxhash64("word").bitwiseAND(SLOTS - 1).alias("slot")).agg(F.count("*").alias("n"))
     digits = [0] * SLOTS
     for r in slots.collect():  # SLOTS rows at most
@@ -198,17 +196,17 @@ def _commonness(docs: DataFrame) -> Column:
     return F.split(F.lit(",".join(map(str, digits))), ",").cast("array<int>")
 
 
-def _signed(docs: DataFrame) -> DataFrame:
-    """(id, n, p0 .. , firsts) of the lines of different words: parities of their words' counts and the words to file them under."""
-    common = _commonness(docs)
-    hashed = _lines(docs).select("id", "n", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
+def _signed(lines: DataFrame) -> DataFrame:
+    """(id, n, simhash, p0 .. , firsts) of the different lines: parities of their words' counts and the words to file them under."""
+    common = _commonness(lines)
+    words = lines.select("id", line_words(F.col("line")).alias("words"))
+    hashed = words.select("id", F.size("words").alias("n"), F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
     key = lambda h: F.shiftleft(F.coalesce(F.get(common, h.bitwiseAND(SLOTS - 1).cast("int")), F.lit(0)).cast("long"), 56).bitwiseOR(
         F.shiftrightunsigned(h, 8))
     firsts = F.slice(F.sort_array(F.transform(F.array_distinct("hashes"), key)), F.lit(1), F.expr(f"{_most('n')} + 1"))
     parity = [F.expr(f"aggregate(hashes, 0L, (p, h) -> p ^ if((shiftrightunsigned(h, 6) & {PARITIES - 1}) = {k}, "
                      "shiftleft(1L, CAST(h & 63 AS INT)), 0L))").alias(f"p{k}") for k in range(PARITIES)]
-    signed = hashed.select("id", "n", *parity, firsts.alias("firsts"))
-    return signed.groupBy("id").agg(*[F.first(c).alias(c) for c in signed.columns if c != "id"])
+    return hashed.select("id", "n", _simhash().alias("simhash"), *parity, firsts.alias("firsts"))
 
 
 def _possible(a: str, b: str) -> Column:
@@ -221,7 +219,7 @@ def _possible(a: str, b: str) -> Column:
 def _open(signed: DataFrame, components: DataFrame, name: str) -> DataFrame:
     """The lines with their components under each of their first words, where lines of other components are as well."""
     # No line of fewer than four words is similar to one that isn't equal.
-    rows = stored(labelled(signed.filter(F.expr(f"{_most('n + 1')} > 0")), components), name)
+    rows = stored(labelled(signed.drop("simhash").filter(F.expr(f"{_most('n + 1')} > 0")), components), name)
     filed = rows.select(F.explode("firsts").alias("bucket"), "id", "n", *[f"p{k}" for k in range(PARITIES)], "component")
     mixed = filed.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
     return filed.join(mixed.filter("_low <> _high").select("bucket"), "bucket", "left_semi")
@@ -247,12 +245,12 @@ def _crossings(rows: DataFrame) -> DataFrame:
 
 def line_groups(docs: DataFrame, occ: DataFrame) -> DataFrame:
     """(id, component) of the lines that are similar to a line with other words."""
-    nodes = stored(occ.groupBy("id").agg(F.min("n").alias("n"), F.min("simhash").alias("simhash")), "lines-nodes")
-    found = connected_components(_verified(_stars(_members(nodes)), docs, occ, "lines-stars"), "lines-first")
-    signed = stored(_signed(docs), "lines-signed")
-    led = _verified(_led(_open(signed, found, "lines-open")), docs, occ, "lines-led")
+    lines = stored(distinct_lines(docs, occ), "lines-distinct")
+    signed = stored(_signed(lines), "lines-signed")
+    found = connected_components(_verified(_stars(_members(signed.select("id", "simhash", "n"))), lines, "lines-stars"), "lines-first")
+    led = _verified(_led(_open(signed, found, "lines-open")), lines, "lines-led")
     found = merged_components(found, led, "lines-second")
-    more = _verified(_crossings(_open(signed, found, "lines-apart")), docs, occ, "lines-more")
+    more = _verified(_crossings(_open(signed, found, "lines-apart")), lines, "lines-more")
     return merged_components(found, more, "lines-all")
 
 
@@ -262,7 +260,7 @@ def removals(docs: DataFrame) -> DataFrame:
     For each document that loses lines or that occurs in several rows: the
     places of the lines that go, in order, and the number of its rows.
     """
-    occ = stored(occurrences(docs), "lines")
+    occ = stored(occurrences(docs).drop("simhash"), "lines")
     groups = line_groups(docs, occ)
     place = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "content", "pos")
     nodes = occ.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("count"))
