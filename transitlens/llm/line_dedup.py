@@ -24,11 +24,10 @@ and the earliest place; all others are taken out of their documents.
 No group is written out as pairs: members of a bucket are compared with one
 leader first, and of those that are then still in different groups only pairs
 that lengths and parities allow are written.
-Lines are numbered first, then each distinct one is taken from one of its
-documents, and SimHash, parities and first words are made in its row: words are
-never exploded, and nothing is worked out again for a line's other occurrences.
-The SimHash counts four places to a sum, 16 bits each, for lines of up to
-``PACKED`` words, and one place to a sum for longer ones, of which there are few.
+Equal lines become one row before anything else is made of them. Words are then
+counted where that row is, without another shuffle, into the SimHash's places by
+sums of four places each, 16 bits a place, for lines under ``PACKED`` characters,
+and of one place each for longer ones, of which there are few.
 
 Normalised lines and texts are known by 64-bit hashes. For the edit similarity a
 word is one of 1.1 million characters; what passes is compared with a second such
@@ -65,6 +64,10 @@ def line_words(line: Column) -> Column:
     return F.array_remove(F.split(F.lower(line), r"[^\p{L}\p{N}]+"), "")
 
 
+def _has_words(line: Column) -> Column:
+    return line.rlike(r"[\p{L}\p{N}]")
+
+
 def content_of(text: Column) -> Column:
     return F.xxhash64(text)
 
@@ -73,51 +76,50 @@ def _lines(docs: DataFrame) -> DataFrame:
     """(doc_id, content, pos, words, id, n) of the lines with words of a table of (doc_id, text)."""
     lines = docs.filter("text IS NOT NULL").select(
         "doc_id", content_of(F.col("text")).alias("content"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    words = lines.select("doc_id", "content", "pos", line_words(F.col("line")).alias("words"))
-    return words.filter(F.size("words") > 0).select("doc_id", "content", "pos", "words",
-                                                    F.xxhash64("words").alias("id"), F.size("words").alias("n"))
-
+    words = lines.filter(_has_words(F.col("line"))).select("doc_id", "content", "pos", line_words(F.col("line")).alias("words"))
+    return words.select("doc_id", "content", "pos", "words", F.xxhash64("words").alias("id"), F.size("words").alias("n"))
 
-def _summed(mask: int, b: int) -> str:
-    """The sum over ``hashes`` of the bits of ``mask`` after a shift by ``b``."""
-    return f"aggregate(hashes, 0L, (s, h) -> s + (shiftrightunsigned(h, {b}) & {mask}L))"
 
+def _packed(n: str) -> Column:
+    """The SimHash from sums s0 .. s15, of which s_b holds the counts of the places b, b + 16, b + 32 and b + 48.
 
-def _simhash() -> Column:
-    """The SimHash of the words' ``hashes``, of which there are ``n``.
-
-    Each of sixteen sums holds the counts of the places b, b + 16, b + 32 and b + 48. Twice a count is above
-    ``n`` if adding 0x3FFF - n sets the bit above these 14. All four stay below 2 ** 15, so that nothing carries
-    over.
+    Twice a count is above ``n`` if adding 0x3FFF - n sets the bit above these 14. All four stay below
+    2 ** 15, so that nothing carries over.
     """
     ones = 0x0001000100010001
-    packed = " | ".join(f"shiftleft(shiftrightunsigned(shiftleft({_summed(ones, b)}, 1) + ({PACKED} - n) * {ones}L, 14) & {ones}L, {b})"
-                        for b in range(16))
-    plain = " | ".join(f"shiftleft(CAST({_summed(1, b)} * 2 > n AS BIGINT), {b})" for b in range(64))
-    return F.expr(f"CASE WHEN n <= {PACKED} THEN {packed} ELSE {plain} END")
+    bits = [f"shiftleft(shiftrightunsigned(shiftleft(s{b}, 1) + (16383 - {n}) * {ones}L, 14) & {ones}L, {b})" for b in range(16)]
+    return F.expr(" | ".join(bits))
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """(doc_id, content, pos, id, n, simhash) of every line with words of every row."""
-    hashed = _lines(docs).withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-    return hashed.select("doc_id", "content", "pos", "id", "n", _simhash().alias("simhash"))
+def distinct_lines(docs: DataFrame) -> DataFrame:
+    """(id, line) of every different line with words."""
+    lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).filter(_has_words(F.col("line")))
+    return lines.select(F.xxhash64(line_words(F.col("line"))).alias("id"), "line").groupBy("id").agg(F.first("line").alias("line"))
 
 
-def _row_key(doc_id: str, content: Column) -> Column:
-    return F.xxhash64(F.col(doc_id).isNull(), doc_id, content)
+def simhashes(lines: DataFrame) -> DataFrame:
+    """(id, n, simhash, p0 ..) of (id, line): number of words, SimHash, parities of the words' counts."""
+    parity = [F.expr(f"bit_xor(if((shiftrightunsigned(h, 6) & {PARITIES - 1}) = {k}, shiftleft(1L, CAST(h & 63 AS INT)), 0L))").alias(f"p{k}")
+              for k in range(PARITIES)]
 
+    def counted(some: DataFrame, mask: int, sums: int) -> DataFrame:
+        hashed = some.select("id", F.explode(line_words(F.col("line"))).alias("word")).select("id", F.xxhash64("word").alias("h"))
+        return hashed.groupBy("id").agg(F.count("*").cast("int").alias("n"), *parity, *[
+            F.expr(f"sum(shiftrightunsigned(h, {b}) & {mask}L)").alias(f"s{b}") for b in range(sums)])
 
-def distinct_lines(docs: DataFrame, occ: DataFrame) -> DataFrame:
-    """(id, line) of every different line, each from one of the rows that have it."""
-    key = _row_key("doc_id", F.col("content"))
-    found = occ.select("id", "pos", key.alias("_row")).groupBy("id").agg(F.min("_row").alias("_row"), F.min_by("pos", "_row").alias("pos"))
-    # Bounded by the lines of a document.
-    wanted = found.groupBy("_row").agg(F.collect_list(F.struct("id", "pos")).alias("_places"))
-    rows = docs.filter("text IS NOT NULL").join(wanted, _row_key("doc_id", content_of(F.col("text"))) == F.col("_row")).select(
-        F.split("text", "\n").alias("lines"), "_places")
-    lines = rows.select(F.inline(F.expr("transform(_places, p -> struct(p.id AS id, get(lines, p.pos) AS line))")))
-    # Identical rows give their lines again.
-    return lines.groupBy("id").agg(F.first("line").alias("line"))
+    out = ["id", "n", *[f"p{k}" for k in range(PARITIES)]]
+    # A word and its end take two characters; lower case may take twice as many.
+    short = F.length("line") < PACKED
+    packed = counted(lines.filter(short), 0x0001000100010001, 16)
+    plain = counted(lines.filter(~short), 1, 64)
+    majority = F.expr(" | ".join(f"shiftleft(CAST(s{b} * 2 > n AS BIGINT), {b})" for b in range(64)))
+    return packed.select(*out, _packed("n").alias("simhash")).unionByName(plain.select(*out, majority.alias("simhash")))
+
+
+def occurrences(docs: DataFrame) -> DataFrame:
+    """(doc_id, content, pos, id, n, simhash) of every line with words of every row."""
+    hashes = simhashes(distinct_lines(docs)).select(F.col("id").alias("_id"), "simhash")
+    return _lines(docs).join(hashes, F.col("id") == F.col("_id")).select("doc_id", "content", "pos", "id", "n", "simhash")
 
 
 def _buckets(simhash: Column) -> Column:
@@ -186,9 +188,9 @@ def _most(n: str) -> str:
     return f"CAST(floor(({n}) * (1 - {SIMILARITY}D) + 1e-9D) AS INT)"
 
 
-def _commonness(lines: DataFrame) -> Column:
+def _commonness(docs: DataFrame) -> Column:
     """An array of how common the words of each slot are: the number of binary digits of their count."""
-    words = lines.filter(F.pmod("id", F.lit(COUNTED)) == 0).select(F.explode(line_words(F.col("line"))).alias("word"))
+    words = _lines(docs).filter(F.pmod("id", F.lit(COUNTED)) == 0).select(F.explode("words").alias("word"))
     slots = words.groupBy(F.xxhash64("word").bitwiseAND(SLOTS - 1).alias("slot")).agg(F.count("*").alias("n"))
     digits = [0] * SLOTS
     for r in slots.collect():  # SLOTS rows at most
@@ -196,17 +198,19 @@ def _commonness(lines: DataFrame) -> Column:
     return F.split(F.lit(",".join(map(str, digits))), ",").cast("array<int>")
 
 
-def _signed(lines: DataFrame) -> DataFrame:
-    """(id, n, simhash, p0 .. , firsts) of the different lines: parities of their words' counts and the words to file them under."""
-    common = _commonness(lines)
-    words = lines.select("id", line_words(F.col("line")).alias("words"))
-    hashed = words.select("id", F.size("words").alias("n"), F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
+def _signed(docs: DataFrame) -> DataFrame:
+    """(id, line, n, simhash, p0 .. , firsts) of the different lines; ``firsts``: the words to file them under.
+
+    All steps are by id, so that lines move once.
+    """
+    common = _commonness(docs)
+    lines = distinct_lines(docs)
+    counts = simhashes(lines).withColumnRenamed("id", "_id")
     key = lambda h: F.shiftleft(F.coalesce(F.get(common, h.bitwiseAND(SLOTS - 1).cast("int")), F.lit(0)).cast("long"), 56).bitwiseOR(
         F.shiftrightunsigned(h, 8))
-    firsts = F.slice(F.sort_array(F.transform(F.array_distinct("hashes"), key)), F.lit(1), F.expr(f"{_most('n')} + 1"))
-    parity = [F.expr(f"aggregate(hashes, 0L, (p, h) -> p ^ if((shiftrightunsigned(h, 6) & {PARITIES - 1}) = {k}, "
-                     "shiftleft(1L, CAST(h & 63 AS INT)), 0L))").alias(f"p{k}") for k in range(PARITIES)]
-    return hashed.select("id", "n", _simhash().alias("simhash"), *parity, firsts.alias("firsts"))
+    hashes = F.transform(F.array_distinct(line_words(F.col("line"))), lambda w: key(F.xxhash64(w)))
+    both = lines.hint("merge").join(counts, F.col("id") == F.col("_id")).drop("_id")
+    return both.withColumn("firsts", F.slice(F.sort_array(hashes), F.lit(1), F.expr(f"{_most('n')} + 1")))
 
 
 def _possible(a: str, b: str) -> Column:
@@ -219,7 +223,7 @@ def _possible(a: str, b: str) -> Column:
 def _open(signed: DataFrame, components: DataFrame, name: str) -> DataFrame:
     """The lines with their components under each of their first words, where lines of other components are as well."""
     # No line of fewer than four words is similar to one that isn't equal.
-    rows = stored(labelled(signed.drop("simhash").filter(F.expr(f"{_most('n + 1')} > 0")), components), name)
+    rows = stored(labelled(signed.drop("simhash", "line").filter(F.expr(f"{_most('n + 1')} > 0")), components), name)
     filed = rows.select(F.explode("firsts").alias("bucket"), "id", "n", *[f"p{k}" for k in range(PARITIES)], "component")
     mixed = filed.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
     return filed.join(mixed.filter("_low <> _high").select("bucket"), "bucket", "left_semi")
@@ -243,10 +247,10 @@ def _crossings(rows: DataFrame) -> DataFrame:
     return met.groupBy(F.col("x_id").alias("a"), F.col("y_id").alias("b")).agg(F.max(F.greatest("x_n", "y_n")).alias("n"))
 
 
-def line_groups(docs: DataFrame, occ: DataFrame) -> DataFrame:
+def line_groups(docs: DataFrame) -> DataFrame:
     """(id, component) of the lines that are similar to a line with other words."""
-    lines = stored(distinct_lines(docs, occ), "lines-distinct")
-    signed = stored(_signed(lines), "lines-signed")
+    signed = stored(_signed(docs), "lines-signed")
+    lines = signed.select("id", "line")
     found = connected_components(_verified(_stars(_members(signed.select("id", "simhash", "n"))), lines, "lines-stars"), "lines-first")
     led = _verified(_led(_open(signed, found, "lines-open")), lines, "lines-led")
     found = merged_components(found, led, "lines-second")
@@ -260,8 +264,8 @@ def removals(docs: DataFrame) -> DataFrame:
     For each document that loses lines or that occurs in several rows: the
     places of the lines that go, in order, and the number of its rows.
     """
-    occ = stored(occurrences(docs).drop("simhash"), "lines")
-    groups = line_groups(docs, occ)
+    occ = stored(_lines(docs).select("doc_id", "content", "pos", "id"), "lines")
+    groups = line_groups(docs)
     place = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "content", "pos")
     nodes = occ.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("count"))
     nodes = labelled(nodes, groups)
