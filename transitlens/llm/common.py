@@ -40,15 +40,25 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Whether a finished execution's shuffle files go at once; else they stay until the driver collects its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` written below the shared checkpoint folder and read again.
 
     Cuts lineage with a table every executor can read, so a lost executor
-    costs a read and not a recomputation.
+    costs a read and not a recomputation. The write's shuffle files go when it
+    is done: the table stands for them.
     """
     spark = df.sparkSession
     path = shared_path(spark, "llm", name, unique=True)
-    df.write.parquet(path, compression=compression)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path, compression=compression)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
