@@ -115,6 +115,27 @@ def test_all_similar_lines_go(spark):
     assert {i for i, (_, gone) in got.items() if not gone} == {find(i) for i in root}
 
 
+def test_one_word_does_not_make_a_bucket(spark):
+    """Lines that have single words in common, but no word pair, are filed apart; lines themselves aren't kept."""
+    rows = [(i, " ".join(f"w{(i * 7 + j * j) % 40} own{i}x{j}" for j in range(10)), None, None) for i in range(40)]
+    signed = L._signed(documents(spark, rows).select("doc_id", "text"))
+    assert "line" not in signed.columns and signed.count() == 40
+    assert sum(L._shared(signed, k).count() for k in range(L.PASSES)) == 0
+
+
+def test_edits_that_make_a_line_longer(spark):
+    """The longer line allows an edit more than the shorter one, and its edits break the word pairs that come first."""
+    rows = []
+    for n in (4, 9, 14, 19):
+        base = [f"common{j}" if j % 2 else f"word{n}x{j}" for j in range(n)]
+        near, edits = list(base), (n + 1) // 5
+        for e in range(edits - 1):  # changed words, and one that is new
+            near[4 * e + 2] = f"new{n}x{e}"
+        near.insert(n - 1, f"more{n}")
+        rows += [(2 * n, " ".join(base), None, None), (2 * n + 1, " ".join(near), None, None)]
+    assert {i: gone for i, (_, gone) in removed(spark, rows).items()} == {i: i % 2 for i, *_ in rows}
+
+
 def test_odd_rows(spark):
     got = L.dedup(odd(spark)).collect()
     assert len(got) == len(ODD)

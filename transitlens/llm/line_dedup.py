@@ -9,15 +9,21 @@ the leader of each bucket: first by the distance of their SimHashes and their
 lengths, then by edit similarity, in words, of ``SIMILARITY`` or more.
 
 SimHashes so close are rare for lines of ordinary length, so all lines meet once
-more, in buckets that no similar pair escapes. At most k = (1 - ``SIMILARITY``) *
-length of a line's words are missing from a similar line. So if the words of all
-lines are put in one order, the first word that the two have in common is among
-the first k + 1 different words of both. Each line is filed under these; the order
-takes rare words first, which keeps buckets small. Members are compared with a
-leader, then all pairs that are still in different groups: by their lengths and
+more, in buckets that no similar pair escapes. Two lines are similar if k = (1 -
+``SIMILARITY``) * the longer length edits or fewer make them equal, and an edit breaks
+two of a line's pairs of neighbouring words at most. So if the word pairs of all
+lines are put in one order, the first one that two similar lines have in common is
+among the first 2 * k + 1 different ones of both. Each line is filed under these, with
+k for one word more, as a line is as long or shorter than its partner; the order
+takes pairs of rare words first, which keeps buckets small. Members are compared with
+a leader, then all pairs that are still in different groups: by their lengths and
 by ``PARITIES`` * 64 parities of their words' counts, of which an edit changes
 two at most, then by edit similarity. Neither step loses a similar pair.
 
+What moves by bucket moves in ``PASSES`` parts of the buckets, one after the other, and
+a part's shuffle files go when its result is written. Lines themselves move once, to
+find the different ones; those of candidates are read from the documents again.
+
 Of each connected group of lines one occurrence stays, that of the least id
 and the earliest place; all others are taken out of their documents.
 
@@ -42,6 +48,8 @@ empty table gives an empty result. Columns other than the text are unchanged.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -53,9 +61,11 @@ DISTANCE = 3
 BLOCKS = 5
 SIMILARITY = 0.8
 PACKED = 16_383
-PARITIES = 4
-#: Words are counted in so many slots of their hashes, from one of ``COUNTED`` lines: this decides on their order only, not on what is found.
-SLOTS, COUNTED = 8192, 8
+PARITIES = 8
+#: Words are counted in so many slots of their hashes, from one of ``COUNTED`` texts: this decides on their order only, not on what is found.
+SLOTS, COUNTED = 65536, 8
+#: Parts of the buckets that are worked off one after the other.
+PASSES = 4
 #: Where the blocks of a SimHash begin and end.
 EDGES = [64 * n // BLOCKS for n in range(BLOCKS + 1)]
 
@@ -140,15 +150,29 @@ def _near(a: str, b: str) -> Column:
     return (apart <= DISTANCE) & (F.least(f"{a}n", f"{b}n") >= SIMILARITY * F.greatest(f"{a}n", f"{b}n"))
 
 
-def _members(nodes: DataFrame) -> DataFrame:
-    """(bucket, id, simhash, n) of the lines that share a bucket with another line."""
+def _in_part(rows: DataFrame, k: int) -> DataFrame:
+    """The rows of the ``k``-th part of the buckets."""
+    return rows.filter(F.pmod(F.xxhash64("bucket", F.lit(PASSES)), F.lit(PASSES)) == k)
+
+
+def _in_passes(part: Callable[[int], DataFrame], name: str) -> DataFrame:
+    """What ``part(k)`` has for every part k of the buckets; the shuffle files of one go before the next."""
+    return reduce(DataFrame.unionByName, [stored(part(k), name) for k in range(PASSES)])
+
+
+def _widest(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("a", "b").agg(F.max("n").alias("n"))
+
+
+def _members(nodes: DataFrame, k: int) -> DataFrame:
+    """(bucket, id, simhash, n) of the lines that share a bucket of the ``k``-th part with another line."""
     values = nodes.groupBy("simhash").agg(F.count("*").alias("lines"))
-    filed = values.select("simhash", F.explode(_buckets(F.col("simhash"))).alias("bucket"))
+    filed = _in_part(values.select("simhash", F.explode(_buckets(F.col("simhash"))).alias("bucket")), k)
     # Most buckets have one SimHash; what leaves this step are the others.
     bucket = Window.partitionBy("bucket")
     shared = filed.withColumns({"low": F.min("simhash").over(bucket), "high": F.max("simhash").over(bucket)}).filter("low <> high")
     # Equal SimHashes of different lines meet in a bucket of their own.
-    same = values.filter("lines > 1").select("simhash", F.xxhash64("simhash").alias("bucket"))
+    same = _in_part(values.filter("lines > 1").select("simhash", F.xxhash64("simhash").alias("bucket")), k)
     shared = shared.select("simhash", F.xxhash64("bucket", F.lit(1)).alias("bucket")).unionByName(same)
     return shared.join(nodes.select("simhash", "id", "n"), "simhash").select("bucket", "id", "simhash", "n")
 
@@ -162,11 +186,13 @@ def _coded(words: Column, seed: int) -> Column:
     return F.decode(F.unhex(F.array_join(F.transform(words, character), "")), "UTF-32")
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, name: str) -> DataFrame:
+def _verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame, name: str) -> DataFrame:
     """The (a, b) of ``pairs`` (a, b, n the longer length) with similar words."""
     pairs = stored(pairs, f"{name}-pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
-    words = lines.join(ids, F.col("id") == F.col("_id"), "left_semi").select("id", line_words(F.col("line")).alias("words"))
+    wanted = stored(signed.join(ids, F.col("id") == F.col("_id"), "left_semi").select("id", F.col("raw").alias("_raw")), f"{name}-wanted")
+    lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).join(wanted, F.xxhash64("line") == F.col("_raw"))
+    words = lines.groupBy("id").agg(F.first("line").alias("line")).select("id", line_words(F.col("line")).alias("words"))
     coded = stored(words.select("id", *[_coded(F.col("words"), k).alias(f"coded{k}") for k in range(2)]), f"{name}-coded")
     a, b = (coded.select(F.col("id").alias(x), *[F.col(f"coded{k}").alias(f"{x}{k}") for k in range(2)]) for x in "ab")
     # -1 says that there are more edits.
@@ -180,7 +206,7 @@ def _stars(members: DataFrame) -> DataFrame:
     leaders = leaders.select("bucket", F.col("l.id").alias("a"), F.col("l.simhash").alias("a_simhash"), F.col("l.n").alias("a_n"))
     rows = members.select("bucket", F.col("id").alias("b"), F.col("simhash").alias("b_simhash"), F.col("n").alias("b_n"))
     met = rows.join(leaders, "bucket").filter((F.col("a") != F.col("b")) & _near("a_", "b_"))
-    return met.groupBy("a", "b").agg(F.max(F.greatest("a_n", "b_n")).alias("n"))
+    return _widest(met.select("a", "b", F.greatest("a_n", "b_n").alias("n")))
 
 
 def _most(n: str) -> str:
@@ -190,7 +216,7 @@ def _most(n: str) -> str:
 
 def _commonness(docs: DataFrame) -> Column:
     """An array of how common the words of each slot are: the number of binary digits of their count."""
-    words = _lines(docs).filter(F.pmod("id", F.lit(COUNTED)) == 0).select(F.explode("words").alias("word"))
+    words = _lines(docs.filter(F.pmod(content_of(F.col("text")), F.lit(COUNTED)) == 0)).select(F.explode("words").alias("word"))
     slots = words.groupBy(F.xxhash64("word").bitwiseAND(SLOTS - 1).alias("slot")).agg(F.count("*").alias("n"))
     digits = [0] * SLOTS
     for r in slots.collect():  # SLOTS rows at most
@@ -199,18 +225,35 @@ def _commonness(docs: DataFrame) -> Column:
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """(id, line, n, simhash, p0 .. , firsts) of the different lines; ``firsts``: the words to file them under.
+    """(id, raw, n, simhash, p0 .. , firsts) of the different lines.
 
+    ``raw``: a hash of one line as it is in the documents; ``firsts``: the word pairs to file it under.
     All steps are by id, so that lines move once.
     """
     common = _commonness(docs)
     lines = distinct_lines(docs)
     counts = simhashes(lines).withColumnRenamed("id", "_id")
-    key = lambda h: F.shiftleft(F.coalesce(F.get(common, h.bitwiseAND(SLOTS - 1).cast("int")), F.lit(0)).cast("long"), 56).bitwiseOR(
-        F.shiftrightunsigned(h, 8))
-    hashes = F.transform(F.array_distinct(line_words(F.col("line"))), lambda w: key(F.xxhash64(w)))
-    both = lines.hint("merge").join(counts, F.col("id") == F.col("_id")).drop("_id")
-    return both.withColumn("firsts", F.slice(F.sort_array(hashes), F.lit(1), F.expr(f"{_most('n')} + 1")))
+    digits = lambda h: F.coalesce(F.get(common, h.bitwiseAND(SLOTS - 1).cast("int")), F.lit(0)).cast("long")
+    ranked = lambda rank, h: F.shiftleft(rank, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+    both = lines.hint("merge").join(counts, F.col("id") == F.col("_id")).drop("_id").withColumn(
+        "_words", F.transform(F.transform(line_words(F.col("line")), lambda w: F.xxhash64(w)), lambda h: ranked(digits(h), h)))
+    pairs = F.zip_with(F.slice("_words", F.lit(1), F.col("n") - 1), F.slice("_words", F.lit(2), F.col("n") - 1), lambda a, b: ranked(
+        F.shiftrightunsigned(a, 56) + F.shiftrightunsigned(b, 56), F.xxhash64(a, b)))
+    # No line of fewer than four words is similar to one that isn't equal.
+    firsts = F.slice(F.sort_array(F.array_distinct(pairs)), F.lit(1), F.expr(f"2 * {_most('n + 1')} + int(n >= 4)"))
+    return both.select("id", F.xxhash64("line").alias("raw"), "n", "simhash", *_parities(), firsts.alias("firsts"))
+
+
+def _parities() -> list[str]:
+    return [f"p{k}" for k in range(PARITIES)]
+
+
+def _shared(signed: DataFrame, k: int) -> DataFrame:
+    """(bucket, id) of the lines under their first word pairs of the ``k``-th part, where another line is as well."""
+    filed = _in_part(signed.select(F.explode("firsts").alias("bucket"), "id"), k)
+    bucket = Window.partitionBy("bucket")
+    several = filed.withColumns({"low": F.min("id").over(bucket), "high": F.max("id").over(bucket)}).filter("low <> high")
+    return several.select("bucket", "id")
 
 
 def _possible(a: str, b: str) -> Column:
@@ -220,23 +263,25 @@ def _possible(a: str, b: str) -> Column:
     return F.expr(f"{longer} - least({a}n, {b}n) <= {_most(longer)} AND {flips} <= 2 * {_most(longer)}")
 
 
-def _open(signed: DataFrame, components: DataFrame, name: str) -> DataFrame:
-    """The lines with their components under each of their first words, where lines of other components are as well."""
-    # No line of fewer than four words is similar to one that isn't equal.
-    rows = stored(labelled(signed.drop("simhash", "line").filter(F.expr(f"{_most('n + 1')} > 0")), components), name)
-    filed = rows.select(F.explode("firsts").alias("bucket"), "id", "n", *[f"p{k}" for k in range(PARITIES)], "component")
-    mixed = filed.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
-    return filed.join(mixed.filter("_low <> _high").select("bucket"), "bucket", "left_semi")
+def _facts(signed: DataFrame, p: str) -> DataFrame:
+    return signed.select(*[F.col(c).alias(f"{p}_{c}") for c in ("id", "n", *_parities())])
+
 
+def _led(signed: DataFrame, shared: DataFrame, components: DataFrame, k: int) -> DataFrame:
+    """(a, b, n): members of the ``k``-th part with their bucket's leader, where they may be similar and are in different components."""
+    rows = labelled(_in_part(shared, k), components).withColumn("l", F.min(F.struct("id", "component")).over(Window.partitionBy("bucket")))
+    met = rows.filter("component <> l.component").select(F.col("l.id").alias("a"), F.col("id").alias("b")).distinct()
+    both = met.join(_facts(signed, "x"), F.col("a") == F.col("x_id")).join(_facts(signed, "y"), F.col("b") == F.col("y_id"))
+    return both.filter(_possible("x_", "y_")).select("a", "b", F.greatest("x_n", "y_n").alias("n"))
 
-def _led(rows: DataFrame) -> DataFrame:
-    """(a, b, n): members with their bucket's leader, where they may be similar and are in different components."""
-    columns = [c for c in rows.columns if c != "bucket"]
-    leaders = rows.groupBy("bucket").agg(F.min(F.struct(*columns)).alias("l")).select(
-        F.col("bucket").alias("x_bucket"), *[F.col(f"l.{c}").alias(f"x_{c}") for c in columns])
-    met = rows.select(*[F.col(c).alias(f"y_{c}") for c in rows.columns]).join(
-        leaders, (F.col("x_bucket") == F.col("y_bucket")) & (F.col("x_component") != F.col("y_component")) & _possible("x_", "y_"))
-    return met.groupBy(F.col("x_id").alias("a"), F.col("y_id").alias("b")).agg(F.max(F.greatest("x_n", "y_n")).alias("n"))
+
+def _open(signed: DataFrame, shared: DataFrame, components: DataFrame, k: int) -> DataFrame:
+    """(bucket, component, id, n, p0 ..) of the ``k``-th part of ``shared`` where a bucket has several components."""
+    rows = labelled(_in_part(shared, k), components).withColumnRenamed("id", "_id")
+    bucket = Window.partitionBy("bucket")
+    mixed = rows.withColumns({"low": F.min("component").over(bucket), "high": F.max("component").over(bucket)}).filter("low <> high")
+    facts = signed.select("id", "n", *_parities())
+    return mixed.join(facts, F.col("id") == F.col("_id")).select("bucket", "component", "id", "n", *_parities())
 
 
 def _crossings(rows: DataFrame) -> DataFrame:
@@ -244,18 +289,20 @@ def _crossings(rows: DataFrame) -> DataFrame:
     x, y = ([F.col(c).alias(f"{p}_{c}") for c in rows.columns] for p in "xy")
     met = rows.select(*x).join(rows.select(*y), (F.col("x_bucket") == F.col("y_bucket"))
                                & (F.col("x_component") < F.col("y_component")) & _possible("x_", "y_"))
-    return met.groupBy(F.col("x_id").alias("a"), F.col("y_id").alias("b")).agg(F.max(F.greatest("x_n", "y_n")).alias("n"))
+    return _widest(met.select(F.col("x_id").alias("a"), F.col("y_id").alias("b"), F.greatest("x_n", "y_n").alias("n")))
 
 
 def line_groups(docs: DataFrame) -> DataFrame:
     """(id, component) of the lines that are similar to a line with other words."""
     signed = stored(_signed(docs), "lines-signed")
-    lines = signed.select("id", "line")
-    found = connected_components(_verified(_stars(_members(signed.select("id", "simhash", "n"))), lines, "lines-stars"), "lines-first")
-    led = _verified(_led(_open(signed, found, "lines-open")), lines, "lines-led")
-    found = merged_components(found, led, "lines-second")
-    more = _verified(_crossings(_open(signed, found, "lines-apart")), lines, "lines-more")
-    return merged_components(found, more, "lines-all")
+    nodes = signed.select("id", "simhash", "n")
+    stars = _widest(_in_passes(lambda k: _stars(_members(nodes, k)), "lines-met"))
+    found = connected_components(_verified(stars, signed, docs, "lines-stars"), "lines-first")
+    shared = _in_passes(lambda k: _shared(signed, k), "lines-shared")
+    led = _widest(_in_passes(lambda k: _led(signed, shared, found, k), "lines-open"))
+    found = merged_components(found, _verified(led, signed, docs, "lines-led"), "lines-second")
+    more = _widest(_in_passes(lambda k: _crossings(_open(signed, shared, found, k)), "lines-apart"))
+    return merged_components(found, _verified(more, signed, docs, "lines-more"), "lines-all")
 
 
 def removals(docs: DataFrame) -> DataFrame:
