@@ -87,3 +87,17 @@ def test_odd_rows(spark, tools):
 def test_empty_table(spark):
     assert bpe_coding.encode(empty(spark), WORD).count() == 0
     assert token_counts.budget_answers(empty(spark), BYTE, 20).count() == 0
+
+
+def test_pieces_in_use_are_kept(monkeypatch):
+    """A full cache gives up what isn't used, not everything; counts are those of a fresh automaton."""
+    table, made = token_counts.PieceCounts(automaton(BYTE)), []
+    monkeypatch.setattr(token_counts, "PIECES_KEPT", 20)
+    count = table.table.prefix_counts
+    monkeypatch.setattr(table.table, "prefix_counts", lambda word: made.append(word) or count(word))
+    for i in range(100):
+        table.prefixes(f"often stem{chr(97 + i % 26)}ming{chr(97 + i // 26)}s")
+    assert made.count("often") == 1 and len(table) + len(table.older) <= 20
+    words = ["internationalisation", "internationally", "internment", "\u00e9t\u00e9"]
+    fresh = [token_counts.PieceCounts(type(table.table)(BYTE)).prefixes(w).tolist() for w in words]
+    assert [table.prefixes(w).tolist() for w in words] == fresh

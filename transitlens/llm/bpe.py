@@ -30,6 +30,8 @@ from functools import cache
 from tokenizers import Tokenizer
 
 INFINITE = 1 << 60
+#: Lengths of the prefixes that are remembered, and how many of them.
+STEMS, STEMS_KEPT = (9, 6), 150_000
 
 
 def byte_letters() -> list[str]:
@@ -79,7 +81,9 @@ class MergeAutomaton:
                 for x in self.symbols(self.text[i]) if s != self.text[i] else s:
                     node = node.setdefault(x, {})
                 node[0] = i
+        self.tokens = {s: i for s, i in self.ids.items() if s == self.text[i] and (i in made or len(s) == 1)}
         self.known: dict[int, bool] = {}
+        self.stems: dict[str, tuple[list[int], list[int]]] = {}
 
     def _gadget(self, u: int, v: int, w: int, time: int) -> int:
         if not self._arc(u, v):  # u's state has no arc v: the merge can't occur
@@ -168,24 +172,36 @@ class MergeAutomaton:
 
         For each position the one token that ends the accepted path to it is
         found by an arc from an earlier position; the count is that
-        position's count and one more. Entry i is for i letters.
+        position's count and one more. Entry i is for i letters. What is known
+        of a prefix holds in every word that begins with it, so words with a
+        common stem go on from there.
         """
-        n, known = len(word), self.known
-        last, counts = [-1] * (n + 1), [0] * (n + 1)
-        for j in range(n):
-            before, node, more = last[j], self.trie, counts[j] + 1
-            for k in range(j, n):
-                node = node.get(word[k])
-                if node is None:
-                    break
-                token = node.get(0)
-                if token is None or last[k + 1] >= 0:
+        n, known, tokens, stems = len(word), self.known, self.tokens, self.stems
+        last, counts = [-1], [0]
+        for stem in STEMS:
+            if n > stem and (have := stems.get(word[:stem])):
+                last, counts = have[0][:], have[1][:]
+                break
+        for end in range(len(last), n + 1):
+            for start in range(end - 1, -1, -1):
+                token = tokens.get(word[start:end])
+                if token is None:
                     continue
+                before = last[start]
                 if before >= 0:
                     good = known.get(before << 20 | token)
                     if not (self.arc(before, token) if good is None else good):
                         continue
-                last[k + 1], counts[k + 1] = token, more
+                last.append(token)
+                counts.append(counts[start] + 1)
+                break
+            else:  # not a letter of the vocabulary
+                last.append(-1)
+                counts.append(0)
+            if end in STEMS and n > end:
+                if len(stems) >= STEMS_KEPT:
+                    stems.clear()
+                stems[word[:end]] = last[:], counts[:]
         return counts
 
     def spell(self, piece: str) -> str:

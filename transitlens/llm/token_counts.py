@@ -21,7 +21,9 @@ read whole. Other columns are ignored.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -44,25 +46,34 @@ PIECES_KEPT, LONGEST_KEPT = 600_000, 64
 
 
 class PieceCounts(dict):
-    """Piece -> int32 counts of its prefixes of 1, 2, ... characters."""
+    """Piece -> the bytes of int32 counts of its prefixes of 1, 2, ... characters, and the last of these.
+
+    When half of ``PIECES_KEPT`` are there, they become ``older``, and those
+    that were older go; a piece that is used again comes back from there.
+    """
 
     def __init__(self, table: MergeAutomaton):
         super().__init__()
+        self.older: dict[str, tuple[bytes, int]] = {}
         self.table = table
         self.specials = sorted(table.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
 
-    def __missing__(self, piece: str) -> np.ndarray:
-        counts = self.table.prefix_counts(self.table.spell(piece))
-        if piece.isascii():
-            got = np.array(counts[1:], np.int32)
-        else:
-            ends = np.cumsum([len(c.encode("utf-8", "surrogatepass")) for c in piece])
-            got = np.array(counts, np.int32)[ends]
-        if piece in LONG_CONTRACTIONS:
-            got[1] = 2
+    def __missing__(self, piece: str) -> tuple[bytes, int]:
+        got = self.older.get(piece)
+        if got is None:
+            counts = self.table.prefix_counts(self.table.spell(piece))
+            if piece.isascii():
+                del counts[0]
+            else:
+                ends = accumulate([len(c.encode("utf-8", "surrogatepass")) for c in piece])
+                counts = [counts[e] for e in ends]
+            if piece in LONG_CONTRACTIONS:
+                counts[1] = 2
+            got = array("i", counts).tobytes(), counts[-1]
         if len(piece) <= LONGEST_KEPT:
-            if len(self) >= PIECES_KEPT:
+            if len(self) >= PIECES_KEPT // 2:
+                self.older = dict(self)
                 self.clear()
             self[piece] = got
         return got
@@ -75,14 +86,14 @@ class PieceCounts(dict):
             pieces = [text[a:b] for a, b in library_split(self.table.path, text)[1]]
         else:
             pieces = PIECES.findall(text)
-        each = [self[p] for p in pieces]
-        totals = np.cumsum([0, *(int(c[-1]) for c in each)])
-        counts = np.concatenate(each) + np.repeat(totals[:-1], [len(c) for c in each]).astype(np.int32)
+        each, last = zip(*map(self.__getitem__, pieces), strict=True)
+        totals = np.fromiter(accumulate(last, initial=0), np.int32, len(last) + 1)
+        counts = np.frombuffer(b"".join(each), np.int32) + np.repeat(totals[:-1], list(map(len, pieces)))
         for run in SPACE_RUNS.finditer(text):
             if run.end() < len(text):  # at the end the run is one piece already
                 before = counts[run.start() - 1] if run.start() else 0
                 # The last blank of a run may belong to the word after it.
-                counts[run.start():run.end()] = before + self[run.group()]
+                counts[run.start():run.end()] = before + np.frombuffer(self[run.group()][0], np.int32)
         return counts
 
     def prefixes(self, text: str | None) -> np.ndarray:
