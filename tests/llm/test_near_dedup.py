@@ -154,3 +154,21 @@ def test_odd_rows(spark):
     kept = N.keep_one(odd(spark)).collect()
     assert len(kept) == len(ODD) - 1  # the repeated row
     assert N.near_duplicates(empty(spark)).count() == 0 and N.keep_one(empty(spark)).count() == 0
+
+
+def test_counts_rule_pairs_out(spark):
+    """Words that differ an even number of times leave the parities alone, but not the counts; similar pairs always pass."""
+    base = [f"w{i}" for i in range(100)]
+    rng, rows = random.Random(5), [(0, " ".join([*base, *["also"] * 60])), (1, " ".join([*base, *["never"] * 60]))]
+    for i in range(2, 30):
+        near = list(base) if i % 2 else [*base, *["also"] * 60]
+        for _ in range(len(near) // 5):
+            at, kind = rng.randrange(len(near)), rng.randrange(3)
+            near[at:at + 1] = [["also"], [], [near[at], f"n{rng.randrange(5)}"]][kind]
+        rows.append((i, " ".join(near)))
+    made = N.sketched(spark.createDataFrame(rows, "doc_id long, text string")).withColumnRenamed("doc_id", "id").cache()
+    asked = [(a, b) for a, _ in rows for b, _ in rows if a < b]
+    words = {i: N.word_hashes(t).tolist() for i, t in rows}
+    got = {(r.a, r.b) for r in N.allowed(spark.createDataFrame(asked, "a long, b long"), made).collect()}
+    assert (0, 1) not in got
+    assert {(a, b) for a, b in asked if N.similar(words[a], words[b])} <= got

@@ -13,9 +13,12 @@ of ``SIMILARITY`` or more. A class is a connected group of near duplicates.
 
 Words are runs of letters and digits in lower case. Texts with the same words
 are one node and count as copies without being paired. Before any alignment the
-lengths and the parities of the words' counts in ``PARITIES`` slots must allow
-that two texts are similar: an edit changes two parities at most, so that no near
-duplicate is lost.
+lengths, the parities of the words' counts in ``PARITIES`` slots and the counts
+in ``TALLIES`` groups of slots must allow that two texts are similar. Half of
+(words that only one of two texts has, and the difference of the lengths) is a
+distance that no alignment is below; in a group of slots these words are no fewer
+than the parities that differ there and than the difference of the counts. So no
+near duplicate is lost.
 
 No group of similar texts is written out as pairs. First each text is
 aligned with one text only, the one that leads most of its buckets. Then, while
@@ -59,6 +62,8 @@ ELL = 2
 SKETCHES = 32
 SIMILARITY = 0.8
 PARITIES = 2048
+#: Groups of slots, half of a word of parities each, whose counts are kept.
+TALLIES = PARITIES // 32
 #: A bucket may take the square of this in comparisons before it is split.
 HOT = 1000
 #: Rounds of drawn leaders go on while they bring the members of open buckets below this share.
@@ -167,17 +172,26 @@ def parities(words: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def tallies(words: list[np.ndarray]) -> np.ndarray:
+    """A row of ``TALLIES`` numbers for each text: its words in every group of slots."""
+    out = np.empty((len(words), TALLIES), np.int16)
+    for i, w in enumerate(words):
+        out[i] = np.minimum(np.bincount((w & np.uint64(PARITIES - 1)).astype(np.int64) // 32, minlength=TALLIES), 32767)
+    return out
+
+
 def sketched(docs: DataFrame) -> DataFrame:
-    """(doc_id, content, node, words, sketches, parities) of a table of (doc_id, text).
+    """(doc_id, content, node, words, sketches, parities, tallies) of a table of (doc_id, text).
 
     ``content`` is a hash of the text, ``node`` one of its words (of the text
-    where it has none). ``sketches`` and ``parities`` are null where there are no words.
+    where it has none). ``sketches``, ``parities`` and ``tallies`` are null where there are no words.
     """
     ready(docs.sparkSession)
     rows = docs.select("doc_id", "text", F.xxhash64(F.col("text").isNull(), F.coalesce("text", F.lit(""))).alias("content"))
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("content", T.LongType()),
                            T.StructField("node", T.LongType()), T.StructField("words", T.LongType()),
-                           T.StructField("sketches", T.ArrayType(T.LongType())), T.StructField("parities", T.ArrayType(T.LongType()))])
+                           T.StructField("sketches", T.ArrayType(T.LongType())), T.StructField("parities", T.ArrayType(T.LongType())),
+                           T.StructField("tallies", T.ArrayType(T.ShortType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
@@ -190,7 +204,7 @@ def sketched(docs: DataFrame) -> DataFrame:
                 if n >= CHUNK or i == batch.num_rows - 1:
                     some = [w for w in words if len(w)]
                     made = iter(sketches_of(some))
-                    odd = iter(parities(some).tolist())
+                    odd, tally = iter(parities(some).tolist()), iter(tallies(some).tolist())
                     node = [xxhash.xxh3_64_intdigest(w.tobytes()) - (1 << 63) if len(w) else contents[r]
                             for w, r in zip(words, rows, strict=True)]
                     part = batch.slice(rows[0], len(rows))
@@ -198,7 +212,8 @@ def sketched(docs: DataFrame) -> DataFrame:
                         [part.column(0), part.column(2), pa.array(node, pa.int64()),
                          pa.array([len(w) for w in words], pa.int64()),
                          pa.array([next(made) if len(w) else None for w in words], pa.list_(pa.int64())),
-                         pa.array([next(odd) if len(w) else None for w in words], pa.list_(pa.int64()))], schema.names)
+                         pa.array([next(odd) if len(w) else None for w in words], pa.list_(pa.int64())),
+                         pa.array([next(tally) if len(w) else None for w in words], pa.list_(pa.int16()))], schema.names)
                     words, rows, n = [], [], 0
 
     return rows.mapInArrow(run, schema)
@@ -296,16 +311,20 @@ def verified(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
 
 
 def possible(a: str, b: str) -> Column:
-    """Whether two texts may be similar by their lengths and parities; true for all that are."""
+    """Whether two texts may be similar by their lengths, parities and tallies; true for all that are."""
     longer = f"greatest({a}.words, {b}.words)"
     most = f"floor({longer} * (1 - {SIMILARITY}D) + 1e-9D)"
     flips = " + ".join(f"bit_count({a}.parities[{k}] ^ {b}.parities[{k}])" for k in range(PARITIES // 64))
-    return F.expr(f"{longer} - least({a}.words, {b}.words) <= {most} AND {flips} <= 2 * {most}")
+    apart = f"{longer} - least({a}.words, {b}.words)"
+    odd = f"bit_count(shiftrightunsigned({a}.parities[i div 2] ^ {b}.parities[i div 2], int(32 * (i % 2))) & 4294967295L)"
+    # The sums over groups are the dearer test; most pairs never get there.
+    bag = f"aggregate(sequence(0, {TALLIES - 1}), 0, (s, i) -> s + greatest(abs({a}.tallies[i] - {b}.tallies[i]), {odd}))"
+    return F.expr(f"{apart} <= {most} AND {flips} + {apart} <= 2 * {most} AND {bag} + {apart} <= 2 * {most}")
 
 
 def allowed(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The (a, b) of ``pairs`` that may be similar; ``nodes`` has (id, words, parities)."""
-    x, y = nodes.select("id", "words", "parities").alias("x"), nodes.select("id", "words", "parities").alias("y")
+    """The (a, b) of ``pairs`` that may be similar; ``nodes`` has (id, words, parities, tallies)."""
+    x, y = (nodes.select("id", "words", "parities", "tallies").alias(p) for p in "xy")
     return pairs.join(x, F.col("a") == F.col("x.id")).join(y, F.col("b") == F.col("y.id")).filter(possible("x", "y")).select("a", "b")
 
 
@@ -336,9 +355,9 @@ def _weighed(rows: DataFrame) -> DataFrame:
 def cross_pairs(nodes: DataFrame, rows: DataFrame) -> DataFrame:
     """Pairs (a, b) of different classes that share a bucket and may be similar.
 
-    ``nodes`` has (id, words, parities), ``rows`` (bucket, id, component).
+    ``nodes`` has (id, words, parities, tallies), ``rows`` (bucket, id, component).
     """
-    facts = nodes.select(F.col("id").alias("_id"), "words", "parities")
+    facts = nodes.select(F.col("id").alias("_id"), "words", "parities", "tallies")
     sized = nodes.select(F.col("id").alias("_id"), "words")
     rows = stored(_weighed(rows.select("bucket", "id", "component")), "near-weighed")
     limit = HOT * HOT
@@ -363,7 +382,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = stored(sketched(plain), "near-sketches")
     nodes = rows.filter("sketches IS NOT NULL").groupBy(F.col("node").alias("id")).agg(
         F.min("content").alias("content"), F.first("words").alias("words"), F.first("sketches").alias("sketches"),
-        F.first("parities").alias("parities"))
+        F.first("parities").alias("parities"), F.first("tallies").alias("tallies"))
     nodes = stored(nodes, "near-nodes")
     members = nodes.select("id", F.explode("sketches").alias("bucket"))
     # Buckets of one member say nothing more. A text ranks by how many others it meets: among
