@@ -80,3 +80,15 @@ def test_odd_rows(spark):
     assert S.score_documents(empty(spark)).count() == 0
     alone = S.score_documents(documents(spark, [(i, "a b", None, None) for i in range(40) if zlib.crc32(str(i).encode()) % 7 == 2]))
     assert {(r.n_known, r.train_tokens) for r in alone.collect()} == {(0, 0)}
+
+
+def test_a_block_for_each_batch_and_shard(spark, monkeypatch):
+    """A shard makes one row for a batch, not one for each of its documents; hot contexts add shards by their size."""
+    kept, store = {}, S.stored
+    monkeypatch.setattr(S, "stored", lambda df, name: kept.setdefault(name, store(df, name)))
+    monkeypatch.setattr(S, "SHARD_TOKENS", 500)
+    rows = [(i, prose(i, 40) + " the" * 20, "en", "a") for i in range(60)]
+    assert S.score_documents(documents(spark, rows).coalesce(1)).count() == 60
+    for name in ("lm-words", "lm-pairs"):
+        kinds = collections.Counter(r.kind for r in kept[name].select("kind").collect())
+        assert kinds["keys"] == 1 and 1 < kinds["doc"] + kinds["codes"] < 40
