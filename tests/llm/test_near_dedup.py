@@ -172,3 +172,27 @@ def test_counts_rule_pairs_out(spark):
     got = {(r.a, r.b) for r in N.allowed(spark.createDataFrame(asked, "a long, b long"), made).collect()}
     assert (0, 1) not in got
     assert {(a, b) for a, b in asked if N.similar(words[a], words[b])} <= got
+
+
+def test_a_pair_is_made_once(spark, monkeypatch):
+    """Texts that share several buckets meet in one of them, split or not, and no pair of different classes is left out."""
+    rng, rows = random.Random(9), []
+    base = [f"w{i}" for i in range(120)]
+    for i in range(24):
+        near = list(base[:100 + i % 8])
+        for at in rng.sample(range(len(near)), 6):
+            near[at] = f"n{i}x{at}"
+        rows.append((i, " ".join(near)))
+    made = N.sketched(spark.createDataFrame(rows, "doc_id long, text string")).withColumnRenamed("doc_id", "id").cache()
+    buckets = made.selectExpr("id", "explode(sketches) AS bucket").withColumn("component", N.F.expr("id % 20"))
+    meet = {}
+    for r in buckets.collect():
+        meet.setdefault(r.bucket, set()).add(r.id)
+    shared = {(a, b) for ids in meet.values() for a in ids for b in ids if a < b and a % 20 != b % 20}
+    passed = {(r.a, r.b) for r in N.allowed(spark.createDataFrame(sorted(shared), "a long, b long"), made).collect()}
+    monkeypatch.setattr(type(made), "distinct", lambda self: self)
+    for hot in (1000, 3):
+        monkeypatch.setattr(N, "HOT", hot)
+        got = [(r.a, r.b) for r in N.cross_pairs(made, buckets).collect()]
+        assert len(got) == len(set(got)) and set(got) == passed and len(passed) > 30
+    assert sum(len(ids) > 2 for ids in meet.values()) > 20

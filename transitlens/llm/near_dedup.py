@@ -25,7 +25,8 @@ aligned with one text only, the one that leads most of its buckets. Then, while
 that closes a part of the open buckets (those with several classes),
 each bucket draws a new leader, with which the members of other classes are
 aligned. At last all pairs of different classes that share a bucket and
-may be similar are aligned, whatever the rounds before found. There the bucket's
+may be similar are aligned, whatever the rounds before found. A pair that shares
+several buckets is made in the first of them only. There the bucket's
 largest class is compared with the others only, not with itself; buckets with more
 than ``HOT`` ** 2 comparisons (a passage that many different texts have) are split
 by length: a member is filed under its own range of lengths and the next one,
@@ -310,8 +311,11 @@ def verified(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     return stored(rows.select("a", "salt", "b", "text").mapInArrow(run, schema), f"{name}-links")
 
 
-def possible(a: str, b: str) -> Column:
-    """Whether two texts may be similar by their lengths, parities and tallies; true for all that are."""
+def possible(a: str, b: str, also: str = "true") -> Column:
+    """Whether two texts may be similar by their lengths, parities and tallies; true for all that are.
+
+    ``also`` is a further condition, tested before the dearest one.
+    """
     longer = f"greatest({a}.words, {b}.words)"
     most = f"floor({longer} * (1 - {SIMILARITY}D) + 1e-9D)"
     flips = " + ".join(f"bit_count({a}.parities[{k}] ^ {b}.parities[{k}])" for k in range(PARITIES // 64))
@@ -319,7 +323,7 @@ def possible(a: str, b: str) -> Column:
     odd = f"bit_count(shiftrightunsigned({a}.parities[i div 2] ^ {b}.parities[i div 2], int(32 * (i % 2))) & 4294967295L)"
     # The sums over groups are the dearer test; most pairs never get there.
     bag = f"aggregate(sequence(0, {TALLIES - 1}), 0, (s, i) -> s + greatest(abs({a}.tallies[i] - {b}.tallies[i]), {odd}))"
-    return F.expr(f"{apart} <= {most} AND {flips} + {apart} <= 2 * {most} AND {bag} + {apart} <= 2 * {most}")
+    return F.expr(f"{apart} <= {most} AND {flips} + {apart} <= 2 * {most} AND {also} AND {bag} + {apart} <= 2 * {most}")
 
 
 def allowed(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -357,22 +361,28 @@ def cross_pairs(nodes: DataFrame, rows: DataFrame) -> DataFrame:
 
     ``nodes`` has (id, words, parities, tallies), ``rows`` (bucket, id, component).
     """
-    facts = nodes.select(F.col("id").alias("_id"), "words", "parities", "tallies")
+    # Texts of different classes meet in every bucket that they share: all of these are open.
+    mine = rows.groupBy("id").agg(F.collect_set("bucket").alias("buckets"))
+    facts = nodes.select(F.col("id").alias("_id"), "words", "parities", "tallies").join(mine, F.col("id") == F.col("_id")).drop("id")
     sized = nodes.select(F.col("id").alias("_id"), "words")
     rows = stored(_weighed(rows.select("bucket", "id", "component")), "near-weighed")
     limit = HOT * HOT
-    cool = rows.filter(F.col("work") <= limit).withColumn("parts", F.lit(1).cast("long"))
+    none = F.lit(0).cast("long")
+    cool = rows.filter(F.col("work") <= limit).withColumns(
+        {"parts": F.lit(1).cast("long"), "whole": F.col("bucket"), "own": none, "band": none})
     # Similar lengths are in one range or in ranges that follow each other.
     band = F.floor(F.log("words") / -math.log(SIMILARITY) * (1 - 1e-6))
     warm = rows.filter(F.col("work") > limit).join(sized, F.col("id") == F.col("_id"))
-    warm = _weighed(warm.withColumn("band", F.explode(F.array(band, band + 1))).select(
-        F.xxhash64("bucket", "band").alias("bucket"), "id", "component"))
+    warm = _weighed(warm.withColumn("own", band).withColumn("band", F.explode(F.array("own", F.col("own") + 1))).select(
+        F.xxhash64("bucket", "band").alias("bucket"), "id", "component", F.col("bucket").alias("whole"), "own", "band"))
     warm = warm.withColumn("parts", F.ceil(F.col("work") / limit).cast("long"))
     both = stored(cool.unionByName(warm).join(facts, F.col("id") == F.col("_id")).drop("_id", "work"), "near-facts")
     x = both.filter("component <> top").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))).alias("x")
     y = both.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).alias("y")
     other = ((F.col("y.component") == F.col("x.top")) | (F.col("x.component") < F.col("y.component")))
-    near = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.part") == F.col("y.part")) & other & possible("x", "y")
+    # A pair is made in the first bucket that it shares, and there in the first range of lengths.
+    first = "array_min(array_intersect(x.buckets, y.buckets)) = x.whole AND x.band = greatest(x.own, y.own)"
+    near = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.part") == F.col("y.part")) & other & possible("x", "y", first)
     return x.join(y, near).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
