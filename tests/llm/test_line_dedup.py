@@ -136,6 +136,50 @@ def test_edits_that_make_a_line_longer(spark):
     assert {i: gone for i, (_, gone) in removed(spark, rows).items()} == {i: i % 2 for i, *_ in rows}
 
 
+def test_counts_rule_pairs_out(spark):
+    """Lines that say other words an even number of times have equal parities, but not counts; similar lines always pass."""
+    rng, lines = random.Random(6), []
+    for k in range(6):
+        lines.append(" ".join(" ".join([f"w{k}x{j}"] * 40) for j in range(7)) + " " + "of " * 20)
+    for n in (10, 40, 90, 9_000):
+        base = [f"v{rng.randrange(30)}" for _ in range(n)]
+        lines.append(" ".join(base))
+        for edits in (1, n // 5):
+            near = list(base)
+            for _ in range(edits):
+                at, kind = rng.randrange(len(near)), rng.randrange(3)
+                near[at:at + 1] = [[f"u{rng.randrange(9)}"], [], [near[at], "of"]][kind]
+            lines.append(" ".join(near))
+    long = lambda n: " ".join(["again"] * n)
+    lines += [long(40_000), long(36_000)]  # counts above 15 bits
+    found = L._signed(documents(spark, [(i, t, None, None) for i, t in enumerate(lines)]).select("doc_id", "text")).collect()
+    number = {spark.range(1).select(L.F.xxhash64(L.F.lit(t))).first()[0]: i for i, t in enumerate(lines)}
+    rows = spark.createDataFrame([(number[r.raw], r.n, *[r[c] for c in L._counts()]) for r in found],
+                                 "i int, n int, " + ", ".join(f"{c} long" for c in L._counts()))
+    x, y = (rows.select(*[L.F.col(c).alias(f"{p}_{c}") for c in rows.columns]) for p in "xy")
+    got = {(r.x_i, r.y_i) for r in x.crossJoin(y).filter("x_i < y_i").filter(L._possible("x_", "y_")).select("x_i", "y_i").collect()}
+    assert not {(a, b) for a, b in got if b < 6}
+    assert (len(lines) - 2, len(lines) - 1) in got
+    short = [i for i, t in enumerate(lines) if len(words(t)) < 300]
+    assert {(a, b) for a in short for b in short if a < b
+            and apart(words(lines[a]), words(lines[b])) <= int(0.2 * max(len(words(lines[a])), len(words(lines[b]))) + 1e-9)} <= got
+    assert {(15, 16), (15, 17)} <= got  # the longest line and its edits
+
+
+def test_parts_of_the_buckets_find_the_same(spark, monkeypatch):
+    """Small tables take one part, larger ones several; the lines that go are the same."""
+    lines = [prose(i, 12) for i in range(30)]
+    rows = [(i, line + "\n" + line.replace(line.split()[4], f"new{i}"), None, None) for i, line in enumerate(lines)]
+    done = []
+    whole = L._in_passes
+    monkeypatch.setattr(L, "_in_passes", lambda part, name, parts: done.append(parts) or whole(part, name, parts))
+    one = removed(spark, rows)
+    assert set(done) == {1}
+    monkeypatch.setattr(L, "PART", 25)
+    assert removed(spark, rows) == one and set(done) == {1, 3}
+    assert sum(gone for _, gone in one.values()) >= 25
+
+
 def test_odd_rows(spark):
     got = L.dedup(odd(spark)).collect()
     assert len(got) == len(ODD)

@@ -16,11 +16,16 @@ lines are put in one order, the first one that two similar lines have in common
 among the first 2 * k + 1 different ones of both. Each line is filed under these, with
 k for one word more, as a line is as long or shorter than its partner; the order
 takes pairs of rare words first, which keeps buckets small. Members are compared with
-a leader, then all pairs that are still in different groups: by their lengths and
-by ``PARITIES`` * 64 parities of their words' counts, of which an edit changes
-two at most, then by edit similarity. Neither step loses a similar pair.
-
-What moves by bucket moves in ``PASSES`` parts of the buckets, one after the other, and
+a leader, then all pairs that are still in different groups: by their lengths, by
+``PARITIES`` * 64 parities of their words' counts and by the counts of words in
+``PARITIES`` * 2 groups of these (lines that say few words many times have next to no
+odd ones), then by edit similarity. Half of (words that only one of two lines has, and
+the difference of the lengths) is a distance that no edits are below; in a group these
+words are no fewer than the parities that differ there and than the difference of the
+counts. Neither step loses a similar pair.
+
+What moves by bucket moves in up to ``PASSES`` parts of the buckets (one for each
+``PART`` different lines), one after the other, and
 a part's shuffle files go when its result is written. Lines themselves move once, to
 find the different ones; those of candidates are read from the documents again.
 
@@ -64,8 +69,8 @@ PACKED = 16_383
 PARITIES = 8
 #: Words are counted in so many slots of their hashes, from one of ``COUNTED`` texts: this decides on their order only, not on what is found.
 SLOTS, COUNTED = 65536, 8
-#: Parts of the buckets that are worked off one after the other.
-PASSES = 4
+#: The most parts of the buckets that are worked off one after the other, and the different lines that make another one worthwhile.
+PASSES, PART = 4, 250_000
 #: Where the blocks of a SimHash begin and end.
 EDGES = [64 * n // BLOCKS for n in range(BLOCKS + 1)]
 
@@ -108,22 +113,35 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
 
 
 def simhashes(lines: DataFrame) -> DataFrame:
-    """(id, n, simhash, p0 ..) of (id, line): number of words, SimHash, parities of the words' counts."""
+    """(id, n, simhash, p0 .., t0 ..) of (id, line): number of words, SimHash, parities of the words' counts, counts.
+
+    A group of words has one half of a parity column, and 16 bits of a column t0 .. for its count.
+    """
     parity = [F.expr(f"bit_xor(if((shiftrightunsigned(h, 6) & {PARITIES - 1}) = {k}, shiftleft(1L, CAST(h & 63 AS INT)), 0L))").alias(f"p{k}")
               for k in range(PARITIES)]
 
-    def counted(some: DataFrame, mask: int, sums: int) -> DataFrame:
+    # Shifts and masks only, so that the generated method stays small enough to be compiled.
+    by_16 = [F.expr(f"sum(if((shiftrightunsigned(h, 7) & {PARITIES // 2 - 1}) = {k}, shiftleft(1L, CAST(shiftrightunsigned(h, 1) & 48 AS INT)), 0L))").alias(f"t{k}")
+             for k in range(PARITIES // 2)]
+    by_32 = [F.expr(f"sum(if((shiftrightunsigned(h, 6) & {PARITIES - 1}) = {k}, shiftleft(1L, CAST(h & 32 AS INT)), 0L))").alias(f"t{k}")
+             for k in range(PARITIES)]
+
+    def counted(some: DataFrame, mask: int, sums: int, groups: list[Column]) -> DataFrame:
         hashed = some.select("id", F.explode(line_words(F.col("line"))).alias("word")).select("id", F.xxhash64("word").alias("h"))
-        return hashed.groupBy("id").agg(F.count("*").cast("int").alias("n"), *parity, *[
+        return hashed.groupBy("id").agg(F.count("*").cast("int").alias("n"), *parity, *groups, *[
             F.expr(f"sum(shiftrightunsigned(h, {b}) & {mask}L)").alias(f"s{b}") for b in range(sums)])
 
     out = ["id", "n", *[f"p{k}" for k in range(PARITIES)]]
+    counts = [f"t{k}" for k in range(PARITIES // 2)]
     # A word and its end take two characters; lower case may take twice as many.
     short = F.length("line") < PACKED
-    packed = counted(lines.filter(short), 0x0001000100010001, 16)
-    plain = counted(lines.filter(~short), 1, 64)
+    packed = counted(lines.filter(short), 0x0001000100010001, 16, by_16)
+    plain = counted(lines.filter(~short), 1, 64, by_32)
+    # Counts that are cut at 15 bits differ no more than whole ones.
+    cut = lambda k, half: f"shiftleft(least(shiftrightunsigned(t{k}, {32 * half}) & 4294967295L, 32767L), {16 * (2 * (k % 2) + half)})"
+    halves = [F.expr(" | ".join(cut(k, half) for k in (2 * j, 2 * j + 1) for half in (0, 1))).alias(f"t{j}") for j in range(PARITIES // 2)]
     majority = F.expr(" | ".join(f"shiftleft(CAST(s{b} * 2 > n AS BIGINT), {b})" for b in range(64)))
-    return packed.select(*out, _packed("n").alias("simhash")).unionByName(plain.select(*out, majority.alias("simhash")))
+    return packed.select(*out, *counts, _packed("n").alias("simhash")).unionByName(plain.select(*out, *halves, majority.alias("simhash")))
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -150,29 +168,32 @@ def _near(a: str, b: str) -> Column:
     return (apart <= DISTANCE) & (F.least(f"{a}n", f"{b}n") >= SIMILARITY * F.greatest(f"{a}n", f"{b}n"))
 
 
-def _in_part(rows: DataFrame, k: int) -> DataFrame:
-    """The rows of the ``k``-th part of the buckets."""
-    return rows.filter(F.pmod(F.xxhash64("bucket", F.lit(PASSES)), F.lit(PASSES)) == k)
+def _in_part(rows: DataFrame, k: int, parts: int = PASSES) -> DataFrame:
+    """The rows of the ``k``-th of so many parts of the buckets."""
+    if parts == 1:
+        return rows
+    # A number would be written into the generated code; an array isn't, so that all parts share one compiled class.
+    return rows.filter(F.array_contains(F.array(F.lit(k).cast("long")), F.pmod(F.xxhash64("bucket", F.lit(PASSES)), F.lit(parts))))
 
 
-def _in_passes(part: Callable[[int], DataFrame], name: str) -> DataFrame:
+def _in_passes(part: Callable[[int], DataFrame], name: str, parts: int) -> DataFrame:
     """What ``part(k)`` has for every part k of the buckets; the shuffle files of one go before the next."""
-    return reduce(DataFrame.unionByName, [stored(part(k), name) for k in range(PASSES)])
+    return reduce(DataFrame.unionByName, [stored(part(k), name) for k in range(parts)])
 
 
 def _widest(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.max("n").alias("n"))
 
 
-def _members(nodes: DataFrame, k: int) -> DataFrame:
+def _members(nodes: DataFrame, k: int, parts: int = PASSES) -> DataFrame:
     """(bucket, id, simhash, n) of the lines that share a bucket of the ``k``-th part with another line."""
     values = nodes.groupBy("simhash").agg(F.count("*").alias("lines"))
-    filed = _in_part(values.select("simhash", F.explode(_buckets(F.col("simhash"))).alias("bucket")), k)
+    filed = _in_part(values.select("simhash", F.explode(_buckets(F.col("simhash"))).alias("bucket")), k, parts)
     # Most buckets have one SimHash; what leaves this step are the others.
     bucket = Window.partitionBy("bucket")
     shared = filed.withColumns({"low": F.min("simhash").over(bucket), "high": F.max("simhash").over(bucket)}).filter("low <> high")
     # Equal SimHashes of different lines meet in a bucket of their own.
-    same = _in_part(values.filter("lines > 1").select("simhash", F.xxhash64("simhash").alias("bucket")), k)
+    same = _in_part(values.filter("lines > 1").select("simhash", F.xxhash64("simhash").alias("bucket")), k, parts)
     shared = shared.select("simhash", F.xxhash64("bucket", F.lit(1)).alias("bucket")).unionByName(same)
     return shared.join(nodes.select("simhash", "id", "n"), "simhash").select("bucket", "id", "simhash", "n")
 
@@ -225,7 +246,7 @@ def _commonness(docs: DataFrame) -> Column:
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """(id, raw, n, simhash, p0 .. , firsts) of the different lines.
+    """(id, raw, n, simhash, p0 .., t0 .., firsts) of the different lines.
 
     ``raw``: a hash of one line as it is in the documents; ``firsts``: the word pairs to file it under.
     All steps are by id, so that lines move once.
@@ -241,47 +262,51 @@ def _signed(docs: DataFrame) -> DataFrame:
         F.shiftrightunsigned(a, 56) + F.shiftrightunsigned(b, 56), F.xxhash64(a, b)))
     # No line of fewer than four words is similar to one that isn't equal.
     firsts = F.slice(F.sort_array(F.array_distinct(pairs)), F.lit(1), F.expr(f"2 * {_most('n + 1')} + int(n >= 4)"))
-    return both.select("id", F.xxhash64("line").alias("raw"), "n", "simhash", *_parities(), firsts.alias("firsts"))
+    return both.select("id", F.xxhash64("line").alias("raw"), "n", "simhash", *_counts(), firsts.alias("firsts"))
 
 
-def _parities() -> list[str]:
-    return [f"p{k}" for k in range(PARITIES)]
+def _counts() -> list[str]:
+    return [*[f"p{k}" for k in range(PARITIES)], *[f"t{k}" for k in range(PARITIES // 2)]]
 
 
-def _shared(signed: DataFrame, k: int) -> DataFrame:
+def _shared(signed: DataFrame, k: int, parts: int = PASSES) -> DataFrame:
     """(bucket, id) of the lines under their first word pairs of the ``k``-th part, where another line is as well."""
-    filed = _in_part(signed.select(F.explode("firsts").alias("bucket"), "id"), k)
+    filed = _in_part(signed.select(F.explode("firsts").alias("bucket"), "id"), k, parts)
     bucket = Window.partitionBy("bucket")
     several = filed.withColumns({"low": F.min("id").over(bucket), "high": F.max("id").over(bucket)}).filter("low <> high")
     return several.select("bucket", "id")
 
 
 def _possible(a: str, b: str) -> Column:
-    """Whether two lines may be similar by their lengths and parities; true for all that are."""
+    """Whether two lines may be similar by their lengths, parities and counts; true for all that are."""
     flips = " + ".join(f"bit_count({a}p{k} ^ {b}p{k})" for k in range(PARITIES))
     longer = f"greatest({a}n, {b}n)"
-    return F.expr(f"{longer} - least({a}n, {b}n) <= {_most(longer)} AND {flips} <= 2 * {_most(longer)}")
+    apart = f"{longer} - least({a}n, {b}n)"
+    lane = lambda x, g: f"(shiftrightunsigned({x}t{g // 4}, {16 * (g % 4)}) & 65535L)"
+    odd = lambda g: f"bit_count(shiftrightunsigned({a}p{g // 2} ^ {b}p{g // 2}, {32 * (g % 2)}) & 4294967295L)"
+    bag = " + ".join(f"greatest(abs({lane(a, g)} - {lane(b, g)}), {odd(g)})" for g in range(2 * PARITIES))
+    return F.expr(f"{apart} <= {_most(longer)} AND {flips} + {apart} <= 2 * {_most(longer)} AND {bag} + {apart} <= 2 * {_most(longer)}")
 
 
 def _facts(signed: DataFrame, p: str) -> DataFrame:
-    return signed.select(*[F.col(c).alias(f"{p}_{c}") for c in ("id", "n", *_parities())])
+    return signed.select(*[F.col(c).alias(f"{p}_{c}") for c in ("id", "n", *_counts())])
 
 
-def _led(signed: DataFrame, shared: DataFrame, components: DataFrame, k: int) -> DataFrame:
+def _led(signed: DataFrame, shared: DataFrame, components: DataFrame, k: int, parts: int = PASSES) -> DataFrame:
     """(a, b, n): members of the ``k``-th part with their bucket's leader, where they may be similar and are in different components."""
-    rows = labelled(_in_part(shared, k), components).withColumn("l", F.min(F.struct("id", "component")).over(Window.partitionBy("bucket")))
+    rows = labelled(_in_part(shared, k, parts), components).withColumn("l", F.min(F.struct("id", "component")).over(Window.partitionBy("bucket")))
     met = rows.filter("component <> l.component").select(F.col("l.id").alias("a"), F.col("id").alias("b")).distinct()
     both = met.join(_facts(signed, "x"), F.col("a") == F.col("x_id")).join(_facts(signed, "y"), F.col("b") == F.col("y_id"))
     return both.filter(_possible("x_", "y_")).select("a", "b", F.greatest("x_n", "y_n").alias("n"))
 
 
-def _open(signed: DataFrame, shared: DataFrame, components: DataFrame, k: int) -> DataFrame:
-    """(bucket, component, id, n, p0 ..) of the ``k``-th part of ``shared`` where a bucket has several components."""
-    rows = labelled(_in_part(shared, k), components).withColumnRenamed("id", "_id")
+def _open(signed: DataFrame, shared: DataFrame, components: DataFrame, k: int, parts: int = PASSES) -> DataFrame:
+    """(bucket, component, id, n, p0 .., t0 ..) of the ``k``-th part of ``shared`` where a bucket has several components."""
+    rows = labelled(_in_part(shared, k, parts), components).withColumnRenamed("id", "_id")
     bucket = Window.partitionBy("bucket")
     mixed = rows.withColumns({"low": F.min("component").over(bucket), "high": F.max("component").over(bucket)}).filter("low <> high")
-    facts = signed.select("id", "n", *_parities())
-    return mixed.join(facts, F.col("id") == F.col("_id")).select("bucket", "component", "id", "n", *_parities())
+    facts = signed.select("id", "n", *_counts())
+    return mixed.join(facts, F.col("id") == F.col("_id")).select("bucket", "component", "id", "n", *_counts())
 
 
 def _crossings(rows: DataFrame) -> DataFrame:
@@ -295,13 +320,14 @@ def _crossings(rows: DataFrame) -> DataFrame:
 def line_groups(docs: DataFrame) -> DataFrame:
     """(id, component) of the lines that are similar to a line with other words."""
     signed = stored(_signed(docs), "lines-signed")
+    parts = max(1, min(PASSES, -(-signed.count() // PART)))
     nodes = signed.select("id", "simhash", "n")
-    stars = _widest(_in_passes(lambda k: _stars(_members(nodes, k)), "lines-met"))
+    stars = _widest(_in_passes(lambda k: _stars(_members(nodes, k, parts)), "lines-met", parts))
     found = connected_components(_verified(stars, signed, docs, "lines-stars"), "lines-first")
-    shared = _in_passes(lambda k: _shared(signed, k), "lines-shared")
-    led = _widest(_in_passes(lambda k: _led(signed, shared, found, k), "lines-open"))
+    shared = _in_passes(lambda k: _shared(signed, k, parts), "lines-shared", parts)
+    led = _widest(_in_passes(lambda k: _led(signed, shared, found, k, parts), "lines-open", parts))
     found = merged_components(found, _verified(led, signed, docs, "lines-led"), "lines-second")
-    more = _widest(_in_passes(lambda k: _crossings(_open(signed, shared, found, k)), "lines-apart"))
+    more = _widest(_in_passes(lambda k: _crossings(_open(signed, shared, found, k, parts)), "lines-apart", parts))
     return merged_components(found, _verified(more, signed, docs, "lines-more"), "lines-all")
 
 
