@@ -166,6 +166,59 @@ def test_counts_rule_pairs_out(spark):
     assert {(15, 16), (15, 17)} <= got  # the longest line and its edits
 
 
+def test_a_word_pair_does_not_make_a_bucket(spark):
+    """Pairs of words meet by chance more often as tables grow; lines that share pairs, but no three words in a row, are filed apart."""
+    rows = [(i, " ".join(f"a{x} b{x}" for x in ((i + j * (i + 1)) % 41 for j in range(6))), None, None) for i in range(20)]
+    signed = L._signed(documents(spark, rows).select("doc_id", "text"))
+    assert signed.count() == 20 and sum(L._shared(signed, k).count() for k in range(L.PASSES)) == 0
+
+
+def test_a_pair_is_made_in_few_of_its_buckets(spark, monkeypatch):
+    """Lines that share many buckets are made a pair in the first ones only."""
+    base = [f"w{j}" for j in range(80)]
+    rows = [(i, " ".join([*base[:15 * i + 3], f"new{i}", *base[15 * i + 4:]]), None, None) for i in range(5)]
+    signed = L._signed(documents(spark, rows).select("doc_id", "text"))
+    shared = L._in_passes(lambda k: L._shared(signed, k, 1), "test-shared", 1)
+    assert shared.count() > 100
+    made, widest = [], L._widest
+    monkeypatch.setattr(L, "_widest", lambda pairs: made.append(pairs.count()) or widest(pairs))
+    pairs = L._crossings(L._open(signed, shared, spark.createDataFrame([], "id long, component long"), 0, 1))
+    assert pairs.count() == 10 and made[0] <= 30  # of 10 pairs with 30 buckets or more each
+
+
+def test_the_bound_is_compiled(spark):
+    """A method of more than 8,000 bytes is interpreted by the JVM, many times slower."""
+    rows = "bucket long, component long, id long, n int, " + ", ".join(f"{c} long" for c in L._counts())
+    signed = L.stored(spark.createDataFrame([], rows), "test-signed")
+    shared, found = L.stored(signed.select("bucket", "id"), "test-shared"), L.stored(signed.select("id", "component"), "test-found")
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        for df in (L._crossings(L._open(signed, shared, found, 0, 1)), L._led(signed, shared, found, 0, 1)):
+            code = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+            assert max(int(m) for m in re.findall(r"maxMethodCodeSize:(\d+)", code)) < 8000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_short_lines_meet_by_pairs(spark):
+    """Lines of four to seven words with one edit, wherever it is."""
+    rows = []
+    for n in range(4, 8):
+        for at in range(n + 1):
+            for kind in range(3):
+                base = [f"w{n}x{at}x{kind}x{j}" for j in range(n)]
+                new = [] if kind == 1 else [f"new{n}x{at}x{kind}"]  # a word less, or another or one more
+                near = [*base[:at], *new, *base[at + (kind != 2):]]
+                if near != base and max(len(base), len(near)) >= 5 and min(len(base), len(near)) >= 4:
+                    rows += [(2 * len(rows), " ".join(base), None, None), (2 * len(rows) + 1, " ".join(near), None, None)]
+    got = removed(spark, rows)
+    assert [got[i][1] for i, *_ in rows] == [0, 1] * (len(rows) // 2)
+
+
 def test_parts_of_the_buckets_find_the_same(spark, monkeypatch):
     """Small tables take one part, larger ones several; the lines that go are the same."""
     lines = [prose(i, 12) for i in range(30)]

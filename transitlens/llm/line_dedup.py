@@ -11,18 +11,23 @@ lengths, then by edit similarity, in words, of ``SIMILARITY`` or more.
 SimHashes so close are rare for lines of ordinary length, so all lines meet once
 more, in buckets that no similar pair escapes. Two lines are similar if k = (1 -
 ``SIMILARITY``) * the longer length edits or fewer make them equal, and an edit breaks
-two of a line's pairs of neighbouring words at most. So if the word pairs of all
+three of a line's runs of three words at most. At least one run is left if the longer
+line has six words. So if the runs of all
 lines are put in one order, the first one that two similar lines have in common is
-among the first 2 * k + 1 different ones of both. Each line is filed under these, with
-k for one word more, as a line is as long or shorter than its partner; the order
-takes pairs of rare words first, which keeps buckets small. Members are compared with
+among the first 3 * k + 1 different ones of both. Each line is filed under these. A
+partner that is d words longer allows the edits of its length, but d of them are new
+words between two old ones, which break two runs; so the most of 3 * k - d counts. Lines
+of four and five words meet by pairs of words, of which an edit breaks two. The order
+takes runs of rare words first, which keeps buckets small. Members are compared with
 a leader, then all pairs that are still in different groups: by their lengths, by
 ``PARITIES`` * 64 parities of their words' counts and by the counts of words in
 ``PARITIES`` * 2 groups of these (lines that say few words many times have next to no
 odd ones), then by edit similarity. Half of (words that only one of two lines has, and
 the difference of the lengths) is a distance that no edits are below; in a group these
 words are no fewer than the parities that differ there and than the difference of the
-counts. Neither step loses a similar pair.
+counts. Neither step loses a similar pair. Pairs of lines that share several buckets are
+left out of a bucket if one of the two buckets before it is the same for both lines: the
+pair is made there, or in a bucket further in front.
 
 What moves by bucket moves in up to ``PASSES`` parts of the buckets (one for each
 ``PART`` different lines), one after the other, and
@@ -248,7 +253,7 @@ def _commonness(docs: DataFrame) -> Column:
 def _signed(docs: DataFrame) -> DataFrame:
     """(id, raw, n, simhash, p0 .., t0 .., firsts) of the different lines.
 
-    ``raw``: a hash of one line as it is in the documents; ``firsts``: the word pairs to file it under.
+    ``raw``: a hash of one line as it is in the documents; ``firsts``: the runs of words to file it under.
     All steps are by id, so that lines move once.
     """
     common = _commonness(docs)
@@ -258,10 +263,18 @@ def _signed(docs: DataFrame) -> DataFrame:
     ranked = lambda rank, h: F.shiftleft(rank, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
     both = lines.hint("merge").join(counts, F.col("id") == F.col("_id")).drop("_id").withColumn(
         "_words", F.transform(F.transform(line_words(F.col("line")), lambda w: F.xxhash64(w)), lambda h: ranked(digits(h), h)))
-    pairs = F.zip_with(F.slice("_words", F.lit(1), F.col("n") - 1), F.slice("_words", F.lit(2), F.col("n") - 1), lambda a, b: ranked(
-        F.shiftrightunsigned(a, 56) + F.shiftrightunsigned(b, 56), F.xxhash64(a, b)))
-    # No line of fewer than four words is similar to one that isn't equal.
-    firsts = F.slice(F.sort_array(F.array_distinct(pairs)), F.lit(1), F.expr(f"2 * {_most('n + 1')} + int(n >= 4)"))
+
+    def runs(size: int) -> Column:
+        def run(word: Column, at: Column) -> Column:
+            words = [word, *[F.get("_words", at + j) for j in range(1, size)]]
+            return ranked(reduce(Column.__add__, [F.shiftrightunsigned(w, 56) for w in words]), F.xxhash64(*words))
+
+        return F.sort_array(F.array_distinct(F.transform(F.slice("_words", F.lit(1), F.greatest(F.col("n") - (size - 1), F.lit(0))), run)))
+
+    # No line of fewer than four words is similar to one that isn't equal; one of four words has partners of five at most.
+    most = F.expr(f"greatest({', '.join(f'3 * {_most(f'n + {d}')} - {d}' for d in range(3))}) + 1")
+    firsts = (F.when(F.col("n") >= 6, F.slice(runs(3), F.lit(1), most)).when(F.col("n") == 5, F.concat(runs(2), runs(3)))
+              .when(F.col("n") == 4, runs(2)).otherwise(F.array().cast("array<bigint>")))
     return both.select("id", F.xxhash64("line").alias("raw"), "n", "simhash", *_counts(), firsts.alias("firsts"))
 
 
@@ -270,7 +283,7 @@ def _counts() -> list[str]:
 
 
 def _shared(signed: DataFrame, k: int, parts: int = PASSES) -> DataFrame:
-    """(bucket, id) of the lines under their first word pairs of the ``k``-th part, where another line is as well."""
+    """(bucket, id) of the lines under their first runs of words of the ``k``-th part, where another line is as well."""
     filed = _in_part(signed.select(F.explode("firsts").alias("bucket"), "id"), k, parts)
     bucket = Window.partitionBy("bucket")
     several = filed.withColumns({"low": F.min("id").over(bucket), "high": F.max("id").over(bucket)}).filter("low <> high")
@@ -282,38 +295,51 @@ def _possible(a: str, b: str) -> Column:
     flips = " + ".join(f"bit_count({a}p{k} ^ {b}p{k})" for k in range(PARITIES))
     longer = f"greatest({a}n, {b}n)"
     apart = f"{longer} - least({a}n, {b}n)"
-    lane = lambda x, g: f"(shiftrightunsigned({x}t{g // 4}, {16 * (g % 4)}) & 65535L)"
-    odd = lambda g: f"bit_count(shiftrightunsigned({a}p{g // 2} ^ {b}p{g // 2}, {32 * (g % 2)}) & 4294967295L)"
+    # What needs no shift or mask has none, as the join's method has to stay small enough to be compiled.
+    lane = lambda x, g: (f"({x}t{g // 4} & 65535L)", *[f"(shiftrightunsigned({x}t{g // 4}, {16 * j}) & 65535L)" for j in (1, 2)],
+                         f"shiftrightunsigned({x}t{g // 4}, 48)")[g % 4]
+    odd = lambda g: (f"bit_count(({a}p{g // 2} ^ {b}p{g // 2}) & 4294967295L)",
+                     f"bit_count(shiftrightunsigned({a}p{g // 2} ^ {b}p{g // 2}, 32))")[g % 2]
     bag = " + ".join(f"greatest(abs({lane(a, g)} - {lane(b, g)}), {odd(g)})" for g in range(2 * PARITIES))
     return F.expr(f"{apart} <= {_most(longer)} AND {flips} + {apart} <= 2 * {_most(longer)} AND {bag} + {apart} <= 2 * {_most(longer)}")
 
 
-def _facts(signed: DataFrame, p: str) -> DataFrame:
-    return signed.select(*[F.col(c).alias(f"{p}_{c}") for c in ("id", "n", *_counts())])
+def _facts(signed: DataFrame, p: str = "") -> DataFrame:
+    """What ``_possible`` reads, declared as never null: a method with checks for nulls is too long to be compiled."""
+    return signed.select(F.col("id").alias(f"{p}id"), *[F.coalesce(c, F.lit(0)).alias(f"{p}{c}") for c in ("n", *_counts())])
 
 
 def _led(signed: DataFrame, shared: DataFrame, components: DataFrame, k: int, parts: int = PASSES) -> DataFrame:
     """(a, b, n): members of the ``k``-th part with their bucket's leader, where they may be similar and are in different components."""
     rows = labelled(_in_part(shared, k, parts), components).withColumn("l", F.min(F.struct("id", "component")).over(Window.partitionBy("bucket")))
     met = rows.filter("component <> l.component").select(F.col("l.id").alias("a"), F.col("id").alias("b")).distinct()
-    both = met.join(_facts(signed, "x"), F.col("a") == F.col("x_id")).join(_facts(signed, "y"), F.col("b") == F.col("y_id"))
+    both = met.join(_facts(signed, "x_"), F.col("a") == F.col("x_id")).join(_facts(signed, "y_"), F.col("b") == F.col("y_id"))
     return both.filter(_possible("x_", "y_")).select("a", "b", F.greatest("x_n", "y_n").alias("n"))
 
 
 def _open(signed: DataFrame, shared: DataFrame, components: DataFrame, k: int, parts: int = PASSES) -> DataFrame:
-    """(bucket, component, id, n, p0 .., t0 ..) of the ``k``-th part of ``shared`` where a bucket has several components."""
+    """(bucket, component, before, further, id, n, p0 .., t0 ..) of the ``k``-th part of ``shared`` where a bucket has several components.
+
+    ``before``, ``further``: the two buckets of the same line in front of this one (none: the bucket itself).
+    """
     rows = labelled(_in_part(shared, k, parts), components).withColumnRenamed("id", "_id")
     bucket = Window.partitionBy("bucket")
     mixed = rows.withColumns({"low": F.min("component").over(bucket), "high": F.max("component").over(bucket)}).filter("low <> high")
-    facts = signed.select("id", "n", *_counts())
-    return mixed.join(facts, F.col("id") == F.col("_id")).select("bucket", "component", "id", "n", *_counts())
+    line = Window.partitionBy("_id").orderBy("bucket")
+    chained = mixed.withColumns({c: F.coalesce(F.lag("bucket", j).over(line), "bucket") for j, c in ((1, "before"), (2, "further"))})
+    return chained.join(_facts(signed), F.col("id") == F.col("_id")).select("bucket", "component", "before", "further", "id", "n", *_counts())
+
+
+def _made_before() -> Column:
+    """Whether a pair shares one of the two buckets that are in front of this one in both lines."""
+    return F.expr(" OR ".join(f"(x_{a} = y_{b} AND x_{a} < x_bucket)" for a in ("before", "further") for b in ("before", "further")))
 
 
 def _crossings(rows: DataFrame) -> DataFrame:
     """(a, b, n): members of one bucket and different components that may be similar."""
     x, y = ([F.col(c).alias(f"{p}_{c}") for c in rows.columns] for p in "xy")
     met = rows.select(*x).join(rows.select(*y), (F.col("x_bucket") == F.col("y_bucket"))
-                               & (F.col("x_component") < F.col("y_component")) & _possible("x_", "y_"))
+                               & (F.col("x_component") < F.col("y_component")) & ~_made_before() & _possible("x_", "y_"))
     return _widest(met.select(F.col("x_id").alias("a"), F.col("y_id").alias("b"), F.greatest("x_n", "y_n").alias("n")))
 
 
