@@ -184,6 +184,9 @@ def test_a_pair_is_made_in_few_of_its_buckets(spark, monkeypatch):
     monkeypatch.setattr(L, "_widest", lambda pairs: made.append(pairs.count()) or widest(pairs))
     pairs = L._crossings(L._open(signed, shared, spark.createDataFrame([], "id long, component long"), 0, 1))
     assert pairs.count() == 10 and made[0] <= 30  # of 10 pairs with 30 buckets or more each
+    # Parts make no pair again that another part makes.
+    parts = [L._crossings(L._open(signed, shared, spark.createDataFrame([], "id long, component long"), k, 4)) for k in range(4)]
+    assert L.reduce(L.DataFrame.unionByName, parts).distinct().count() == 10 and sum(made[1:]) == made[0]
 
 
 def test_the_bound_is_compiled(spark):

@@ -320,14 +320,14 @@ def _led(signed: DataFrame, shared: DataFrame, components: DataFrame, k: int, pa
 def _open(signed: DataFrame, shared: DataFrame, components: DataFrame, k: int, parts: int = PASSES) -> DataFrame:
     """(bucket, component, before, further, id, n, p0 .., t0 ..) of the ``k``-th part of ``shared`` where a bucket has several components.
 
-    ``before``, ``further``: the two buckets of the same line in front of this one (none: the bucket itself).
+    ``before``, ``further``: the two buckets of the same line in front of this one, of any part (none: the bucket itself).
     """
-    rows = labelled(_in_part(shared, k, parts), components).withColumnRenamed("id", "_id")
+    line = Window.partitionBy("id").orderBy("bucket")
+    chained = shared.withColumns({c: F.coalesce(F.lag("bucket", j).over(line), "bucket") for j, c in ((1, "before"), (2, "further"))})
+    rows = labelled(_in_part(chained, k, parts), components).withColumnRenamed("id", "_id")
     bucket = Window.partitionBy("bucket")
     mixed = rows.withColumns({"low": F.min("component").over(bucket), "high": F.max("component").over(bucket)}).filter("low <> high")
-    line = Window.partitionBy("_id").orderBy("bucket")
-    chained = mixed.withColumns({c: F.coalesce(F.lag("bucket", j).over(line), "bucket") for j, c in ((1, "before"), (2, "further"))})
-    return chained.join(_facts(signed), F.col("id") == F.col("_id")).select("bucket", "component", "before", "further", "id", "n", *_counts())
+    return mixed.join(_facts(signed), F.col("id") == F.col("_id")).select("bucket", "component", "before", "further", "id", "n", *_counts())
 
 
 def _made_before() -> Column:
