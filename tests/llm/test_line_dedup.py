@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import os
 import random
 import re
 
 from llm.helpers import ODD, documents, empty, odd, prose
+from transitlens.llm import common
 from transitlens.llm import line_dedup as L
 
 
@@ -236,6 +238,43 @@ def test_parts_of_the_buckets_find_the_same(spark, monkeypatch):
     assert sum(gone for _, gone in one.values()) >= 25
 
 
+def test_crowded_buckets_draw_few_lines(spark):
+    """Lines outside a bucket's large component are compared with a few of its lines, however many it has."""
+    for size in (100, 1000):
+        members = {b: range(size + 20) for b in (1, 2)} | {3: range(2000, 2100), 4: [*range(L.CROWD), 5000]}
+        crowded = spark.createDataFrame([(b, i) for b, ids in members.items() for i in ids], "bucket long, id long")
+        # Lines 20 and on are one component, 2000 and on are pairs.
+        components = spark.createDataFrame([(i, 20) for i in range(20, size + 20)] + [(i, i // 2 * 2) for i in range(2000, 2100)], "id long, component long")
+        got = L._drawn(crowded, components).collect()
+        drawn = {r.a for r in got}
+        assert {r.b for r in got} == set(range(20)) and drawn <= set(range(20, size + 20))
+        assert 5 < len(drawn) <= L.LEADERS and len(got) == 20 * len(drawn)
+
+
+def test_lines_of_candidates(spark, monkeypatch):
+    """Places that lines share in the bitmap bring in others, but no wrong line; lines of no candidate don't move."""
+    rows = documents(spark, [(i, prose(i, 12) + "\n" + prose(500 + i, 12), None, None) for i in range(60)] + [(99, None, None, None)])
+    lines = rows.filter("text IS NOT NULL").select(L.F.explode(L.F.split("text", "\n")).alias("line"))
+    wanted = lines.limit(9).select(L.F.xxhash64(L.F.upper("line")).alias("id"), L.F.xxhash64("line").alias("_raw"), "line")
+    wanted = L.stored(wanted, "test-wanted")
+    for places in (L.PLACES, 128):
+        monkeypatch.setattr(L, "PLACES", places)
+        got = {r.id: r.line for r in L._lines_of(rows, wanted.select("id", "_raw")).collect()}
+        assert got == {r.id: r.line for r in wanted.collect()} and len(got) == 9
+
+
+def test_only_what_is_read_later_stays(spark, monkeypatch):
+    """The tables of all steps go; the result reads the removals."""
+    made, write = [], common.shared_path
+    monkeypatch.setattr(common, "shared_path", lambda *a, **b: made.append(write(*a, **b)) or made[-1])
+    lines = [prose(i, 12) for i in range(30)]
+    rows = [(i, line + "\n" + line.replace(line.split()[4], f"new{i}"), None, None) for i, line in enumerate(lines)]
+    got = L.dedup(documents(spark, rows))
+    left = [p for p in made if os.path.exists(p.removeprefix("file:"))]
+    assert len(made) > 20 and len(left) == 1 and "/lines-removals/" in left[0]
+    assert sum(len(r.text.split("\n")) == 1 for r in got.collect()) >= 25
+
+
 def test_odd_rows(spark):
     got = L.dedup(odd(spark)).collect()
     assert len(got) == len(ODD)

@@ -32,14 +32,17 @@ pair is made there, or in a bucket further in front.
 What moves by bucket moves in up to ``PASSES`` parts of the buckets (one for each
 ``PART`` different lines), one after the other, and
 a part's shuffle files go when its result is written. Lines themselves move once, to
-find the different ones; those of candidates are read from the documents again.
+find the different ones; those of candidates are read from the documents again, where a
+bitmap of fixed size tells which lines may be these. What a step has stored goes when no
+later step reads it.
 
 Of each connected group of lines one occurrence stays, that of the least id
 and the earliest place; all others are taken out of their documents.
 
 No group is written out as pairs: members of a bucket are compared with one
-leader first, and of those that are then still in different groups only pairs
-that lengths and parities allow are written.
+leader first, those outside a crowded bucket's largest group with some of its lines
+(one leader may be like none of the others), and of those that are then still in
+different groups only pairs that lengths and parities allow are written.
 Equal lines become one row before anything else is made of them. Words are then
 counted where that row is, without another shuffle, into the SimHash's places by
 sums of four places each, 16 bits a place, for lines under ``PACKED`` characters,
@@ -65,7 +68,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from transitlens.llm.common import connected_components, labelled, merged_components, stored
+from transitlens.llm.common import connected_components, labelled, merged_components, stored, temporary
 
 DISTANCE = 3
 BLOCKS = 5
@@ -76,6 +79,10 @@ PARITIES = 8
 SLOTS, COUNTED = 65536, 8
 #: The most parts of the buckets that are worked off one after the other, and the different lines that make another one worthwhile.
 PASSES, PART = 4, 250_000
+#: Lines of one component in a bucket that make it crowded, and how many of them its other lines are compared with first.
+CROWD, LEADERS = 32, 16
+#: Places of the bitmap that tells lines of candidates, 64 in a row: 2 ** 19 rows are sent to the tasks at most.
+PLACES = 1 << 25
 #: Where the blocks of a SimHash begin and end.
 EDGES = [64 * n // BLOCKS for n in range(BLOCKS + 1)]
 
@@ -190,9 +197,8 @@ def _widest(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.max("n").alias("n"))
 
 
-def _members(nodes: DataFrame, k: int, parts: int = PASSES) -> DataFrame:
-    """(bucket, id, simhash, n) of the lines that share a bucket of the ``k``-th part with another line."""
-    values = nodes.groupBy("simhash").agg(F.count("*").alias("lines"))
+def _members(nodes: DataFrame, values: DataFrame, k: int, parts: int = PASSES) -> DataFrame:
+    """(bucket, id, simhash, n) of the lines that share a bucket of the ``k``-th part with another line; ``values``: (simhash, lines)."""
     filed = _in_part(values.select("simhash", F.explode(_buckets(F.col("simhash"))).alias("bucket")), k, parts)
     # Most buckets have one SimHash; what leaves this step are the others.
     bucket = Window.partitionBy("bucket")
@@ -212,13 +218,23 @@ def _coded(words: Column, seed: int) -> Column:
     return F.decode(F.unhex(F.array_join(F.transform(words, character), "")), "UTF-32")
 
 
+def _lines_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, line) of the lines of ``wanted`` (id, _raw); of the other lines next to none is moved."""
+    place = lambda h: F.pmod(h, F.lit(PLACES))
+    rows = wanted.select(place(F.col("_raw")).alias("place")).groupBy(F.shiftright("place", 6).alias("_row")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(place & 63 AS INT))")).alias("_bits"))
+    lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).withColumn("_hash", F.xxhash64("line")).withColumn("_place", place(F.col("_hash")))
+    likely = lines.join(F.broadcast(rows), F.shiftright("_place", 6) == F.col("_row")).filter(
+        "shiftrightunsigned(_bits, CAST(_place & 63 AS INT)) & 1L = 1L").select("line", "_hash")
+    return likely.join(wanted, F.col("_hash") == F.col("_raw")).groupBy("id").agg(F.first("line").alias("line"))
+
+
 def _verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame, name: str) -> DataFrame:
     """The (a, b) of ``pairs`` (a, b, n the longer length) with similar words."""
     pairs = stored(pairs, f"{name}-pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
+    ids = pairs.select(F.col("a").alias("_id")).distinct().unionByName(pairs.select(F.col("b").alias("_id")).distinct())
     wanted = stored(signed.join(ids, F.col("id") == F.col("_id"), "left_semi").select("id", F.col("raw").alias("_raw")), f"{name}-wanted")
-    lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).join(wanted, F.xxhash64("line") == F.col("_raw"))
-    words = lines.groupBy("id").agg(F.first("line").alias("line")).select("id", line_words(F.col("line")).alias("words"))
+    words = _lines_of(docs, wanted).select("id", line_words(F.col("line")).alias("words"))
     coded = stored(words.select("id", *[_coded(F.col("words"), k).alias(f"coded{k}") for k in range(2)]), f"{name}-coded")
     a, b = (coded.select(F.col("id").alias(x), *[F.col(f"coded{k}").alias(f"{x}{k}") for k in range(2)]) for x in "ab")
     # -1 says that there are more edits.
@@ -283,11 +299,11 @@ def _counts() -> list[str]:
 
 
 def _shared(signed: DataFrame, k: int, parts: int = PASSES) -> DataFrame:
-    """(bucket, id) of the lines under their first runs of words of the ``k``-th part, where another line is as well."""
+    """(bucket, id, lines) of the lines under their first runs of words of the ``k``-th part, where another line is as well; ``lines``: how many are."""
     filed = _in_part(signed.select(F.explode("firsts").alias("bucket"), "id"), k, parts)
     bucket = Window.partitionBy("bucket")
-    several = filed.withColumns({"low": F.min("id").over(bucket), "high": F.max("id").over(bucket)}).filter("low <> high")
-    return several.select("bucket", "id")
+    several = filed.withColumns({"low": F.min("id").over(bucket), "high": F.max("id").over(bucket), "lines": F.count("*").over(bucket)}).filter("low <> high")
+    return several.select("bucket", "id", "lines")
 
 
 def _possible(a: str, b: str) -> Column:
@@ -309,27 +325,64 @@ def _facts(signed: DataFrame, p: str = "") -> DataFrame:
     return signed.select(F.col("id").alias(f"{p}id"), *[F.coalesce(c, F.lit(0)).alias(f"{p}{c}") for c in ("n", *_counts())])
 
 
-def _led(signed: DataFrame, shared: DataFrame, components: DataFrame, k: int, parts: int = PASSES) -> DataFrame:
-    """(a, b, n): members of the ``k``-th part with their bucket's leader, where they may be similar and are in different components."""
+def _met(shared: DataFrame, components: DataFrame, k: int, parts: int = PASSES) -> DataFrame:
+    """(a, b): members of the ``k``-th part with their bucket's leader, where they are in different components."""
     rows = labelled(_in_part(shared, k, parts), components).withColumn("l", F.min(F.struct("id", "component")).over(Window.partitionBy("bucket")))
-    met = rows.filter("component <> l.component").select(F.col("l.id").alias("a"), F.col("id").alias("b")).distinct()
+    return rows.filter("component <> l.component").select(F.col("l.id").alias("a"), F.col("id").alias("b")).distinct()
+
+
+def _allowed(signed: DataFrame, met: DataFrame) -> DataFrame:
+    """(a, b, n): the pairs (a, b) that may be similar."""
     both = met.join(_facts(signed, "x_"), F.col("a") == F.col("x_id")).join(_facts(signed, "y_"), F.col("b") == F.col("y_id"))
     return both.filter(_possible("x_", "y_")).select("a", "b", F.greatest("x_n", "y_n").alias("n"))
 
 
-def _open(signed: DataFrame, shared: DataFrame, components: DataFrame, k: int, parts: int = PASSES) -> DataFrame:
-    """(bucket, component, before, further, id, n, p0 .., t0 ..) of the ``k``-th part of ``shared`` where a bucket has several components.
+def _led(signed: DataFrame, shared: DataFrame, components: DataFrame, k: int, parts: int = PASSES) -> DataFrame:
+    """(a, b, n): those of ``_met`` that may be similar."""
+    return _allowed(signed, _met(shared, components, k, parts))
+
+
+def _drawn(crowded: DataFrame, components: DataFrame) -> DataFrame:
+    """(a, b): members of crowded buckets with some lines of their bucket's largest component, if they aren't in it.
+
+    A line that is unlike the leader would meet each line of a large component, though a few of these often tell.
+    ``crowded``: (bucket, id). Lines are drawn by an order that is the same in all buckets, so that buckets with the
+    same members draw the same ones.
+    """
+    large = components.groupBy(F.col("component").alias("_large")).agg(F.count("*").alias("lines")).filter(F.col("lines") > CROWD)
+    inside = components.join(large, F.col("component") == F.col("_large")).select(F.col("id").alias("_id"), "component")
+    least = [F.min(F.struct(F.xxhash64("id", F.lit(j)).alias("x"), "id"))["id"] for j in range(LEADERS)]
+    held = crowded.join(inside, F.col("id") == F.col("_id")).groupBy("bucket", "component").agg(
+        F.count("*").alias("lines"), F.array_distinct(F.array(*least)).alias("drawn")).filter(F.col("lines") > CROWD)
+    main = held.groupBy("bucket").agg(F.max(F.struct("lines", "component", "drawn")).alias("m"))
+    main = main.select(F.col("bucket").alias("_bucket"), F.col("m.component").alias("_main"), F.col("m.drawn").alias("drawn"))
+    rows = labelled(crowded.join(main, F.col("bucket") == F.col("_bucket")).select("id", "_main", "drawn"), components)
+    return rows.filter("component <> _main").select(F.explode("drawn").alias("a"), F.col("id").alias("b")).distinct()
+
+
+def _chains(shared: DataFrame, components: DataFrame) -> DataFrame:
+    """(id, component, buckets): the buckets of every line, in order."""
+    return labelled(shared.groupBy("id").agg(F.sort_array(F.collect_list("bucket")).alias("buckets")), components)
+
+
+def _opened(signed: DataFrame, chains: DataFrame, k: int, parts: int = PASSES) -> DataFrame:
+    """(bucket, component, before, further, id, n, p0 .., t0 ..) of the ``k``-th part of ``chains`` where a bucket has several components.
 
     ``before``, ``further``: the two buckets of the same line in front of this one, of any part (none: the bucket itself).
     """
-    line = Window.partitionBy("id").orderBy("bucket")
-    chained = shared.withColumns({c: F.coalesce(F.lag("bucket", j).over(line), "bucket") for j, c in ((1, "before"), (2, "further"))})
-    rows = labelled(_in_part(chained, k, parts), components).withColumnRenamed("id", "_id")
+    placed = chains.select(F.col("id").alias("_id"), "component", "buckets", F.posexplode("buckets").alias("at", "bucket"))
+    chained = _in_part(placed, k, parts).select("_id", "component", "bucket", *[
+        F.coalesce(F.when(F.col("at") >= j, F.get("buckets", F.col("at") - j)), "bucket").alias(c) for j, c in ((1, "before"), (2, "further"))])
     bucket = Window.partitionBy("bucket")
-    mixed = rows.withColumns({"low": F.min("component").over(bucket), "high": F.max("component").over(bucket)}).filter("low <> high")
+    mixed = chained.withColumns({"low": F.min("component").over(bucket), "high": F.max("component").over(bucket)}).filter("low <> high")
     return mixed.join(_facts(signed), F.col("id") == F.col("_id")).select("bucket", "component", "before", "further", "id", "n", *_counts())
 
 
+def _open(signed: DataFrame, shared: DataFrame, components: DataFrame, k: int, parts: int = PASSES) -> DataFrame:
+    """What ``_opened`` has of ``shared`` (bucket, id)."""
+    return _opened(signed, _chains(shared, components), k, parts)
+
+
 def _made_before() -> Column:
     """Whether a pair shares one of the two buckets that are in front of this one in both lines."""
     return F.expr(" OR ".join(f"(x_{a} = y_{b} AND x_{a} < x_bucket)" for a in ("before", "further") for b in ("before", "further")))
@@ -345,16 +398,22 @@ def _crossings(rows: DataFrame) -> DataFrame:
 
 def line_groups(docs: DataFrame) -> DataFrame:
     """(id, component) of the lines that are similar to a line with other words."""
-    signed = stored(_signed(docs), "lines-signed")
-    parts = max(1, min(PASSES, -(-signed.count() // PART)))
-    nodes = signed.select("id", "simhash", "n")
-    stars = _widest(_in_passes(lambda k: _stars(_members(nodes, k, parts)), "lines-met", parts))
-    found = connected_components(_verified(stars, signed, docs, "lines-stars"), "lines-first")
-    shared = _in_passes(lambda k: _shared(signed, k, parts), "lines-shared", parts)
-    led = _widest(_in_passes(lambda k: _led(signed, shared, found, k, parts), "lines-open", parts))
-    found = merged_components(found, _verified(led, signed, docs, "lines-led"), "lines-second")
-    more = _widest(_in_passes(lambda k: _crossings(_open(signed, shared, found, k, parts)), "lines-apart", parts))
-    return merged_components(found, _verified(more, signed, docs, "lines-more"), "lines-all")
+    with temporary(docs.sparkSession) as keep:
+        signed = stored(_signed(docs), "lines-signed")
+        parts = max(1, min(PASSES, -(-signed.count() // PART)))
+        nodes = signed.select("id", "simhash", "n")
+        values = stored(nodes.groupBy("simhash").agg(F.count("*").alias("lines")), "lines-values")
+        stars = _widest(_in_passes(lambda k: _stars(_members(nodes, values, k, parts)), "lines-met", parts))
+        found = connected_components(_verified(stars, signed, docs, "lines-stars"), "lines-first")
+        shared = _in_passes(lambda k: _shared(signed, k, parts), "lines-shared", parts)
+        # Only the pairs move by part; what is known of their lines is looked up once.
+        led = _allowed(signed, _in_passes(lambda k: _met(shared, found, k, parts), "lines-open", parts).distinct())
+        found = merged_components(found, _verified(led, signed, docs, "lines-led"), "lines-second")
+        drawn = _allowed(signed, stored(_drawn(shared.filter(F.col("lines") > CROWD).select("bucket", "id"), found), "lines-crowded"))
+        found = merged_components(found, _verified(drawn, signed, docs, "lines-drawn"), "lines-third")
+        chains = stored(_chains(shared, found), "lines-chains")
+        more = _widest(_in_passes(lambda k: _crossings(_opened(signed, chains, k, parts)), "lines-apart", parts))
+        return keep(merged_components(found, _verified(more, signed, docs, "lines-more"), "lines-all"))
 
 
 def removals(docs: DataFrame) -> DataFrame:
@@ -391,7 +450,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", remov
     """``docs`` with repeated lines taken out of the text; ``removed_col``: their number, if asked for."""
     columns = docs.columns
     plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    gone = stored(removals(plain), "lines-removals").select(
+    with temporary(docs.sparkSession) as keep:
+        gone = keep(stored(removals(plain), "lines-removals"))
+    gone = gone.select(
         F.col("doc_id").alias("_id"), F.col("content").alias("_was"), F.col("places").alias("_places"), F.col("rows").alias("_rows"))
     text = F.col(text_col)
     joined = docs.withColumn("_content", F.when(text.isNotNull(), content_of(text))).join(

@@ -54,7 +54,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from transitlens.llm.common import connected_components, labelled, merged_components, open_members, ready, sliced, stored
+from transitlens.llm.common import connected_components, labelled, merged_components, open_members, ready, sliced, stored, temporary
 
 K, SHORT_K = 3, 2
 #: Texts of up to SHORT words have sketches of SHORT_K words, those of LONG words or more of K words.
@@ -388,39 +388,40 @@ def cross_pairs(nodes: DataFrame, rows: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, content, node, words, component) of every row; equal components are one class."""
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = stored(sketched(plain), "near-sketches")
-    nodes = rows.filter("sketches IS NOT NULL").groupBy(F.col("node").alias("id")).agg(
-        F.min("content").alias("content"), F.first("words").alias("words"), F.first("sketches").alias("sketches"),
-        F.first("parities").alias("parities"), F.first("tallies").alias("tallies"))
-    nodes = stored(nodes, "near-nodes")
-    members = nodes.select("id", F.explode("sketches").alias("bucket"))
-    # Buckets of one member say nothing more. A text ranks by how many others it meets: among
-    # edited copies the one that they were made from meets most and leads.
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    members = stored(members.join(shared, "bucket").select("bucket", "id", "n"), "near-shared")
-    rank = members.groupBy(F.col("id").alias("_id")).agg(F.sum("n").alias("rank"))
-    members = stored(members.join(rank, F.col("id") == F.col("_id")).select("bucket", "id", "rank"), "near-members")
-    known = members.select(F.col("id").alias("_id")).distinct()
-    wanted = nodes.join(known, F.col("id") == F.col("_id"), "left_semi").select(F.col("id").alias("node"), F.col("content").alias("_content"))
-    content = F.xxhash64(F.col("text").isNull(), F.coalesce("text", F.lit("")))
-    texts = (plain.select("text", content.alias("_c")).join(wanted, F.col("_c") == F.col("_content"))
-             .groupBy("node").agg(F.first("text").alias("text")))
-    texts = stored(texts, "near-texts")
-    found = connected_components(verified(allowed(best_leaders(members), nodes), texts, "near-stars"), "near-stars")
-    seed, before = 0, None
-    while True:
-        rows_open = stored(open_members(members, found).select("bucket", "id", "component"), "near-open")
-        left = rows_open.count()
-        # The last step is complete by itself: a round that closes little isn't worth another.
-        if not left or before is not None and left > CLOSED * before:
-            break
-        before, seed = left, seed + 1
-        links = verified(allowed(drawn_pairs(rows_open, seed), nodes), texts, "near-drawn")
-        found = merged_components(found, links, "near-drawn")
-    if left:
-        found = merged_components(found, verified(cross_pairs(nodes, rows_open), texts, "near-cross"), "near-all")
-    return labelled(rows.select("doc_id", "content", "node", "words").withColumn("id", F.col("node")), found).drop("id")
+    with temporary(docs.sparkSession) as keep:
+        plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+        rows = stored(sketched(plain), "near-sketches")
+        nodes = rows.filter("sketches IS NOT NULL").groupBy(F.col("node").alias("id")).agg(
+            F.min("content").alias("content"), F.first("words").alias("words"), F.first("sketches").alias("sketches"),
+            F.first("parities").alias("parities"), F.first("tallies").alias("tallies"))
+        nodes = stored(nodes, "near-nodes")
+        members = nodes.select("id", F.explode("sketches").alias("bucket"))
+        # Buckets of one member say nothing more. A text ranks by how many others it meets: among
+        # edited copies the one that they were made from meets most and leads.
+        shared = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+        members = stored(members.join(shared, "bucket").select("bucket", "id", "n"), "near-shared")
+        rank = members.groupBy(F.col("id").alias("_id")).agg(F.sum("n").alias("rank"))
+        members = stored(members.join(rank, F.col("id") == F.col("_id")).select("bucket", "id", "rank"), "near-members")
+        known = members.select(F.col("id").alias("_id")).distinct()
+        wanted = nodes.join(known, F.col("id") == F.col("_id"), "left_semi").select(F.col("id").alias("node"), F.col("content").alias("_content"))
+        content = F.xxhash64(F.col("text").isNull(), F.coalesce("text", F.lit("")))
+        texts = (plain.select("text", content.alias("_c")).join(wanted, F.col("_c") == F.col("_content"))
+                 .groupBy("node").agg(F.first("text").alias("text")))
+        texts = stored(texts, "near-texts")
+        found = connected_components(verified(allowed(best_leaders(members), nodes), texts, "near-stars"), "near-stars")
+        seed, before = 0, None
+        while True:
+            rows_open = stored(open_members(members, found).select("bucket", "id", "component"), "near-open")
+            left = rows_open.count()
+            # The last step is complete by itself: a round that closes little isn't worth another.
+            if not left or before is not None and left > CLOSED * before:
+                break
+            before, seed = left, seed + 1
+            links = verified(allowed(drawn_pairs(rows_open, seed), nodes), texts, "near-drawn")
+            found = merged_components(found, links, "near-drawn")
+        if left:
+            found = merged_components(found, verified(cross_pairs(nodes, rows_open), texts, "near-cross"), "near-all")
+        return keep(labelled(rows.select("doc_id", "content", "node", "words").withColumn("id", F.col("node")), found).drop("id"))
 
 
 def _class_of(rows: DataFrame) -> DataFrame:
@@ -447,14 +448,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with one row of each class left: its least id, then the least content hash."""
     columns = docs.columns
-    rows = _class_of(classes(docs, id_col, text_col)).filter("group IS NOT NULL")
-    units = stored(rows.groupBy("group", "doc_id", "content").agg(F.count("*").alias("n")), "near-units")
-    order = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "content")
-    best = units.groupBy(F.col("group").alias("_group")).agg(F.min(order).alias("best"))
-    judged = units.join(best, F.col("group") == F.col("_group"))
-    won = F.col("best.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("best.content") == F.col("content"))
+    with temporary(docs.sparkSession) as keep:
+        rows = _class_of(classes(docs, id_col, text_col)).filter("group IS NOT NULL")
+        units = stored(rows.groupBy("group", "doc_id", "content").agg(F.count("*").alias("n")), "near-units")
+        order = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "content")
+        best = units.groupBy(F.col("group").alias("_group")).agg(F.min(order).alias("best"))
+        judged = units.join(best, F.col("group") == F.col("_group"))
+        won = F.col("best.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("best.content") == F.col("content"))
+        marked = keep(stored(judged.filter(~won | (F.col("n") > 1)).select(F.col("doc_id").alias("_id"), F.col("content").alias("_was"), won.alias("_won")), "near-marked"))
     content = F.xxhash64(F.col(text_col).isNull(), F.coalesce(F.col(text_col), F.lit("")))
-    marked = stored(judged.filter(~won | (F.col("n") > 1)).select(F.col("doc_id").alias("_id"), F.col("content").alias("_was"), won.alias("_won")), "near-marked")
     joined = docs.withColumn("_content", content).join(
         marked, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_content") == F.col("_was")), "left")
     single = joined.filter("_won IS NULL").select(*columns)
