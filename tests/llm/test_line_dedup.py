@@ -238,6 +238,19 @@ def test_parts_of_the_buckets_find_the_same(spark, monkeypatch):
     assert sum(gone for _, gone in one.values()) >= 25
 
 
+def test_lines_with_too_many_runs_of_their_own_go(spark):
+    """Lines that share a few runs of words are filed under none; similar ones are, under no more than they need."""
+    rows = [(i, " ".join([*(f"own{i}x{j}" for j in range(14)), "in", "the", "end", "of", "it"]), None, None) for i in range(30)]
+    base = [f"w{j}" for j in range(20)]
+    rows += [(100, " ".join(base), None, None), (101, " ".join([*base[:9], "new", *base[10:]]), None, None), (102, "a b a b a b a b a b a b", None, None)]
+    words = L._words(documents(spark, rows).select("doc_id", "text"))
+    shared = L._in_passes(lambda k: L._shared(words, k, 2), "test-shared", 2)
+    assert shared.select("id").distinct().count() == 32  # a run that a line has several times, and no other, doesn't count
+    left = L._narrowed(shared).groupBy("id").count().collect()
+    assert len(left) == 2 and all(r["count"] <= 3 * 4 + 1 - 3 for r in left)
+    assert sum(gone for _, gone in removed(spark, rows).values()) == 1
+
+
 def test_crowded_buckets_draw_few_lines(spark):
     """Lines outside a bucket's large component are compared with a few of its lines, however many it has."""
     for size in (100, 1000):

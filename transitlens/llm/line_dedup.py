@@ -4,21 +4,22 @@ Lines are normalised to their lower-case words of letters and digits. Equal
 normalised lines are one node. A line's SimHash has, in each of 64 places, the
 majority of the hash bits of all its words. Lines whose SimHashes differ in ``DISTANCE``
 places or fewer agree in at least ``BLOCKS - DISTANCE`` of ``BLOCKS`` blocks,
-so each line is filed under every choice of that many blocks, and compared with
-the leader of each bucket: first by the distance of their SimHashes and their
-lengths, then by edit similarity, in words, of ``SIMILARITY`` or more.
+so each SimHash is filed under every choice of that many blocks, and compared with
+the least one of each bucket. Lines of SimHashes that are close or equal are then compared
+with one line of the other SimHash: by their lengths, then by edit similarity, in words, of ``SIMILARITY`` or more.
 
 SimHashes so close are rare for lines of ordinary length, so all lines meet once
 more, in buckets that no similar pair escapes. Two lines are similar if k = (1 -
 ``SIMILARITY``) * the longer length edits or fewer make them equal, and an edit breaks
 three of a line's runs of three words at most. At least one run is left if the longer
-line has six words. So if the runs of all
-lines are put in one order, the first one that two similar lines have in common is
-among the first 3 * k + 1 different ones of both. Each line is filed under these. A
-partner that is d words longer allows the edits of its length, but d of them are new
-words between two old ones, which break two runs; so the most of 3 * k - d counts. Lines
-of four and five words meet by pairs of words, of which an edit breaks two. The order
-takes runs of rare words first, which keeps buckets small. Members are compared with
+line has six words. So if the runs of all lines are put in one order, the first one that
+two similar lines have in common is among the first 3 * k + 1 of both. A partner that is d
+words longer allows the edits of its length, but d of them are new words between two old
+ones, which break two runs; so the most of 3 * k - d counts. Lines of four and five words
+meet by pairs of words, of which an edit breaks two. The order takes runs that few lines
+have first: those that no other line has, by counting where all runs meet once. A line
+with more of these than 3 * k is similar to no other and goes, which most lines do; the
+others are filed under what is left of their first 3 * k + 1 runs. Members are compared with
 a leader, then all pairs that are still in different groups: by their lengths, by
 ``PARITIES`` * 64 parities of their words' counts and by the counts of words in
 ``PARITIES`` * 2 groups of these (lines that say few words many times have next to no
@@ -32,9 +33,9 @@ pair is made there, or in a bucket further in front.
 What moves by bucket moves in up to ``PASSES`` parts of the buckets (one for each
 ``PART`` different lines), one after the other, and
 a part's shuffle files go when its result is written. Lines themselves move once, to
-find the different ones; those of candidates are read from the documents again, where a
-bitmap of fixed size tells which lines may be these. What a step has stored goes when no
-later step reads it.
+find the different ones, whose words' hashes are stored; those of candidates are read from
+there, where a bitmap of fixed size tells which lines may be these. What a step has stored
+goes when no later step reads it.
 
 Of each connected group of lines one occurrence stays, that of the least id
 and the earliest place; all others are taken out of their documents.
@@ -43,9 +44,9 @@ No group is written out as pairs: members of a bucket are compared with one
 leader first, those outside a crowded bucket's largest group with some of its lines
 (one leader may be like none of the others), and of those that are then still in
 different groups only pairs that lengths and parities allow are written.
-Equal lines become one row before anything else is made of them. Words are then
-counted where that row is, without another shuffle, into the SimHash's places by
-sums of four places each, 16 bits a place, for lines under ``PACKED`` characters,
+Equal lines become one row before anything else is made of them, and are split into words
+once more there. Words are counted into the SimHash's places by
+sums of four places each, 16 bits a place, for lines under ``PACKED`` words,
 and of one place each for longer ones, of which there are few.
 
 Normalised lines and texts are known by 64-bit hashes. For the edit similarity a
@@ -75,10 +76,10 @@ BLOCKS = 5
 SIMILARITY = 0.8
 PACKED = 16_383
 PARITIES = 8
-#: Words are counted in so many slots of their hashes, from one of ``COUNTED`` texts: this decides on their order only, not on what is found.
-SLOTS, COUNTED = 65536, 8
 #: The most parts of the buckets that are worked off one after the other, and the different lines that make another one worthwhile.
 PASSES, PART = 4, 250_000
+#: Bytes of different words' hashes that a file of lines may name by short numbers.
+DICTIONARY = 8 << 20
 #: Lines of one component in a bucket that make it crowded, and how many of them its other lines are compared with first.
 CROWD, LEADERS = 32, 16
 #: Places of the bitmap that tells lines of candidates, 64 in a row: 2 ** 19 rows are sent to the tasks at most.
@@ -118,14 +119,16 @@ def _packed(n: str) -> Column:
     return F.expr(" | ".join(bits))
 
 
-def distinct_lines(docs: DataFrame) -> DataFrame:
-    """(id, line) of every different line with words."""
+def _words(docs: DataFrame) -> DataFrame:
+    """(id, raw, hashes) of every different line with words: a hash of one line as it is in the documents, and those of its words, in order."""
     lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).filter(_has_words(F.col("line")))
-    return lines.select(F.xxhash64(line_words(F.col("line"))).alias("id"), "line").groupBy("id").agg(F.first("line").alias("line"))
+    # Made where the lines of an id are brought together: further on it would be made anew for each word.
+    made = [F.xxhash64(F.first("line")).alias("raw"), F.transform(line_words(F.first("line")), lambda w: F.xxhash64(w)).alias("hashes")]
+    return lines.select(F.xxhash64(line_words(F.col("line"))).alias("id"), "line").groupBy("id").agg(*made)
 
 
-def simhashes(lines: DataFrame) -> DataFrame:
-    """(id, n, simhash, p0 .., t0 ..) of (id, line): number of words, SimHash, parities of the words' counts, counts.
+def _sums(words: DataFrame) -> DataFrame:
+    """(id, raw, n, simhash, p0 .., t0 ..) of what ``_words`` has: number of words, SimHash, parities of the words' counts, counts.
 
     A group of words has one half of a parity column, and 16 bits of a column t0 .. for its count.
     """
@@ -139,16 +142,14 @@ def simhashes(lines: DataFrame) -> DataFrame:
              for k in range(PARITIES)]
 
     def counted(some: DataFrame, mask: int, sums: int, groups: list[Column]) -> DataFrame:
-        hashed = some.select("id", F.explode(line_words(F.col("line"))).alias("word")).select("id", F.xxhash64("word").alias("h"))
-        return hashed.groupBy("id").agg(F.count("*").cast("int").alias("n"), *parity, *groups, *[
+        return some.select("id", "raw", F.explode("hashes").alias("h")).groupBy("id", "raw").agg(F.count("*").cast("int").alias("n"), *parity, *groups, *[
             F.expr(f"sum(shiftrightunsigned(h, {b}) & {mask}L)").alias(f"s{b}") for b in range(sums)])
 
-    out = ["id", "n", *[f"p{k}" for k in range(PARITIES)]]
+    out = ["id", "raw", "n", *[f"p{k}" for k in range(PARITIES)]]
     counts = [f"t{k}" for k in range(PARITIES // 2)]
-    # A word and its end take two characters; lower case may take twice as many.
-    short = F.length("line") < PACKED
-    packed = counted(lines.filter(short), 0x0001000100010001, 16, by_16)
-    plain = counted(lines.filter(~short), 1, 64, by_32)
+    few = F.size("hashes") < PACKED
+    packed = counted(words.filter(few), 0x0001000100010001, 16, by_16)
+    plain = counted(words.filter(~few), 1, 64, by_32)
     # Counts that are cut at 15 bits differ no more than whole ones.
     cut = lambda k, half: f"shiftleft(least(shiftrightunsigned(t{k}, {32 * half}) & 4294967295L, 32767L), {16 * (2 * (k % 2) + half)})"
     halves = [F.expr(" | ".join(cut(k, half) for k in (2 * j, 2 * j + 1) for half in (0, 1))).alias(f"t{j}") for j in range(PARITIES // 2)]
@@ -156,9 +157,15 @@ def simhashes(lines: DataFrame) -> DataFrame:
     return packed.select(*out, *counts, _packed("n").alias("simhash")).unionByName(plain.select(*out, *halves, majority.alias("simhash")))
 
 
+def _signed(docs: DataFrame) -> DataFrame:
+    """(id, raw, n, simhash, p0 .., t0 .., hashes) of the different lines: what ``_sums`` and ``_words`` have."""
+    words = _words(docs)
+    return _sums(words).join(words.select(F.col("id").alias("_id"), "hashes"), F.col("id") == F.col("_id")).drop("_id")
+
+
 def occurrences(docs: DataFrame) -> DataFrame:
     """(doc_id, content, pos, id, n, simhash) of every line with words of every row."""
-    hashes = simhashes(distinct_lines(docs)).select(F.col("id").alias("_id"), "simhash")
+    hashes = _sums(_words(docs)).select(F.col("id").alias("_id"), "simhash")
     return _lines(docs).join(hashes, F.col("id") == F.col("_id")).select("doc_id", "content", "pos", "id", "n", "simhash")
 
 
@@ -174,10 +181,8 @@ def _buckets(simhash: Column) -> Column:
     return F.array(*out)
 
 
-def _near(a: str, b: str) -> Column:
-    """Whether SimHashes and lengths allow two lines to be similar."""
-    apart = F.bit_count(F.col(f"{a}simhash").bitwiseXOR(F.col(f"{b}simhash")))
-    return (apart <= DISTANCE) & (F.least(f"{a}n", f"{b}n") >= SIMILARITY * F.greatest(f"{a}n", f"{b}n"))
+def _close(a: str, b: str) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= DISTANCE
 
 
 def _in_part(rows: DataFrame, k: int, parts: int = PASSES) -> DataFrame:
@@ -197,58 +202,61 @@ def _widest(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.max("n").alias("n"))
 
 
-def _members(nodes: DataFrame, values: DataFrame, k: int, parts: int = PASSES) -> DataFrame:
-    """(bucket, id, simhash, n) of the lines that share a bucket of the ``k``-th part with another line; ``values``: (simhash, lines)."""
+def _led_values(values: DataFrame, k: int, parts: int = PASSES) -> DataFrame:
+    """(leader, simhash): SimHashes near the least one of a bucket of the ``k``-th part."""
     filed = _in_part(values.select("simhash", F.explode(_buckets(F.col("simhash"))).alias("bucket")), k, parts)
-    # Most buckets have one SimHash; what leaves this step are the others.
-    bucket = Window.partitionBy("bucket")
-    shared = filed.withColumns({"low": F.min("simhash").over(bucket), "high": F.max("simhash").over(bucket)}).filter("low <> high")
-    # Equal SimHashes of different lines meet in a bucket of their own.
-    same = _in_part(values.filter("lines > 1").select("simhash", F.xxhash64("simhash").alias("bucket")), k, parts)
-    shared = shared.select("simhash", F.xxhash64("bucket", F.lit(1)).alias("bucket")).unionByName(same)
-    return shared.join(nodes.select("simhash", "id", "n"), "simhash").select("bucket", "id", "simhash", "n")
+    led = filed.withColumn("leader", F.min("simhash").over(Window.partitionBy("bucket")))
+    return led.filter((F.col("simhash") != F.col("leader")) & _close("simhash", "leader")).select("leader", "simhash")
 
 
-def _coded(words: Column, seed: int) -> Column:
+def _coded(hashes: Column, seed: int) -> Column:
     """A text with one character for each word, for the edit distance in words."""
-    def character(word: Column) -> Column:
-        number = F.pmod(F.xxhash64(word, F.lit(seed)), F.lit(0x10F7FF)) + 1
+    def character(h: Column) -> Column:
+        number = F.pmod(F.xxhash64(h, F.lit(seed)), F.lit(0x10F7FF)) + 1
         return F.lpad(F.hex(number + F.when(number >= 0xD800, 0x800).otherwise(0)), 8, "0")  # no surrogates
 
-    return F.decode(F.unhex(F.array_join(F.transform(words, character), "")), "UTF-32")
+    return F.decode(F.unhex(F.array_join(F.transform(hashes, character), "")), "UTF-32")
 
 
-def _lines_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, line) of the lines of ``wanted`` (id, _raw); of the other lines next to none is moved."""
+def _likely(rows: DataFrame, key: str, wanted: DataFrame, by: str) -> DataFrame:
+    """The rows whose ``key`` is a ``by`` of ``wanted``, and next to none of the others; nothing of ``rows`` is moved."""
     place = lambda h: F.pmod(h, F.lit(PLACES))
-    rows = wanted.select(place(F.col("_raw")).alias("place")).groupBy(F.shiftright("place", 6).alias("_row")).agg(
+    bits = wanted.select(place(F.col(by)).alias("place")).groupBy(F.shiftright("place", 6).alias("_row")).agg(
         F.bit_or(F.expr("shiftleft(1L, CAST(place & 63 AS INT))")).alias("_bits"))
-    lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).withColumn("_hash", F.xxhash64("line")).withColumn("_place", place(F.col("_hash")))
-    likely = lines.join(F.broadcast(rows), F.shiftright("_place", 6) == F.col("_row")).filter(
-        "shiftrightunsigned(_bits, CAST(_place & 63 AS INT)) & 1L = 1L").select("line", "_hash")
-    return likely.join(wanted, F.col("_hash") == F.col("_raw")).groupBy("id").agg(F.first("line").alias("line"))
+    placed = rows.withColumn("_place", place(F.col(key)))
+    return placed.join(F.broadcast(bits), F.shiftright("_place", 6) == F.col("_row")).filter(
+        "shiftrightunsigned(_bits, CAST(_place & 63 AS INT)) & 1L = 1L").select(*rows.columns)
+
 
+def _lines_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, line) of the lines of ``wanted`` (id, _raw); of the other lines next to none is moved."""
+    lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).withColumn("_hash", F.xxhash64("line"))
+    return _likely(lines, "_hash", wanted, "_raw").join(wanted, F.col("_hash") == F.col("_raw")).groupBy("id").agg(F.first("line").alias("line"))
 
-def _verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+
+def _verified(pairs: DataFrame, words: DataFrame, name: str) -> DataFrame:
     """The (a, b) of ``pairs`` (a, b, n the longer length) with similar words."""
     pairs = stored(pairs, f"{name}-pairs")
-    ids = pairs.select(F.col("a").alias("_id")).distinct().unionByName(pairs.select(F.col("b").alias("_id")).distinct())
-    wanted = stored(signed.join(ids, F.col("id") == F.col("_id"), "left_semi").select("id", F.col("raw").alias("_raw")), f"{name}-wanted")
-    words = _lines_of(docs, wanted).select("id", line_words(F.col("line")).alias("words"))
-    coded = stored(words.select("id", *[_coded(F.col("words"), k).alias(f"coded{k}") for k in range(2)]), f"{name}-coded")
+    ids = stored(pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id"))).distinct(), f"{name}-wanted")
+    mine = _likely(words.select("id", "hashes"), "id", ids, "_id").join(ids, F.col("id") == F.col("_id"), "left_semi")
+    coded = stored(mine.select("id", *[_coded(F.col("hashes"), k).alias(f"coded{k}") for k in range(2)]), f"{name}-coded")
     a, b = (coded.select(F.col("id").alias(x), *[F.col(f"coded{k}").alias(f"{x}{k}") for k in range(2)]) for x in "ab")
     # -1 says that there are more edits.
     similar = " AND ".join(f"levenshtein(a{k}, b{k}, {_most('n')}) >= 0" for k in range(2))
     return stored(pairs.join(a, "a").join(b, "b").filter(similar).select("a", "b"), name)
 
 
-def _stars(members: DataFrame) -> DataFrame:
-    """(a, b, n): members with their bucket's leader, where they may be similar."""
-    leaders = members.groupBy("bucket").agg(F.min(F.struct("id", "simhash", "n")).alias("l"))
-    leaders = leaders.select("bucket", F.col("l.id").alias("a"), F.col("l.simhash").alias("a_simhash"), F.col("l.n").alias("a_n"))
-    rows = members.select("bucket", F.col("id").alias("b"), F.col("simhash").alias("b_simhash"), F.col("n").alias("b_n"))
-    met = rows.join(leaders, "bucket").filter((F.col("a") != F.col("b")) & _near("a_", "b_"))
-    return _widest(met.select("a", "b", F.greatest("a_n", "b_n").alias("n")))
+def _stars(nodes: DataFrame, values: DataFrame, led: DataFrame) -> DataFrame:
+    """(a, b, n): lines with the line that leads their SimHash or one near it, where lengths allow them to be similar.
+
+    ``values``: (simhash, lines, first) of every SimHash, with its number of lines and the least of them.
+    """
+    first = values.select(F.col("simhash").alias("leader"), F.col("first").alias("a"))
+    # Equal SimHashes of different lines have a leader of their own.
+    rows = led.join(first, "leader").select("simhash", "a").unionByName(values.filter("lines > 1").select("simhash", F.col("first").alias("a")))
+    met = rows.join(nodes.select("simhash", F.col("id").alias("b"), F.col("n").alias("b_n")), "simhash").filter("a <> b")
+    both = met.join(nodes.select(F.col("id").alias("a"), F.col("n").alias("a_n")), "a")
+    return _widest(both.filter(F.least("a_n", "b_n") >= SIMILARITY * F.greatest("a_n", "b_n")).select("a", "b", F.greatest("a_n", "b_n").alias("n")))
 
 
 def _most(n: str) -> str:
@@ -256,54 +264,44 @@ def _most(n: str) -> str:
     return f"CAST(floor(({n}) * (1 - {SIMILARITY}D) + 1e-9D) AS INT)"
 
 
-def _commonness(docs: DataFrame) -> Column:
-    """An array of how common the words of each slot are: the number of binary digits of their count."""
-    words = _lines(docs.filter(F.pmod(content_of(F.col("text")), F.lit(COUNTED)) == 0)).select(F.explode("words").alias("word"))
-    slots = words.groupBy(F.xxhash64("word").bitwiseAND(SLOTS - 1).alias("slot")).agg(F.count("*").alias("n"))
-    digits = [0] * SLOTS
-    for r in slots.collect():  # SLOTS rows at most
-        digits[r["slot"]] = r["n"].bit_length()
-    return F.split(F.lit(",".join(map(str, digits))), ",").cast("array<int>")
+def _counts() -> list[str]:
+    return [*[f"p{k}" for k in range(PARITIES)], *[f"t{k}" for k in range(PARITIES // 2)]]
+
+
+def _filed(words: DataFrame) -> DataFrame:
+    """(bucket, id, n) of the lines under all their runs of three words; of two words, or both, if they have four or five."""
+    placed = words.select("id", F.size("hashes").alias("n"), "hashes", F.posexplode("hashes").alias("at", "word"))
+    word = lambda j: F.get("hashes", F.col("at") + j)
+    threes = placed.filter("n >= 5 AND at < n - 2").select(F.xxhash64("word", word(1), word(2)).alias("bucket"), "id", "n")
+    twos = placed.filter("n IN (4, 5) AND at < n - 1").select(F.xxhash64("word", word(1)).alias("bucket"), "id", "n")
+    return threes.unionByName(twos)
 
 
-def _signed(docs: DataFrame) -> DataFrame:
-    """(id, raw, n, simhash, p0 .., t0 .., firsts) of the different lines.
+def _shared(words: DataFrame, k: int, parts: int = PASSES) -> DataFrame:
+    """(bucket, id, n, lines) of the lines under their runs of words of the ``k``-th part, where another line is as well.
 
-    ``raw``: a hash of one line as it is in the documents; ``firsts``: the runs of words to file it under.
-    All steps are by id, so that lines move once.
+    ``lines``: how often the run is there. Two lines alone have to be of lengths that allow them to be similar.
     """
-    common = _commonness(docs)
-    lines = distinct_lines(docs)
-    counts = simhashes(lines).withColumnRenamed("id", "_id")
-    digits = lambda h: F.coalesce(F.get(common, h.bitwiseAND(SLOTS - 1).cast("int")), F.lit(0)).cast("long")
-    ranked = lambda rank, h: F.shiftleft(rank, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
-    both = lines.hint("merge").join(counts, F.col("id") == F.col("_id")).drop("_id").withColumn(
-        "_words", F.transform(F.transform(line_words(F.col("line")), lambda w: F.xxhash64(w)), lambda h: ranked(digits(h), h)))
+    bucket = Window.partitionBy("bucket")
+    several = _in_part(_filed(words), k, parts).withColumns({
+        "low": F.min("id").over(bucket), "high": F.max("id").over(bucket), "lines": F.count("*").over(bucket),
+        "short": F.min("n").over(bucket), "long": F.max("n").over(bucket)})
+    return several.filter(f"low <> high AND (lines > 2 OR long - short <= {_most('long')})").select("bucket", "id", "n", "lines")
 
-    def runs(size: int) -> Column:
-        def run(word: Column, at: Column) -> Column:
-            words = [word, *[F.get("_words", at + j) for j in range(1, size)]]
-            return ranked(reduce(Column.__add__, [F.shiftrightunsigned(w, 56) for w in words]), F.xxhash64(*words))
 
-        return F.sort_array(F.array_distinct(F.transform(F.slice("_words", F.lit(1), F.greatest(F.col("n") - (size - 1), F.lit(0))), run)))
+def _narrowed(shared: DataFrame) -> DataFrame:
+    """(bucket, id, lines): each line under the runs that it needs, rare ones first; ``shared`` has all parts of the buckets.
 
+    What a line has in no other line stands before all others in the order of ``lines``; so a line that has
+    more such runs than the edits of a similar pair break goes.
+    """
     # No line of fewer than four words is similar to one that isn't equal; one of four words has partners of five at most.
     most = F.expr(f"greatest({', '.join(f'3 * {_most(f'n + {d}')} - {d}' for d in range(3))}) + 1")
-    firsts = (F.when(F.col("n") >= 6, F.slice(runs(3), F.lit(1), most)).when(F.col("n") == 5, F.concat(runs(2), runs(3)))
-              .when(F.col("n") == 4, runs(2)).otherwise(F.array().cast("array<bigint>")))
-    return both.select("id", F.xxhash64("line").alias("raw"), "n", "simhash", *_counts(), firsts.alias("firsts"))
-
-
-def _counts() -> list[str]:
-    return [*[f"p{k}" for k in range(PARITIES)], *[f"t{k}" for k in range(PARITIES // 2)]]
-
-
-def _shared(signed: DataFrame, k: int, parts: int = PASSES) -> DataFrame:
-    """(bucket, id, lines) of the lines under their first runs of words of the ``k``-th part, where another line is as well; ``lines``: how many are."""
-    filed = _in_part(signed.select(F.explode("firsts").alias("bucket"), "id"), k, parts)
-    bucket = Window.partitionBy("bucket")
-    several = filed.withColumns({"low": F.min("id").over(bucket), "high": F.max("id").over(bucket), "lines": F.count("*").over(bucket)}).filter("low <> high")
-    return several.select("bucket", "id", "lines")
+    line = Window.partitionBy("id")
+    needed = F.when(F.col("n") >= 6, most - (F.col("n") - 2 - F.col("common"))).otherwise(F.col("common"))
+    some = shared.withColumn("common", F.count("*").over(line)).withColumn("needed", needed).filter("needed > 0")
+    ranked = some.withColumn("at", F.row_number().over(line.orderBy("lines", "bucket"))).filter("at <= needed")
+    return ranked.select("bucket", "id", "lines").distinct()
 
 
 def _possible(a: str, b: str) -> Column:
@@ -399,21 +397,23 @@ def _crossings(rows: DataFrame) -> DataFrame:
 def line_groups(docs: DataFrame) -> DataFrame:
     """(id, component) of the lines that are similar to a line with other words."""
     with temporary(docs.sparkSession) as keep:
-        signed = stored(_signed(docs), "lines-signed")
+        words = stored(_words(docs), "lines-words", **{"parquet.dictionary.page.size": str(DICTIONARY)})
+        signed = stored(_sums(words), "lines-signed")
         parts = max(1, min(PASSES, -(-signed.count() // PART)))
         nodes = signed.select("id", "simhash", "n")
-        values = stored(nodes.groupBy("simhash").agg(F.count("*").alias("lines")), "lines-values")
-        stars = _widest(_in_passes(lambda k: _stars(_members(nodes, values, k, parts)), "lines-met", parts))
-        found = connected_components(_verified(stars, signed, docs, "lines-stars"), "lines-first")
-        shared = _in_passes(lambda k: _shared(signed, k, parts), "lines-shared", parts)
+        values = stored(nodes.groupBy("simhash").agg(F.count("*").alias("lines"), F.min("id").alias("first")), "lines-values")
+        led = _in_passes(lambda k: _led_values(values, k, parts), "lines-met", parts).distinct()
+        found = connected_components(_verified(_stars(nodes, values, led), words, "lines-stars"), "lines-first")
+        with temporary(docs.sparkSession) as narrow:
+            shared = narrow(stored(_narrowed(_in_passes(lambda k: _shared(words, k, parts), "lines-shared", parts)), "lines-narrowed"))
         # Only the pairs move by part; what is known of their lines is looked up once.
         led = _allowed(signed, _in_passes(lambda k: _met(shared, found, k, parts), "lines-open", parts).distinct())
-        found = merged_components(found, _verified(led, signed, docs, "lines-led"), "lines-second")
+        found = merged_components(found, _verified(led, words, "lines-led"), "lines-second")
         drawn = _allowed(signed, stored(_drawn(shared.filter(F.col("lines") > CROWD).select("bucket", "id"), found), "lines-crowded"))
-        found = merged_components(found, _verified(drawn, signed, docs, "lines-drawn"), "lines-third")
+        found = merged_components(found, _verified(drawn, words, "lines-drawn"), "lines-third")
         chains = stored(_chains(shared, found), "lines-chains")
         more = _widest(_in_passes(lambda k: _crossings(_opened(signed, chains, k, parts)), "lines-apart", parts))
-        return keep(merged_components(found, _verified(more, signed, docs, "lines-more"), "lines-all"))
+        return keep(merged_components(found, _verified(more, words, "lines-more"), "lines-all"))
 
 
 def removals(docs: DataFrame) -> DataFrame:
@@ -422,8 +422,8 @@ def removals(docs: DataFrame) -> DataFrame:
     For each document that loses lines or that occurs in several rows: the
     places of the lines that go, in order, and the number of its rows.
     """
-    occ = stored(_lines(docs).select("doc_id", "content", "pos", "id"), "lines")
     groups = line_groups(docs)
+    occ = stored(_lines(docs).select("doc_id", "content", "pos", "id"), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "content", "pos")
     nodes = occ.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("count"))
     nodes = labelled(nodes, groups)
