@@ -44,8 +44,7 @@ No group is written out as pairs: members of a bucket are compared with one
 leader first, those outside a crowded bucket's largest group with some of its lines
 (one leader may be like none of the others), and of those that are then still in
 different groups only pairs that lengths and parities allow are written.
-Equal lines become one row before anything else is made of them, and are split into words
-once more there. Words are counted into the SimHash's places by
+Equal lines become one row of words' hashes before anything else is made of them. Words are counted into the SimHash's places by
 sums of four places each, 16 bits a place, for lines under ``PACKED`` words,
 and of one place each for longer ones, of which there are few.
 
@@ -122,9 +121,9 @@ def _packed(n: str) -> Column:
 def _words(docs: DataFrame) -> DataFrame:
     """(id, raw, hashes) of every different line with words: a hash of one line as it is in the documents, and those of its words, in order."""
     lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).filter(_has_words(F.col("line")))
-    # Made where the lines of an id are brought together: further on it would be made anew for each word.
-    made = [F.xxhash64(F.first("line")).alias("raw"), F.transform(line_words(F.first("line")), lambda w: F.xxhash64(w)).alias("hashes")]
-    return lines.select(F.xxhash64(line_words(F.col("line"))).alias("id"), "line").groupBy("id").agg(*made)
+    split = lines.select(F.xxhash64("line").alias("raw"), line_words(F.col("line")).alias("words"))
+    hashed = split.select(F.xxhash64("words").alias("id"), "raw", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
+    return hashed.groupBy("id").agg(F.first("raw").alias("raw"), F.first("hashes").alias("hashes"))
 
 
 def _sums(words: DataFrame) -> DataFrame:
@@ -268,9 +267,14 @@ def _counts() -> list[str]:
     return [*[f"p{k}" for k in range(PARITIES)], *[f"t{k}" for k in range(PARITIES // 2)]]
 
 
-def _filed(words: DataFrame) -> DataFrame:
-    """(bucket, id, n) of the lines under all their runs of three words; of two words, or both, if they have four or five."""
+def _filed(words: DataFrame, k: int, parts: int) -> DataFrame:
+    """(bucket, id, n) of the lines under all their runs of three words; of two words, or both, if they have four or five.
+
+    The first word of a run tells which part has it, so that other parts needn't hash the run.
+    """
     placed = words.select("id", F.size("hashes").alias("n"), "hashes", F.posexplode("hashes").alias("at", "word"))
+    if parts > 1:
+        placed = placed.filter(F.array_contains(F.array(F.lit(k).cast("long")), F.pmod("word", F.lit(parts))))
     word = lambda j: F.get("hashes", F.col("at") + j)
     threes = placed.filter("n >= 5 AND at < n - 2").select(F.xxhash64("word", word(1), word(2)).alias("bucket"), "id", "n")
     twos = placed.filter("n IN (4, 5) AND at < n - 1").select(F.xxhash64("word", word(1)).alias("bucket"), "id", "n")
@@ -278,12 +282,12 @@ def _filed(words: DataFrame) -> DataFrame:
 
 
 def _shared(words: DataFrame, k: int, parts: int = PASSES) -> DataFrame:
-    """(bucket, id, n, lines) of the lines under their runs of words of the ``k``-th part, where another line is as well.
+    """(bucket, id, n, lines) of the lines under their runs of words of one of ``parts``, where another line is as well.
 
     ``lines``: how often the run is there. Two lines alone have to be of lengths that allow them to be similar.
     """
     bucket = Window.partitionBy("bucket")
-    several = _in_part(_filed(words), k, parts).withColumns({
+    several = _filed(words, k, parts).withColumns({
         "low": F.min("id").over(bucket), "high": F.max("id").over(bucket), "lines": F.count("*").over(bucket),
         "short": F.min("n").over(bucket), "long": F.max("n").over(bucket)})
     return several.filter(f"low <> high AND (lines > 2 OR long - short <= {_most('long')})").select("bucket", "id", "n", "lines")
