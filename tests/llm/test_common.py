@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,3 +39,14 @@ def test_temporary_tables_go(spark):
     assert not any(there(failed))
     outside = common.stored(spark.range(5), "test-outside")
     assert outside.count() == 5 and all(there(outside))
+
+
+def test_a_worker_keeps_the_tables_of_one_operator():
+    """What other operators have kept goes when one begins; its own stays."""
+    from transitlens.llm import bpe_coding, near_dedup, quality_rules
+    near_dedup.word_hashes("some words")
+    bpe_coding._CODES["file"] = "codes"
+    common.keep_only("near_dedup")
+    assert not bpe_coding._CODES and near_dedup._HASHES
+    assert len(quality_rules.stats_of.func(pa.array(["a b", None] * 1500))) == 3000
+    assert not near_dedup._HASHES

@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from transitlens.llm.bpe import MergeAutomaton, automaton, library_split, unassigned
-from transitlens.llm.common import ready, sliced
+from transitlens.llm.bpe import _LOADED, MergeAutomaton, automaton, library_split, unassigned
+from transitlens.llm.common import keep_only, kept_by, ready, sliced
 
 #: Fixed value: how word_bpe_49k.json splits normalised text.
 WORD_SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
@@ -74,6 +74,7 @@ class WordCodes(dict):
 
 
 _CODES: dict[str, WordCodes] = {}
+kept_by("bpe_coding", lambda: (_CODES.clear(), _LOADED.clear()))
 
 
 def codes(path: str) -> WordCodes:
@@ -107,6 +108,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         fields.append(T.StructField("decoded", T.StringType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only("bpe_coding")
         table = codes(path)
         for batch in sliced(batches):
             both = [table.encode(t) for t in batch.column(1).to_pylist()]

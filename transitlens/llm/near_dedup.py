@@ -54,7 +54,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from transitlens.llm.common import connected_components, labelled, merged_components, open_members, ready, sliced, stored, temporary
+from transitlens.llm.common import connected_components, keep_only, kept_by, labelled, merged_components, open_members, ready, sliced, stored, temporary
 
 K, SHORT_K = 3, 2
 #: Texts of up to SHORT words have sketches of SHORT_K words, those of LONG words or more of K words.
@@ -85,6 +85,7 @@ class Hashes(dict):
 
 
 _HASHES = Hashes()
+kept_by("near_dedup", _HASHES.clear)
 
 
 def word_hashes(text: str | None) -> np.ndarray:
@@ -195,6 +196,7 @@ def sketched(docs: DataFrame) -> DataFrame:
                            T.StructField("tallies", T.ArrayType(T.ShortType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only("near_dedup")
         for batch in sliced(batches):
             words, rows, n = [], [], 0
             contents = batch.column(2).to_pylist()
@@ -297,6 +299,7 @@ def verified(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: list[int] = []
+        keep_only("near_dedup")
         for batch in sliced(batches):
             out: list[tuple[int, int]] = []
             a_ids, b_ids = batch.column(0).to_pylist(), batch.column(2).to_pylist()

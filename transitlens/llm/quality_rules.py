@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from transitlens.llm.common import WORD_PATTERN, ready, stored
+from transitlens.llm.common import WORD_PATTERN, keep_only, ready, stored
 
 WORDS = re.compile(WORD_PATTERN)
 SYMBOLS = re.compile(r"[#*$%&|<>]")
@@ -43,6 +43,8 @@ MEASURES = {
 SIGNIFICANT = 7
 MIN_GROUP = 30
 SPREAD = 3
+#: Texts that are counted together.
+SLICE = 1000
 
 
 def repeated_words(words: list[str]) -> int:
@@ -83,7 +85,9 @@ STATS_TYPE = T.StructType([T.StructField(n, T.LongType()) for n in STATS])
 
 @F.arrow_udf(STATS_TYPE)
 def stats_of(texts: pa.Array) -> pa.Array:
-    rows = np.array([text_stats(t) for t in texts.to_pylist()], np.int64).reshape(-1, len(STATS))
+    keep_only()
+    slices = (texts.slice(at, SLICE).to_pylist() for at in range(0, len(texts), SLICE))
+    rows = np.array([text_stats(t) for some in slices for t in some], np.int64).reshape(-1, len(STATS))
     return pa.StructArray.from_arrays([pa.array(rows[:, k]) for k in range(len(STATS))], STATS)
 
 
